@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.demos.registry import demo, fresh_name, table
-from tidemark.functions.dates import datediff
+from tidemark.functions.dates import as_time, datediff
 from tidemark.operators import incremental as inc
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge
@@ -41,7 +41,7 @@ def _batch(spark, sf):
 def flagship(spark, sf):
     """Upsert the batch, then report amounts and the age of the loaded orders by status."""
     loaded = merge(_target(spark, sf), _batch(spark, sf), "o_orderkey")
-    age = datediff(F.col("o_orderdate"), F.lit(dt.datetime(2002, 1, 1)).cast("timestamp_ntz"), "month")
+    age = datediff(F.col("o_orderdate"), as_time(dt.datetime(2002, 1, 1)), "month")
     return loaded.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("amount"),
@@ -119,7 +119,7 @@ def inc_merge_no_key(spark, sf):
 
 def _unranked(spark, sf):
     """The batch without the priorities of re-delivered orders."""
-    again = F.col("o_orderdate") < F.lit(TARGET_UNTIL).cast("timestamp_ntz")
+    again = F.col("o_orderdate") < as_time(TARGET_UNTIL)
     return _batch(spark, sf).withColumn("o_orderpriority", F.when(again, "?").otherwise(F.col("o_orderpriority")))
 
 

@@ -118,7 +118,7 @@ def join_relationships(spark, sf):
     """
     WITH l AS (SELECT nullif(l_returnflag, 'A') AS flag, l_linestatus AS status, l_quantity FROM lineitem),
          g AS (SELECT flag, status, max(l_quantity) AS top FROM l GROUP BY flag, status)
-    SELECT l.flag, l.status, count(*) AS lines, count_if(l.l_quantity = g.top) AS at_top
+    SELECT l.flag, l.status, count(*) AS lines, CAST(count_if(l.l_quantity = g.top) AS BIGINT) AS at_top
     FROM l JOIN g ON l.flag IS NOT DISTINCT FROM g.flag AND l.status = g.status
     GROUP BY l.flag, l.status
     """
@@ -436,9 +436,9 @@ def test_where(spark, sf):
 
 @demo(
     """
-    SELECT 'not_null_o_custkey' AS check_name, count_if(o_custkey IS NULL) AS failures FROM orders
-    UNION ALL SELECT 'accepted_values_o_orderstatus', count_if(o_orderstatus NOT IN ('F', 'O')) FROM orders
-    UNION ALL SELECT 'price_in_range', count_if(NOT (o_totalprice BETWEEN 2000 AND 400000)) FROM orders
+    SELECT 'not_null_o_custkey' AS check_name, CAST(count_if(o_custkey IS NULL) AS BIGINT) AS failures FROM orders
+    UNION ALL SELECT 'accepted_values_o_orderstatus', CAST(count_if(o_orderstatus NOT IN ('F', 'O')) AS BIGINT) FROM orders
+    UNION ALL SELECT 'price_in_range', CAST(count_if(NOT (o_totalprice BETWEEN 2000 AND 400000)) AS BIGINT) FROM orders
     UNION ALL SELECT 'unique_o_orderkey', (SELECT count(*) FROM
         (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
     UNION ALL SELECT 'unique_o_custkey', (SELECT count(*) FROM

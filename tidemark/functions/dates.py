@@ -9,6 +9,8 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.types import TIMESTAMP, literal
+
 _EPOCH = dt.datetime(1970, 1, 1)
 
 #: Microseconds in one unit of a fixed-length part.
@@ -35,7 +37,7 @@ def _wall(value: Column) -> Column:
 
 
 def _epoch_micros(value: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), _wall(value))
+    return F.timestamp_diff("MICROSECOND", as_time(_EPOCH), _wall(value))
 
 
 def make_date(year: Column | int, month: Column | int, day: Column | int) -> Column:
@@ -101,5 +103,6 @@ def clock(now: dt.datetime | None = None) -> dt.datetime:
     return now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def as_time(now: dt.datetime) -> Column:
-    return F.lit(now).cast("timestamp_ntz")
+def as_time(now: dt.datetime | None) -> Column:
+    """A wall-clock moment as a literal."""
+    return literal(now, TIMESTAMP)

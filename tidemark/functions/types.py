@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import Any
+
 from pyspark.sql import Column, functions as F, types as T
 
 STRING = T.StringType()
@@ -41,6 +44,16 @@ def equals(a: Column, b: Column, null_safe: bool = False) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 
 
+def literal(value: Any, data_type: T.DataType) -> Column:
+    """A Python value as a literal of a type.
+
+    A wall-clock datetime goes as text: a plain literal would pass through the driver's time zone and old calendar.
+    """
+    if isinstance(value, dt.datetime) and value.tzinfo is None and not isinstance(data_type, T.TimestampType):
+        return F.lit(value.isoformat(sep=" ")).cast(TIMESTAMP).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
 def text_of(field: Column, data_type: T.DataType) -> Column:
     """A stable text form of a value: timestamps always carry six fractional digits."""
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):

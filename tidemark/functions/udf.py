@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol
 
@@ -59,7 +59,9 @@ class MergeableAggregate(Protocol):
     def finish(self, state: Any) -> Any: ...
 
 
-#: Groups a task holds before it sends its partial states on; bounds memory, does not change the result.
+#: Rows a task gathers before it folds them, and groups it holds before it sends their partial states on.  Both bound
+#: memory and leave the result unchanged.
+FOLD_ROWS = 200_000
 PARTIAL_GROUPS = 50_000
 
 
@@ -74,61 +76,80 @@ def aggregate(
 ) -> DataFrame:
     """Group with a Python aggregate, combining before every shuffle.
 
-    Each input partition folds its rows to one state per group; states are merged per (group, slice) and only then
-    per group, so a group holding much of the data never arrives at one task as rows, and its states arrive there
-    already merged ``spread``-fold.
+    Each input partition folds its rows to one state per group.  States are merged per (group, slice) and then per
+    group, each time streaming over sorted partitions with one state in hand, so a group holding much of the data
+    never arrives at one task as rows, and its states arrive there already merged ``spread``-fold.
     """
     keys = list(by)
-    # pandas would turn a nullable integer key into a float, so integer keys travel as text and are cast back.
-    whole = {k for k in keys if type_family(df.schema[k].dataType) == "integer"}
-    carried = [F.col(k).cast("string").alias(k) if k in whole else F.col(k) for k in keys]
+    # pandas would turn nullable integers into floats, and nulls among floats into NaN: such keys travel as text.
+    as_text = {k for k in keys if type_family(df.schema[k].dataType) in ("integer", "float")}
+    carried = [F.col(k).cast("string").alias(k) if k in as_text else F.col(k) for k in keys]
     rows = df.select(*carried, value)
     key_schema = T.StructType([rows.schema[k] for k in keys])
-    state_schema = T.StructType(
-        [*key_schema.fields, T.StructField("_slice", T.IntegerType()), T.StructField("_state", T.BinaryType())]
-    )
+    state_schema = T.StructType([*key_schema.fields, T.StructField("_state", T.BinaryType())])
 
-    def emit(states: dict) -> pd.DataFrame:
-        frame = pd.DataFrame(list(states), columns=keys)
-        return frame.assign(_slice=0, _state=[pickle.dumps(s) for s in states.values()])
+    def plain(key: tuple) -> tuple:
+        return tuple(None if pd.isna(part) else part for part in key)
+
+    def fold(batches: list[pd.DataFrame], states: dict) -> None:
+        for key, values in pd.concat(batches).groupby(keys, dropna=False, sort=False)[value]:
+            key = plain(key)
+            state = states[key] if key in states else function.init()
+            states[key] = function.accumulate(state, values)
+
+    def pack(states: Iterable[tuple[tuple, Any]]) -> pd.DataFrame:
+        return pd.DataFrame([[*key, pickle.dumps(state)] for key, state in states], columns=[*keys, "_state"])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict = {}
+        waiting: list[pd.DataFrame] = []
         for batch in batches:
-            for key, rows in batch.groupby(keys, dropna=False, sort=False):
-                key = tuple(None if pd.isna(part) else part for part in key)
-                state = states[key] if key in states else function.init()
-                states[key] = function.accumulate(state, rows[value])
-            if len(states) >= PARTIAL_GROUPS:
-                yield emit(states)
-                states = {}
+            waiting.append(batch)
+            if sum(map(len, waiting)) >= FOLD_ROWS:
+                fold(waiting, states)
+                waiting = []
+                if len(states) >= PARTIAL_GROUPS:
+                    yield pack(states.items())
+                    states = {}
+        if waiting:
+            fold(waiting, states)
         if states:
-            yield emit(states)
+            yield pack(states.items())
 
-    def fold(batches: Iterator[pd.DataFrame]) -> tuple[list, Any]:
-        merged, head = None, None
+    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[tuple, Any]]]:
+        """Merged states of partitions sorted by key, in chunks."""
+        head, state, done = None, None, []
         for batch in batches:
-            for position in range(len(batch)):
-                state = pickle.loads(batch["_state"].iat[position])
-                if head is None:
-                    head, merged = [batch[k].iat[position] for k in keys], state
-                else:
-                    merged = function.merge(merged, state)
-        return head, merged
-
-    def merge_slice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, state = fold(batches)
-        yield pd.DataFrame([[*head, 0, pickle.dumps(state)]], columns=[*keys, "_slice", "_state"])
+            for *key, blob in batch[[*keys, "_state"]].itertuples(index=False, name=None):
+                key = plain(tuple(key))
+                if key == head:
+                    state = function.merge(state, pickle.loads(blob))
+                    continue
+                if head is not None:
+                    done.append((head, state))
+                head, state = key, pickle.loads(blob)
+            if len(done) >= 10_000:
+                yield done
+                done = []
+        if head is not None:
+            done.append((head, state))
+        if done:
+            yield done
+
+    def merge_slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in merged(batches):
+            yield pack(chunk)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, state = fold(batches)
-        yield pd.DataFrame([[*head, function.finish(state)]], columns=[*keys, alias])
+        for chunk in merged(batches):
+            yield pd.DataFrame([[*key, function.finish(state)] for key, state in chunk], columns=[*keys, alias])
 
+    names = [F.col(f"`{k}`") for k in keys]
     result_schema = T.StructType([*key_schema.fields, T.StructField(alias, T._parse_datatype_string(returns))])
-    states = rows.mapInPandas(partial, state_schema)
-    sliced = states.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
-    merged = sliced.groupBy(*keys, "_slice").applyInPandas(merge_slice, state_schema)
-    finished = merged.groupBy(*keys).applyInPandas(finish, result_schema)
+    states = rows.mapInPandas(partial, state_schema).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    sliced = states.repartition(*names, "_slice").sortWithinPartitions(*names, "_slice").drop("_slice")
+    whole = sliced.mapInPandas(merge_slices, state_schema).repartition(*names).sortWithinPartitions(*names)
+    finished = whole.mapInPandas(finish, result_schema)
     return finished.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys], alias)
 
 

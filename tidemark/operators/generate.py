@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.dates import date_trunc, dateadd, datediff
+from tidemark.functions.dates import as_time, date_trunc, dateadd, datediff
 
 
 def generate_series(spark: SparkSession, upper: int) -> DataFrame:
@@ -18,7 +18,7 @@ def generate_series(spark: SparkSession, upper: int) -> DataFrame:
 
 def intervals_between(spark: SparkSession, part: str, start: dt.datetime, end: dt.datetime) -> int:
     """Boundaries crossed from start to end."""
-    first, last = (F.lit(moment).cast("timestamp_ntz") for moment in (start, end))
+    first, last = (as_time(moment) for moment in (start, end))
     return spark.range(1).select(datediff(first, last, part).alias("n")).first()["n"]
 
 
@@ -27,7 +27,7 @@ def date_spine(spark: SparkSession, part: str, start: dt.datetime, end: dt.datet
     count = intervals_between(spark, part, start, end)
     if count <= 0:
         raise ValueError(f"no {part} boundary between {start} and {end}")
-    first, last = (F.lit(moment).cast("timestamp_ntz") for moment in (start, end))
+    first, last = (as_time(moment) for moment in (start, end))
     point = dateadd(part, F.col("id").cast("int"), first)
     return spark.range(count).select(point.alias(f"date_{part}")).filter(F.col(f"date_{part}") <= last)
 

@@ -5,7 +5,8 @@ content after another look at the source.
 
 Plan of ``apply``.  Closed versions pass through untouched.  Current versions and source rows, one per key on either
 side, meet in a single full outer join, so each is shuffled once; null keys never match and bypass the join, so they
-cannot pile up in one task.  A last anti join on the surrogate makes a repeated run change nothing.
+cannot pile up in one task.  Versions whose surrogate the history has already are dropped, which makes a repeated run
+change nothing.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -117,7 +117,7 @@ def surrogate(parts: Sequence[tuple[Column, T.DataType]]) -> Column:
 
 
 def _current_value(cfg: Snapshot) -> Column:
-    return F.lit(cfg.current_value).cast("timestamp_ntz")
+    return as_time(cfg.current_value)
 
 
 def is_open(cfg: Snapshot) -> Column:
@@ -164,31 +164,28 @@ def validate_history(history: DataFrame, cfg: Snapshot) -> None:
 
 def _one_per_key(versions: DataFrame, key: Sequence[str]) -> DataFrame:
     """Source rows by key, with the number of copies; aggregated before the shuffle, so a hot key stays small."""
-    rest = [c for c in versions.columns if c not in key]
-    packed = versions.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*[f"`{c}`" for c in rest])).alias("_row")
-    )
-    return packed.select(*key, "_copies", *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+    rest = [F.any_value(F.col(f"`{c}`")).alias(c) for c in versions.columns if c not in key]
+    return versions.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"), *rest)
 
 
-def apply(
-    history: DataFrame,
-    source: DataFrame,
-    cfg: Snapshot,
-    now: dt.datetime,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
+def apply(history: DataFrame, source: DataFrame, cfg: Snapshot, now: dt.datetime) -> DataFrame:
     """The whole history after another look at the source (see ``advance``)."""
-    moved = advance(history, source, cfg, now, cut)
+    moved = advance(history, source, cfg, now)
     return history.filter(~is_open(cfg)).unionByName(moved, allowMissingColumns=True).select(moved.columns)
 
 
+#: What becomes of a current version, or of a source row.
+KEEP, CLOSE, INSERT, MARK_DELETED = 0, 1, 2, 3
+
+#: Up to this many surrogates are broadcast when repeated versions are dropped.
+MAX_BROADCAST_IDS = 100_000
+
+
 def advance(
     history: DataFrame,
     source: DataFrame,
     cfg: Snapshot,
     now: dt.datetime,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
     ids: DataFrame | None = None,
 ) -> DataFrame:
     """What the versions open so far become, plus the new ones; versions closed before are left out.
@@ -198,9 +195,7 @@ def advance(
     versions.  Versions whose surrogate is already known are not added again.  A source that repeats a key is an
     error at run time.
 
-    ``cut`` may write the joined outcome down (``tidemark.session.stage``) before it is read for its several uses;
-    without it the shuffled inputs are reused and only the join itself runs again.  When ``history`` holds only the
-    open versions, ``ids`` gives the surrogates of all versions.
+    When ``history`` holds only the open versions, ``ids`` gives the surrogates of all versions.
     """
     validate_history(history, cfg)
     meta = cfg.meta
@@ -208,83 +203,84 @@ def advance(
     versions = _with_meta(source, cfg, now)
     added = [f for f in source.schema.fields if f.name not in history.columns]
     full = history.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else history
-    columns = full.columns
-    row_type = T.StructType([T.StructField(f.name, f.dataType, True) for f in full.schema.fields])
-
-    def version(side: str, **changes: Column) -> Column:
-        """A row of the history's shape taken from one side of the join, with some columns replaced."""
-        available = columns if side == "cur" else versions.columns
-        entries = []
-        for name in columns:
-            value = changes.get(name)
-            if value is None:
-                value = F.col(f"{side}.`{name}`") if name in available else F.lit(None)
-            entries.append(value.cast(row_type[name].dataType).alias(name))
-        return F.struct(*entries)
+    end = as_time(now)
 
     changed = is_true(cfg.strategy.changed(source, history, cfg))
+    was_deleted = F.lit(False)
     if cfg.keeps_deleted:
         was_deleted = is_true(F.col(f"cur.`{meta.is_deleted}`") == "True")
         changed = changed | was_deleted
-
-    def record(present_cur: Column, present_src: Column) -> Column:
-        """What becomes of one (current version, source row) pair: a list of (row, is new version)."""
-
-        def entry(row: Column, is_new: bool) -> Column:
-            return F.struct(row.alias("row"), F.lit(is_new).alias("new"))
-
-        same = F.array(entry(version("cur"), False))
-        insert = entry(version("src"), True)
-        close = entry(version("cur", **{meta.valid_to: F.col(f"src.`{meta.updated_at}`")}), False)
-        both = F.when(changed, F.array(close, insert)).otherwise(same)
-        gone = same
-        end = as_time(now)
-        closed = entry(version("cur", **{meta.valid_to: end}), False)
-        if cfg.hard_deletes == "invalidate":
-            gone = F.array(closed)
-        elif cfg.keeps_deleted:
-            parts = [(F.col(f"cur.`{meta.scd_id}`"), T.StringType()), (end, T.TimestampNTZType())]
-            marker = version(
-                "cur",
-                **{
-                    meta.valid_from: end,
-                    meta.updated_at: end,
-                    meta.scd_id: surrogate(parts),
-                    meta.is_deleted: F.lit("True"),
-                },
-            )
-            gone = F.when(was_deleted, same).otherwise(F.array(closed, entry(marker, True)))
-        return F.when(present_cur & present_src, both).when(present_cur, gone).otherwise(F.array(insert))
-
-    current = full.filter(is_open(cfg)).withColumn("_here", F.lit(True)).alias("cur")
-    incoming = _one_per_key(versions.filter(no_null(key)), key).alias("src")
+    in_cur, in_src = F.col("cur._here").isNotNull(), F.col("src._copies").isNotNull()
+
+    def todo(*actions: int) -> Column:
+        return F.array(*[F.lit(a) for a in actions])
+
+    gone = todo(KEEP)
+    if cfg.hard_deletes == "invalidate":
+        gone = todo(CLOSE)
+    elif cfg.keeps_deleted:
+        gone = F.when(was_deleted, todo(KEEP)).otherwise(todo(CLOSE, MARK_DELETED))
+    both = F.when(changed, todo(CLOSE, INSERT)).otherwise(todo(KEEP))
+    actions = F.when(in_cur & in_src, both).when(in_cur, gone).otherwise(todo(INSERT))
+
+    action = F.col("_action")
+    marker = surrogate([(F.col(f"cur.`{meta.scd_id}`"), T.StringType()), (end, T.TimestampNTZType())])
+    special = {
+        meta.valid_to: [(CLOSE, F.when(in_src, F.col(f"src.`{meta.updated_at}`")).otherwise(end))],
+        meta.valid_from: [(MARK_DELETED, end)],
+        meta.updated_at: [(MARK_DELETED, end)],
+        meta.scd_id: [(MARK_DELETED, marker)],
+    }
+    if cfg.keeps_deleted:
+        special[meta.is_deleted] = [(MARK_DELETED, F.lit("True"))]
+
+    def value(name: str) -> Column:
+        kind = full.schema[name].dataType
+        new = F.col(f"src.`{name}`") if name in versions.columns else F.lit(None)
+        chosen = F.when(action == INSERT, new.cast(kind))
+        for when, other in special.get(name, []):
+            chosen = chosen.when(action == when, other.cast(kind))
+        return chosen.otherwise(F.col(f"cur.`{name}`")).alias(name)
+
+    def outcomes(pairs: DataFrame) -> DataFrame:
+        acted = pairs.withColumn("_action", F.explode(actions))
+        return acted.select(*[value(c) for c in full.columns], (action >= INSERT).alias("_new"))
+
+    current = full.filter(is_open(cfg)).withColumn("_here", F.lit(True))
+    complete = is_true(no_null(key))
+    one = _one_per_key(versions.filter(complete), key)
     ambiguous = F.raise_error(F.lit(f"the source repeats a value of the key {key}")).cast("boolean")
-    is_cur, is_src = F.col("cur._here").isNotNull(), F.col("src._copies").isNotNull()
-
-    # Null keys match nothing: their current versions are 'gone', their source rows are 'new'.
-    complete = no_null(key)
-    met = current.filter(complete).join(incoming, key_match("cur", "src", key), "full")
+    met = current.filter(complete).alias("cur").join(one.alias("src"), key_match("cur", "src", key), "full")
     met = met.filter(F.when(F.col("src._copies") > 1, ambiguous).otherwise(F.lit(True)))
-    outcomes = met.select(F.explode(record(is_cur, is_src)).alias("_e")).select("_e.row", "_e.new")
-
-    empty_src = versions.limit(0).withColumn("_copies", F.lit(None).cast("bigint")).alias("src")
-    lonely = current.filter(~is_true(complete)).join(empty_src, F.lit(False), "left")
-    lonely_rows = lonely.select(F.explode(record(F.lit(True), F.lit(False))).alias("_e")).select("_e.row", "_e.new")
-    fresh = versions.filter(~is_true(complete)).alias("src")
-    fresh_rows = fresh.select(version("src").alias("row"), F.lit(True).alias("new"))
-
-    staged = outcomes.unionByName(lonely_rows).unionByName(fresh_rows)
-    staged = cut(staged) if cut is not None else staged
-    kept = staged.filter(~F.col("new")).select("row.*")
-    inserts = staged.filter("new").select("row.*")
-    # Only ids that are about to be inserted are looked up, so the id list stays small and is broadcast if it is.
-    known = (
-        (history if ids is None else ids)
-        .select(meta.scd_id)
-        .join(inserts.select(meta.scd_id).distinct(), meta.scd_id, "left_semi")
-        .distinct()
-    )
-    return kept.unionByName(inserts.join(known, meta.scd_id, "left_anti").select(columns))
+
+    # Null keys match nothing: their current versions have lost their source, their source rows are new.  The filters
+    # reach the scans, where statistics skip files without null keys.
+    no_source = one.limit(0).alias("src")
+    no_history = current.limit(0).alias("cur")
+    lost = current.filter(~complete).alias("cur").join(no_source, F.lit(False), "left")
+    fresh = versions.filter(~complete).withColumn("_copies", F.lit(1)).alias("src")
+    fresh = fresh.join(no_history, F.lit(False), "left")
+
+    result = outcomes(met).unionByName(outcomes(lost)).unionByName(outcomes(fresh))
+    known = _known(result, history if ids is None else ids, meta.scd_id)
+    if known is not None:
+        same = F.col(f"new.`{meta.scd_id}`") == F.col(f"known.`{meta.scd_id}`")
+        result = result.alias("new").join(known.alias("known"), F.col("new._new") & same, "left_anti")
+    return result.drop("_new")
+
+
+def _known(result: DataFrame, ids: DataFrame, scd_id: str) -> DataFrame | None:
+    """Surrogates about to be inserted that the history has already; None when there are none, as in most runs.
+
+    Looked up ahead, over the few columns it needs, so that the rows themselves pass without another shuffle: the
+    list is broadcast when it is small by count, and joined by the optimiser's choice when it is not.
+    """
+    wanted = result.filter("_new").select(scd_id).distinct()
+    known = ids.select(scd_id).join(wanted, scd_id, "left_semi").distinct()
+    count = known.limit(MAX_BROADCAST_IDS + 1).count()
+    if count == 0:
+        return None
+    return F.broadcast(known) if count <= MAX_BROADCAST_IDS else known
 
 
 def with_meta(cfg: Snapshot, **names: str) -> Snapshot:
@@ -292,8 +288,8 @@ def with_meta(cfg: Snapshot, **names: str) -> Snapshot:
     return replace(cfg, meta=replace(cfg.meta, **names))
 
 
-def as_of(history: DataFrame, cfg: Snapshot, moment: Any) -> DataFrame:
+def as_of(history: DataFrame, cfg: Snapshot, moment: dt.datetime) -> DataFrame:
     """The versions valid at one moment."""
     start, end = F.col(f"`{cfg.meta.valid_from}`"), F.col(f"`{cfg.meta.valid_to}`")
-    at = F.lit(moment).cast("timestamp_ntz")
+    at = as_time(moment)
     return history.filter((start <= at) & (end.isNull() | (end > at)))

@@ -11,8 +11,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.dates import date_trunc
-from tidemark.operators.keys import as_condition, distinct_keys, is_true, key_match, normalise_key
+from tidemark.functions.dates import as_time, date_trunc
+from tidemark.functions.types import literal
+from tidemark.operators.keys import all_of, as_condition, distinct_keys, is_true, key_match, normalise_key
 from tidemark.operators.merge import merge
 
 #: Batch sizes of event-time microbatches.
@@ -29,7 +30,7 @@ def newer_than_target(source: DataFrame, target: DataFrame | None, column: str)
     mark = target.agg(F.max(column).alias("mark")).first()["mark"]
     if mark is None:
         return source.limit(0)
-    return source.filter(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
+    return source.filter(F.col(column) > literal(mark, source.schema[column].dataType))
 
 
 def max_partition(target: DataFrame, column: str) -> Any:
@@ -61,11 +62,12 @@ def delete_insert(
     rows = _aligned(batch, target)
     if not key:
         return target.unionByName(rows)
-    hit = key_match("target", "batch", key)
+    keys = distinct_keys(rows, key).toDF(*[f"_key_{k}" for k in key])
+    hit = all_of([F.col(f"target.`{k}`") == F.col(f"`_key_{k}`") for k in key])
     predicate = as_condition(predicates)
     if predicate is not None:
         hit = hit & predicate
-    kept = target.alias("target").join(distinct_keys(rows, key).alias("batch"), hit, "left_anti")
+    kept = target.alias("target").join(keys, hit, "left_anti")
     return kept.unionByName(rows)
 
 
@@ -109,7 +111,7 @@ def overwrite_partitions(
 def overwrite_listed(target: DataFrame, batch: DataFrame, partition_by: str, values: Sequence[Any]) -> DataFrame:
     """Clear the listed partitions, even those the batch has no rows for, then insert the whole batch."""
     data_type = target.schema[partition_by].dataType
-    listed = F.col(partition_by).isin(*[F.lit(v).cast(data_type) for v in values])
+    listed = F.col(partition_by).isin(*[literal(v, data_type) for v in values])
     return target.filter(~is_true(listed)).unionByName(_aligned(batch, target))
 
 
@@ -120,9 +122,9 @@ def in_window(column: str, start: dt.datetime | None, end: dt.datetime | None) -
     """Half-open event-time window; a missing bound does not restrict."""
     condition = F.lit(True)
     if start is not None:
-        condition = F.col(column) >= F.lit(start).cast("timestamp_ntz")
+        condition = F.col(column) >= as_time(start)
     if end is not None:
-        before = F.col(column) < F.lit(end).cast("timestamp_ntz")
+        before = F.col(column) < as_time(end)
         condition = before if start is None else condition & before
     return condition
 

@@ -113,8 +113,7 @@ def merge(
     one = (
         incoming.filter(no_null(key))
         .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(F.lit(1).alias("_"), *payload)).alias("_row"))
-        .select(*key, "_copies", *[F.col(f"_row.`{c}`").alias(c) for c in payload])
+        .agg(F.count(F.lit(1)).alias("_copies"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in payload])
     )
     joined = target.alias("target").join(one.alias("batch"), key_match("target", "batch", key), "left")
     matched = F.col("batch._copies").isNotNull()

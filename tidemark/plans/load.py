@@ -8,17 +8,19 @@ overwrite, event-time windows) rewrite only the partitions that hold a row they
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.types import literal
 from tidemark.operators import incremental as inc
 from tidemark.operators.keys import all_of, any_of, as_condition, distinct_keys, key_match, normalise_key
 from tidemark.operators.merge import Rule, merge
 from tidemark.operators.schema import diff, normalise_policy, reconcile
-from tidemark.plans.publish import dynamic_overwrite, is_view, partition_columns, replace_table, table_exists
+from tidemark.plans.publish import is_view, overwrite_mode, partition_columns, replace_table, table_exists
 from tidemark.session import stage
 from tidemark.sources.sinks import gathered, validate_format
 
@@ -158,13 +160,19 @@ def load_in_parts(batch: DataFrame, table: str, cfg: Load, partitions_per_load:
         raise ValueError("loading in parts needs partition_by and a positive number of partitions")
     columns = list(cfg.partition_by)
     staged = stage(batch, "parts").frame
+    parts = staged.select(*columns).schema
     listed = sorted(
         staged.select(*columns).distinct().toLocalIterator(), key=lambda row: [str(v) for v in row]
     )  # partition values only
     loads = 0
     for first in range(0, len(listed), partitions_per_load):
         chunk = listed[first : first + partitions_per_load]
-        exact = any_of([all_of([F.col(f"`{c}`").eqNullSafe(F.lit(row[c])) for c in columns]) for row in chunk])
+        exact = any_of(
+            [
+                all_of([F.col(f"`{f.name}`").eqNullSafe(literal(row[f.name], f.dataType)) for f in parts.fields])
+                for row in chunk
+            ]
+        )
         load(staged.filter(exact), table, cfg)
         loads += 1
     return loads
@@ -269,7 +277,7 @@ def _overwrite_partitions(batch: DataFrame, table: str) -> None:
     if spark.table(table).columns and _reads(batch, table):
         rows = stage(batch, "batch").frame
     incomplete = rows.filter(~complete)
-    with dynamic_overwrite(spark):
+    with overwrite_mode(spark, "dynamic"):
         _insert(rows.filter(complete), table, overwrite=True)
     if not incomplete.isEmpty():
         _insert(incomplete, table)
@@ -281,13 +289,14 @@ def _reads(df: DataFrame, table: str) -> bool:
     return bool(own.intersection(df.inputFiles()))
 
 
-def _in_partitions(rows: Sequence[Any], columns: Sequence[str]) -> Column:
+def _in_partitions(rows: Sequence[Any], schema: T.StructType) -> Column:
     """Per column, one of the values that occur: literals, so the scan skips the other partitions."""
     conditions = []
-    for column in columns:
-        values = {row[column] for row in rows}
-        options = [F.col(f"`{column}`").isin(*[v for v in values if v is not None])] if values - {None} else []
-        options += [F.col(f"`{column}`").isNull()] if None in values else []
+    for field in schema.fields:
+        column, values = F.col(f"`{field.name}`"), {row[field.name] for row in rows}
+        known = [literal(v, field.dataType) for v in values if v is not None]
+        options = [column.isin(*known)] if known else []
+        options += [column.isNull()] if None in values else []
         conditions.append(any_of(options))
     return all_of(conditions)
 
@@ -309,8 +318,6 @@ def _rewrite(
     target = spark.table(table)
     batch = stage(batch, "batch").frame
     if not columns:
-        settings = spark.catalog.getTable(table)
-        assert settings.tableType != "VIEW"
         replace_table(
             operator(target, batch),
             table,
@@ -335,11 +342,11 @@ def _rewrite(
         return
     scope = target
     if len(listed) <= MAX_LISTED_PARTITIONS:
-        scope = target.filter(_in_partitions(listed, columns))
+        scope = target.filter(_in_partitions(listed, touched.schema))
     scope = scope.alias("t").join(touched.alias("p"), key_match("t", "p", columns, null_safe=True), "left_semi")
 
     result = stage(operator(scope, batch), "rewrite").frame
-    with dynamic_overwrite(spark):
+    with overwrite_mode(spark, "dynamic"):
         _insert(result, table, overwrite=True)
     remaining = result.select(*columns).distinct()
     emptied = touched.alias("p").join(
@@ -347,8 +354,21 @@ def _rewrite(
     )
     texts = emptied.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
     for row in texts.toLocalIterator():  # partitions that lost their last row
-        values = ", ".join(f"`{c}` = {'null' if row[c] is None else repr(row[c])}" for c in columns)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({values})")
+        _clear_partition(spark, table, row.asDict())
+
+
+def _clear_partition(spark: SparkSession, table: str, values: Mapping[str, str | None]) -> None:
+    """Overwrite one partition with nothing: its files go, and its catalog entry."""
+    nothing = spark.table(table).drop(*values).limit(0)
+    view = f"nothing_{uuid.uuid4().hex}"
+    spark.createDataFrame([], nothing.schema).createOrReplaceTempView(view)
+    listed = ", ".join(
+        f"`{c}` = " + ("null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'")
+        for c, v in values.items()
+    )
+    with overwrite_mode(spark, "static"):
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({listed}) SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
 
 
 def _resolves(target: DataFrame, condition: Column) -> bool:

@@ -1,4 +1,8 @@
-"""Publishing tables: readers see the old content or the new, never a half-written one."""
+"""Publishing tables: readers see the old content or the new, never a half-written one.
+
+Every published version has a folder of its own, so the renames touch only the catalog, on file systems and object
+stores alike.
+"""
 
 from __future__ import annotations
 
@@ -60,11 +64,12 @@ def replace_table(
 ) -> None:
     """Build the new content completely beside the table, then swap it in by renaming.
 
-    The query may read the table it replaces.  With ``location`` every version gets a folder of its own below it, so
-    the renames touch only the catalog, also on object stores.
+    The query may read the table it replaces.  Versions live below ``location``, by default a folder of the database;
+    the folder of the replaced version is removed at the end.
     """
     spark = df.sparkSession
     version = uuid.uuid4().hex
+    root = versions_root(spark, table, location)
     staged = f"{table}__stage_{version[:8]}"
     write_table(
         df,
@@ -73,21 +78,46 @@ def replace_table(
         partition_by=partition_by,
         bucket_by=bucket_by,
         buckets=buckets,
-        location=f"{location.rstrip('/')}/{version}" if location else None,
+        location=f"{root}/{version}",
         options=options,
     )
     if properties:
         listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ({listed})")
+    replaced = None
+    if table_exists(spark, table) and not is_view(spark, table):
+        replaced = table_location(spark, table)
     swap_in(spark, staged, table)
+    if replaced is not None and f"{root}/" in replaced:
+        _remove_folder(spark, replaced)
+
+
+def versions_root(spark: SparkSession, table: str, location: str | None = None) -> str:
+    """The folder the versions of a table live in."""
+    if location:
+        return location.rstrip("/")
+    *database, name = table.split(".")
+    home = spark.catalog.getDatabase(database[-1] if database else spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{name}__versions"
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return described["data_type"] if described else None
+
+
+def _remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete the files of a version no table refers to any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions a write has rows for."""
+def overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """'dynamic' overwrites only the partitions a write has rows for, 'static' all that its statement names."""
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
+    spark.conf.set(setting, mode)
     try:
         yield
     finally:

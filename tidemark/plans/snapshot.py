@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.dates import clock
 from tidemark.operators import history as hist
 from tidemark.plans.load import _insert
-from tidemark.plans.publish import dynamic_overwrite, is_view, replace_table, table_exists
+from tidemark.plans.publish import is_view, overwrite_mode, replace_table, table_exists
 from tidemark.session import stage
 
 CLOSED_IN = "closed_in"
@@ -48,7 +48,6 @@ def take_snapshot(
         source,
         cfg,
         now,
-        cut=lambda df: stage(df, "outcomes").frame,
         ids=history,
     )
     added = [f for f in moved.schema.fields if f.name not in history.columns]
@@ -56,7 +55,7 @@ def take_snapshot(
     if added:
         declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
-    with dynamic_overwrite(spark):
+    with overwrite_mode(spark, "dynamic"):
         _insert(result, table, overwrite=True)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F, types as T
+
+from tidemark.functions.types import literal
 
 #: Formats a table may be written in; some need their package on the cluster.
 FORMATS = ("text", "csv", "json", "jdbc", "parquet", "orc", "hive", "delta", "iceberg", "libsvm", "hudi")
@@ -80,19 +82,23 @@ def interleaved_layout(df: DataFrame, keys: Sequence[str], levels: int = 8, part
     """Rows clustered by several keys with equal weight: scans on any one of them skip files.
 
     Each key is cut into ``2**levels`` equal ranges at approximate quantiles, and the bits of the range numbers are
-    interleaved into one sort key.
+    interleaved into one sort key.  Keys are numbers, dates or timestamps.
     """
     steps = 2**levels
     points = [i / steps for i in range(1, steps)]
     cuts = df.agg(*[F.percentile_approx(F.col(f"`{k}`"), points).alias(f"q{i}") for i, k in enumerate(keys)]).first()
+
+    def rank(key: str, bounds: Sequence) -> Column:
+        """Number of cuts below the value."""
+        data_type = df.schema[key].dataType
+        listed = F.array(*[literal(v, data_type) for v in bounds]).cast(T.ArrayType(data_type))
+        return F.size(F.filter(listed, lambda bound: bound < F.col(f"`{key}`"))).cast("bigint")
+
     bits = F.lit(0).cast("bigint")
-    ranks = []
-    for i, key in enumerate(keys):
-        bounds = F.array(*[F.lit(v).cast(df.schema[key].dataType) for v in (cuts[f"q{i}"] or [])])
-        ranks.append(F.size(F.filter(bounds, lambda b, k=key: b < F.col(f"`{k}`"))).cast("bigint"))
+    ranks = [rank(key, cuts[f"q{i}"] or []) for i, key in enumerate(keys)]
     for level in range(levels):
-        for i, rank in enumerate(ranks):
-            bit = F.shiftright(rank, level).bitwiseAND(F.lit(1).cast("bigint"))
+        for i, place in enumerate(ranks):
+            bit = F.shiftright(place, level).bitwiseAND(F.lit(1).cast("bigint"))
             bits = bits.bitwiseOR(F.shiftleft(bit, level * len(keys) + i))
     return sorted_layout(df.withColumn("_order", bits), ["_order"], parts).drop("_order")
 

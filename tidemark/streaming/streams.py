@@ -12,11 +12,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.dates import date_trunc, dateadd
+from tidemark.functions.dates import as_time, date_trunc, dateadd
 from tidemark.operators.history import Snapshot
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.load import Load, _insert, load
-from tidemark.plans.publish import dynamic_overwrite, table_exists
+from tidemark.plans.publish import overwrite_mode, table_exists
 from tidemark.plans.snapshot import take_snapshot
 
 
@@ -29,9 +29,17 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
 
 
 def _start(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
+    stream: DataFrame, table: str, handle: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    session = stream.sparkSession
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        handle(batch, batch_id)
+        # The stream runs in a copy of the session; the caller's must forget the files it has listed.
+        if session.catalog.tableExists(table):
+            session.catalog.refreshTable(table)
+
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -70,7 +78,7 @@ def upsert_stream(
     def handle(batch: DataFrame, _: int) -> None:
         load(latest_per_key(batch, key, order_by), table, cfg)
 
-    return _start(stream, handle, checkpoint, every)
+    return _start(stream, table, handle, checkpoint, every)
 
 
 def windowed_stream(
@@ -98,17 +106,17 @@ def windowed_stream(
         if bounds["low"] is None:
             return
         # The range prunes the scan; the join keeps just the touched windows.
-        low, high = (F.lit(bounds[side]).cast("timestamp_ntz") for side in ("low", "high"))
+        low, high = (as_time(bounds[side]) for side in ("low", "high"))
         rows = source(spark).filter((F.col(event_time) >= low) & (F.col(event_time) < dateadd(size, 1, high)))
         rows = rows.withColumn(column, date_trunc(size, F.col(event_time))).join(touched, column, "left_semi")
         result = transform(rows)
         if table_exists(spark, table):
-            with dynamic_overwrite(spark):
+            with overwrite_mode(spark, "dynamic"):
                 _insert(result, table, overwrite=True)
         else:
             load(result, table, Load(strategy="insert_overwrite", partition_by=[column], location=location))
 
-    return _start(stream, handle, checkpoint, every)
+    return _start(stream, table, handle, checkpoint, every)
 
 
 def tumbling(
@@ -156,4 +164,4 @@ def history_stream(
         moment = clock_of(batch_id) if clock_of is not None else None
         take_snapshot(latest_per_key(batch, key, order_by), table, cfg, moment, location)
 
-    return _start(stream, handle, checkpoint, every)
+    return _start(stream, table, handle, checkpoint, every)
