@@ -187,6 +187,7 @@ def advance(
     cfg: Snapshot,
     now: dt.datetime,
     ids: DataFrame | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """What the versions open so far become, plus the new ones; versions closed before are left out.
 
@@ -195,7 +196,9 @@ def advance(
     versions.  Versions whose surrogate is already known are not added again.  A source that repeats a key is an
     error at run time.
 
-    When ``history`` holds only the open versions, ``ids`` gives the surrogates of all versions.
+    When ``history`` holds only the open versions, ``ids`` gives the surrogates of all versions.  ``cut`` writes a
+    frame down and reads it back (``tidemark.session.stage``): the joined outcome is then computed once, and the
+    result no longer reads the history.
     """
     validate_history(history, cfg)
     meta = cfg.meta
@@ -262,8 +265,10 @@ def advance(
     fresh = fresh.join(no_history, F.lit(False), "left")
 
     result = outcomes(met).unionByName(outcomes(lost)).unionByName(outcomes(fresh))
+    result = result if cut is None else cut(result)
     known = _known(result, history if ids is None else ids, meta.scd_id)
     if known is not None:
+        known = known if cut is None else cut(known)
         same = F.col(f"new.`{meta.scd_id}`") == F.col(f"known.`{meta.scd_id}`")
         result = result.alias("new").join(known.alias("known"), F.col("new._new") & same, "left_anti")
     return result.drop("_new")

@@ -115,7 +115,13 @@ def merge(
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("_copies"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in payload])
     )
-    joined = target.alias("target").join(one.alias("batch"), key_match("target", "batch", key), "left")
+    # Null keys match nothing.  They bypass the join, where they would all meet in one task; the filter reaches the
+    # scan, whose statistics skip files without null keys.
+    complete = is_true(no_null(key))
+    unmatchable = target.filter(~complete)
+    joined = target.filter(complete).alias("target").join(
+        one.alias("batch"), key_match("target", "batch", key), "left"
+    )
     matched = F.col("batch._copies").isNotNull()
     if predicate is not None:
         matched = matched & is_true(predicate)
@@ -136,7 +142,7 @@ def merge(
         rule = (rules or {}).get(name, default_rule)
         return F.when(updating, _combine(rule, name, data_type).cast(data_type)).otherwise(old).alias(name)
 
-    rewritten = joined.filter(kept).select(*[result(c) for c in columns])
+    rewritten = joined.filter(kept).select(*[result(c) for c in columns]).unionByName(unmatchable)
 
     if predicate is not None and _needs_batch(target, predicate):
         met = joined.filter(matched).select(*[F.col(f"target.`{k}`").alias(k) for k in key]).distinct()
@@ -158,7 +164,10 @@ def merge_into_v2(
     update_columns: Sequence[str] | None = None,
     exclude_columns: Sequence[str] | None = None,
 ) -> None:
-    """Native MERGE for tables whose format supports it (Delta, Iceberg, Hudi): only touched files are rewritten."""
+    """Native MERGE for tables whose format supports it (Delta, Iceberg, Hudi): only touched files are rewritten.
+
+    Conditions name the table's columns by the table's name and the batch's as ``batch.x``.
+    """
     columns = batch.sparkSession.table(table).columns
     updated = updated_columns(columns, key, update_columns, exclude_columns)
     name = table.split(".")[-1]

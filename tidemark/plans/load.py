@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.functions.types import literal
 from tidemark.operators import incremental as inc
 from tidemark.operators.keys import all_of, any_of, as_condition, distinct_keys, key_match, normalise_key
-from tidemark.operators.merge import Rule, merge
+from tidemark.operators.merge import Rule, merge, merge_into_v2
 from tidemark.operators.schema import diff, normalise_policy, reconcile
 from tidemark.plans.publish import is_view, overwrite_mode, partition_columns, replace_table, table_exists
 from tidemark.session import stage
@@ -27,6 +27,12 @@ from tidemark.sources.sinks import gathered, validate_format
 STRATEGIES = ("append", "merge", "delete+insert", "insert_overwrite", "microbatch")
 MICROBATCH_STYLES = ("overwrite", "delete+insert", "merge")
 
+#: What the catalog calls a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+#: Formats whose tables take a native MERGE.
+ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
+
 #: Above this many touched partitions the pruning filter is a join instead of a list of literals.
 MAX_LISTED_PARTITIONS = 5_000
 
@@ -128,12 +134,20 @@ def load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) ->
         _rewrite(
             batch, table, lambda old, new: inc.delete_insert(old, new, key, cfg.predicates), key=key, cfg=cfg
         )
+    elif strategy == "merge" and cfg.file_format in ROW_LEVEL_FORMATS and not _conditional(cfg):
+        merge_into_v2(batch, table, key, cfg.predicates, cfg.update_columns, cfg.exclude_columns)
     elif strategy == "merge":
         _rewrite(batch, table, lambda old, new: _merged(old, new, key, cfg), key=key, cfg=cfg)
     else:
         raise ValueError("microbatch loads go through load_microbatches")
 
 
+def _conditional(cfg: Load) -> bool:
+    """Whether a merge does more than replace or insert."""
+    conditions = (cfg.delete_condition, cfg.update_condition, cfg.insert_condition)
+    return bool(cfg.rules) or cfg.default_rule != "replace" or any(c is not None for c in conditions)
+
+
 def _merged(target: DataFrame, batch: DataFrame, key: Sequence[str], cfg: Load) -> DataFrame:
     return merge(
         target,
@@ -153,13 +167,14 @@ def _merged(target: DataFrame, batch: DataFrame, key: Sequence[str], cfg: Load)
 def load_in_parts(batch: DataFrame, table: str, cfg: Load, partitions_per_load: int) -> int:
     """Load a large batch a few partitions at a time; returns the number of loads.
 
-    For loads whose output would not fit in one piece.  The batch is computed once; every part reads its partitions.
+    For loads whose output would not fit in one piece.  The batch is computed once and written by partition; every
+    part then reads only its own.
     """
     validate(cfg)
     if not cfg.partition_by or partitions_per_load < 1:
         raise ValueError("loading in parts needs partition_by and a positive number of partitions")
     columns = list(cfg.partition_by)
-    staged = stage(batch, "parts").frame
+    staged = stage(batch, "parts", partition_by=columns).frame.select(batch.columns)
     parts = staged.select(*columns).schema
     listed = sorted(
         staged.select(*columns).distinct().toLocalIterator(), key=lambda row: [str(v) for v in row]
@@ -269,24 +284,22 @@ def _insert(batch: DataFrame, table: str, overwrite: bool = False) -> None:
 
 
 def _overwrite_partitions(batch: DataFrame, table: str) -> None:
-    """Replace the partitions the batch has rows for.  Rows with a null partition value are added, not replacing."""
+    """Replace the partitions the batch has rows for.  Rows with a null partition value are added, not replacing.
+
+    A dynamic overwrite moves its files in when the job is done, so the batch may read the table.
+    """
     spark = batch.sparkSession
-    parts = partition_columns(spark, table)
-    complete = all_of([F.col(f"`{c}`").isNotNull() for c in parts])
-    rows = batch
-    if spark.table(table).columns and _reads(batch, table):
-        rows = stage(batch, "batch").frame
-    incomplete = rows.filter(~complete)
+    known = spark.sql(f"SHOW PARTITIONS {table}").filter(F.col("partition").contains(NULL_PARTITION))
+    if known.isEmpty():
+        with overwrite_mode(spark, "dynamic"):
+            _insert(batch, table, overwrite=True)
+        return
+    # The table holds rows without a partition value, which must stay: two statements, so the batch is staged.
+    complete = all_of([F.col(f"`{c}`").isNotNull() for c in partition_columns(spark, table)])
+    rows = stage(batch, "batch").frame
     with overwrite_mode(spark, "dynamic"):
         _insert(rows.filter(complete), table, overwrite=True)
-    if not incomplete.isEmpty():
-        _insert(incomplete, table)
-
-
-def _reads(df: DataFrame, table: str) -> bool:
-    """Whether a query reads the files of a table (then it cannot overwrite them directly)."""
-    own = set(df.sparkSession.table(table).inputFiles())
-    return bool(own.intersection(df.inputFiles()))
+    _insert(rows.filter(~complete), table)
 
 
 def _in_partitions(rows: Sequence[Any], schema: T.StructType) -> Column:

@@ -49,14 +49,14 @@ def take_snapshot(
         cfg,
         now,
         ids=history,
+        cut=lambda df: stage(df, "history").frame,
     )
     added = [f for f in moved.schema.fields if f.name not in history.columns]
-    result = stage(_labelled(moved, cfg, label), "history").frame
     if added:
         declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
     with overwrite_mode(spark, "dynamic"):
-        _insert(result, table, overwrite=True)
+        _insert(_labelled(moved, cfg, label), table, overwrite=True)
 
 
 def read_history(spark: SparkSession, table: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,13 +67,13 @@ class Staged:
     path: str
 
 
-def stage(df: DataFrame, label: str = "stage") -> Staged:
-    """Write ``df`` below the shared folder and read it back.
+def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ()) -> Staged:
+    """Write ``df`` below the shared folder and read it back.  With ``partition_by``, parts can be read alone.
 
     This cuts the lineage durably: losing an executor costs a re-read of the files, not a recomputation, and the
     target table the batch was derived from may be replaced meanwhile.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.hint("rebalance", *partition_by) if partition_by else df).write.parquet(path, partitionBy=list(partition_by))
     return Staged(spark.read.schema(df.schema).parquet(path), path)
