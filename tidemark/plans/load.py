@@ -371,7 +371,7 @@ def _rewrite(
 
 
 def _clear_partition(spark: SparkSession, table: str, values: Mapping[str, str | None]) -> None:
-    """Overwrite one partition with nothing: its files go, and its catalog entry."""
+    """Overwrite one partition with nothing, so that its files go, and then take it out of the catalog."""
     nothing = spark.table(table).drop(*values).limit(0)
     view = f"nothing_{uuid.uuid4().hex}"
     spark.createDataFrame([], nothing.schema).createOrReplaceTempView(view)
@@ -382,6 +382,7 @@ def _clear_partition(spark: SparkSession, table: str, values: Mapping[str, str |
     with overwrite_mode(spark, "static"):
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({listed}) SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({listed})")
 
 
 def _resolves(target: DataFrame, condition: Column) -> bool:
