@@ -130,6 +130,15 @@ def test_composite_key_with_null_part(spark):
     assert rows(got.filter("b IS NULL"), "valid_to") == [(NOW2,)]
 
 
+def test_null_safe_composite_key(spark):
+    schema = "a int, b string, v int, updated_at timestamp_ntz"
+    old = spark.createDataFrame([(2, None, 1, NOW0), (3, "x", 1, NOW0)], schema)
+    new = spark.createDataFrame([(2, None, 5, NOW1), (3, "x", 1, NOW0)], schema)
+    settings = cfg(key=["a", "b"], null_safe_key=True)
+    got = applied(hist.first_build(old, settings, NOW0), new, settings, NOW2)
+    assert rows(got, "a", "v", "valid_to") == [(2, 1, NOW1), (2, 5, None), (3, 1, None)]
+
+
 def test_columns_added_and_removed(people):
     history = hist.first_build(people, cfg(), NOW0)
     new = people.drop("email").withColumn("note", F.lit("n")).withColumn("updated_at", F.expr("updated_at + interval 1 day"))

@@ -20,22 +20,25 @@ from tidemark.streaming import streams
 CUTS = [None, dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), None]
 
 
-def _deliveries(spark, sf):
-    """The events as three deliveries of files, arriving in time order."""
-    path = scratch_path(spark, "event_deliveries")
+def _deliver(spark, sf, run):
+    """The events arrive as three deliveries of files, in time order; after each the stream is run to its end."""
+    path, checkpoint = scratch_path(spark, "event_deliveries"), scratch_path(spark, "checkpoint")
     events = table(spark, sf, "events")
     for start, end in zip(CUTS[:-1], CUTS[1:]):
-        events.filter(in_window("ts", start, end)).coalesce(1).write.mode("append").parquet(path)
-    return path
+        events.filter(in_window("ts", start, end)).write.mode("append").parquet(path)
+        run(streams.file_stream(spark, path), checkpoint).awaitTermination()
 
 
 @demo("SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_type <> 'error'")
 def stream_append(spark, sf):
-    stream = streams.file_stream(spark, _deliveries(spark, sf))
-    wanted = stream.filter("event_type <> 'error'").select("event_id", "ts", "user_id", "event_type", "value")
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
     path = scratch_path(spark, "appended")
-    streams.append_stream(wanted, path, scratch_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(wanted.schema).parquet(path)
+
+    def run(stream, checkpoint):
+        return streams.append_stream(stream.filter("event_type <> 'error'").select(*columns), path, checkpoint)
+
+    _deliver(spark, sf, run)
+    return spark.read.schema(table(spark, sf, "events").select(*columns).schema).parquet(path)
 
 
 @demo(
@@ -46,16 +49,15 @@ def stream_append(spark, sf):
     """
 )
 def stream_upsert(spark, sf):
-    stream = streams.file_stream(spark, _deliveries(spark, sf), files_per_batch=1)
     name = fresh_name("last_event")
     cfg = Load(unique_key="user_id", update_condition="batch.ts >= target.ts", location=scratch_path(spark, name))
-    streams.upsert_stream(
-        stream.select("user_id", "ts", "event_id", "event_type", "value"),
-        name,
-        cfg,
-        [F.desc("ts"), F.desc("event_id")],
-        scratch_path(spark, "checkpoint"),
-    ).awaitTermination()
+    newest = [F.desc("ts"), F.desc("event_id")]
+
+    def run(stream, checkpoint):
+        rows = stream.select("user_id", "ts", "event_id", "event_type", "value")
+        return streams.upsert_stream(rows, name, cfg, newest, checkpoint)
+
+    _deliver(spark, sf, run)
     return spark.table(name)
 
 
@@ -68,22 +70,21 @@ def stream_upsert(spark, sf):
 )
 def stream_microbatch(spark, sf):
     # Distinct users per day cannot be added up from pieces: touched days are computed again from the whole table.
+    name = fresh_name("daily_events")
+    location = scratch_path(spark, name)
+
     def per_day(rows):
         return rows.groupBy("event_type", "window_start").agg(
             F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("users")
         )
 
-    name = fresh_name("daily_events")
-    streams.windowed_stream(
-        streams.file_stream(spark, _deliveries(spark, sf), files_per_batch=1),
-        lambda session: table(session, sf, "events"),
-        name,
-        "ts",
-        "day",
-        per_day,
-        scratch_path(spark, "checkpoint"),
-        location=scratch_path(spark, name),
-    ).awaitTermination()
+    def everything(session):
+        return table(session, sf, "events")
+
+    def run(stream, checkpoint):
+        return streams.windowed_stream(stream, everything, name, "ts", "day", per_day, checkpoint, location=location)
+
+    _deliver(spark, sf, run)
     return spark.table(name)
 
 
@@ -98,14 +99,16 @@ def stream_microbatch(spark, sf):
 )
 def stream_tumbling(spark, sf):
     # A window is final, and written, once the newest event is an hour past its end.
-    stream = streams.file_stream(spark, _deliveries(spark, sf), files_per_batch=1)
-    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
-    windows = streams.tumbling(
-        stream, "ts", "6 hours", "1 hour", ["event_type"], {"events": F.count(F.lit(1)), "total": total}
-    )
     path = scratch_path(spark, "windows")
-    streams.append_stream(windows, path, scratch_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(windows.schema).parquet(path)
+    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    measures = {"events": F.count(F.lit(1)), "total": total}
+
+    def run(stream, checkpoint):
+        windows = streams.tumbling(stream, "ts", "6 hours", "1 hour", ["event_type"], measures)
+        return streams.append_stream(windows, path, checkpoint)
+
+    _deliver(spark, sf, run)
+    return spark.read.parquet(path)
 
 
 @demo(
@@ -124,14 +127,14 @@ def stream_tumbling(spark, sf):
 )
 def stream_scd(spark, sf):
     # Each delivery's last event per user becomes the user's next version.
-    stream = streams.file_stream(spark, _deliveries(spark, sf), files_per_batch=1)
     name = fresh_name("user_history")
-    streams.history_stream(
-        stream.select("event_id", "user_id", "event_type", "ts"),
-        name,
-        Snapshot("user_id", timestamp_strategy("ts")),
-        [F.desc("ts"), F.desc("event_id")],
-        scratch_path(spark, "checkpoint"),
-        location=scratch_path(spark, name),
-    ).awaitTermination()
+    location = scratch_path(spark, name)
+    cfg = Snapshot("user_id", timestamp_strategy("ts"))
+    newest = [F.desc("ts"), F.desc("event_id")]
+
+    def run(stream, checkpoint):
+        rows = stream.select("event_id", "user_id", "event_type", "ts")
+        return streams.history_stream(rows, name, cfg, newest, checkpoint, location=location)
+
+    _deliver(spark, sf, run)
     return read_history(spark, name).drop("event_id")

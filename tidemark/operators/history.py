@@ -83,6 +83,7 @@ class Snapshot:
     """Settings of one history table.
 
     ``current_value`` marks open versions instead of null (null still counts as open).
+    ``null_safe_key`` lets null parts of a composite key match each other.
     ``hard_deletes``: what happens to keys gone from the source: 'ignore', 'invalidate' (close the version), or
     'new_record' (close it and add a version saying the row is deleted).
     """
@@ -92,6 +93,7 @@ class Snapshot:
     hard_deletes: str = "ignore"
     current_value: dt.datetime | None = None
     meta: MetaColumns = field(default_factory=MetaColumns)
+    null_safe_key: bool = False
 
     def __post_init__(self) -> None:
         if self.hard_deletes not in HARD_DELETES:
@@ -250,10 +252,12 @@ def advance(
         return acted.select(*[value(c) for c in full.columns], (action >= INSERT).alias("_new"))
 
     current = full.filter(is_open(cfg)).withColumn("_here", F.lit(True))
-    complete = is_true(no_null(key))
+    null_safe = cfg.null_safe_key and len(key) > 1
+    complete = F.lit(True) if null_safe else is_true(no_null(key))
     one = _one_per_key(versions.filter(complete), key)
     ambiguous = F.raise_error(F.lit(f"the source repeats a value of the key {key}")).cast("boolean")
-    met = current.filter(complete).alias("cur").join(one.alias("src"), key_match("cur", "src", key), "full")
+    same_key = key_match("cur", "src", key, null_safe)
+    met = current.filter(complete).alias("cur").join(one.alias("src"), same_key, "full")
     met = met.filter(F.when(F.col("src._copies") > 1, ambiguous).otherwise(F.lit(True)))
 
     # Null keys match nothing: their current versions have lost their source, their source rows are new.  The filters

@@ -17,7 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.keys import all_of, as_condition, distinct_keys, is_true, key_match, no_null, normalise_key
+from tidemark.operators.keys import all_of, as_condition, is_true, key_match, no_null, normalise_key
 
 Rule = str | Callable[[Column, Column], Column]
 
@@ -89,11 +89,13 @@ def merge(
     delete_condition: Column | str | None = None,
     update_condition: Column | str | None = None,
     insert_condition: Column | str | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """The target's content after merging ``batch`` into it.
 
-    * A target row matches when every key part is equal (null never is) and all ``predicates`` hold.  A row equal in
-      key but outside the predicates is *not* matched, so its batch row is inserted beside it.
+    * A target row matches when every key part is equal and all ``predicates`` hold.  Null equals nothing, or null
+      with ``null_safe``.  A row equal in key but outside the predicates is *not* matched, so its batch row is
+      inserted beside it.
     * Matched rows meeting ``delete_condition`` go; of the rest, those meeting ``update_condition`` are updated.
     * Batch rows without a match are inserted if they meet ``insert_condition``; repeated ones are all inserted.
     * Without a key nothing matches and the batch is appended.
@@ -110,17 +112,17 @@ def merge(
     updated = updated_columns(columns, key, update_columns, exclude_columns)
     predicate = as_condition(predicates)
     payload = [c for c in columns if c not in key]
+    complete = F.lit(True) if null_safe else is_true(no_null(key))
     one = (
-        incoming.filter(no_null(key))
+        incoming.filter(complete)
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("_copies"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in payload])
     )
     # Null keys match nothing.  They bypass the join, where they would all meet in one task; the filter reaches the
     # scan, whose statistics skip files without null keys.
-    complete = is_true(no_null(key))
     unmatchable = target.filter(~complete)
     joined = target.filter(complete).alias("target").join(
-        one.alias("batch"), key_match("target", "batch", key), "left"
+        one.alias("batch"), key_match("target", "batch", key, null_safe), "left"
     )
     matched = F.col("batch._copies").isNotNull()
     if predicate is not None:
@@ -148,9 +150,10 @@ def merge(
         met = joined.filter(matched).select(*[F.col(f"target.`{k}`").alias(k) for k in key]).distinct()
     else:
         reachable = target if predicate is None else target.alias("target").filter(predicate)
-        keys_only = reachable.select(*[F.col(f"`{k}`").alias(k) for k in key])
-        met = keys_only.join(distinct_keys(incoming, key), key, "left_semi").distinct()
-    new = incoming.alias("batch").join(met.alias("met"), key_match("batch", "met", key), "left_anti")
+        held = reachable.select(*[F.col(f"`{k}`").alias(k) for k in key]).alias("held")
+        keys = incoming.filter(complete).select(*key).distinct().alias("keys")
+        met = held.join(keys, key_match("held", "keys", key, null_safe), "left_semi").distinct()
+    new = incoming.alias("batch").join(met.alias("met"), key_match("batch", "met", key, null_safe), "left_anti")
     if wanted is not None:
         new = new.filter(is_true(wanted))
     return rewritten.unionByName(new.select(*columns))

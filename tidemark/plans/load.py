@@ -19,9 +19,11 @@ from tidemark.functions.types import literal
 from tidemark.operators import incremental as inc
 from tidemark.operators.keys import all_of, any_of, as_condition, distinct_keys, key_match, normalise_key
 from tidemark.operators.merge import Rule, merge, merge_into_v2
+from tidemark.operators.partitions import copy_sources
 from tidemark.operators.schema import diff, normalise_policy, reconcile
 from tidemark.plans.publish import is_view, overwrite_mode, partition_columns, replace_table, table_exists
 from tidemark.session import stage
+from tidemark.sources.files import load_files, read_seed
 from tidemark.sources.sinks import gathered, validate_format
 
 STRATEGIES = ("append", "merge", "delete+insert", "insert_overwrite", "microbatch")
@@ -164,6 +166,44 @@ def _merged(target: DataFrame, batch: DataFrame, key: Sequence[str], cfg: Load)
     )
 
 
+def load_seed(spark: SparkSession, path: str, table: str, full_refresh: bool = False, **options: Any) -> None:
+    """Load a CSV seed (see ``read_seed``).
+
+    An existing table keeps its columns and types and gets the new rows in place of the old; with ``full_refresh`` it
+    is built anew from the file.  A view of that name is an error.
+    """
+    if table_exists(spark, table) and is_view(spark, table):
+        raise ValueError(f"cannot seed into {table}: it is a view")
+    if full_refresh or not table_exists(spark, table):
+        replace_table(read_seed(spark, path, **options), table)
+        return
+    declared = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
+    texts = read_seed(spark, path, **{**options, "infer": False, "column_types": declared})
+    if len(texts.columns) != len(declared):
+        raise ValueError(f"the seed has columns {texts.columns}, the table {list(declared)}; run a full refresh")
+    _insert(texts, table, overwrite=True)
+
+
+def load_file_table(
+    spark: SparkSession, path: str, file_format: str, table: str, append: bool = False, **options: Any
+) -> None:
+    """Load files of any supported format into a table, replacing its rows or adding to them."""
+    rows = load_files(spark, path, file_format, **options)
+    if append and table_exists(spark, table):
+        _insert(rows, table)
+    else:
+        replace_table(rows, table)
+
+
+def copy_tables(spark: SparkSession, sources: Sequence[str], table: str, mode: str = "table") -> None:
+    """Copy the rows of one or many tables into one: 'table' replaces its rows, 'incremental' adds to them."""
+    rows, write_mode = copy_sources(*[spark.table(s) for s in sources], mode=mode)
+    if write_mode == "append" and table_exists(spark, table):
+        _insert(rows, table)
+    else:
+        replace_table(rows, table)
+
+
 def load_in_parts(batch: DataFrame, table: str, cfg: Load, partitions_per_load: int) -> int:
     """Load a large batch a few partitions at a time; returns the number of loads.
 
