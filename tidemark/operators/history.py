@@ -189,7 +189,6 @@ def advance(
     cfg: Snapshot,
     now: dt.datetime,
     ids: DataFrame | None = None,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """What the versions open so far become, plus the new ones; versions closed before are left out.
 
@@ -198,9 +197,7 @@ def advance(
     versions.  Versions whose surrogate is already known are not added again.  A source that repeats a key is an
     error at run time.
 
-    When ``history`` holds only the open versions, ``ids`` gives the surrogates of all versions.  ``cut`` writes a
-    frame down and reads it back (``tidemark.session.stage``): the joined outcome is then computed once, and the
-    result no longer reads the history.
+    When ``history`` holds only the open versions, ``ids`` gives the surrogates of all versions.
     """
     validate_history(history, cfg)
     meta = cfg.meta
@@ -239,17 +236,20 @@ def advance(
     if cfg.keeps_deleted:
         special[meta.is_deleted] = [(MARK_DELETED, F.lit("True"))]
 
+    provided = set(versions.columns)
+
     def value(name: str) -> Column:
         kind = full.schema[name].dataType
-        new = F.col(f"src.`{name}`") if name in versions.columns else F.lit(None)
+        new = F.col(f"src.`{name}`") if name in provided else F.lit(None)
         chosen = F.when(action == INSERT, new.cast(kind))
         for when, other in special.get(name, []):
             chosen = chosen.when(action == when, other.cast(kind))
         return chosen.otherwise(F.col(f"cur.`{name}`")).alias(name)
 
+    row = [*[value(c) for c in full.columns], (action >= INSERT).alias("_new")]
+
     def outcomes(pairs: DataFrame) -> DataFrame:
-        acted = pairs.withColumn("_action", F.explode(actions))
-        return acted.select(*[value(c) for c in full.columns], (action >= INSERT).alias("_new"))
+        return pairs.withColumn("_action", F.explode(actions)).select(*row)
 
     current = full.filter(is_open(cfg)).withColumn("_here", F.lit(True))
     null_safe = cfg.null_safe_key and len(key) > 1
@@ -269,10 +269,8 @@ def advance(
     fresh = fresh.join(no_history, F.lit(False), "left")
 
     result = outcomes(met).unionByName(outcomes(lost)).unionByName(outcomes(fresh))
-    result = result if cut is None else cut(result)
     known = _known(result, history if ids is None else ids, meta.scd_id)
     if known is not None:
-        known = known if cut is None else cut(known)
         same = F.col(f"new.`{meta.scd_id}`") == F.col(f"known.`{meta.scd_id}`")
         result = result.alias("new").join(known.alias("known"), F.col("new._new") & same, "left_anti")
     return result.drop("_new")
@@ -281,7 +279,7 @@ def advance(
 def _known(result: DataFrame, ids: DataFrame, scd_id: str) -> DataFrame | None:
     """Surrogates about to be inserted that the history has already; None when there are none, as in most runs.
 
-    Looked up ahead, over the few columns it needs, so that the rows themselves pass without another shuffle: the
+    Looked up ahead, over the few columns that takes, so that the rows themselves pass without another shuffle: the
     list is broadcast when it is small by count, and joined by the optimiser's choice when it is not.
     """
     wanted = result.filter("_new").select(scd_id).distinct()

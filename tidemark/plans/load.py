@@ -398,16 +398,19 @@ def _rewrite(
         scope = target.filter(_in_partitions(listed, touched.schema))
     scope = scope.alias("t").join(touched.alias("p"), key_match("t", "p", columns, null_safe=True), "left_semi")
 
-    result = stage(operator(scope, batch), "rewrite").frame
-    with overwrite_mode(spark, "dynamic"):
-        _insert(result, table, overwrite=True)
+    # Which partitions lose their last row is asked first, over the few columns that takes.  The rows are then written
+    # once: a dynamic overwrite moves its files in when the job is done, so it may read what it replaces.
+    result = operator(scope, batch)
     remaining = result.select(*columns).distinct()
     emptied = touched.alias("p").join(
         remaining.alias("r"), key_match("p", "r", columns, null_safe=True), "left_anti"
     )
     texts = emptied.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
-    for row in texts.toLocalIterator():  # partitions that lost their last row
-        _clear_partition(spark, table, row.asDict())
+    lost = [row.asDict() for row in texts.toLocalIterator()]  # values of partitions
+    with overwrite_mode(spark, "dynamic"):
+        _insert(result, table, overwrite=True)
+    for values in lost:
+        _clear_partition(spark, table, values)
 
 
 def _clear_partition(spark: SparkSession, table: str, values: Mapping[str, str | None]) -> None:

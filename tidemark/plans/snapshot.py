@@ -2,7 +2,8 @@
 
 The table is partitioned by the run that closed a version (``closed_in``; open versions carry 'open').  A run rewrites
 the open partition and adds one partition with what it closed, so its cost follows the open versions, never the whole
-history, and repeating a run replaces the same partitions.
+history, and repeating a run replaces the same partitions.  Rows are written once: a dynamic overwrite moves its files
+in when the job is done, so it may read what it replaces.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from tidemark.functions.dates import clock
 from tidemark.operators import history as hist
 from tidemark.plans.load import _insert
 from tidemark.plans.publish import is_view, overwrite_mode, replace_table, table_exists
-from tidemark.session import stage
 
 CLOSED_IN = "closed_in"
 OPEN = "open"
@@ -49,9 +49,9 @@ def take_snapshot(
         cfg,
         now,
         ids=history,
-        cut=lambda df: stage(df, "history").frame,
     )
-    added = [f for f in moved.schema.fields if f.name not in history.columns]
+    known = set(history.columns)
+    added = [f for f in moved.schema.fields if f.name not in known]
     if added:
         declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
