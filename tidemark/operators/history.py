@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.dates import as_time
 from tidemark.functions.types import text_of
-from tidemark.operators.keys import any_of, is_true, key_match, no_null, normalise_key, resolve
+from tidemark.operators.keys import any_of, error_if_any, is_true, key_match, no_null, normalise_key, repeated_keys, resolve
 
 HARD_DELETES = ("ignore", "invalidate", "new_record")
 
@@ -164,12 +164,6 @@ def validate_history(history: DataFrame, cfg: Snapshot) -> None:
         raise ValueError(f"the history lacks the meta columns {missing}")
 
 
-def _one_per_key(versions: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Source rows by key, with the number of copies; aggregated before the shuffle, so a hot key stays small."""
-    rest = [F.any_value(F.col(f"`{c}`")).alias(c) for c in versions.columns if c not in key]
-    return versions.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"), *rest)
-
-
 def apply(history: DataFrame, source: DataFrame, cfg: Snapshot, now: dt.datetime) -> DataFrame:
     """The whole history after another look at the source (see ``advance``)."""
     moved = advance(history, source, cfg, now)
@@ -212,7 +206,7 @@ def advance(
     if cfg.keeps_deleted:
         was_deleted = is_true(F.col(f"cur.`{meta.is_deleted}`") == "True")
         changed = changed | was_deleted
-    in_cur, in_src = F.col("cur._here").isNotNull(), F.col("src._copies").isNotNull()
+    in_cur, in_src = F.col("cur._here").isNotNull(), F.col("src._there").isNotNull()
 
     def todo(*actions: int) -> Column:
         return F.array(*[F.lit(a) for a in actions])
@@ -254,26 +248,25 @@ def advance(
     current = full.filter(is_open(cfg)).withColumn("_here", F.lit(True))
     null_safe = cfg.null_safe_key and len(key) > 1
     complete = F.lit(True) if null_safe else is_true(no_null(key))
-    one = _one_per_key(versions.filter(complete), key)
-    ambiguous = F.raise_error(F.lit(f"the source repeats a value of the key {key}")).cast("boolean")
+    present = versions.withColumn("_there", F.lit(True))
     same_key = key_match("cur", "src", key, null_safe)
-    met = current.filter(complete).alias("cur").join(one.alias("src"), same_key, "full")
-    met = met.filter(F.when(F.col("src._copies") > 1, ambiguous).otherwise(F.lit(True)))
+    met = current.filter(complete).alias("cur").join(present.filter(complete).alias("src"), same_key, "full")
 
     # Null keys match nothing: their current versions have lost their source, their source rows are new.  The filters
     # reach the scans, where statistics skip files without null keys.
-    no_source = one.limit(0).alias("src")
+    no_source = present.limit(0).alias("src")
     no_history = current.limit(0).alias("cur")
     lost = current.filter(~complete).alias("cur").join(no_source, F.lit(False), "left")
-    fresh = versions.filter(~complete).withColumn("_copies", F.lit(1)).alias("src")
-    fresh = fresh.join(no_history, F.lit(False), "left")
+    fresh = present.filter(~complete).alias("src").join(no_history, F.lit(False), "left")
 
     result = outcomes(met).unionByName(outcomes(lost)).unionByName(outcomes(fresh))
     known = _known(result, history if ids is None else ids, meta.scd_id)
     if known is not None:
         same = F.col(f"new.`{meta.scd_id}`") == F.col(f"known.`{meta.scd_id}`")
         result = result.alias("new").join(known.alias("known"), F.col("new._new") & same, "left_anti")
-    return result.drop("_new")
+    result = result.drop("_new")
+    repeated = repeated_keys(source.filter(complete), key)
+    return result.unionByName(error_if_any(repeated, f"the source repeats a value of the key {key}", result.schema))
 
 
 def _known(result: DataFrame, ids: DataFrame, scd_id: str) -> DataFrame | None:

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import as_time, date_trunc
 from tidemark.functions.types import literal
-from tidemark.operators.keys import all_of, as_condition, distinct_keys, is_true, key_match, normalise_key
+from tidemark.operators.keys import all_of, as_condition, distinct_keys, is_true, key_list, normalise_key
 from tidemark.operators.merge import merge
 
+#: Above this many, partitions are joined instead of listed as literals.
+MAX_LISTED_PARTITIONS = 5_000
+
 #: Batch sizes of event-time microbatches.
 BATCH_SIZES = ("hour", "day", "month", "year")
 
@@ -56,13 +59,13 @@ def delete_insert(
     """Delete target rows whose key occurs in the batch and that meet all predicates, then insert the whole batch.
 
     Repeated batch rows stay repeated, and target rows outside the predicates stay beside their batch row.  One anti
-    join reads the target once; the key list is aggregated first, so hot batch keys do not fan out.
+    join reads the target once, against a list of the batch's keys.
     """
     key = normalise_key(key, target, batch)
     rows = _aligned(batch, target)
     if not key:
         return target.unionByName(rows)
-    keys = distinct_keys(rows, key).toDF(*[f"_key_{k}" for k in key])
+    keys = key_list(rows, key).toDF(*[f"_key_{k}" for k in key])
     hit = all_of([F.col(f"target.`{k}`") == F.col(f"`_key_{k}`") for k in key])
     predicate = as_condition(predicates)
     if predicate is not None:
@@ -92,20 +95,29 @@ def overwrite_partitions(
 ) -> DataFrame:
     """Replace the partitions present in the batch and keep the others.
 
-    ``grain`` truncates a single date partition column first, so a batch replaces whole months, for example.  The
-    list of touched partitions is tiny next to either side, so the optimiser broadcasts it by its own size check.
+    ``grain`` truncates a single date partition column first, so a batch replaces whole months, for example.
+
+    The touched partitions are listed first.  Up to ``MAX_LISTED_PARTITIONS`` they become literals, so the target is
+    neither shuffled nor, if it is partitioned, read where it is replaced; more of them are joined.
     """
     rows = _aligned(batch, target)
-    if grain is None:
-        touched = partitions_touched(rows, partition_by)
-        kept = target.alias("target").join(
-            touched.alias("batch"), key_match("target", "batch", partition_by), "left_anti"
-        )
-    else:
-        (column,) = partition_by
-        touched = rows.select(date_trunc(grain, F.col(column)).alias("_part")).filter("_part is not null").distinct()
-        kept = target.join(touched, date_trunc(grain, target[column]) == touched["_part"], "left_anti")
-    return kept.unionByName(rows)
+    parts = [F.col(f"`{c}`") for c in partition_by]
+    if grain is not None:
+        (column,) = parts
+        parts = [date_trunc(grain, column)]
+    names = [f"_part{i}" for i in range(len(parts))]
+    touched = distinct_keys(rows.select(*[part.alias(n) for part, n in zip(parts, names)]), names)
+    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()  # partition values, at most the bound
+    if len(listed) > MAX_LISTED_PARTITIONS:
+        same = all_of([part == F.col(n) for part, n in zip(parts, names)])
+        return target.join(touched, same, "left_anti").unionByName(rows)
+    if len(parts) == 1:
+        kind = touched.schema[names[0]].dataType
+        replaced = parts[0].isin(*[literal(row[0], kind) for row in listed]) if listed else F.lit(False)
+        return target.filter(~is_true(replaced)).unionByName(rows)
+    known = target.sparkSession.createDataFrame(listed, touched.schema)  # a local relation: broadcast by its size
+    same = all_of([part == F.col(n) for part, n in zip(parts, names)])
+    return target.join(known, same, "left_anti").unionByName(rows)
 
 
 def overwrite_listed(target: DataFrame, batch: DataFrame, partition_by: str, values: Sequence[Any]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def resolve(df: DataFrame, name: str) -> str:
@@ -54,6 +54,38 @@ def distinct_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*[f"`{k}`" for k in key]).filter(no_null(key)).distinct()
 
 
+#: Copies of a key that may remain in a key list for a semi or anti join.
+SPREAD = 32
+
+
+def key_list(df: DataFrame, key: Sequence[str], with_nulls: bool = False) -> DataFrame:
+    """Keys for the right side of a semi or anti join: each a few times at most, which such joins ignore.
+
+    Keys are made distinct per slice of the input.  A hot key shrinks to a few rows, and as the slices are not the
+    join's partitions the list is shuffled plainly for the join.  That leaves the join between two plain shuffles, the
+    only shape in which adaptive execution splits a hot key on the left side.
+    """
+    keys = df.select(*[F.col(f"`{k}`") for k in key])
+    keys = keys if with_nulls else keys.filter(no_null(key))
+    return keys.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(SPREAD))).distinct().drop("_slice")
+
+
+def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys occurring more than once; only the key columns are read, and counted before the shuffle."""
+    counted = df.groupBy(*[F.col(f"`{k}`") for k in key]).agg(F.count(F.lit(1)).alias("_copies"))
+    return counted.filter(F.col("_copies") > 1).drop("_copies")
+
+
+def error_if_any(rows: DataFrame, message: str, schema: T.StructType) -> DataFrame:
+    """An always empty frame of a schema that fails at run time if ``rows`` holds any row.
+
+    The count stands between the rows and the error, so the optimiser can neither drop the check nor run it early.
+    """
+    counted = rows.agg(F.count(F.lit(1)).alias("_rows"))
+    failing = F.when(F.col("_rows") > 0, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(False))
+    return counted.filter(failing).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def is_true(condition: Column) -> Column:
     """SQL's reading of a condition: null counts as false, so a negation never loses rows."""
     return F.coalesce(condition, F.lit(False))

@@ -2,12 +2,13 @@
 
 Conditions, predicates and rules may name columns of either side as ``target.x`` and ``batch.x``.
 
-Plan shape.  The target is the preserved (left) side of its joins and the right sides hold one row per key, so
+Plan shape.  Target rows that cannot match pass by without a shuffle.  The others are the preserved (left) side of a
+join with the batch itself, so
 
 * a small batch is broadcast by the optimiser's own size check and the target is never shuffled;
-* a large batch gives a sort-merge join in which adaptive execution can split a hot key or the null keys on the
-  target side (a full outer join allows neither);
-* the batch side is reduced by aggregation before the shuffle.
+* a large batch gives a sort-merge join of two plain shuffles, in which adaptive execution splits a hot key on the
+  target side (a full outer join, or an aggregation below the join, would not allow that);
+* repeated batch keys are found by a count over the key columns alone.
 """
 
 from __future__ import annotations
@@ -17,7 +18,17 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.keys import all_of, as_condition, is_true, key_match, no_null, normalise_key
+from tidemark.operators.keys import (
+    all_of,
+    as_condition,
+    error_if_any,
+    is_true,
+    key_list,
+    key_match,
+    no_null,
+    normalise_key,
+    repeated_keys,
+)
 
 Rule = str | Callable[[Column, Column], Column]
 
@@ -111,28 +122,23 @@ def merge(
 
     updated = updated_columns(columns, key, update_columns, exclude_columns)
     predicate = as_condition(predicates)
-    payload = [c for c in columns if c not in key]
+    paired = predicate is not None and _needs_batch(target, predicate)
+
+    # Rows that cannot match bypass the join: those outside the predicates, and null keys, which would all meet in one
+    # task.  The filters reach the scan.
     complete = F.lit(True) if null_safe else is_true(no_null(key))
-    one = (
-        incoming.filter(complete)
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_copies"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in payload])
-    )
-    # Null keys match nothing.  They bypass the join, where they would all meet in one task; the filter reaches the
-    # scan, whose statistics skip files without null keys.
-    unmatchable = target.filter(~complete)
-    joined = target.filter(complete).alias("target").join(
-        one.alias("batch"), key_match("target", "batch", key, null_safe), "left"
-    )
-    matched = F.col("batch._copies").isNotNull()
-    if predicate is not None:
-        matched = matched & is_true(predicate)
+    reachable = complete if predicate is None or paired else complete & is_true(predicate)
+    inside = target.alias("target").filter(reachable)
+    outside = target.alias("target").filter(~reachable)
+    keyed = incoming.filter(complete)
+    on = key_match("target", "batch", key, null_safe)
+    if paired:
+        on = on & predicate
+    joined = inside.join(keyed.withColumn("_hit", F.lit(True)).alias("batch"), on, "left")
+    matched = F.col("batch._hit").isNotNull()
 
-    ambiguous = F.raise_error(F.lit(f"several batch rows match one target row on key {key}")).cast("boolean")
-    kept = F.when(matched & (F.col("batch._copies") > 1), ambiguous).otherwise(F.lit(True))
     removing = as_condition(delete_condition)
-    if removing is not None:
-        kept = kept & ~(matched & is_true(removing))
+    kept = F.lit(True) if removing is None else ~(matched & is_true(removing))
     changing = as_condition(update_condition)
     updating = matched if changing is None else matched & is_true(changing)
 
@@ -144,19 +150,29 @@ def merge(
         rule = (rules or {}).get(name, default_rule)
         return F.when(updating, _combine(rule, name, data_type).cast(data_type)).otherwise(old).alias(name)
 
-    rewritten = joined.filter(kept).select(*[result(c) for c in columns]).unionByName(unmatchable)
+    rewritten = joined.filter(kept).select(*[result(c) for c in columns])
 
-    if predicate is not None and _needs_batch(target, predicate):
-        met = joined.filter(matched).select(*[F.col(f"target.`{k}`").alias(k) for k in key]).distinct()
+    # Batch rows without a match.  Without conditions on the batch, the matched keys are few and found first.
+    if paired:
+        new = incoming.alias("batch").join(inside, on, "left_anti")
     else:
-        reachable = target if predicate is None else target.alias("target").filter(predicate)
-        held = reachable.select(*[F.col(f"`{k}`").alias(k) for k in key]).alias("held")
-        keys = incoming.filter(complete).select(*key).distinct().alias("keys")
-        met = held.join(keys, key_match("held", "keys", key, null_safe), "left_semi").distinct()
-    new = incoming.alias("batch").join(met.alias("met"), key_match("batch", "met", key, null_safe), "left_anti")
+        keys = key_list(keyed, key, with_nulls=True).alias("batch")
+        met = inside.select(*[f"`{k}`" for k in key]).alias("target").join(keys, on, "left_semi").distinct()
+        new = incoming.alias("batch").join(met.alias("target"), on, "left_anti")
     if wanted is not None:
         new = new.filter(is_true(wanted))
-    return rewritten.unionByName(new.select(*columns))
+
+    # A repeated batch key that matches is an error.  There are normally no repeated keys, and adaptive execution then
+    # drops the whole check.
+    repeated = repeated_keys(keyed, key).alias("repeated")
+    again = key_match("target", "repeated", key, null_safe)
+    clash = inside.join(repeated, again, "left_semi")
+    if paired:
+        pairs = clash.withColumn("_row", F.monotonically_increasing_id()).alias("target")
+        matches = pairs.join(keyed.alias("batch"), on).groupBy("target._row").agg(F.count(F.lit(1)).alias("_n"))
+        clash = matches.filter("_n > 1")
+    checked = error_if_any(clash, f"several batch rows match one target row on key {key}", target.schema)
+    return rewritten.unionByName(outside).unionByName(new.select(*columns)).unionByName(checked)
 
 
 def merge_into_v2(

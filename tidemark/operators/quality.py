@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.compare import row_diff
-from tidemark.operators.keys import as_condition, is_true
+from tidemark.operators.keys import as_condition, is_true, key_list
 
 STORE_AS = ("ephemeral", "table", "view")
 
@@ -48,10 +48,10 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[Any]) -> DataFr
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values without a parent, one row per child row: (from_field).  Null children pass.
 
-    The parent side is reduced to its distinct values first, and the child is the preserved side, so neither a hot
+    The parent side is reduced to a list of its values first, and the child is the preserved side, so neither a hot
     parent value nor a hot child value ends up whole in one task.
     """
-    known = parent.select(F.col(field).alias("from_field")).distinct()
+    known = key_list(parent.select(F.col(field).alias("from_field")), ["from_field"])
     values = child.select(F.col(column).alias("from_field")).filter(F.col("from_field").isNotNull())
     return values.join(known, "from_field", "left_anti")
 

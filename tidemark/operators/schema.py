@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.types import type_family
-from tidemark.operators.keys import is_true, no_null, normalise_key
+from tidemark.operators.keys import is_true, key_list, no_null, normalise_key
 from tidemark.operators.structs import conform_frame
 
 log = logging.getLogger(__name__)
@@ -202,9 +202,8 @@ def constraint_violations(df: DataFrame, constraints: Sequence[Constraint]) -> D
                 )
             )
         if rule.kind == "foreign_key":
-            known = rule.parent.select(
-                *[F.col(p).alias(c) for p, c in zip(rule.parent_columns, rule.columns)]
-            ).distinct()
+            parents = [F.col(p).alias(c) for p, c in zip(rule.parent_columns, rule.columns)]
+            known = key_list(rule.parent.select(*parents), rule.columns)
             orphans = df.select(*rule.columns).filter(present).join(known, list(rule.columns), "left_anti")
             frames.append(
                 orphans.agg(F.count(F.lit(1)).alias("violations")).select(

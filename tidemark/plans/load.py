@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.functions.types import literal
 from tidemark.operators import incremental as inc
-from tidemark.operators.keys import all_of, any_of, as_condition, distinct_keys, key_match, normalise_key
+from tidemark.operators.keys import all_of, any_of, as_condition, key_list, key_match, normalise_key
 from tidemark.operators.merge import Rule, merge, merge_into_v2
 from tidemark.operators.partitions import copy_sources
 from tidemark.operators.schema import diff, normalise_policy, reconcile
@@ -35,9 +35,6 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 #: Formats whose tables take a native MERGE.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
 
-#: Above this many touched partitions the pruning filter is a join instead of a list of literals.
-MAX_LISTED_PARTITIONS = 5_000
-
 
 @dataclass(frozen=True)
 class Load:
@@ -385,16 +382,16 @@ def _rewrite(
         extra = as_condition(cfg.predicates) if cfg else None
         if extra is not None and _resolves(target, extra):
             reachable = target.alias("target").filter(extra)
-        held = reachable.join(distinct_keys(batch, key), list(key), "left_semi")
+        held = reachable.join(key_list(batch, key), list(key), "left_semi")
         touched = touched.unionByName(held.select(*columns))
     if cleared is not None:
         touched = touched.unionByName(cleared)
     touched = stage(touched.distinct(), "touched").frame
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()  # partition values, at most the bound
+    listed = touched.limit(inc.MAX_LISTED_PARTITIONS + 1).collect()  # partition values, at most the bound
     if not listed:
         return
     scope = target
-    if len(listed) <= MAX_LISTED_PARTITIONS:
+    if len(listed) <= inc.MAX_LISTED_PARTITIONS:
         scope = target.filter(_in_partitions(listed, touched.schema))
     scope = scope.alias("t").join(touched.alias("p"), key_match("t", "p", columns, null_safe=True), "left_semi")
 
