@@ -237,10 +237,10 @@ def test_scalar_functions_by_name(spark):
     import sys
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    udf.create_sql_function(spark, "xlarge", [udf.Arg("price", "DOUBLE", "100")], "DOUBLE", "price * 2")
-    assert spark.sql("SELECT xlarge(5) AS a, xlarge() AS b").first() == (10.0, 200.0)
-    udf.create_python_function(spark, "xlarge_py", _double, "double")
-    assert spark.sql("SELECT xlarge_py(5D) AS a").first()["a"] == 10.0
+    udf.create_sql_function(spark, "doubled", [udf.Arg("price", "DOUBLE", "100")], "DOUBLE", "price * 2")
+    assert spark.sql("SELECT doubled(5) AS a, doubled() AS b").first() == (10.0, 200.0)
+    udf.create_python_function(spark, "doubled_py", _double, "double")
+    assert spark.sql("SELECT doubled_py(5D) AS a").first()["a"] == 10.0
     with pytest.raises(ValueError):
         udf.create_sql_function(spark, "f", [udf.Arg("a", "INT", "1"), udf.Arg("b", "INT")], "INT", "a + b")
 

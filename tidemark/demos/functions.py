@@ -555,12 +555,12 @@ def spine_fill(spark, sf):
 # -- user-defined functions -------------------------------------------------------------------------------------
 
 
-@demo("SELECT p_partkey, p_retailprice * 2 AS xlarge FROM part")
+@demo("SELECT p_partkey, p_retailprice * 2 AS doubled FROM part")
 def udf_sql_scalar(spark, sf):
     name = udf.create_sql_function(
-        spark, fresh_name("price_for_xlarge"), [udf.Arg("price", "DOUBLE")], "DOUBLE", "price * 2"
+        spark, fresh_name("doubled_price"), [udf.Arg("price", "DOUBLE")], "DOUBLE", "price * 2"
     )
-    return table(spark, sf, "part").select("p_partkey", F.call_function(name, "p_retailprice").alias("xlarge"))
+    return table(spark, sf, "part").select("p_partkey", F.call_function(name, "p_retailprice").alias("doubled"))
 
 
 @demo("SELECT p_partkey, p_retailprice + p_size AS sized, p_retailprice + 100 AS plain FROM part")

@@ -64,23 +64,16 @@ def listagg(
             F.array_join(F.transform(first, lambda entry: entry["_m"]), delimiter).alias(alias)
         )
 
-    # The range split must be able to fall between any two rows, also between equal ones.  Without an order equal
-    # texts are carried as one row with a count; with one, a row number breaks the ties.
-    bounds = [*keys, F.col("_o").asc_nulls_last(), "_m"]
+    # The range split must be able to fall between any two rows, so rows equal in group, order and text are carried as
+    # one with a count.  (A row number would break such ties too, but not the same way when a lost task runs again.)
     if distinct:
         rows = rows.withColumn("_c", F.lit(1))
-    elif order_by is None:
-        rows = rows.groupBy(*keys, "_o", "_m").agg(F.count(F.lit(1)).cast("int").alias("_c"))
     else:
-        rows = rows.withColumns({"_c": F.lit(1), "_i": F.monotonically_increasing_id()})
-        bounds.append("_i")
+        rows = rows.groupBy(*keys, "_o", "_m").agg(F.count(F.lit(1)).cast("int").alias("_c"))
     in_order = F.array_sort(F.collect_list(F.struct(F.col("_o").isNull().alias("_z"), "_o", "_m", "_c")))
-    if order_by is None:
-        in_order = F.flatten(F.transform(in_order, lambda entry: F.array_repeat(entry["_m"], entry["_c"])))
-    else:
-        in_order = F.transform(in_order, lambda entry: entry["_m"])
+    in_order = F.flatten(F.transform(in_order, lambda entry: F.array_repeat(entry["_m"], entry["_c"])))
     stretch = (
-        rows.repartitionByRange(*bounds)
+        rows.repartitionByRange(*keys, F.col("_o").asc_nulls_last(), "_m")
         .withColumn("_p", F.spark_partition_id())
         .groupBy(*keys, "_p")
         .agg(F.array_join(in_order, delimiter).alias("_t"))

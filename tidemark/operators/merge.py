@@ -168,9 +168,14 @@ def merge(
     again = key_match("target", "repeated", key, null_safe)
     clash = inside.join(repeated, again, "left_semi")
     if paired:
-        pairs = clash.withColumn("_row", F.monotonically_increasing_id()).alias("target")
-        matches = pairs.join(keyed.alias("batch"), on).groupBy("target._row").agg(F.count(F.lit(1)).alias("_n"))
-        clash = matches.filter("_n > 1")
+        # Distinct target rows against distinct batch rows with their number of copies.
+        named = [F.col(f"`{c}`") for c in columns]
+        old = clash.select(*named).distinct().alias("target")
+        copies = keyed.alias("target").join(repeated, again, "left_semi").groupBy(*named).agg(
+            F.count(F.lit(1)).alias("_copies")
+        )
+        by_row = old.join(copies.alias("batch"), on).groupBy(*[F.col(f"target.`{c}`") for c in columns])
+        clash = by_row.agg(F.sum("batch._copies").alias("_n")).filter("_n > 1")
     checked = error_if_any(clash, f"several batch rows match one target row on key {key}", target.schema)
     return rewritten.unionByName(outside).unionByName(new.select(*columns)).unionByName(checked)
 

@@ -107,7 +107,7 @@ class Check:
         if self.kind == "accepted_values":
             return is_true(~F.col(self.column).isin(list(self.values)))
         if self.kind == "expression":
-            return ~is_true(F.expr(self.expression))
+            return is_true(~F.expr(self.expression))
         raise ValueError(f"unknown check {self.kind!r}")
 
 
