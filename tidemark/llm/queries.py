@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, pii
 from tidemark.llm.common import table
 
 #: The tokenizer file of the encoding queries.
@@ -16,8 +16,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"])
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op9_pii": op9_pii,
 }
 
 #: SQL that DuckDB can run for the same rows; the other queries are tested against brute force.
