@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, pii
+from tidemark.llm import bpe, mixing, pii
 from tidemark.llm.common import table
 
 #: The tokenizer file of the encoding queries.
@@ -20,8 +20,17 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+#: Slots of each source in a round: the largest source is held to a tenth, the curated ones count double.
+MIXTURE = {"src0": 3, **{f"src{i}": 2 for i in range(1, 9)}, **{f"src{i}": 1 for i in range(9, 20)}}
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), MIXTURE)
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op3_mixing": op3_mixing,
     "op9_pii": op9_pii,
 }
 
