@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, pii
-from tidemark.llm.common import table
+from tidemark.llm import bpe, mixing, pii, toxicity
+from tidemark.llm.common import crc32_mod, table
 
 #: The tokenizer file of the encoding queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,10 +29,31 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), MIXTURE)
 
 
+def _held_out(doc_id: Column, n: int, fold: int) -> Column:
+    return F.coalesce(crc32_mod(doc_id, n) == fold, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Labels of two folds of three; the other one is held out."""
+    labels = table(spark, sf_dir, "labels").where(~_held_out(F.col("doc_id"), 3, 1))
+    return toxicity.train(table(spark, sf_dir, "documents"), labels)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        _held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op9_pii": op9_pii,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: SQL that DuckDB can run for the same rows; the other queries are tested against brute force.
