@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained on labelled rows, one on toxic and one on ordinary text.  Both begin with the
-same background (zstandard's trainer over windows of all fitting rows) and end with their own class's segments: words
+same background (zstandard's trainer over windows of ordinary rows) and end with their own class's segments: words
 and beginnings of words that stand in far more texts of this class than of the other, and words that begin like the
 other's segments.  A text is cut into windows; a window that the toxic dictionary makes shorter than the ordinary one does
 holds toxic segments.  A logistic curve over the windows' differences, calibrated on labelled rows that the dictionaries
@@ -205,7 +205,7 @@ def fit(rows: list[tuple[int, str | None, int]]) -> Model:
         )
         ranked = [*sorted(alike, key=lambda s: (alike[s], s)), *sorted(found[y], key=lambda s: (found[y][s], s))]
         own.append("".join(ranked).encode()[-SEGMENTS:])  # the most frequent stand last, where matches are cheapest
-    windows = [w for plain, _ in fitting for w in _windows(plain)][:30_000]
+    windows = [w for plain, y in fitting if y == 0 for w in _windows(plain)][:30_000]
     try:
         background = zstandard.train_dictionary(BACKGROUND, windows, d=8, k=96).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
