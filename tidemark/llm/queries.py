@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, pii, toxicity
+from tidemark.llm import bpe, mixing, ngram_join, pii, toxicity
 from tidemark.llm.common import crc32_mod, table
 
 #: The tokenizer file of the encoding queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"])
 
@@ -50,6 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op9_pii": op9_pii,
