@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, ngram_join, pii, toxicity
+from tidemark.llm import bpe, mixing, ngram_join, pii, quality_rules, toxicity
 from tidemark.llm.common import crc32_mod, table
 
 #: The tokenizer file of the encoding queries.
@@ -37,6 +37,13 @@ def _held_out(doc_id: Column, n: int, fold: int) -> Column:
     return F.coalesce(crc32_mod(doc_id, n) == fold, F.lit(False))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(docs, forest, keep=["doc_id"])
+    return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "anomaly")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Labels of two folds of three; the other one is held out."""
     labels = table(spark, sf_dir, "labels").where(~_held_out(F.col("doc_id"), 3, 1))
@@ -57,6 +64,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
+    "op4_quality_rules": op4_quality_rules,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
