@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, ngram_join, pii, quality_rules, toxicity
+from tidemark.llm import bpe, langid, mixing, ngram_join, pii, quality_rules, toxicity
 from tidemark.llm.common import crc32_mod, table
 
 #: The tokenizer file of the encoding queries.
@@ -21,6 +21,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"])
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = _held_out(F.col("doc_id"), 4, 2)
+    network = langid.train(docs.where(~held_out))
+    found = langid.identify(docs, network, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -65,6 +73,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op7_langid": op7_langid,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
