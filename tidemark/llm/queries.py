@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, mixing, ngram_join, pii, quality_rules, toxicity
+from tidemark.llm import bpe, langid, mixing, ngram_join, pii, quality_rules, toxicity, warc
 from tidemark.llm.common import crc32_mod, table
+from tidemark.session import scratch_path
 
 #: The tokenizer file of the encoding queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +30,19 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.resolved(warc.records(spark, path))
+    return found.select(
+        "page_id",
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        "refers_to",
+    )
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -74,9 +88,26 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op7_langid": op7_langid,
+    "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
 
 #: SQL that DuckDB can run for the same rows; the other queries are tested against brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), m AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN original > page_id OR (original IS NOT NULL AND page_id IS NULL)
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original > page_id OR page_id IS NULL THEN original END AS refers_to
+        FROM m
+    """,
+}
