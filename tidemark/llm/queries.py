@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, imatch, langid, mixing, ngram_join, pii, quality_rules, toxicity, warc
+from tidemark.llm import bpe, imatch, langid, mixing, ngram_join, pii, quality_rules, repeats, toxicity, warc
 from tidemark.llm.common import crc32_mod, table
 from tidemark.session import scratch_path
 
@@ -22,6 +22,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"])
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents"), length=400, keep=["doc_id"], digest=True)
+
+
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_repeats": op5_repeats,
     "op6_imatch": op6_imatch,
     "op7_langid": op7_langid,
     "op8_warc": op8_warc,
