@@ -160,7 +160,9 @@ def test_following_table(spark, name):
     lag, start = dt.timedelta(hours=1), T(2024, 1, 1)
     spark.range(3).createOrReplaceTempView(f"{name}_src")
     build = lambda s: s.table(f"{name}_src")
-    table = FollowingTable(name, build, lag, watermark="id", loading=Load(unique_key="id"))
+    table = FollowingTable(
+        name, build, lag, refresh_mode="incremental", watermark="id", lookback=2, loading=Load(unique_key="id")
+    )
     assert table.refresh_if_due(spark, start) == "create"
     spark.range(6).createOrReplaceTempView(f"{name}_src")
     assert table.refresh_if_due(spark, start + lag / 2) == "skip"
@@ -169,7 +171,10 @@ def test_following_table(spark, name):
     full.create(spark, start)
     assert spark.table(f"{name}_f").count() == 0
     assert full.refresh_if_due(spark, start) == "full" and spark.table(f"{name}_f").count() == 6
-    for wrong in ({"refresh_mode": "x"}, {"initialize": "x"}, {"refresh_mode": "incremental"}):
+    wrongs = [{"refresh_mode": "x"}, {"initialize": "x"}, {"refresh_mode": "incremental"}]
+    wrongs += [{"refresh_mode": "incremental", "watermark": "id", "loading": Load(unique_key="id")}]
+    wrongs += [{"refresh_mode": "incremental", "watermark": "id", "lookback": 1}]
+    for wrong in wrongs:
         with pytest.raises(ValueError):
             FollowingTable(name, build, lag, **wrong)
 
@@ -217,11 +222,11 @@ def test_append_stream_is_exactly_once(spark, tmp_path):
 def test_upsert_stream(spark, tmp_path, name):
     source = str(tmp_path / "in")
     _deliver(spark, source, [(1, 1, T(2024, 1, 1), 1), (2, 1, T(2024, 1, 2), 2), (3, 2, T(2024, 1, 1), 3)])
-    cfg = Load(unique_key="user")
+    cfg = Load(unique_key="user", partition_by=["bucket"])
 
     def run(checkpoint):
-        stream = streams.file_stream(spark, source, 1)
-        streams.upsert_stream(stream, name, cfg, [F.desc("at")], str(tmp_path / checkpoint)).awaitTermination()
+        stream = streams.file_stream(spark, source, 1).withColumn("bucket", partitions.hash_bucket("user", 3))
+        streams.upsert_stream(stream, name, cfg, ["at"], str(tmp_path / checkpoint)).awaitTermination()
         return rows(spark.table(name), "user", "v")
 
     assert run("a") == [(1, 2), (2, 3)]
@@ -229,7 +234,9 @@ def test_upsert_stream(spark, tmp_path, name):
     assert run("a") == [(1, 2), (2, 9)]
     assert run("b") == [(1, 2), (2, 9)]  # everything again from a new checkpoint: same content
     with pytest.raises(ValueError):
-        streams.upsert_stream(streams.file_stream(spark, source), name, Load(), [], str(tmp_path / "c"))
+        streams.upsert_stream(streams.file_stream(spark, source), name, Load(), ["at"], str(tmp_path / "c"))
+    with pytest.raises(ValueError):  # without partitions every micro-batch would rewrite the table
+        streams.upsert_stream(streams.file_stream(spark, source), name, Load(unique_key="user"), ["at"], str(tmp_path / "c"))
 
 
 def test_windowed_stream_recomputes_late_windows(spark, tmp_path, name):
@@ -277,9 +284,10 @@ def test_history_stream(spark, tmp_path, name):
         return rows(read_history(spark, name), "user", "v", "valid_to")
 
     _deliver(spark, source, [(1, 1, T(2024, 1, 1), 1), (2, 1, T(2024, 1, 2), 2), (3, 2, T(2024, 1, 1), 3)])
-    assert run() == [(1, 2, None), (2, 3, None)]
-    _deliver(spark, source, [(4, 2, T(2024, 1, 5), 9)])
-    assert run() == [(1, 2, None), (2, 3, T(2024, 1, 5)), (2, 9, None)]
+    first = [(1, 1, T(2024, 1, 2)), (1, 2, None)]
+    assert run() == [*first, (2, 3, None)]
+    _deliver(spark, source, [(4, 2, T(2024, 1, 5), 9), (5, 2, T(2024, 1, 7), 10), (6, 2, T(2024, 1, 6), 11)])
+    assert run() == [*first, (2, 10, None), (2, 11, T(2024, 1, 7)), (2, 3, T(2024, 1, 5)), (2, 9, T(2024, 1, 6))]
     with pytest.raises(ValueError):
         streams.history_stream(
             streams.file_stream(spark, source), name, Snapshot("user", check_strategy("all"), hard_deletes="invalidate"),

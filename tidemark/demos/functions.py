@@ -180,18 +180,14 @@ def fn_array_append(spark, sf):
 
 @demo(
     """
-    SELECT vec_id, CAST(2 * len(embedding) AS BIGINT) AS doubled,
-           CAST(list_concat(embedding, embedding)[len(embedding) + 1] AS DOUBLE) AS first_again
-    FROM embeddings
+    SELECT vec_id, CAST(i AS INTEGER) AS place, CAST(twice[i + 1] AS DOUBLE) AS value
+    FROM (SELECT vec_id, list_concat(embedding, embedding) AS twice, unnest(range(2 * len(embedding))) AS i
+          FROM embeddings)
     """
 )
 def fn_array_concat(spark, sf):
     twice = arrays.array_concat(F.col("embedding"), F.col("embedding"))
-    return table(spark, sf, "embeddings").select(
-        "vec_id",
-        F.size(twice).cast("bigint").alias("doubled"),
-        F.element_at(twice, F.size("embedding") + 1).cast("double").alias("first_again"),
-    )
+    return table(spark, sf, "embeddings").select("vec_id", F.posexplode(twice.cast("array<double>")).alias("place", "value"))
 
 
 @demo(

@@ -409,10 +409,10 @@ def micro_overwrite(spark, sf):
     + "SELECT * FROM target WHERE ts < TIMESTAMP '2024-01-18' UNION ALL SELECT * FROM source"
 )
 def micro_delete_insert(spark, sf):
-    loaded = _loaded_events(spark, sf)
-    for start, end in inc.batch_windows(RELOAD_FROM, RELOAD_UNTIL, "day"):
-        loaded = inc.microbatch_delete_insert(loaded, _corrected_events(spark, sf), "ts", start, end)
-    return loaded
+    # Neighbouring windows are one range.
+    return inc.microbatch_delete_insert(
+        _loaded_events(spark, sf), _corrected_events(spark, sf), "ts", RELOAD_FROM, RELOAD_UNTIL
+    )
 
 
 @demo(

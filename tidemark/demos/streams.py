@@ -9,9 +9,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.demos.registry import demo, fresh_name, table
+from tidemark.demos.registry import ORACLES, demo, fresh_name, table
 from tidemark.operators.history import Snapshot, timestamp_strategy
 from tidemark.operators.incremental import in_window
+from tidemark.operators.partitions import hash_bucket
 from tidemark.plans.load import Load
 from tidemark.plans.snapshot import read_history
 from tidemark.session import scratch_path
@@ -20,11 +21,12 @@ from tidemark.streaming import streams
 CUTS = [None, dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), None]
 
 
-def _deliver(spark, sf, run):
+def _deliver(spark, sf, run, backwards=False):
     """The events arrive as three deliveries of files, in time order; after each the stream is run to its end."""
     path, checkpoint = scratch_path(spark, "event_deliveries"), scratch_path(spark, "checkpoint")
     events = table(spark, sf, "events")
-    for start, end in zip(CUTS[:-1], CUTS[1:]):
+    pieces = list(zip(CUTS[:-1], CUTS[1:]))
+    for start, end in reversed(pieces) if backwards else pieces:
         events.filter(in_window("ts", start, end)).write.mode("append").parquet(path)
         run(streams.file_stream(spark, path), checkpoint).awaitTermination()
 
@@ -49,16 +51,27 @@ def stream_append(spark, sf):
     """
 )
 def stream_upsert(spark, sf):
+    return _upserted(spark, sf, _deliver)
+
+
+def _upserted(spark, sf, deliver):
+    """The newest event of each user, kept by a stream in a table of a few partitions."""
     name = fresh_name("last_event")
-    cfg = Load(unique_key="user_id", update_condition="batch.ts >= target.ts", location=scratch_path(spark, name))
-    newest = [F.desc("ts"), F.desc("event_id")]
+    cfg = Load(unique_key="user_id", partition_by=["bucket"], location=scratch_path(spark, name))
+    columns = ["user_id", "ts", "event_id", "event_type", "value"]
 
     def run(stream, checkpoint):
-        rows = stream.select("user_id", "ts", "event_id", "event_type", "value")
-        return streams.upsert_stream(rows, name, cfg, newest, checkpoint)
+        rows = stream.select(*columns, hash_bucket("user_id", 4).alias("bucket"))
+        return streams.upsert_stream(rows, name, cfg, ["ts", "event_id"], checkpoint)
 
-    _deliver(spark, sf, run)
-    return spark.table(name)
+    deliver(spark, sf, run)
+    return spark.table(name).select(*columns)
+
+
+@demo(ORACLES["stream_upsert"])
+def stream_upsert_out_of_order(spark, sf):
+    # The deliveries come newest first: an older row in a later one changes nothing.
+    return _upserted(spark, sf, lambda *args: _deliver(*args, backwards=True))
 
 
 @demo(
@@ -115,9 +128,7 @@ def stream_tumbling(spark, sf):
     """
     WITH last AS (
       SELECT user_id, event_type, ts FROM (
-        SELECT *, row_number() OVER (
-            PARTITION BY user_id, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2
-                                       ELSE 3 END ORDER BY ts DESC, event_id DESC) AS place FROM events)
+        SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS place FROM events)
       WHERE place = 1)
     SELECT user_id, event_type, ts, ts AS scd_updated_at, ts AS valid_from,
            lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to,
@@ -126,7 +137,7 @@ def stream_tumbling(spark, sf):
     """
 )
 def stream_scd(spark, sf):
-    # Each delivery's last event per user becomes the user's next version.
+    # Every event becomes its user's next version, wherever the stream was cut.
     name = fresh_name("user_history")
     location = scratch_path(spark, name)
     cfg = Snapshot("user_id", timestamp_strategy("ts"))

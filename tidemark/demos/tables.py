@@ -88,12 +88,20 @@ def sink_formats(spark, sf):
     return both.groupBy("format", "c_nationkey").agg(F.count(F.lit(1)).alias("customers"), total.alias("total"))
 
 
-@demo("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'P'")
+@demo(
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus, o_orderstatus = 'P' AS pruned
+    FROM orders
+    """
+)
 def sink_partitioned(spark, sf):
+    # Everything that was written, and beside it whether the pruned read of one status has the row.
     path = scratch_path(spark, "orders_by_status")
     write_files(table(spark, sf, "orders"), path, partition_by=["o_orderstatus"])
-    pending = spark.read.parquet(path).filter("o_orderstatus = 'P'")
-    return pending.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+    back = spark.read.parquet(path).select(*columns)
+    pending = back.filter("o_orderstatus = 'P'").withColumn("pruned", F.lit(True))
+    return pending.unionByName(back.filter("o_orderstatus <> 'P'").withColumn("pruned", F.lit(False)))
 
 
 @demo(
@@ -122,8 +130,9 @@ def sink_bucketed(spark, sf):
 
 @demo(
     """
-    SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem
-    WHERE l_shipdate >= TIMESTAMP '1998-03-01' AND l_shipdate < TIMESTAMP '1998-04-01'
+    SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate,
+           l_shipdate >= TIMESTAMP '1998-03-01' AND l_shipdate < TIMESTAMP '1998-04-01' AS in_month
+    FROM lineitem
     """
 )
 def layout_sorted(spark, sf):
@@ -133,7 +142,9 @@ def layout_sorted(spark, sf):
     month = (F.col("l_shipdate") >= F.expr("timestamp_ntz'1998-03-01'")) & (
         F.col("l_shipdate") < F.expr("timestamp_ntz'1998-04-01'")
     )
-    return spark.read.parquet(path).filter(month).select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    lines = spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    others = lines.filter(~month).withColumn("in_month", F.lit(False))
+    return lines.filter(month).withColumn("in_month", F.lit(True)).unionByName(others)
 
 
 @demo(

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from tidemark.functions.types import TIMESTAMP, literal
 
@@ -37,7 +37,12 @@ def _wall(value: Column) -> Column:
 
 
 def _epoch_micros(value: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", as_time(_EPOCH), _wall(value))
+    """Microseconds since 1970 on the wall clock.  (A timestamp difference would go through the session's zone and its gaps.)"""
+    wall = _wall(value)
+    day = F.unix_date(wall.cast("date")).cast("bigint") * 86_400_000_000
+    fraction = (F.extract(F.lit("SECOND"), wall) * 1_000_000).cast("bigint")
+    minutes = (F.hour(wall) * 60 + F.minute(wall)).cast("bigint")
+    return day + minutes * 60_000_000 + fraction
 
 
 def make_date(year: Column | int, month: Column | int, day: Column | int) -> Column:
@@ -106,3 +111,32 @@ def clock(now: dt.datetime | None = None) -> dt.datetime:
 def as_time(now: dt.datetime | None) -> Column:
     """A wall-clock moment as a literal."""
     return literal(now, TIMESTAMP)
+
+
+def as_utc(value: Column, data_type: T.DataType) -> Column:
+    """A column as a wall-clock timestamp: instants (TIMESTAMP) in UTC, whatever the session's zone; others as they are."""
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_add("MICROSECOND", F.unix_micros(value), as_time(_EPOCH))
+    return _wall(value)
+
+
+def as_instant(value: Column, data_type: T.DataType) -> Column:
+    """A column as an instant (TIMESTAMP): wall-clock times count as UTC, whatever the session's zone."""
+    if isinstance(data_type, T.TimestampType):
+        return value
+    return F.timestamp_micros(_epoch_micros(value))
+
+
+def boundaries_between(start: dt.datetime, end: dt.datetime, part: str) -> int:
+    """``datediff`` of two known moments."""
+    name = _part(part)
+
+    def ordinal(moment: dt.datetime) -> int:
+        if name in _MICROS:
+            return (moment - _EPOCH) // dt.timedelta(microseconds=_MICROS[name])
+        days = moment.toordinal() - _EPOCH.toordinal()
+        if name in ("day", "week"):
+            return days if name == "day" else (days + 4) // 7
+        return (moment.year * 12 + moment.month - 1) // _MONTHS[name]
+
+    return ordinal(end) - ordinal(start)

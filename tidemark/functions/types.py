@@ -55,7 +55,12 @@ def literal(value: Any, data_type: T.DataType) -> Column:
 
 
 def text_of(field: Column, data_type: T.DataType) -> Column:
-    """A stable text form of a value: timestamps always carry six fractional digits."""
+    """A stable text form of a value: timestamps always carry six fractional digits, instants are in UTC."""
+    if isinstance(data_type, T.TimestampType):
+        epoch = literal(dt.datetime(1970, 1, 1), TIMESTAMP)
+        field = F.timestamp_add("MICROSECOND", F.unix_micros(field), epoch)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(field, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        # Formatting functions would go through the session's time zone.
+        text = field.cast("string")
+        return F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"))
     return field.cast("string")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.dates import as_time
+from tidemark.functions.dates import as_time, as_utc
 from tidemark.operators.keys import as_condition
 
 #: What an empty source counts as: loaded infinitely long ago.
@@ -15,7 +15,9 @@ NEVER = dt.datetime(1, 1, 1)
 
 
 def _verdict(latest: DataFrame, now: dt.datetime) -> DataFrame:
-    loaded = F.coalesce(F.col("max_loaded_at").cast("timestamp_ntz"), as_time(NEVER))
+    """Instants (TIMESTAMP) and ``now`` are in UTC, so no age depends on the session's time zone."""
+    found = as_utc(F.col("max_loaded_at"), latest.schema["max_loaded_at"].dataType)
+    loaded = F.coalesce(found, as_time(NEVER))
     moment = as_time(now)
     age = F.timestamp_diff("MICROSECOND", loaded, moment) / F.lit(1_000_000.0)
     return latest.select(loaded.alias("max_loaded_at"), moment.alias("snapshotted_at"), age.alias("age"))

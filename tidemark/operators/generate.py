@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.dates import as_time, date_trunc, dateadd, datediff
+from tidemark.functions.dates import as_time, boundaries_between, date_trunc, dateadd
 
 
 def generate_series(spark: SparkSession, upper: int) -> DataFrame:
@@ -16,15 +16,14 @@ def generate_series(spark: SparkSession, upper: int) -> DataFrame:
     return spark.range(1, upper + 1).withColumnRenamed("id", "generated_number")
 
 
-def intervals_between(spark: SparkSession, part: str, start: dt.datetime, end: dt.datetime) -> int:
+def intervals_between(part: str, start: dt.datetime, end: dt.datetime) -> int:
     """Boundaries crossed from start to end."""
-    first, last = (as_time(moment) for moment in (start, end))
-    return spark.range(1).select(datediff(first, last, part).alias("n")).first()["n"]
+    return boundaries_between(start, end, part)
 
 
 def date_spine(spark: SparkSession, part: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """start, start + 1 part, … before ``end``, in the column ``date_<part>``."""
-    count = intervals_between(spark, part, start, end)
+    count = intervals_between(part, start, end)
     if count <= 0:
         raise ValueError(f"no {part} boundary between {start} and {end}")
     first, last = (as_time(moment) for moment in (start, end))

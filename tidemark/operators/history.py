@@ -5,8 +5,9 @@ content after another look at the source.
 
 Plan of ``apply``.  Closed versions pass through untouched.  Current versions and source rows, one per key on either
 side, meet in a single full outer join, so each is shuffled once; null keys never match and bypass the join, so they
-cannot pile up in one task.  Versions whose surrogate the history has already are dropped, which makes a repeated run
-change nothing.
+cannot pile up in one task.  Versions whose surrogate the history has already are not added again, which makes a repeated
+run change nothing: against the current version that is seen in the join; closed versions are asked first, for the
+source rows whose surrogate they hold, within the range of the source's change times.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.functions.dates import as_time
+from tidemark.functions.dates import as_time, as_utc
 from tidemark.functions.types import text_of
 from tidemark.operators.keys import any_of, error_if_any, is_true, key_match, no_null, normalise_key, repeated_keys, resolve
 
@@ -45,10 +46,12 @@ class Strategy:
 
     ``updated_at``: the source column with a row's change time, or None to use the run's clock.
     ``changed``: given the source and the history, a condition over ``cur.x`` (history) and ``src.x`` (source).
+    ``checked``: the columns that tell whether a row of a change stream differs from the one before; None: it always does.
     """
 
     updated_at: str | None
     changed: Callable[[DataFrame, DataFrame, "Snapshot"], Column]
+    checked: str | Sequence[str] | None = None
 
 
 def timestamp_strategy(updated_at: str) -> Strategy:
@@ -75,7 +78,7 @@ def check_strategy(columns: str | Sequence[str], updated_at: str | None = None)
             return F.lit(True)
         return any_of([~F.col(f"cur.`{c}`").eqNullSafe(F.col(f"src.`{c}`")) for c in names])
 
-    return Strategy(updated_at, changed)
+    return Strategy(updated_at, changed, columns)
 
 
 @dataclass(frozen=True)
@@ -138,7 +141,8 @@ def _with_meta(source: DataFrame, cfg: Snapshot, now: dt.datetime) -> DataFrame:
         raise ValueError(f"source columns {clash} clash with the meta columns; rename the meta columns")
     changed_at = as_time(now)
     if cfg.strategy.updated_at is not None:
-        changed_at = F.col(f"`{resolve(source, cfg.strategy.updated_at)}`").cast("timestamp_ntz")
+        name = resolve(source, cfg.strategy.updated_at)
+        changed_at = as_utc(F.col(f"`{name}`"), source.schema[name].dataType)
     key = normalise_key(cfg.key, source)
     parts = [(F.col(f"`{k}`"), source.schema[k].dataType) for k in key]
     columns = {
@@ -173,16 +177,12 @@ def apply(history: DataFrame, source: DataFrame, cfg: Snapshot, now: dt.datetime
 #: What becomes of a current version, or of a source row.
 KEEP, CLOSE, INSERT, MARK_DELETED = 0, 1, 2, 3
 
-#: Up to this many surrogates are broadcast when repeated versions are dropped.
-MAX_BROADCAST_IDS = 100_000
-
-
 def advance(
     history: DataFrame,
     source: DataFrame,
     cfg: Snapshot,
     now: dt.datetime,
-    ids: DataFrame | None = None,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
     """What the versions open so far become, plus the new ones; versions closed before are left out.
 
@@ -191,7 +191,7 @@ def advance(
     versions.  Versions whose surrogate is already known are not added again.  A source that repeats a key is an
     error at run time.
 
-    When ``history`` holds only the open versions, ``ids`` gives the surrogates of all versions.
+    When ``history`` holds only the open versions, ``closed`` gives the others.
     """
     validate_history(history, cfg)
     meta = cfg.meta
@@ -240,15 +240,19 @@ def advance(
             chosen = chosen.when(action == when, other.cast(kind))
         return chosen.otherwise(F.col(f"cur.`{name}`")).alias(name)
 
-    row = [*[value(c) for c in full.columns], (action >= INSERT).alias("_new")]
+    # A version is not added if the history has its surrogate.
+    same_id = F.col(f"cur.`{meta.scd_id}`")
+    again = (action == INSERT) & (is_true(F.col(f"src.`{meta.scd_id}`") == same_id) | F.col("src._known"))
 
     def outcomes(pairs: DataFrame) -> DataFrame:
-        return pairs.withColumn("_action", F.explode(actions)).select(*row)
+        return pairs.withColumn("_action", F.explode(actions)).filter(~again).select(*[value(c) for c in full.columns])
 
     current = full.filter(is_open(cfg)).withColumn("_here", F.lit(True))
     null_safe = cfg.null_safe_key and len(key) > 1
     complete = F.lit(True) if null_safe else is_true(no_null(key))
-    present = versions.withColumn("_there", F.lit(True))
+    others = (history.filter(~is_open(cfg)) if closed is None else closed).select(meta.scd_id, meta.updated_at)
+    unmatched = current.filter(~complete).select(meta.scd_id, meta.updated_at)  # null keys don't meet in the join
+    present = _marked(versions, others.unionByName(unmatched), cfg, now).withColumn("_there", F.lit(True))
     same_key = key_match("cur", "src", key, null_safe)
     met = current.filter(complete).alias("cur").join(present.filter(complete).alias("src"), same_key, "full")
 
@@ -260,27 +264,86 @@ def advance(
     fresh = present.filter(~complete).alias("src").join(no_history, F.lit(False), "left")
 
     result = outcomes(met).unionByName(outcomes(lost)).unionByName(outcomes(fresh))
-    known = _known(result, history if ids is None else ids, meta.scd_id)
-    if known is not None:
-        same = F.col(f"new.`{meta.scd_id}`") == F.col(f"known.`{meta.scd_id}`")
-        result = result.alias("new").join(known.alias("known"), F.col("new._new") & same, "left_anti")
-    result = result.drop("_new")
     repeated = repeated_keys(source.filter(complete), key)
     return result.unionByName(error_if_any(repeated, f"the source repeats a value of the key {key}", result.schema))
 
 
-def _known(result: DataFrame, ids: DataFrame, scd_id: str) -> DataFrame | None:
-    """Surrogates about to be inserted that the history has already; None when there are none, as in most runs.
+def _marked(versions: DataFrame, others: DataFrame, cfg: Snapshot, now: dt.datetime) -> DataFrame:
+    """``versions`` with ``_known``: whether one of the ``others`` has the surrogate already.
 
-    Looked up ahead, over the few columns that takes, so that the rows themselves pass without another shuffle: the
-    list is broadcast when it is small by count, and joined by the optimiser's choice when it is not.
+    Equal surrogates have equal change times, so only versions within the range of the source's change times are
+    looked at: the bounds are literals, which skip files by their statistics.  With the run's clock as change time,
+    that is no file in nearly every run, and nothing is joined.
+    """
+    meta = cfg.meta
+    at, scd_id = F.col(f"`{meta.updated_at}`"), F.col(f"`{meta.scd_id}`")
+    low = high = now
+    if cfg.strategy.updated_at is not None:
+        low, high = versions.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return versions.withColumn("_known", F.lit(False))
+    ids = others.filter((at >= as_time(low)) & (at <= as_time(high))).select(scd_id.alias("_id"))
+    if ids.isEmpty():
+        return versions.withColumn("_known", F.lit(False))
+    ids = ids.join(versions.select(scd_id.alias("_id")), "_id", "left_semi").distinct()
+    return versions.join(ids, scd_id == F.col("_id"), "left").withColumn("_known", F.col("_id").isNotNull()).drop("_id")
+
+
+def advance_by_changes(current: DataFrame, changes: DataFrame, cfg: Snapshot, now: dt.datetime) -> DataFrame:
+    """What the open versions become after a set of changes, and the versions in between, open or closed.
+
+    ``changes`` may hold several rows of a key; every one that differs from the row before it becomes a version, valid
+    until the next.  The result does not depend on how a stream of changes was cut, as long as a key's changes arrive in
+    order; changes that are not later than the current version are left out.  Rows of one key and one change time are
+    one change: that with the greatest row hash.  Without a change time every key has one change, at ``now``.  Rows with
+    a null key have no neighbours: they are open versions, known by their surrogate.
     """
-    wanted = result.filter("_new").select(scd_id).distinct()
-    known = ids.select(scd_id).join(wanted, scd_id, "left_semi").distinct()
-    count = known.limit(MAX_BROADCAST_IDS + 1).count()
-    if count == 0:
-        return None
-    return F.broadcast(known) if count <= MAX_BROADCAST_IDS else known
+    meta = cfg.meta
+    key = normalise_key(cfg.key, changes, current)
+    added = [f for f in changes.schema.fields if f.name not in current.columns]
+    full = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else current
+    columns = [F.col(f"`{c}`") for c in full.columns]
+    versions = _with_meta(changes, cfg, now)
+    names, at = [F.col(f"`{k}`") for k in key], F.col(f"`{meta.valid_from}`")
+    null_safe = cfg.null_safe_key and len(key) > 1
+    complete = F.lit(True) if null_safe else is_true(no_null(key))
+
+    hashable = [F.col(f"`{f.name}`") for f in changes.schema.fields if not isinstance(f.dataType, T.MapType)]
+    last = Window.partitionBy(*names, at).orderBy(F.xxhash64(*hashable).desc())
+    once = versions.filter(complete).withColumn("_place", F.row_number().over(last)).filter("_place = 1").drop("_place")
+
+    # The open version of a key that changes goes in front of its changes; the others are not touched.
+    touched = once.select(*names).distinct().alias("new")
+    match = key_match("cur", "new", key, null_safe)
+    opened, idle = (full.alias("cur").join(touched, match, how) for how in ("left_semi", "left_anti"))
+    line = opened.withColumn("_old", F.lit(True)).unionByName(
+        once.withColumn("_old", F.lit(False)), allowMissingColumns=True
+    )
+    whole = Window.partitionBy(*names)
+    along = whole.orderBy(at, F.col("_old").desc())
+    line = line.withColumns(
+        {
+            "_start": F.max(F.when(F.col("_old"), at)).over(whole),
+            "_before": F.lag(F.struct(*columns)).over(along),
+        }
+    )
+    new = ~is_true(at <= F.col("_start")) & (F.col("_before").isNull() | _changed_from_before(changes, cfg))
+    kept = line.filter(F.col("_old") | new)
+    until = F.coalesce(F.lead(at).over(along), F.col(f"`{meta.valid_to}`"))
+    done = kept.withColumn(meta.valid_to, until).select(*columns)
+
+    alone = versions.filter(~complete).dropDuplicates([meta.scd_id])
+    alone = alone.join(full.filter(~complete).select(meta.scd_id), meta.scd_id, "left_anti")
+    result = idle.select(*columns).unionByName(done)
+    return result.unionByName(alone, allowMissingColumns=True).select(*columns)
+
+
+def _changed_from_before(changes: DataFrame, cfg: Snapshot) -> Column:
+    """Whether a row differs, by the strategy, from the one before it."""
+    if cfg.strategy.checked is None:
+        return F.lit(True)
+    names = changes.columns if cfg.strategy.checked == "all" else [resolve(changes, c) for c in cfg.strategy.checked]
+    return any_of([~F.col(f"_before.`{c}`").eqNullSafe(F.col(f"`{c}`")) for c in names])
 
 
 def with_meta(cfg: Snapshot, **names: str) -> Snapshot:

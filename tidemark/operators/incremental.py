@@ -110,7 +110,8 @@ def overwrite_partitions(
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()  # partition values, at most the bound
     if len(listed) > MAX_LISTED_PARTITIONS:
         same = all_of([part == F.col(n) for part, n in zip(parts, names)])
-        return target.join(touched, same, "left_anti").unionByName(rows)
+        spread = key_list(rows.select(*[part.alias(n) for part, n in zip(parts, names)]), names)
+        return target.join(spread, same, "left_anti").unionByName(rows)
     if len(parts) == 1:
         kind = touched.schema[names[0]].dataType
         replaced = parts[0].isin(*[literal(row[0], kind) for row in listed]) if listed else F.lit(False)
@@ -183,10 +184,12 @@ def microbatch_delete_insert(
 def microbatch_overwrite(
     target: DataFrame, batch: DataFrame, event_time: str, size: str, start: dt.datetime, end: dt.datetime
 ) -> DataFrame:
-    """Overwrite the partitions of one batch size that the window's rows fall in."""
-    if size not in BATCH_SIZES:
-        raise ValueError(f"batch size must be one of {BATCH_SIZES}, not {size!r}")
-    return overwrite_partitions(target, batch.filter(in_window(event_time, start, end)), [event_time], grain=size)
+    """Overwrite the partitions of one batch size that the rows of the whole windows between start and end fall in."""
+    windows = list(batch_windows(start, end, size))
+    if not windows:
+        return target
+    inside = in_window(event_time, windows[0][0], windows[-1][1])
+    return overwrite_partitions(target, batch.filter(inside), [event_time], grain=size)
 
 
 def microbatch_merge(

@@ -13,9 +13,9 @@ join with the batch itself, so
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.operators.keys import (
@@ -53,13 +53,23 @@ RULES: dict[str, Callable[[Column, Column, T.DataType], Column]] = {
 }
 
 
-def _combine(rule: Rule, name: str, data_type: T.DataType) -> Column:
-    new, old = F.col(f"batch.`{name}`"), F.col(f"target.`{name}`")
+def _combine(rule: Rule, name: str, data_type: T.DataType, target: str = "target") -> Column:
+    new, old = F.col(f"batch.`{name}`"), F.col(f"{target}.`{name}`")
     if callable(rule):
         return rule(new, old)
     if rule in RULES:
         return RULES[rule](new, old, data_type)
-    return F.expr(rule.replace("_new_", f"batch.`{name}`").replace("_old_", f"target.`{name}`"))
+    return F.expr(_with_names(rule, name, target))
+
+
+#: Texts and quoted names, which stay as they are, and the whole names that stand for the two values.
+_PLACES = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?<![\w.])(_new_|_old_)(?!\w)""")
+
+
+def _with_names(rule: str, name: str, target: str) -> str:
+    """A custom rule with ``_new_`` and ``_old_`` replaced by the batch's and the target's column."""
+    sides = {"_new_": f"batch.`{name}`", "_old_": f"{target}.`{name}`"}
+    return _PLACES.sub(lambda m: sides[m[1]] if m[1] else m[0], rule)
 
 
 def updated_columns(
@@ -79,13 +89,9 @@ def updated_columns(
     return [c for c in candidates if c.lower() not in dropped]
 
 
-def _needs_batch(target: DataFrame, predicate: Column) -> bool:
-    """Whether the predicate names batch columns (it then does not resolve on the target alone)."""
-    try:
-        target.alias("target").filter(predicate).schema
-        return False
-    except AnalysisException:
-        return True
+def names_batch(condition: Column) -> bool:
+    """Whether a condition names columns of the batch."""
+    return re.search(r"(?<![\w.`])`?batch`?\.", str(condition)) is not None
 
 
 def merge(
@@ -122,7 +128,7 @@ def merge(
 
     updated = updated_columns(columns, key, update_columns, exclude_columns)
     predicate = as_condition(predicates)
-    paired = predicate is not None and _needs_batch(target, predicate)
+    paired = predicate is not None and names_batch(predicate)
 
     # Rows that cannot match bypass the join: those outside the predicates, and null keys, which would all meet in one
     # task.  The filters reach the scan.
@@ -168,41 +174,87 @@ def merge(
     again = key_match("target", "repeated", key, null_safe)
     clash = inside.join(repeated, again, "left_semi")
     if paired:
-        # Distinct target rows against distinct batch rows with their number of copies.
-        named = [F.col(f"`{c}`") for c in columns]
-        old = clash.select(*named).distinct().alias("target")
-        copies = keyed.alias("target").join(repeated, again, "left_semi").groupBy(*named).agg(
-            F.count(F.lit(1)).alias("_copies")
+        # Distinct target rows against distinct batch rows with their number of copies.  Rows are told apart by a digest,
+        # as columns of maps can't be compared.
+        row = _digest(target)
+        old = clash.withColumn("_row", row).dropDuplicates(["_row"]).alias("target")
+        copies = (
+            keyed.alias("target").join(repeated, again, "left_semi").withColumn("_row", row).groupBy("_row").agg(
+                *[F.first(f"`{c}`").alias(c) for c in columns], F.count(F.lit(1)).alias("_copies")
+            )
         )
-        by_row = old.join(copies.alias("batch"), on).groupBy(*[F.col(f"target.`{c}`") for c in columns])
+        by_row = old.join(copies.alias("batch"), on).groupBy("target._row")
         clash = by_row.agg(F.sum("batch._copies").alias("_n")).filter("_n > 1")
     checked = error_if_any(clash, f"several batch rows match one target row on key {key}", target.schema)
     return rewritten.unionByName(outside).unionByName(new.select(*columns)).unionByName(checked)
 
 
+def _digest(df: DataFrame) -> Column:
+    """A hash of a whole row; maps, which have no order, go in as text."""
+
+    def has_map(kind: T.DataType) -> bool:
+        inner = {T.ArrayType: lambda k: [k.elementType], T.StructType: lambda k: [f.dataType for f in k.fields]}
+        return isinstance(kind, T.MapType) or any(has_map(k) for k in inner.get(type(kind), lambda _: [])(kind))
+
+    cells = [(F.col(f"`{f.name}`"), has_map(f.dataType)) for f in df.schema.fields]
+    parts = [F.to_json(F.struct(c.alias("v"))) if mapped else c for c, mapped in cells]
+    return F.md5(F.concat_ws(" ", F.xxhash64(*parts), F.hash(*parts)))
+
+
 def merge_into_v2(
     batch: DataFrame,
     table: str,
     key: Sequence[str],
-    predicates: Column | str | None = None,
+    predicates: Column | str | Sequence[Column | str] | None = None,
     update_columns: Sequence[str] | None = None,
     exclude_columns: Sequence[str] | None = None,
+    rules: Mapping[str, Rule] | None = None,
+    default_rule: Rule = "replace",
+    delete_condition: Column | str | None = None,
+    update_condition: Column | str | None = None,
+    insert_condition: Column | str | None = None,
+    delete_first: bool = False,
 ) -> None:
     """Native MERGE for tables whose format supports it (Delta, Iceberg, Hudi): only touched files are rewritten.
 
-    Conditions name the table's columns by the table's name and the batch's as ``batch.x``.
+    Conditions and predicates as SQL texts name columns as ``target.x`` and ``batch.x``.  With ``delete_first`` matched rows are
+    deleted and the whole batch is inserted, as delete+insert does.
     """
-    columns = batch.sparkSession.table(table).columns
-    updated = updated_columns(columns, key, update_columns, exclude_columns)
+    spark = batch.sparkSession
+    columns = spark.table(table).columns
+    schema = spark.table(table).schema
     name = table.split(".")[-1]
-    condition = all_of([F.col(f"{name}.`{k}`") == F.col(f"batch.`{k}`") for k in key])
-    extra = as_condition(predicates)
-    (
-        batch.alias("batch")
-        .mergeInto(table, condition if extra is None else condition & extra)
-        .whenMatched()
-        .update({c: F.col(f"batch.`{c}`") for c in updated})
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+
+    def own(condition: Column | str | Sequence[Column | str] | None) -> Column | None:
+        """A condition whose SQL texts call the target by the table's name; Columns must do so themselves."""
+        if isinstance(condition, (list, tuple)):
+            return all_of([own(c) for c in condition]) if condition else None
+        if isinstance(condition, str):
+            return F.expr(re.sub(r"(?<![\w.`])`?target`?\.", f"`{name}`.", condition))
+        return condition
+
+    extra = own(predicates)
+    condition = all_of([F.col(f"`{name}`.`{k}`") == F.col(f"batch.`{k}`") for k in key])
+    condition = condition if extra is None else condition & extra
+    if delete_first:
+        # One statement can't both delete a row and insert beside it.
+        listed = key_list(batch, key).distinct().alias("batch")
+        listed.mergeInto(table, condition).whenMatched().delete().merge()
+        batch.select(*[F.col(f"`{c}`") for c in columns]).writeTo(table).append()
+        return
+    updated = updated_columns(columns, key, update_columns, exclude_columns)
+    chosen = {c: (rules or {}).get(c, default_rule) for c in updated}
+    changes = {
+        c: F.col(f"batch.`{c}`") if rule == "replace" else _combine(rule, c, schema[c].dataType, f"`{name}`").cast(schema[c].dataType)
+        for c, rule in chosen.items()
+    }
+    statement = batch.alias("batch").mergeInto(table, condition)
+    if delete_condition is not None:
+        statement = statement.whenMatched(own(delete_condition)).delete()
+    changing = own(update_condition)
+    matched = statement.whenMatched() if changing is None else statement.whenMatched(changing)
+    statement = matched.update(changes)
+    wanted = own(insert_condition)
+    new = statement.whenNotMatched() if wanted is None else statement.whenNotMatched(wanted)
+    new.insertAll().merge()
+

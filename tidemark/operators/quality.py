@@ -73,28 +73,35 @@ def evaluate(
     )
 
 
-def evaluate_stored(failing: DataFrame, table: str, store_as: str = "table", **thresholds: Any) -> DataFrame:
-    """Keep the failing rows as a table or view, and judge the stored rows, so the test runs once."""
+def evaluate_stored(
+    failing: DataFrame, table: str, store_as: str = "table", limit: int | None = None, **thresholds: Any
+) -> DataFrame:
+    """Keep the failing rows, at most ``limit``, as a table or view, and judge the stored rows, so the test runs once."""
+    from tidemark.plans.publish import replace_table
+
     if store_as not in STORE_AS:
         raise ValueError(f"failures are stored as one of {STORE_AS}, not {store_as!r}")
+    rows = failing if limit is None else failing.limit(limit)
     if store_as == "ephemeral":
-        return evaluate(failing, **thresholds)
+        return evaluate(rows, **thresholds)
     if store_as == "view":
-        failing.createOrReplaceTempView(table)
+        rows.createOrReplaceTempView(table)
     else:
-        failing.write.mode("overwrite").saveAsTable(table)
+        replace_table(rows, table)
     return evaluate(failing.sparkSession.table(table), **thresholds)
 
 
 @dataclass(frozen=True)
 class Check:
-    """One entry of a suite: kind 'not_null', 'accepted_values', 'expression' or 'unique'."""
+    """One entry of a suite: kind 'not_null', 'accepted_values', 'expression', 'unique' or 'relationships'."""
 
     kind: str
     column: str | None = None
     values: tuple[Any, ...] = ()
     expression: str | None = None
     name: str | None = None
+    parent: DataFrame | None = None
+    parent_column: str | None = None
 
     @property
     def label(self) -> str:
@@ -114,9 +121,13 @@ class Check:
 def suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Many tests over one table: (check_name, failures), failing rows or, for 'unique', repeated values.
 
-    All row-wise checks share one pass; each uniqueness check is one aggregation combined before its shuffle.
+    All row-wise checks share one pass.  All uniqueness checks share another: values are counted by (check, value), combined
+    before the one shuffle.  Each relationship is an anti join.
     """
-    row_wise = [c for c in checks if c.kind != "unique"]
+    for check in checks:
+        if check.kind not in ("unique", "relationships"):
+            check.broken()
+    row_wise = [c for c in checks if c.kind not in ("unique", "relationships")]
     parts = []
     if row_wise:
         counted = df.agg(*[F.count_if(c.broken()).alias(f"_{i}") for i, c in enumerate(row_wise)])
@@ -125,10 +136,22 @@ def suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             for i, c in enumerate(row_wise)
         ]
         parts.append(counted.select(F.inline(F.array(*pairs))))
+    by_type: dict[T.DataType, list[Check]] = {}
     for check in checks:
         if check.kind == "unique":
-            total = unique(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(total.select(F.lit(check.label).alias("check_name"), "failures"))
+            by_type.setdefault(df.select(check.column).schema[0].dataType, []).append(check)
+    for same_type in by_type.values():
+        cells = [F.struct(F.lit(c.label).alias("check_name"), F.col(c.column).alias("value")) for c in same_type]
+        values = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+        repeated = values.groupBy("check_name", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        found = repeated.groupBy("check_name").agg(F.count(F.lit(1)).alias("failures"))
+        names = df.sparkSession.createDataFrame([(c.label,) for c in same_type], "check_name string")
+        known = names.join(found, "check_name", "left")
+        parts.append(known.select("check_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
+    for check in checks:
+        if check.kind == "relationships":
+            orphans = relationships(df, check.column, check.parent, check.parent_column or check.column)
+            parts.append(orphans.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(check.label).alias("check_name"), "failures"))
     if not parts:
         raise ValueError("no checks given")
     result = parts[0]
@@ -159,21 +182,30 @@ def fixture(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: T.St
         raise ValueError(f"unknown columns {unknown}; the relation has {[f.name for f in schema.fields]}")
     if not rows:
         return spark.createDataFrame([], schema)
-    frames = []
-    for row in rows:
-        given = {n.lower(): v for n, v in row.items()}
-        cells = []
-        for field in schema.fields:
-            value = _plain(given.get(field.name.lower()))
-            nested = isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
-            cells.append((value, field, nested))
-        raw = T.StructType([T.StructField(f.name, f.dataType if n else _raw_type(v)) for v, f, n in cells])
-        one = spark.createDataFrame([tuple(v for v, _, _ in cells)], raw)
-        frames.append(one.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    given = [{n.lower(): v for n, v in row.items()} for row in rows]
+    raw, cells = [], []
+    for field in schema.fields:
+        values = [_plain(row.get(field.name.lower())) for row in given]
+        kinds = {_raw_type(v) for v in values if v is not None}
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            kind = field.dataType
+        elif len(kinds) == 1 and not any(isinstance(k, T.DecimalType) for k in kinds):
+            (kind,) = kinds
+        else:  # of several types, or none: as texts, which Spark converts
+            kind = T.StringType()
+            values = [v if v is None else _text(v) for v in values]
+        raw.append(T.StructField(field.name, kind))
+        cells.append(values)
+    frame = spark.createDataFrame(list(zip(*cells, strict=True)), T.StructType(raw))
+    return frame.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _text(value: Any) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, decimal.Decimal):
+        return format(value, "f")
+    return str(value)
 
 
 def _raw_type(value: Any) -> T.DataType:

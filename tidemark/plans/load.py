@@ -8,7 +8,6 @@ overwrite, event-time windows) rewrite only the partitions that hold a row they
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
@@ -17,28 +16,46 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.functions.types import literal
 from tidemark.operators import incremental as inc
-from tidemark.operators.keys import all_of, any_of, as_condition, key_list, key_match, normalise_key
-from tidemark.operators.merge import Rule, merge, merge_into_v2
+from tidemark.operators.keys import all_of, any_of, as_condition, is_true, key_list, key_match, normalise_key
+from tidemark.operators.merge import Rule, merge, merge_into_v2, names_batch
 from tidemark.operators.partitions import copy_sources
-from tidemark.operators.schema import diff, normalise_policy, reconcile
-from tidemark.plans.publish import is_view, overwrite_mode, partition_columns, replace_table, table_exists
-from tidemark.session import stage
+from tidemark.operators.schema import (
+    Constraint,
+    diff,
+    enforce_constraints,
+    enforce_contract,
+    normalise_policy,
+    reconcile,
+)
+from tidemark.plans.publish import (
+    Values,
+    clear_partitions,
+    has_null_partition,
+    is_view,
+    partition_columns,
+    replace_table,
+    shape,
+    table_exists,
+    write_partitions,
+)
+from tidemark.session import cleaned_up, stage
 from tidemark.sources.files import load_files, read_seed
 from tidemark.sources.sinks import gathered, validate_format
 
 STRATEGIES = ("append", "merge", "delete+insert", "insert_overwrite", "microbatch")
 MICROBATCH_STYLES = ("overwrite", "delete+insert", "merge")
 
-#: What the catalog calls a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 #: Formats whose tables take a native MERGE.
 ROW_LEVEL_FORMATS = ("delta", "iceberg", "hudi")
 
 
 @dataclass(frozen=True)
 class Load:
-    """Settings of one incrementally loaded table."""
+    """Settings of one incrementally loaded table.
+
+    ``partition_grain``: the stretch of event time that one partition holds, for microbatches by overwrite.
+    ``contract`` and ``constraints``: checked on every batch before anything is written; key constraints hold within the batch.
+    """
 
     strategy: str | None = None
     unique_key: str | Sequence[str] | None = None
@@ -57,6 +74,9 @@ class Load:
     event_time: str | None = None
     batch_size: str | None = None
     microbatch_style: str | None = None
+    partition_grain: str | None = None
+    contract: T.StructType | None = None
+    constraints: Sequence[Constraint] = ()
     file_format: str = "parquet"
     location: str | None = None
 
@@ -95,6 +115,25 @@ def validate(cfg: Load) -> None:
             raise ValueError("microbatches by overwrite need partition_by")
         if cfg.effective_style == "merge" and not normalise_key(cfg.unique_key):
             raise ValueError("microbatches by merge need a unique_key")
+        if cfg.effective_style == "overwrite" and cfg.partition_grain not in (None, cfg.batch_size):
+            raise ValueError(f"windows of a {cfg.batch_size} can't overwrite partitions of a {cfg.partition_grain}")
+
+
+def _check_partitions(spark: SparkSession, table: str, cfg: Load) -> None:
+    """The table is partitioned as the settings say; an overwrite would otherwise replace other rows than they mean."""
+    actual = partition_columns(spark, table)
+    if cfg.partition_by and [c.lower() for c in cfg.partition_by] != [c.lower() for c in actual]:
+        raise ValueError(f"{table} is partitioned by {actual}, the settings say {list(cfg.partition_by)}; run a full refresh")
+
+
+def _checked(batch: DataFrame, cfg: Load) -> DataFrame:
+    """The batch, after its contract and constraints were enforced."""
+    if cfg.contract is not None:
+        batch = enforce_contract(batch, cfg.contract)
+    if cfg.constraints:
+        batch = stage(batch, "checked").frame
+        enforce_constraints(batch, cfg.constraints)
+    return batch
 
 
 def is_incremental(spark: SparkSession, table: str, cfg: Load, full_refresh: bool = False) -> bool:
@@ -106,10 +145,16 @@ def is_incremental(spark: SparkSession, table: str, cfg: Load, full_refresh: boo
 def load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) -> None:
     """Load one batch."""
     validate(cfg)
+    with cleaned_up(batch.sparkSession):
+        _load(_checked(batch, cfg), table, cfg, full_refresh)
+
+
+def _load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) -> None:
     spark = batch.sparkSession
     if not is_incremental(spark, table, cfg, full_refresh):
         _rebuild(batch, table, cfg)
         return
+    _check_partitions(spark, table, cfg)
     batch = _evolve(batch, table, cfg)
     target = spark.table(table)
     strategy = cfg.effective_strategy
@@ -128,31 +173,22 @@ def load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) ->
         if partition_columns(spark, table):
             _overwrite_partitions(batch, table)
         else:
-            _rebuild(inc.overwrite_all(target, batch), table, cfg)
+            replace_table(inc.overwrite_all(target, batch), table)
+    elif strategy in ("merge", "delete+insert") and shape(spark, table).provider in ROW_LEVEL_FORMATS:
+        native = dict(delete_first=True) if strategy == "delete+insert" else _merge_settings(cfg)
+        merge_into_v2(batch, table, key, cfg.predicates, **native)
     elif strategy == "delete+insert":
         _rewrite(
             batch, table, lambda old, new: inc.delete_insert(old, new, key, cfg.predicates), key=key, cfg=cfg
         )
-    elif strategy == "merge" and cfg.file_format in ROW_LEVEL_FORMATS and not _conditional(cfg):
-        merge_into_v2(batch, table, key, cfg.predicates, cfg.update_columns, cfg.exclude_columns)
     elif strategy == "merge":
         _rewrite(batch, table, lambda old, new: _merged(old, new, key, cfg), key=key, cfg=cfg)
     else:
         raise ValueError("microbatch loads go through load_microbatches")
 
 
-def _conditional(cfg: Load) -> bool:
-    """Whether a merge does more than replace or insert."""
-    conditions = (cfg.delete_condition, cfg.update_condition, cfg.insert_condition)
-    return bool(cfg.rules) or cfg.default_rule != "replace" or any(c is not None for c in conditions)
-
-
-def _merged(target: DataFrame, batch: DataFrame, key: Sequence[str], cfg: Load) -> DataFrame:
-    return merge(
-        target,
-        batch,
-        key,
-        predicates=cfg.predicates,
+def _merge_settings(cfg: Load) -> dict[str, Any]:
+    return dict(
         update_columns=cfg.update_columns,
         exclude_columns=cfg.exclude_columns,
         rules=cfg.rules,
@@ -163,6 +199,10 @@ def _merged(target: DataFrame, batch: DataFrame, key: Sequence[str], cfg: Load)
     )
 
 
+def _merged(target: DataFrame, batch: DataFrame, key: Sequence[str], cfg: Load) -> DataFrame:
+    return merge(target, batch, key, predicates=cfg.predicates, **_merge_settings(cfg))
+
+
 def load_seed(spark: SparkSession, path: str, table: str, full_refresh: bool = False, **options: Any) -> None:
     """Load a CSV seed (see ``read_seed``).
 
@@ -178,7 +218,8 @@ def load_seed(spark: SparkSession, path: str, table: str, full_refresh: bool = F
     texts = read_seed(spark, path, **{**options, "infer": False, "column_types": declared})
     if len(texts.columns) != len(declared):
         raise ValueError(f"the seed has columns {texts.columns}, the table {list(declared)}; run a full refresh")
-    _insert(texts, table, overwrite=True)
+    typed = [F.col(f"`{c}`").cast(kind).alias(c) for c, kind in declared.items()]
+    replace_table(texts.select(*typed), table)
 
 
 def load_file_table(
@@ -204,73 +245,117 @@ def copy_tables(spark: SparkSession, sources: Sequence[str], table: str, mode: s
 def load_in_parts(batch: DataFrame, table: str, cfg: Load, partitions_per_load: int) -> int:
     """Load a large batch a few partitions at a time; returns the number of loads.
 
-    For loads whose output would not fit in one piece.  The batch is computed once and written by partition; every
-    part then reads only its own.
+    For loads whose output would not fit in one piece; the result is that of one load.  The batch is computed once and
+    written by partition; every part then reads only its own.  A full refresh, and the clearing of listed partitions, belong to
+    the first part.  Keys that occur in several partitions of the batch must be loaded in one piece.
     """
     validate(cfg)
     if not cfg.partition_by or partitions_per_load < 1:
         raise ValueError("loading in parts needs partition_by and a positive number of partitions")
+    spark = batch.sparkSession
+    if is_incremental(spark, table, cfg):
+        _check_partitions(spark, table, cfg)
     columns = list(cfg.partition_by)
-    staged = stage(batch, "parts", partition_by=columns).frame.select(batch.columns)
-    parts = staged.select(*columns).schema
-    listed = sorted(
-        staged.select(*columns).distinct().toLocalIterator(), key=lambda row: [str(v) for v in row]
-    )  # partition values only
-    loads = 0
-    for first in range(0, len(listed), partitions_per_load):
-        chunk = listed[first : first + partitions_per_load]
-        exact = any_of(
-            [
-                all_of([F.col(f"`{f.name}`").eqNullSafe(literal(row[f.name], f.dataType)) for f in parts.fields])
-                for row in chunk
-            ]
-        )
-        load(staged.filter(exact), table, cfg)
-        loads += 1
+    with cleaned_up(spark):
+        staged = stage(_checked(batch, cfg), "parts", partition_by=columns).frame.select(batch.columns)
+        key = normalise_key(cfg.unique_key, staged)
+        if cfg.effective_strategy in ("merge", "delete+insert") and key:
+            _reject_spread_keys(staged, key, columns)
+        parts = staged.select(*columns).schema
+        found = staged.select(*columns).distinct().toLocalIterator()  # partition values only
+        listed = sorted(found, key=lambda row: [str(v) for v in row])
+        settings = replace(cfg, contract=None, constraints=())
+        loads = 0
+        for first in range(0, len(listed), partitions_per_load):
+            chunk = listed[first : first + partitions_per_load]
+            exact = any_of(
+                [
+                    all_of([F.col(f"`{f.name}`").eqNullSafe(literal(row[f.name], f.dataType)) for f in parts.fields])
+                    for row in chunk
+                ]
+            )
+            load(staged.filter(exact), table, settings)
+            loads += 1
+            settings = replace(settings, full_refresh=False)
+            if cfg.overwrite_values is not None:
+                settings = replace(settings, strategy="append", overwrite_values=None)
     return loads
 
 
+def _reject_spread_keys(batch: DataFrame, key: Sequence[str], columns: Sequence[str]) -> None:
+    """Raise if a key occurs in several partitions: a later part would replace what an earlier one has loaded."""
+    pairs = batch.select(*[F.col(f"`{k}`") for k in key], F.struct(*columns).alias("_part"))
+    spread = pairs.groupBy(*[f"`{k}`" for k in key]).agg(F.min("_part").alias("_a"), F.max("_part").alias("_b"))
+    if not spread.filter(~F.col("_a").eqNullSafe(F.col("_b"))).isEmpty():
+        raise ValueError(f"values of the key {list(key)} occur in several partitions of the batch; load it in one piece")
+
+
 def load_microbatches(
     source: DataFrame,
     table: str,
     cfg: Load,
     begin: dt.datetime,
     end: dt.datetime,
-    windows_per_job: int = 1,
+    windows_per_job: int | None = None,
     full_refresh: bool = False,
 ) -> int:
-    """Load the event-time windows of ``[begin, end)`` one after another; returns the number of jobs' windows.
+    """Load the event-time windows that ``[begin, end)`` meets, one after another; returns the number of windows.
 
-    Every window reads only its slice of the source.  ``windows_per_job`` joins neighbouring windows into one load,
-    with the same result.
+    Windows are whole: the first is lowered to its start, the last raised to its end.  Every window reads only its
+    slice of the source.  ``windows_per_job`` joins neighbouring windows into one load, with the same result; without
+    it, windows go one by one, but all together into a table without partitions, which every load rewrites.
     """
     cfg = replace(cfg, strategy="microbatch")
     validate(cfg)
     spark = source.sparkSession
     windows = list(inc.batch_windows(begin, end, cfg.batch_size))
     rebuild = full_refresh
+    if is_incremental(spark, table, cfg, rebuild):
+        _check_partitions(spark, table, cfg)
+        partitioned = bool(partition_columns(spark, table))
+    else:
+        partitioned = bool(cfg.partition_by)
+    if windows_per_job is None:
+        windows_per_job = 1 if partitioned else max(1, len(windows))
+    elif windows_per_job < len(windows) and not partitioned:
+        raise ValueError("every load rewrites a table without partitions: load all windows in one job, or partition it")
     for first in range(0, len(windows), windows_per_job):
         start, stop = windows[first][0], windows[min(first + windows_per_job, len(windows)) - 1][1]
-        batch = source.filter(inc.in_window(cfg.event_time, start, min(stop, end)))
-        if not is_incremental(spark, table, cfg, rebuild):
-            _rebuild(batch, table, cfg)
-        else:
-            _load_window(_evolve(batch, table, cfg), table, cfg, start, min(stop, end))
-        rebuild = False
+        with cleaned_up(spark):
+            batch = _checked(source.filter(inc.in_window(cfg.event_time, start, stop)), cfg)
+            if not is_incremental(spark, table, cfg, rebuild):
+                _rebuild(batch, table, cfg)
+            else:
+                _load_window(_evolve(batch, table, cfg), table, cfg, start, stop)
+        rebuild, cfg = False, replace(cfg, full_refresh=False)
     return len(windows)
 
 
 def _load_window(batch: DataFrame, table: str, cfg: Load, start: dt.datetime, stop: dt.datetime) -> None:
     style = cfg.effective_style
+    spark = batch.sparkSession
+    window = inc.in_window(cfg.event_time, start, stop)
+    columns = partition_columns(spark, table)
     if style == "overwrite":
-        _overwrite_partitions(batch, table)
+        # Partitions of the window that the batch has no rows for any more are emptied; one that also holds rows of other
+        # windows would lose them.
+        batch = stage(batch, "window").frame
+        held = spark.table(table).filter(window).select(*columns).distinct()
+        touched = batch.select(*columns).unionByName(held).distinct()
+        same = key_match("t", "p", columns, null_safe=True)
+        others = spark.table(table).filter(~is_true(window)).alias("t").join(touched.alias("p"), same, "left_semi")
+        if not others.isEmpty():
+            raise ValueError(f"partitions of {table} hold more than one window of a {cfg.batch_size}; overwrite can't be used")
+        _rewrite(
+            batch,
+            table,
+            lambda old, new: inc.microbatch_delete_insert(old, new, cfg.event_time, start, stop),
+            held,
+        )
     elif style == "merge":
         key = normalise_key(cfg.unique_key, batch)
         _rewrite(batch, table, lambda old, new: _merged(old, new, key, cfg), key=key, cfg=cfg)
     else:
-        spark = batch.sparkSession
-        columns = partition_columns(spark, table)
-        window = inc.in_window(cfg.event_time, start, stop)
         cleared = spark.table(table).filter(window).select(*columns).distinct() if columns else None
         _rewrite(
             batch,
@@ -285,7 +370,7 @@ def _load_window(batch: DataFrame, table: str, cfg: Load, start: dt.datetime, st
 
 def _rebuild(df: DataFrame, table: str, cfg: Load) -> None:
     replace_table(
-        df, table, file_format=cfg.file_format, partition_by=cfg.partition_by, location=cfg.location
+        df, table, file_format=cfg.file_format, partition_by=cfg.partition_by, bucket_by=(), location=cfg.location
     )
 
 
@@ -302,41 +387,28 @@ def _evolve(batch: DataFrame, table: str, cfg: Load) -> DataFrame:
         declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in change.added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
     else:
-        replace_table(
-            old,
-            table,
-            file_format=cfg.file_format,
-            partition_by=[c for c in partition_columns(spark, table) if c in old.columns],
-            location=cfg.location,
-        )
+        replace_table(old, table, partition_by=[c for c in partition_columns(spark, table) if c in old.columns])
     return new
 
 
-def _insert(batch: DataFrame, table: str, overwrite: bool = False) -> None:
-    """Insert by name (``insertInto`` goes by position, partition columns last)."""
+def _insert(batch: DataFrame, table: str) -> None:
+    """Add rows by name (``insertInto`` goes by position, partition columns last)."""
     spark = batch.sparkSession
     rows = batch.select(*[F.col(f"`{c}`") for c in spark.table(table).columns])
     parts = partition_columns(spark, table)
-    (gathered(rows, parts) if parts else rows).write.insertInto(table, overwrite=overwrite)
+    (gathered(rows, parts) if parts else rows).write.insertInto(table)
 
 
-def _overwrite_partitions(batch: DataFrame, table: str) -> None:
-    """Replace the partitions the batch has rows for.  Rows with a null partition value are added, not replacing.
-
-    A dynamic overwrite moves its files in when the job is done, so the batch may read the table.
-    """
+def _overwrite_partitions(batch: DataFrame, table: str) -> list[Values]:
+    """Replace the partitions the batch has rows for.  Rows with a null partition value are added, not replacing."""
     spark = batch.sparkSession
-    known = spark.sql(f"SHOW PARTITIONS {table}").filter(F.col("partition").contains(NULL_PARTITION))
-    if known.isEmpty():
-        with overwrite_mode(spark, "dynamic"):
-            _insert(batch, table, overwrite=True)
-        return
-    # The table holds rows without a partition value, which must stay: two statements, so the batch is staged.
+    if not has_null_partition(spark, table):
+        return write_partitions(batch, table)
+    # The table holds rows without a partition value, which must stay: two writes, so the batch is staged.
     complete = all_of([F.col(f"`{c}`").isNotNull() for c in partition_columns(spark, table)])
     rows = stage(batch, "batch").frame
-    with overwrite_mode(spark, "dynamic"):
-        _insert(rows.filter(complete), table, overwrite=True)
-    _insert(rows.filter(~complete), table)
+    written = write_partitions(rows.filter(complete), table)
+    return written + write_partitions(rows.filter(~complete), table, mode="append")
 
 
 def _in_partitions(rows: Sequence[Any], schema: T.StructType) -> Column:
@@ -361,26 +433,22 @@ def _rewrite(
 ) -> None:
     """Replace a table's content by ``operator(old, batch)``, reading and writing only the partitions concerned.
 
-    Concerned are the batch's own partitions, those holding a key of the batch, and the ``cleared`` ones.
+    Concerned are the batch's own partitions, those holding a key of the batch, and the ``cleared`` ones.  The operator
+    runs once: the write itself tells which partitions got rows, and the concerned ones that got none are emptied.
     """
     spark = batch.sparkSession
     columns = partition_columns(spark, table)
     target = spark.table(table)
     batch = stage(batch, "batch").frame
     if not columns:
-        replace_table(
-            operator(target, batch),
-            table,
-            file_format=cfg.file_format if cfg else "parquet",
-            location=cfg.location if cfg else None,
-        )
+        replace_table(operator(target, batch), table)
         return
 
     touched = batch.select(*columns)
     if key:
         reachable = target
         extra = as_condition(cfg.predicates) if cfg else None
-        if extra is not None and _resolves(target, extra):
+        if extra is not None and not names_batch(extra):
             reachable = target.alias("target").filter(extra)
         held = reachable.join(key_list(batch, key), list(key), "left_semi")
         touched = touched.unionByName(held.select(*columns))
@@ -395,40 +463,7 @@ def _rewrite(
         scope = target.filter(_in_partitions(listed, touched.schema))
     scope = scope.alias("t").join(touched.alias("p"), key_match("t", "p", columns, null_safe=True), "left_semi")
 
-    # Which partitions lose their last row is asked first, over the few columns that takes.  The rows are then written
-    # once: a dynamic overwrite moves its files in when the job is done, so it may read what it replaces.
-    result = operator(scope, batch)
-    remaining = result.select(*columns).distinct()
-    emptied = touched.alias("p").join(
-        remaining.alias("r"), key_match("p", "r", columns, null_safe=True), "left_anti"
-    )
-    texts = emptied.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
-    lost = [row.asDict() for row in texts.toLocalIterator()]  # values of partitions
-    with overwrite_mode(spark, "dynamic"):
-        _insert(result, table, overwrite=True)
-    for values in lost:
-        _clear_partition(spark, table, values)
-
-
-def _clear_partition(spark: SparkSession, table: str, values: Mapping[str, str | None]) -> None:
-    """Overwrite one partition with nothing, so that its files go, and then take it out of the catalog."""
-    nothing = spark.table(table).drop(*values).limit(0)
-    view = f"nothing_{uuid.uuid4().hex}"
-    spark.createDataFrame([], nothing.schema).createOrReplaceTempView(view)
-    listed = ", ".join(
-        f"`{c}` = " + ("null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'")
-        for c, v in values.items()
-    )
-    with overwrite_mode(spark, "static"):
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({listed}) SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({listed})")
-
-
-def _resolves(target: DataFrame, condition: Column) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return target.alias("target").filter(condition).schema is not None
-    except AnalysisException:
-        return False
+    written = set(write_partitions(operator(scope, batch), table))
+    texts = touched.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+    concerned = (tuple(v or None for v in row) for row in texts.toLocalIterator())  # partition values
+    clear_partitions(spark, table, [values for values in concerned if values not in written])

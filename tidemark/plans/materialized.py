@@ -7,15 +7,16 @@ import hashlib
 import json
 import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import clock
-from tidemark.operators.incremental import newer_than_target
+from tidemark.functions.types import literal
+from tidemark.operators.keys import as_condition, is_true, normalise_key
 from tidemark.plans.load import Load, load
-from tidemark.plans.publish import replace_table, table_exists
+from tidemark.plans.publish import replace_table, set_properties, table_exists
 
 log = logging.getLogger(__name__)
 
@@ -77,10 +78,14 @@ class MaterializedTable:
 
 @dataclass(frozen=True)
 class FollowingTable:
-    """A table kept within ``target_lag`` of its query, by full or incremental refreshes.
+    """A table kept within ``target_lag`` of its query.
 
-    An incremental refresh reads only rows above the table's high-water mark in ``watermark`` and loads them with
-    ``loading`` (an append unless it names a key).  Call ``refresh_if_due`` from any timer, or use
+    A full refresh gives what the query gives.  Rows meeting ``immutable_where`` are left as they are in the table: the
+    query's rows that meet it are only taken when the table is created.
+
+    An incremental refresh must be asked for.  It reads the query's rows from ``lookback`` below the table's high-water
+    mark in ``watermark`` on, and merges them by the key of ``loading``: rows that arrive or change within that window
+    are followed, older ones and deletions are not.  Call ``refresh_if_due`` from any timer, or use
     ``tidemark.streaming`` for a continuously running one.
     """
 
@@ -90,6 +95,8 @@ class FollowingTable:
     refresh_mode: str = "auto"
     initialize: str = "on_create"
     watermark: str | None = None
+    lookback: Any = None
+    immutable_where: str | None = None
     loading: Load = field(default_factory=Load)
     location: str | None = None
 
@@ -98,12 +105,14 @@ class FollowingTable:
             raise ValueError(f"unknown refresh mode {self.refresh_mode!r}")
         if self.initialize not in ("on_create", "on_schedule"):
             raise ValueError(f"unknown initialization {self.initialize!r}")
-        if self.refresh_mode == "incremental" and self.watermark is None:
-            raise ValueError("an incremental refresh needs a watermark column")
+        if self.incremental and (self.watermark is None or not normalise_key(self.loading.unique_key)):
+            raise ValueError("an incremental refresh needs a watermark column and a unique key to load by")
+        if self.incremental and self.lookback is None:
+            raise ValueError("an incremental refresh needs a look-back: how far below the mark rows may still arrive or change")
 
     @property
     def incremental(self) -> bool:
-        return self.refresh_mode == "incremental" or (self.refresh_mode == "auto" and self.watermark is not None)
+        return self.refresh_mode == "incremental"
 
     def create(self, spark: SparkSession, now: dt.datetime | None = None) -> None:
         """Create the table, filled at once or empty until the first scheduled refresh."""
@@ -111,7 +120,13 @@ class FollowingTable:
         if self.initialize == "on_schedule":
             rows = rows.limit(0)
             now = dt.datetime(1, 1, 1)
-        replace_table(rows, self.name, location=self.location, properties={REFRESHED: clock(now).isoformat()})
+        replace_table(
+            rows,
+            self.name,
+            partition_by=self.loading.partition_by,
+            location=self.location,
+            properties={REFRESHED: clock(now).isoformat()},
+        )
 
     def due(self, spark: SparkSession, now: dt.datetime) -> bool:
         last = _property(spark, self.name, REFRESHED)
@@ -126,11 +141,16 @@ class FollowingTable:
         if not self.due(spark, now):
             return "skip"
         target = spark.table(self.name)
-        if self.incremental and not target.isEmpty():
-            load(newer_than_target(self.build(spark), target, self.watermark), self.name, self.loading)
-            spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{REFRESHED}' = '{now.isoformat()}')")
+        rows = self.build(spark)
+        if self.immutable_where is not None and not target.isEmpty():
+            rows = rows.filter(~is_true(as_condition(self.immutable_where)))
+        mark = target.agg(F.max(self.watermark)).first()[0] if self.incremental else None
+        if mark is not None:
+            recent = F.col(self.watermark) >= literal(mark - self.lookback, rows.schema[self.watermark].dataType)
+            load(rows.filter(recent), self.name, replace(self.loading, full_refresh=False))
+            set_properties(spark, self.name, **{REFRESHED: now.isoformat()})
             return "incremental"
-        replace_table(
-            self.build(spark), self.name, location=self.location, properties={REFRESHED: now.isoformat()}
-        )
+        if self.immutable_where is not None:
+            rows = target.filter(is_true(as_condition(self.immutable_where))).unionByName(rows)
+        replace_table(rows, self.name, properties={REFRESHED: now.isoformat()})
         return "full"

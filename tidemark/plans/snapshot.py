@@ -2,8 +2,7 @@
 
 The table is partitioned by the run that closed a version (``closed_in``; open versions carry 'open').  A run rewrites
 the open partition and adds one partition with what it closed, so its cost follows the open versions, never the whole
-history, and repeating a run replaces the same partitions.  Rows are written once: a dynamic overwrite moves its files
-in when the job is done, so it may read what it replaces.
+history.  A run with the clock of an earlier one keeps what that one closed.
 """
 
 from __future__ import annotations
@@ -14,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import clock
 from tidemark.operators import history as hist
-from tidemark.plans.load import _insert
-from tidemark.plans.publish import is_view, overwrite_mode, replace_table, table_exists
+from tidemark.plans.publish import has_partition, is_view, replace_table, table_exists, write_partitions
+from tidemark.session import cleaned_up, stage
 
 CLOSED_IN = "closed_in"
 OPEN = "open"
@@ -42,21 +41,50 @@ def take_snapshot(
         return
     if is_view(spark, table):
         raise ValueError(f"{table} is a view, not a history table")
-    history = spark.table(table)
-    moved = hist.advance(
-        history.filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN),
-        source,
-        cfg,
-        now,
-        ids=history,
-    )
-    known = set(history.columns)
+    with cleaned_up(spark):
+        history = spark.table(table)
+        moved = hist.advance(
+            history.filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN),
+            source,
+            cfg,
+            now,
+            closed=history.filter(F.col(CLOSED_IN) != OPEN),
+        )
+        _write(moved, table, cfg, label)
+
+
+def _write(moved: DataFrame, table: str, cfg: hist.Snapshot, label: str) -> None:
+    """Replace the open partition, and put the versions closed now into the run's own partition."""
+    spark = moved.sparkSession
+    known = set(spark.table(table).columns)
     added = [f for f in moved.schema.fields if f.name not in known]
     if added:
         declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
-    with overwrite_mode(spark, "dynamic"):
-        _insert(_labelled(moved, cfg, label), table, overwrite=True)
+    rows = _labelled(moved, cfg, label)
+    if has_partition(spark, table, **{CLOSED_IN: label}):
+        # An earlier run had the same clock: its versions stay, but for those that are closed again.
+        rows = stage(rows, "moved").frame
+        earlier = spark.table(table).filter(F.col(CLOSED_IN) == label)
+        again = rows.filter(F.col(CLOSED_IN) == label).select(cfg.meta.scd_id)
+        rows = rows.unionByName(earlier.join(again, cfg.meta.scd_id, "left_anti").select(rows.columns))
+    write_partitions(rows, table)
+
+
+def append_changes(
+    changes: DataFrame, table: str, cfg: hist.Snapshot, now: dt.datetime | None = None, location: str | None = None
+) -> None:
+    """Add a set of changes, several to a key, to a history table (see ``history.advance_by_changes``)."""
+    now = clock(now)
+    label = now.strftime("%Y%m%dT%H%M%S%f")
+    spark = changes.sparkSession
+    with cleaned_up(spark):
+        if not table_exists(spark, table):
+            empty = hist.first_build(changes.limit(0), cfg, now)
+            replace_table(_labelled(empty, cfg, label), table, partition_by=[CLOSED_IN], location=location)
+        history = spark.table(table)
+        current = history.filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN)
+        _write(hist.advance_by_changes(current, changes, cfg, now), table, cfg, label)
 
 
 def read_history(spark: SparkSession, table: str) -> DataFrame:

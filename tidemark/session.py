@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +24,12 @@ RECOMMENDED_CONF = {
 
 
 def local_session(cores: int | str = "*", app: str = "tidemark", **conf: str) -> SparkSession:
-    """A local session with the recommended settings, for tests and benchmarks."""
+    """A local session with the recommended settings, for tests and benchmarks.
+
+    ``spark.checkpoint.dir``, where intermediate results go, is a temporary folder unless ``conf`` names one.
+    """
     parallel = "8" if cores == "*" else str(cores)
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -47,7 +53,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every node can reach")
     root = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -59,6 +66,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Folders staged within the innermost ``cleaned_up`` block.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def cleaned_up(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside when the block ends, failed or not.  For work that returns no frame."""
+    token = _STAGED.set([])
+    try:
+        yield
+    finally:
+        staged = _STAGED.get()
+        _STAGED.reset(token)
+        for path in staged:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class Staged:
     """A result written once, so several statements can read it without computing it again."""
@@ -75,5 +105,7 @@ def stage(df: DataFrame, label: str = "stage", partition_by: Sequence[str] = ())
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if (open_ := _STAGED.get()) is not None:
+        open_.append(path)
     (df.hint("rebalance", *partition_by) if partition_by else df).write.parquet(path, partitionBy=list(partition_by))
     return Staged(spark.read.schema(df.schema).parquet(path), path)

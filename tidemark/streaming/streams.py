@@ -1,23 +1,33 @@
 """Continuous loading with Structured Streaming.
 
-Every stream keeps its progress in a checkpoint folder, and every sink is idempotent per micro-batch, so a lost
+Every stream keeps its progress in a checkpoint folder, and every sink can take a micro-batch again, so a lost
 executor or a restarted driver repeats work without repeating rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.dates import as_time, date_trunc, dateadd
+from tidemark.functions.dates import as_instant, as_time, as_utc, date_trunc, dateadd
 from tidemark.operators.history import Snapshot
+from tidemark.operators.keys import as_condition
 from tidemark.operators.latest import latest_per_key
-from tidemark.plans.load import Load, _insert, load
-from tidemark.plans.publish import overwrite_mode, table_exists
-from tidemark.plans.snapshot import take_snapshot
+from tidemark.plans.load import Load, load
+from tidemark.plans.publish import (
+    clear_partitions,
+    set_properties,
+    shape,
+    table_exists,
+    write_partitions,
+)
+from tidemark.plans.snapshot import append_changes
+from tidemark.session import cleaned_up, stage
 
 
 def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -59,24 +69,62 @@ def append_stream(
     return writer.outputMode("append").start()
 
 
+#: Rules whose result is the same when a micro-batch is merged twice.
+REPEATABLE = ("replace", "coalesce", "append_distinct")
+
+
 def upsert_stream(
     stream: DataFrame,
     table: str,
     cfg: Load,
-    order_by: Sequence[Column],
+    order_by: Sequence[str],
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Merge each micro-batch into a table by key, newest row per key first.
+    """Merge each micro-batch into a table by key, the newest row of each key by the ``order_by`` columns.
 
-    Repeating a micro-batch merges the same rows again, which changes nothing.
+    A row that is older than the table's by the same columns changes nothing, so deliveries may come out of order.  The table's
+    properties name the last micro-batch that was merged, and a repeated one is skipped.  One that was begun but not recorded is
+    merged again, unless its rules (sums, appends) would count it twice: that is an error, to be settled by hand.
+    A full refresh rebuilds the table with the first micro-batch.  Plain-file tables must be partitioned: every
+    micro-batch would rewrite the whole table.
     """
     key = [cfg.unique_key] if isinstance(cfg.unique_key, str) else list(cfg.unique_key or ())
     if not key:
         raise ValueError("an upsert stream needs a unique key")
+    if not order_by or not all(isinstance(c, str) for c in order_by):
+        raise ValueError("an upsert stream needs the names of the columns that order a key's rows, the greatest being the newest")
+    if not cfg.partition_by and cfg.file_format in ("parquet", "orc", "json", "csv", "text"):
+        raise ValueError("an upsert stream rewrites partitions; partition the table, for example by partitions.hash_bucket")
+    newest = [F.desc(c) for c in order_by]
+    later = " OR ".join(
+        "(" + " AND ".join([*(f"batch.`{p}` <=> target.`{p}`" for p in order_by[:i]), f"batch.`{c}` > target.`{c}`"]) + ")"
+        for i, c in enumerate(order_by)
+    )
+    equal = " AND ".join(f"batch.`{c}` <=> target.`{c}`" for c in order_by)
+    not_older = F.expr(f"({later}) OR ({equal})") | F.col(f"target.`{order_by[0]}`").isNull()
+    wanted = as_condition(cfg.update_condition)
+    rules = [cfg.default_rule, *(cfg.rules or {}).values()]
+    repeatable = all(rule in REPEATABLE for rule in rules)
+    # Sums and appends take late rows in; only replacements go by age.
+    if repeatable:
+        wanted = not_older if wanted is None else wanted & not_older
+    cfg = replace(cfg, update_condition=wanted)
+    mark = "tidemark.stream." + hashlib.md5(checkpoint.encode()).hexdigest()
 
-    def handle(batch: DataFrame, _: int) -> None:
-        load(latest_per_key(batch, key, order_by), table, cfg)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        found = shape(spark, table).properties if table_exists(spark, table) else {}
+        if int(found.get(f"{mark}.done", -1)) >= batch_id:
+            return
+        if int(found.get(f"{mark}.begun", -1)) >= batch_id and not repeatable:
+            raise RuntimeError(f"micro-batch {batch_id} may be in {table} already, and its rules would count it twice")
+        if found:
+            set_properties(spark, table, **{f"{mark}.begun": str(batch_id)})
+        settings = cfg if batch_id == 0 else replace(cfg, full_refresh=False)
+        rows = latest_per_key(batch, key, newest) if repeatable else batch
+        load(rows, table, settings)
+        set_properties(spark, table, **{f"{mark}.done": str(batch_id)})
 
     return _start(stream, table, handle, checkpoint, every)
 
@@ -110,11 +158,13 @@ def windowed_stream(
         rows = source(spark).filter((F.col(event_time) >= low) & (F.col(event_time) < dateadd(size, 1, high)))
         rows = rows.withColumn(column, date_trunc(size, F.col(event_time))).join(touched, column, "left_semi")
         result = transform(rows)
-        if table_exists(spark, table):
-            with overwrite_mode(spark, "dynamic"):
-                _insert(result, table, overwrite=True)
-        else:
+        if not table_exists(spark, table):
             load(result, table, Load(strategy="insert_overwrite", partition_by=[column], location=location))
+            return
+        with cleaned_up(spark):
+            concerned = stage(touched.select(F.col(column).cast("string")), "touched").frame
+            written = set(write_partitions(result, table))
+            clear_partitions(spark, table, [tuple(v) for v in concerned.toLocalIterator() if tuple(v) not in written])
 
     return _start(stream, table, handle, checkpoint, every)
 
@@ -131,13 +181,14 @@ def tumbling(
 
     The watermark lets Spark forget finished windows, so the state is bounded by the delay, not by the stream.
     """
-    timed = stream.withColumn("_time", F.col(event_time).cast("timestamp")).withWatermark("_time", delay)
+    moment = as_instant(F.col(event_time), stream.schema[event_time].dataType)
+    timed = stream.withColumn("_time", moment).withWatermark("_time", delay)
     grouped = timed.groupBy(F.window("_time", width).alias("_w"), *by).agg(
         *[measure.alias(name) for name, measure in measures.items()]
     )
     bounds = [
-        F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("_w.end").cast("timestamp_ntz").alias("window_end"),
+        as_utc(F.col("_w.start"), T.TimestampType()).alias("window_start"),
+        as_utc(F.col("_w.end"), T.TimestampType()).alias("window_end"),
     ]
     return grouped.select(*bounds, *by, *measures)
 
@@ -154,14 +205,18 @@ def history_stream(
 ) -> StreamingQuery:
     """Keep a type-2 history of a change stream.
 
-    A micro-batch holds changes, not the whole source, so keys missing from it are never taken as deleted.
+    Every change in a micro-batch becomes a version, so the history does not depend on how the stream was cut; of rows
+    with one key and one change time the newest by ``order_by`` counts.  Without a change time (checks by the clock) a
+    micro-batch has one change of a key, also the newest.  A micro-batch holds changes, not the whole source, so keys
+    missing from it are never taken as deleted.
     """
     if cfg.hard_deletes != "ignore":
         raise ValueError("a change stream cannot tell deletions; use hard_deletes='ignore'")
     key = [cfg.key] if isinstance(cfg.key, str) else list(cfg.key)
+    times = [cfg.strategy.updated_at] if cfg.strategy.updated_at is not None else []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         moment = clock_of(batch_id) if clock_of is not None else None
-        take_snapshot(latest_per_key(batch, key, order_by), table, cfg, moment, location)
+        append_changes(latest_per_key(batch, [*key, *times], order_by), table, cfg, moment, location)
 
     return _start(stream, table, handle, checkpoint, every)
