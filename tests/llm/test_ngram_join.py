@@ -90,12 +90,27 @@ def test_other_thresholds(spark, percent):
 @pytest.mark.parametrize("edits", [2, 9])
 def test_hot_columns(spark, monkeypatch, edits):
     monkeypatch.setattr(ngram_join, "HOT", 10)
-    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 2_000)
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 12_000)
     rows = corpus(3, 2, 60, 100, edits) + corpus(4, 10, 3, 80, 3)
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
     assert found(spark, rows) == brute(rows)
 
 
+def test_hot_columns_in_one_tile(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT", 10)
+    rows = [(i, t) for i, (_, t) in enumerate(corpus(5, 3, 40, 100, 6) + corpus(6, 10, 3, 80, 3))]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_words_of_long_texts_are_hashed_alike(monkeypatch):
+    rng = random.Random(8)
+    text = "".join(rng.choice("ab Ã\n\tZ") for _ in range(4000)) + " " + "w" * 3000 + " b"
+    whole = ngram_join.Grams(3)(text)
+    monkeypatch.setattr(ngram_join, "STRETCH", 100)
+    assert ngram_join.Grams(3)(text).tolist() == whole.tolist()
+    assert len(whole) == len(grams(text))
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
 

@@ -8,10 +8,12 @@ for each n-gram.  Its product with its own transpose counts overlaps.  Only a pa
 2. *Prefixes.*  Two sets that link share a column among the first n - ceil(t * n) + 1 of either (its *prefix*).
 3. *Product.*  Prefix columns that at least two nodes hold are multiplied column by column.  Pairs of nodes accumulate
    their shared columns; pairs whose sizes differ too much, or whose count and remaining columns can't reach the
-   overlap that both sizes ask for, are discarded.  The others' full overlaps are counted.
-4. *Hot columns*, held by more than HOT nodes, are not multiplied one by one.  Nodes that hot columns connect form
-   clusters.  A cluster's nodes are compared with its leader; those that don't link with it form dense tiles with one
-   another and with the rest, and a tile returns a spanning forest of its links, never its pairs.
+   overlap that both sizes ask for, are discarded.  *Hot columns*, held by more than HOT nodes, are not multiplied; they only
+   connect their nodes.
+4. *Blocks.*  Nodes that pairs or hot columns connect form clusters.  The whole rows of a cluster are multiplied in one
+   tile of bounded weight.  In larger clusters, pairs are verified one by one, and nodes of hot columns are compared with their
+   cluster's leader; those that don't link with it form tiles with one another and with the rest.  A tile accumulates
+   overlaps over blocks of columns and returns a spanning forest of its links, never its pairs.
 5. *Components* of all links.
 
 Sets are of 64-bit hashes of n-grams.  Copies never multiply: only nodes take part.
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks
+from tidemark.llm.common import chunks, free_name
 from tidemark.llm.graph import components
 from tidemark.session import stage
 
@@ -42,8 +44,8 @@ from tidemark.session import stage
 CELLS, PARTS = 1 << 20, 64
 #: Nodes of a column from which on it is hot.
 HOT = 128
-#: N-grams of a block of a tile, about, and columns that are multiplied at once.
-BLOCK_GRAMS, BLOCK_COLUMNS = 400_000, 2_048
+#: Weight of a block of a tile: its n-grams, and so much for each node; and columns that are multiplied at once.
+BLOCK_WEIGHT, NODE_WEIGHT, BLOCK_COLUMNS = 4_000_000, 1_000, 2_048
 #: Bits of the filter for the nodes whose whole sets are needed.
 FILTER_BITS = 1 << 23
 
@@ -54,23 +56,60 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Bytes of text that are hashed at once, unless a single word is longer.
+STRETCH = 1 << 20
+
+_ODD = 0x9E3779B97F4A7C15
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_VALUE = np.random.default_rng(20_240_607).integers(1, 1 << 63, 256, dtype=np.uint64)
+_VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]  # letters A-Z are lower-cased
+
+
 class Grams:
-    """Distinct n-gram hashes of texts; remembers the hashes of words."""
+    """Distinct n-gram hashes of texts.
+
+    A word's hash is a polynomial of its bytes' values: differences of running sums, moved back to the power 0, so
+    all words of a text are hashed at once.
+    """
 
     def __init__(self, n: int):
-        self.n, self.known = n, {}
+        self.n = n
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _grow(self, size: int) -> None:
+        if size > len(self.powers):
+            size = max(size, 2 * len(self.powers))
+            steps = [np.full(size, x, np.uint64) for x in (_ODD, pow(_ODD, -1, 1 << 64))]
+            for step in steps:
+                step[0] = 1
+            self.powers, self.inverse = (np.multiply.accumulate(step) for step in steps)
+
+    def words(self, raw: np.ndarray) -> np.ndarray:
+        """Hashes of the words of some bytes, in order."""
+        if len(raw) > STRETCH:
+            # Cut at the first blank behind each stretch.
+            blanks = np.flatnonzero(_BLANK[raw])
+            at = np.searchsorted(blanks, np.arange(STRETCH, len(raw), STRETCH))
+            cuts = [0, *np.unique(blanks[at[at < len(blanks)]]).tolist(), len(raw)]
+            if len(cuts) > 2:
+                return np.concatenate([self._hash(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:])])
+        return self._hash(raw)
+
+    def _hash(self, raw: np.ndarray) -> np.ndarray:
+        self._grow(len(raw))
+        inside = np.zeros(len(raw) + 2, np.int8)
+        inside[1:-1] = ~_BLANK[raw]
+        edges = np.flatnonzero(np.diff(inside))
+        starts, ends = edges[::2], edges[1::2]
+        terms = _VALUE[raw] * self.powers[: len(raw)]
+        sums = np.cumsum(terms)
+        total = (sums[ends - 1] - sums[starts] + terms[starts]) * self.inverse[starts]
+        return _mixed(total + (ends - starts).astype(np.uint64))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII white space parts
-        if not words:
+        h = self.words(np.frombuffer((text or "").encode(), np.uint8))
+        if not len(h):
             return np.zeros(0, np.int64)
-        known, hashed = self.known, xxhash.xxh64_intdigest
-        if len(known) > 500_000:
-            known.clear()
-        h = np.fromiter(
-            [known[w] if w in known else known.setdefault(w, hashed(w)) if len(w) < 64 else hashed(w) for w in words],
-            np.uint64, len(words),
-        )
         n = min(self.n, len(h))
         total = np.full(len(h) - n + 1, n, np.uint64)
         for i in range(n):
@@ -78,7 +117,6 @@ class Grams:
         return np.unique(total.view(np.int64))
 
 
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
@@ -150,34 +188,48 @@ def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Data
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, n: int, nodes: DataFrame) -> DataFrame:
-    """(node, n, grams) of at least the given nodes: a filter of fixed size lets few others through."""
-    at = F.pmod("node", F.lit(FILTER_BITS))
-    bits = nodes.select(F.shiftright(at, 6).alias("i"), F.expr("shiftleft(1L, cast(pmod(node, 64) as int))").alias("b"))
-    rows = bits.groupBy("i").agg(F.bit_or("b").alias("b")).collect()  # FILTER_BITS / 64 rows at most
+def _place(node: int, doc_id) -> int:
+    """The bit of a node's row in the filter."""
+    return xxhash.xxh64_intdigest(f"{node} {doc_id}") % FILTER_BITS
+
+
+def _sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
+    """(node, grams) of the ``wanted`` nodes (node, doc_id).
+
+    Only the row with a node's smallest id gives its set; a filter of fixed size lets few other rows through.
+    """
+
+    def places(batches):
+        for batch in batches:
+            at = {_place(x, d) for x, d in zip(batch.column("node").to_pylist(), batch.column("doc_id").to_pylist())}
+            yield pa.RecordBatch.from_arrays([pa.array(list(at), pa.int64())], names=["at"])
+
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    bits = wanted.select("node", "doc_id").mapInArrow(places, "at bigint").groupBy(F.shiftright("at", 6).alias("i"))
+    rows = bits.agg(F.bit_or(bit).alias("b")).collect()  # FILTER_BITS / 64 rows at most
     words = np.zeros(FILTER_BITS // 64, np.int64)
     for r in rows:
         words[r.i] = r.b
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        grams, wanted = Grams(n), shared.value
-        for _, texts in _texts(batches):
+        grams, filter_ = Grams(n), shared.value
+        for part, texts in _texts(batches):
             nodes, sets = [], []
-            for text in texts:
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                 g = grams(text)
                 if len(g):
                     node = _signed(xxhash.xxh64_intdigest(g.tobytes()))
-                    bit = node % FILTER_BITS
-                    if (int(wanted[bit >> 6]) >> (bit & 63)) & 1:
+                    at = _place(node, doc_id)
+                    if (int(filter_[at >> 6]) >> (at & 63)) & 1:
                         nodes.append(node)
                         sets.append(g)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "grams"]
             )
 
-    found = docs.select("text").mapInArrow(run, "node bigint, grams array<bigint>")
-    return found.dropDuplicates(["node"]).join(nodes, "node", "left_semi")
+    found = docs.mapInArrow(run, "node bigint, grams array<bigint>")
+    return found.dropDuplicates(["node"]).join(wanted.select("node"), "node", "left_semi")
 
 
 def _reaches(overlap: Column, x: Column, y: Column, percent: int) -> Column:
@@ -247,68 +299,95 @@ def _forest(x: np.ndarray, y: np.ndarray, link: np.ndarray) -> list[tuple[int, i
     return [(int(a), int(b)) for a, b in zip([*x, *y], [*nx, *ny]) if a != b]
 
 
-def _hot_links(columns: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(a, b): edges that connect what hot columns' pairs connect."""
-    hot = columns.where("hot")
-    if hot.isEmpty():
-        return None
-    leaders = hot.groupBy("gram").agg(F.min("node").alias("b"))
-    star = hot.join(leaders, "gram").select(F.col("node").alias("a"), "b").distinct()
-    member = components(star).select("node", F.col("root").alias("cluster"))
-    members = stage(member.join(sets, "node").withColumn("n", F.size("grams")), "clusters").frame
+def _cluster_links(placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): edges that connect what the links within each cluster connect.  ``placed``: (cluster, node, grams), a tile each."""
+
+    def multiply(tile: pd.DataFrame) -> pd.DataFrame:
+        nodes, grams = tile.node.to_numpy(), [np.asarray(g) for g in tile.grams]
+        return _edges(nodes, grams, nodes, grams, percent)
+
+    return placed.select("cluster", "node", "grams").groupBy("cluster").applyInPandas(multiply, "a bigint, b bigint")
 
-    # Members that link with their cluster's leader need no comparison among themselves.
-    to_leader = members.where("node != cluster").select(F.col("node").alias("a"), F.col("cluster").alias("b"))
+
+def _edges(x: np.ndarray, gx: list, y: np.ndarray, gy: list, percent: int) -> pd.DataFrame:
+    sizes = [np.array([len(g) for g in side]) for side in (gx, gy)]
+    enough = _tile(gx, gy) * (100 + percent) >= (sizes[0][:, None] + sizes[1][None, :]) * percent
+    return pd.DataFrame(_forest(x, y, enough), columns=["a", "b"], dtype="int64")
+
+
+def _large_cluster_links(members: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The same for clusters of any size.  ``members``: (node, cluster, hot, weight).
+
+    Pairs that share cold columns are verified one by one.  Nodes of hot columns that link with their cluster's leader
+    need no comparison among themselves; the others form tiles with one another and with those.
+    """
+    links = _linked(pairs, sets, percent)
+    hot = members.where("hot")
+    leaders = hot.groupBy("cluster").agg(F.min("node").alias("leader"))
+    led = hot.join(leaders, "cluster")
+    to_leader = led.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     main = stage(_linked(to_leader, sets, percent), "links").frame
-    near = main.select(F.col("a").alias("node"), F.lit(True).alias("near"))
-    leader = members.where("node = cluster").select("node", F.lit(True).alias("near"))
-    flagged = members.join(near.union(leader), "node", "left").withColumn("near", F.coalesce("near", F.lit(False)))
-    amounts = flagged.groupBy("cluster", "near").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).alias("blocks"))
-    far_blocks = amounts.where("not near").select("cluster", F.col("blocks").alias("far"))
-    near_blocks = amounts.where("near").select("cluster", F.col("blocks").alias("main"))
-    known = (
-        flagged.join(far_blocks, "cluster")  # clusters whose members all link with the leader are done
-        .join(near_blocks, "cluster")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("near"), F.col("main")).otherwise(F.col("far"))))
+    near = main.select(F.col("a").alias("node")).withColumn("near", F.lit(True))
+    flagged = led.join(near, "node", "left").withColumn("near", F.coalesce("near", F.col("node") == F.col("leader")))
+    blocks = flagged.groupBy("cluster").agg(
+        *[
+            F.ceil(F.sum(F.when(F.col("near") == is_near, F.col("weight"))) / BLOCK_WEIGHT).alias(name)
+            for name, is_near in (("main", True), ("far", False))
+        ]
+    )
+    known = flagged.join(blocks.where("far is not null"), "cluster").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.when(F.col("near"), F.col("main")).otherwise(F.col("far")))
     )
+
+    def numbers(n: str) -> Column:
+        return F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+
+    def tile(i: Column, with_near: bool, j: Column) -> Column:
+        return F.struct(i.alias("i"), F.lit(with_near).alias("with_near"), j.alias("j"))
+
     # A far block meets every near block, and every far block once.
-    others = F.sequence(F.lit(0).cast("bigint"), F.col("far") - 1)
-    as_near = F.transform(others, lambda i: F.struct(i.alias("i"), F.lit(True).alias("with_near"), F.col("block").alias("j")))
+    as_near = F.transform(numbers("far"), lambda i: tile(i, True, F.col("block")))
     as_far = F.concat(
-        F.transform(
-            others,
-            lambda i: F.struct(
-                F.least(i, F.col("block")).alias("i"), F.lit(False).alias("with_near"), F.greatest(i, F.col("block")).alias("j")
-            ),
-        ),
-        F.transform(
-            F.sequence(F.lit(0).cast("bigint"), F.col("main") - 1),
-            lambda j: F.struct(F.col("block").alias("i"), F.lit(True).alias("with_near"), j.alias("j")),
-        ),
+        F.transform(numbers("far"), lambda i: tile(F.least(i, F.col("block")), False, F.greatest(i, F.col("block")))),
+        F.transform(numbers("main"), lambda j: tile(F.col("block"), True, j)),
     )
-    placed = known.select(
-        "cluster", "node", "near", "block", "grams", F.explode(F.when(F.col("near"), as_near).otherwise(as_far)).alias("t")
-    ).select("cluster", "t.*", "node", "near", "block", "grams")
-
-    def multiply(tile: pd.DataFrame) -> pd.DataFrame:
-        first = tile.iloc[0]
-        tile = tile.sort_values("node")
-        if first.with_near:
-            x, y = tile[~tile.near], tile[tile.near]
-        else:
-            x, y = tile[tile.block == first.i], tile[tile.block == first.j]
+    tiles = F.explode(F.when(F.col("near"), as_near).otherwise(as_far)).alias("t")
+    placed = known.join(sets, "node").select("cluster", "node", "near", "block", "grams", tiles)
+    placed = placed.select("cluster", "t.*", "node", "near", "block", "grams")
+
+    def multiply(part: pd.DataFrame) -> pd.DataFrame:
+        first = part.iloc[0]
+        x = part[(~part.near) & (part.block == first.i)]
+        y = part[part.near] if first.with_near else part[part.block == first.j]
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        sets = [[np.asarray(g) for g in side.grams] for side in (x, y)]
-        sizes = [np.array([len(g) for g in side]) for side in sets]
-        enough = _tile(*sets) * (100 + percent) >= (sizes[0][:, None] + sizes[1][None, :]) * percent
-        if not first.with_near and first.i == first.j:
-            np.fill_diagonal(enough, False)
-        edges = _forest(x.node.to_numpy(), y.node.to_numpy(), enough)
-        return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+        gx, gy = ([np.asarray(g) for g in side.grams] for side in (x, y))
+        return _edges(x.node.to_numpy(), gx, y.node.to_numpy(), gy, percent)
 
-    tiles = placed.groupBy("cluster", "i", "with_near", "j").applyInPandas(multiply, "a bigint, b bigint")
-    return main.union(tiles)
+    product = placed.groupBy("cluster", "i", "with_near", "j").applyInPandas(multiply, "a bigint, b bigint")
+    return links.union(main).union(product)
+
+
+def _links(docs: DataFrame, n: int, columns: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
+    """(a, b): edges that connect what all links connect."""
+    pairs = stage(_pairs(columns, percent), "pairs").frame
+    hot = columns.where("hot")
+    leaders = hot.groupBy("gram").agg(F.min("node").alias("b"))
+    stars = hot.join(leaders, "gram").select(F.col("node").alias("a"), "b").distinct()
+    clusters = components(pairs.union(stars))
+    about = columns.groupBy("node").agg(F.max("hot").alias("hot"), (F.max("n") + NODE_WEIGHT).alias("weight"))
+    members = clusters.join(about, "node").join(ids, "node").withColumnRenamed("root", "cluster")
+    total = members.groupBy("cluster").agg(F.sum("weight").alias("total"))
+    members = stage(members.join(total, "cluster"), "members").frame
+    placed = _sets(docs, n, members).join(members.select("node", "cluster", "total"), "node")
+    large = members.where(F.col("total") > BLOCK_WEIGHT)
+    if large.isEmpty():
+        return _cluster_links(placed, percent)
+    placed = stage(placed, "sets").frame
+    sets = placed.where(F.col("total") > BLOCK_WEIGHT).select("node", "grams")
+    inside = pairs.join(large.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b")
+    links = _cluster_links(placed.where(F.col("total") <= BLOCK_WEIGHT), percent)
+    return links.union(_large_cluster_links(large, inside, sets, percent))
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -328,12 +407,9 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     columns = entries.join(repeated, "gram").select("gram", "node", "n", "at", (F.col("held") > HOT).alias("hot"))
     columns = stage(columns, "columns").frame
 
-    sets = stage(_sets(docs, n, columns.select("node").distinct()), "sets").frame
-    links = _linked(_pairs(columns, percent), sets, percent)
-    from_hot = _hot_links(columns, sets, percent)
-    roots = components(links if from_hot is None else links.union(from_hot))
-
     ids = known.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    roots = components(_links(docs, n, columns, ids.select("node", F.col("least").alias("doc_id")), percent))
+
     grouped = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     return (
@@ -345,3 +421,17 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
             F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
     )
+
+
+def one_of_each_group(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each component: that with the smallest key, nulls first.
+
+    Rows get numbers of their own, written once with the rows, so repeated or null keys do no harm.
+    """
+    row = free_name("row", [*df.columns, "doc_id", "text"])
+    numbered = stage(df.withColumn(row, F.monotonically_increasing_id()), "numbered").frame
+    texts = numbered.select(F.col(row).alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    groups = join(texts, n, percent).select(F.col("doc_id").alias(row), "component_id")
+    first = F.min(F.struct(F.col(f"`{key}`").alias("key"), F.col(row).alias("row")))["row"].alias(row)
+    kept = groups.join(numbered.select(row, f"`{key}`"), row).groupBy("component_id").agg(first)
+    return numbered.join(kept.select(row), row, "left_semi").drop(row)
