@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import with_text_columns
+from tidemark.llm.common import free_name, with_text_columns
 
 #: Labelled rows that are fitted, at most, and characters of each.
 FIT_ROWS = 6_000
@@ -247,3 +247,15 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
         return lambda texts: [run(texts)]
 
     return with_text_columns(df, text, [("score", T.DoubleType())], start, keep)
+
+
+def reject(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text is not toxic."""
+
+    def start():
+        run = model.scorer()
+        return lambda texts: [[x >= TOXIC for x in run(texts)]]
+
+    toxic = free_name("toxic", df.columns)
+    judged = with_text_columns(df, text, [(toxic, T.BooleanType())], start, df.columns)
+    return judged.where(~F.col(toxic)).drop(toxic)
