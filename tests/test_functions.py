@@ -149,17 +149,19 @@ def test_equals_with_nulls(spark):
     assert got == [(True, True), (False, False), (None, False), (None, False), (None, True)]
 
 
-LISTED = [(1, "a", 1), (1, "b", 2), (1, "c", 3), (2, "a", 2), (2, "1", 1), (2, "p", 3), (3, "g", 1), (3, "g", 2), (3, "g", 3)]
+LISTED = [
+    (1, "sand", 3), (1, "clay", 1), (1, "silt", 2), (2, "9", 1), (2, "10", 2), (3, "ice", 5), (3, "ice", 4), (3, None, 6),
+]
 
 
 @pytest.mark.parametrize(
     "settings_, expected",
     [
-        ({"delimiter": "_|_", "ordered": True}, ["a_|_b_|_c", "1_|_a_|_p", "g_|_g_|_g"]),
-        ({"delimiter": "_|_", "ordered": True, "limit": 2}, ["a_|_b", "1_|_a", "g_|_g"]),
-        ({"delimiter": ", "}, ["a, b, c", "1, a, p", "g, g, g"]),
-        ({"distinct": True}, ["a,b,c", "1,a,p", "g"]),
-        ({}, ["a,b,c", "1,a,p", "g,g,g"]),
+        ({"delimiter": " / ", "ordered": True}, ["clay / silt / sand", "9 / 10", "ice / ice"]),
+        ({"delimiter": " / ", "ordered": True, "limit": 2}, ["clay / silt", "9 / 10", "ice / ice"]),
+        ({"delimiter": ";"}, ["clay;sand;silt", "10;9", "ice;ice"]),
+        ({"distinct": True}, ["clay,sand,silt", "10,9", "ice"]),
+        ({}, ["clay,sand,silt", "10,9", "ice,ice"]),
     ],
 )
 def test_listagg(spark, settings_, expected):
@@ -180,13 +182,13 @@ def test_listagg_keeps_one_hot_group_whole_and_ordered(spark):
 
 def test_bool_or_and_any_value(spark):
     df = spark.createDataFrame(
-        [("abc", 1, 1), ("abc", 1, 0), ("def", 1, 0), ("hij", 1, 1), ("hij", 1, None), ("klm", 1, 0), ("klm", 1, None)],
+        [("buoy", 4, 4), ("buoy", 4, 5), ("dune", 2, 3), ("reef", 8, None), ("reef", 8, 8), ("weir", 6, None), ("weir", 6, 7)],
         "k string, a int, b int",
     )
     got = df.groupBy("k").agg(
         aggregates.bool_or(F.col("a") == F.col("b")).alias("v"), aggregates.any_value(F.col("a")).alias("s")
     )
-    assert rows(got) == [("abc", True, 1), ("def", False, 1), ("hij", True, 1), ("klm", False, 1)]
+    assert rows(got) == [("buoy", True, 4), ("dune", False, 2), ("reef", True, 8), ("weir", False, 6)]
 
 
 def test_sum_positive_of_nothing_is_zero(spark):
