@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 #: Texts of about this many characters are worked on at once inside a task.
 BATCH_CHARS = 4_000_000
 
+#: Bits of the filters that tell which rows may be concerned.
+FILTER_BITS = 1 << 23
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -56,6 +60,33 @@ def chunks(table: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield table.slice(start)
 
 
+def concerned(df: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` (a hash, bigint) is in ``wanted`` and few others, and the rest.
+
+    A filter of fixed size decides, so nothing is shuffled; as it fills, it lets more other rows through.
+    """
+    at = F.pmod(key, F.lit(FILTER_BITS))
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    bits = wanted.select(at.alias("at")).select(F.shiftright("at", 6).alias("i"), bit.alias("b"))
+    rows = bits.groupBy("i").agg(F.bit_or("b").alias("b")).collect()  # FILTER_BITS / 64 rows at most
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in rows:
+        words[r.i] = r.b
+    shared = df.sparkSession.sparkContext.broadcast(words)
+
+    def chosen(inside: bool) -> DataFrame:
+        def run(batches):
+            words = shared.value
+            for batch in batches:
+                bit = batch.column(key).to_numpy() % FILTER_BITS
+                hit = ((words[bit >> 6] >> (bit & 63)) & 1).astype(bool)
+                yield batch.filter(pa.array(hit == inside))
+
+        return df.mapInArrow(run, df.schema)
+
+    return chosen(True), chosen(False)
+
+
 def with_text_columns(
     df: DataFrame, text: str, added: Sequence[tuple[str, T.DataType]], fn: Callable[[], Callable], keep: Sequence[str]
 ) -> DataFrame:

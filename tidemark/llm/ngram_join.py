@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, free_name
+from tidemark.llm.common import FILTER_BITS, chunks, concerned, free_name
 from tidemark.llm.graph import components
 from tidemark.session import stage
 
@@ -46,8 +46,6 @@ CELLS, PARTS = 1 << 20, 64
 HOT = 128
 #: Weight of a block of a tile: its n-grams, and so much for each node; and columns that are multiplied at once.
 BLOCK_WEIGHT, NODE_WEIGHT, BLOCK_COLUMNS = 4_000_000, 1_000, 2_048
-#: Bits of the filter for the nodes whose whole sets are needed.
-FILTER_BITS = 1 << 23
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -162,7 +160,7 @@ def _least_overlap(size: np.ndarray | int, percent: int):
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, node, n_shingles, prefix): prefix columns in the global order."""
+    """(doc_id, t, node, n_shingles, prefix): the text's hash, and prefix columns in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # CELLS counts
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -178,14 +176,14 @@ def _prefixes(docs: DataFrame, n: int, percent: int, sketch: np.ndarray) -> Data
                 prefixes.append(g[order[: len(g) - _least_overlap(len(g), percent) + 1]] if len(g) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                    part.column("doc_id"), part.column("t"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "node", "n_shingles", "prefix"],
+                names=["doc_id", "t", "node", "n_shingles", "prefix"],
             )
 
-    schema = f"doc_id {id_type}, node bigint, n_shingles bigint, prefix array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"doc_id {id_type}, t bigint, node bigint, n_shingles bigint, prefix array<bigint>"
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text").mapInArrow(run, schema)
 
 
 def _place(node: int, doc_id) -> int:
@@ -265,24 +263,31 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_reaches(overlap, F.size("ga"), F.size("gb"), percent)).select("a", "b")
 
 
-def _tile(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """Overlaps of all rows of two blocks, accumulated over blocks of columns."""
-    sizes = [len(s) for s in (*x, *y)]
-    columns, at = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+def _tile(x: list[np.ndarray], y: list[np.ndarray] | None = None) -> np.ndarray:
+    """Overlaps of all rows of two blocks, or of one with itself, accumulated over blocks of columns."""
+    rows = x if y is None else [*x, *y]
+    sizes = [len(s) for s in rows]
+    columns, at = np.unique(np.concatenate(rows), return_inverse=True)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    below = row < len(x)
-    shared = (np.bincount(at[below], minlength=len(columns)) > 0) & (np.bincount(at[~below], minlength=len(columns)) > 0)
+    if y is None:
+        shared = np.bincount(at) > 1
+    else:
+        first = row < len(x)
+        shared = (np.bincount(at[first], minlength=len(columns)) > 0) & (np.bincount(at[~first], minlength=len(columns)) > 0)
     number = np.cumsum(shared) - 1
     keep = shared[at]
     at, row = number[at[keep]], row[keep]
     order = np.argsort(at, kind="stable")
     at, row = at[order], row[order]
-    total = np.zeros((len(x), len(y)), np.float32)
-    for first in range(0, int(shared.sum()), BLOCK_COLUMNS):
-        s, e = np.searchsorted(at, [first, first + BLOCK_COLUMNS])
-        block = np.zeros((len(sizes), min(BLOCK_COLUMNS, int(shared.sum()) - first)), np.float32)
-        block[row[s:e], at[s:e] - first] = 1
-        total += block[: len(x)] @ block[len(x) :].T
+    width = int(shared.sum())
+    total = np.zeros((len(x), len(x if y is None else y)), np.float32)
+    for start in range(0, width, BLOCK_COLUMNS):
+        s, e = np.searchsorted(at, [start, start + BLOCK_COLUMNS])
+        block = np.zeros((len(sizes), min(BLOCK_COLUMNS, width - start)), np.float32)
+        block[row[s:e], at[s:e] - start] = 1
+        total += block @ block.T if y is None else block[: len(x)] @ block[len(x) :].T
+    if y is None:
+        np.fill_diagonal(total, sizes)
     return total.astype(np.int64)
 
 
@@ -304,15 +309,16 @@ def _cluster_links(placed: DataFrame, percent: int) -> DataFrame:
 
     def multiply(tile: pd.DataFrame) -> pd.DataFrame:
         nodes, grams = tile.node.to_numpy(), [np.asarray(g) for g in tile.grams]
-        return _edges(nodes, grams, nodes, grams, percent)
+        return _edges(nodes, grams, None, None, percent)
 
     return placed.select("cluster", "node", "grams").groupBy("cluster").applyInPandas(multiply, "a bigint, b bigint")
 
 
-def _edges(x: np.ndarray, gx: list, y: np.ndarray, gy: list, percent: int) -> pd.DataFrame:
-    sizes = [np.array([len(g) for g in side]) for side in (gx, gy)]
+def _edges(x: np.ndarray, gx: list, y: np.ndarray | None, gy: list | None, percent: int) -> pd.DataFrame:
+    """Spanning edges of the links between two blocks of nodes, or within one."""
+    sizes = [np.array([len(g) for g in side]) for side in (gx, gx if gy is None else gy)]
     enough = _tile(gx, gy) * (100 + percent) >= (sizes[0][:, None] + sizes[1][None, :]) * percent
-    return pd.DataFrame(_forest(x, y, enough), columns=["a", "b"], dtype="int64")
+    return pd.DataFrame(_forest(x, x if y is None else y, enough), columns=["a", "b"], dtype="int64")
 
 
 def _large_cluster_links(members: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -390,12 +396,8 @@ def _links(docs: DataFrame, n: int, columns: DataFrame, ids: DataFrame, percent:
     return links.union(_large_cluster_links(large, inside, sets, percent))
 
 
-def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each document.
-
-    Two documents link when their sets' intersection is at least ``percent`` hundredths of the union; component_id is the
-    smallest doc_id that links reach.
-    """
+def _grouped(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, t, n_shingles, node, root, component_id): a row for each document; the last three are null without words."""
     if not 0 < percent <= 100:
         raise ValueError("percent is between 1 and 100")
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -409,29 +411,44 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
     ids = known.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     roots = components(_links(docs, n, columns, ids.select("node", F.col("least").alias("doc_id")), percent))
-
     grouped = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return (
-        known.select("doc_id", "node", "n_shingles")
-        .join(named.select("node", "component_id"), "node", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
-    )
+    return known.drop("prefix").join(named.select("node", "root", "component_id"), "node", "left")
+
+
+def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each document.
+
+    Two documents link when their sets' intersection is at least ``percent`` hundredths of the union; component_id is the
+    smallest doc_id that links reach.
+    """
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return _grouped(docs, n, percent).select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def one_of_each_group(df: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one row of each component: that with the smallest key, nulls first.
+    """``df`` with one row of each component: that with the smallest key (nulls first), of equal keys with the smallest text hash.
 
-    Rows get numbers of their own, written once with the rows, so repeated or null keys do no harm.
+    Of rows with one key and one text any one stays.  Rows without words are in no component and all stay.  Only rows that may
+    have to go are shuffled.
     """
-    row = free_name("row", [*df.columns, "doc_id", "text"])
-    numbered = stage(df.withColumn(row, F.monotonically_increasing_id()), "numbered").frame
-    texts = numbered.select(F.col(row).alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    groups = join(texts, n, percent).select(F.col("doc_id").alias(row), "component_id")
-    first = F.min(F.struct(F.col(f"`{key}`").alias("key"), F.col(row).alias("row")))["row"].alias(row)
-    kept = groups.join(numbered.select(row, f"`{key}`"), row).groupBy("component_id").agg(first)
-    return numbered.join(kept.select(row), row, "left_semi").drop(row)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    plain = F.col(f"`{text}`").cast("string")
+    groups = stage(
+        _grouped(df.select(F.col(f"`{key}`").alias("doc_id"), plain.alias("text")), n, percent).where("node is not null"), "groups"
+    ).frame
+    mark = F.xxhash64("doc_id", "t")
+    rows = groups.groupBy("root", "doc_id", "t").agg(F.count(F.lit(1)).alias("copies"))
+    first = rows.groupBy("root").agg(F.min(F.struct("doc_id", "t")).alias("first"))
+    judged = rows.join(first, "root").withColumn("stays", F.struct("doc_id", "t").eqNullSafe(F.col("first")))
+    suspects = stage(
+        judged.where("not stays or copies > 1").select(mark.alias("mark"), "doc_id", "t", "stays"), "suspects"
+    ).frame
+
+    row = df.select(F.struct(*columns).alias("row"), F.col(f"`{key}`").alias("doc_id"), F.xxhash64(plain).alias("t"))
+    some, rest = concerned(row.withColumn("mark", mark), suspects, "mark")
+    same = [F.col("a.mark") == F.col("b.mark"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")), F.col("a.t") == F.col("b.t")]
+    met = some.alias("a").join(suspects.alias("b"), same, "left").select("a.row", "a.mark", "a.doc_id", "a.t", "b.stays")
+    once = met.where("stays").dropDuplicates(["mark", "doc_id", "t"])
+    kept = rest.select("row").union(met.where("stays is null").select("row")).union(once.select("row"))
+    return kept.select("row.*")
