@@ -31,7 +31,7 @@ CELLS = 1 << 22
 #: Shares of documents between which a term belongs to the lexicon.
 BAND = (0.0005, 0.1)
 #: Random classes of the lexicon's terms, and how many of them are used as subsets.
-CLASSES, SUBSETS = 512, 128
+CLASSES, SUBSETS = 512, 96
 
 _TERM = r"[\p{L}\p{N}]+"
 
@@ -80,13 +80,13 @@ def fingerprint(text: Column, bits: Column) -> Column:
             F.transform(
                 terms,
                 lambda t, i: F.concat(
-                    F.when((i > 0) & (subset(t) != subset(F.get(terms, i - 1))), F.lit("|")).otherwise(F.lit(",")), F.hex(t)
+                    F.when((i > 0) & (subset(t) != subset(F.get(terms, i - 1))), F.lit("|,")).otherwise(F.lit(",")), F.hex(t)
                 ),
             ),
             "",
         )
         pieces = F.transform(
-            F.split(joined, r"\|"), lambda p: F.concat(F.lit("s"), F.substring(F.md5(p.cast("binary")), 1, 8))
+            F.split(joined, r"\|"), lambda p: F.substring(F.md5(p.cast("binary")), 1, 6)
         )
         return F.when(F.size(terms) > 0, pieces).otherwise(F.array().cast("array<string>"))
 
@@ -117,9 +117,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def following(docs: DataFrame) -> DataFrame:
-    """(g, k, h, n, next_k, next_h): every row's rank by id, its key and length, and the key of the next row.
+    """(g, null_id, k, h, n, next_k, next_h): every row's rank by id, its key and length, and the key of the next row.
 
-    ``docs`` has k, h and n.  Ranks come from a sort into ranges whose rows are counted; no task sees all rows.
+    ``docs`` has null_id, k, h and n.  Ranks come from a sort into ranges whose rows are counted; no task sees all rows.
     """
     ranges = docs.select("null_id", "k", "h", "n").repartitionByRange(tasks(docs), F.desc("null_id"), "k", "h")
     ordered = ranges.sortWithinPartitions(F.desc("null_id"), "k", "h").withColumn("place", F.monotonically_increasing_id())
@@ -130,7 +130,7 @@ def following(docs: DataFrame) -> DataFrame:
     offsets = counts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))  # a row for each range
     ranked = ordered.withColumn("part", part).join(F.broadcast(offsets), "part")
     ranked = ranked.select(
-        (F.col("offset") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("g"), "k", "h", "n"
+        (F.col("offset") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).alias("g"), "null_id", "k", "h", "n"
     )
     total = ordered.agg(F.count(F.lit(1))).scalar()
     back = ranked.select(
@@ -158,14 +158,16 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     rows = rows.select(F.coalesce("doc_id", zero).alias("k"), F.xxhash64("text", "null_id").alias("h"), "null_id", "text", "n")
     order = stage(following(rows), "following").frame
 
-    once = rows.groupBy("k", "h").agg(F.first("text").alias("text"), F.first("null_id").alias("null_id"))
-    own = order.select("g", "k", "h", "n").join(once, ["k", "h"])
+    # Whole texts are shuffled once (both joins read the same exchange); the heads of the next texts travel to them.
+    once = rows.groupBy("k", "h").agg(F.first("text").alias("text"))
     heads = (
-        order.select("g", "n", F.col("next_k").alias("k"), F.col("next_h").alias("h"))
+        order.withColumnsRenamed({"k": "own_k", "h": "own_h", "next_k": "k", "next_h": "h"})
         .join(once, ["k", "h"])
-        .select("g", F.expr("left(text, cast(n div 4 as int))").alias("head"))
+        .withColumn("head", F.expr("left(text, cast(n div 4 as int))"))
+        .drop("k", "h", "text")
+        .withColumnsRenamed({"own_k": "k", "own_h": "h"})
     )
-    both = own.join(heads, "g")
+    both = heads.join(once, ["k", "h"])
     edited = F.concat(F.expr("left(text, cast(n - n div 4 as int))"), F.col("head"))
     spark, name = docs.sparkSession, f"lexicon_{uuid.uuid4().hex}"
     lexicon(rows.select("text")).createOrReplaceTempView(name)
@@ -186,17 +188,19 @@ def compare_edited(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("text"), bits).alias("entries"),
         fingerprint(F.col("edited"), bits).alias("edited_entries"),
     )
-    measured = stage(measured, "fingerprints").frame
-    spark.sql(f"DROP TEMPORARY VARIABLE {name}")
-    spark.catalog.dropTempView(name)
-    total = measured.agg(F.count(F.lit(1))).scalar()
-    after = measured.select(F.pmod(F.col("g") - 1, total).alias("g"), F.col("entries").alias("next_entries"))
-    return measured.join(after, "g").select(
+    measured = measured.select(
+        "g",
         "doc_id",
         "n_chars",
         "edited_sha256",
         F.array_join("entries", " ").alias("fingerprint"),
         F.array_join("edited_entries", " ").alias("edited_fingerprint"),
         likeness(F.col("entries"), F.col("edited_entries")).alias("near_edited"),
-        likeness(F.col("entries"), F.col("next_entries")).alias("near_next"),
     )
+    measured = stage(measured, "fingerprints").frame
+    spark.sql(f"DROP TEMPORARY VARIABLE {name}")
+    spark.catalog.dropTempView(name)
+    total = measured.agg(F.count(F.lit(1))).scalar()
+    after = measured.select(F.pmod(F.col("g") - 1, total).alias("g"), F.col("fingerprint").alias("next"))
+    near_next = likeness(F.split("fingerprint", " "), F.split("next", " "))
+    return measured.join(after, "g").select(*measured.columns[1:], near_next.alias("near_next"))
