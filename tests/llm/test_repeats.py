@@ -89,7 +89,7 @@ def test_removals(spark, length):
 
 def test_crowded_anchors(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CROWD", 3)
-    monkeypatch.setattr(repeats, "NARROW", 5)
+    monkeypatch.setattr(repeats, "WIDTHS", (7, 3, 1))
     monkeypatch.setattr(repeats, "STRETCH", 300)
     check(spark, corpus(9, 60) + ODD, 40)
 

@@ -1,15 +1,15 @@
 """Removal of repeated byte strings by suffix arrays: every byte that a string of LENGTH bytes covers goes if that string starts
 anywhere else as well, in the same text or in another.
 
-1. *Regions.*  Every window of LENGTH bytes chooses its smallest hash of GRAM bytes as anchor.  Equal windows choose the same
+1. *Regions.*  Every window of LENGTH bytes chooses its smallest hash of ``gram(LENGTH)`` bytes as anchor.  Equal windows choose the same
    anchor at the same place in them, so neighbouring windows of one anchor form a region, and only regions whose anchors
    have equal hashes can hold equal windows.
 2. *Equal regions* (equal hashes of anchor and content) are counted; all windows of one that occurs twice are repeated.
 3. *Suffix arrays.*  The distinct regions of each anchor hash that has several go to shards.  Induced sorting makes a shard's suffix
    array; permuted common prefixes of at least LENGTH bytes tell the windows that regions share in part.
 4. *Anchors with more than CROWD distinct regions* (a line that every text has) do not go to one shard.  Their regions are
-   cut into pieces of NARROW windows, keyed by the bytes that all windows of a piece have in common; which leaves few.  Pieces
-   that still differ under one key are cut into single windows, keyed by all their bytes.
+   cut into pieces of at most WIDTHS[0] windows, keyed by the bytes that all windows of a piece have in common; which leaves
+   few.  Pieces that still differ under one key are cut into narrower ones, down to single windows, keyed by all their bytes.
 5. *Removal.*  Repeated windows of each text are united, and the text is joined to them.
 
 Texts travel only if they are concerned: a filter of fixed size holds their hashes (it lets more through as it fills).
@@ -30,29 +30,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import suffix
-from tidemark.llm.common import chunks, free_name, tasks
+from tidemark.llm.common import chunks, concerned, free_name, tasks
 from tidemark.session import stage
 
-#: Bytes of an anchor.
-GRAM = 16
 #: Windows of a text that are worked on at once.
 STRETCH = 4_000_000
 #: Distinct regions of one anchor hash that may go to one shard.
-CROWD = 512
-#: Windows of a piece.
-NARROW = 24
+CROWD = 2_048
+#: Windows of a piece, from cut to cut.
+WIDTHS = (24, 4, 1)
 #: Bytes of a shard, about.
-SHARD_BYTES = 3_000_000
-#: Bits of the filter for texts.
-FILTER_BITS = 1 << 23
+SHARD_BYTES = 700_000
 
 _SEPARATOR = 0xFE  # bytes of UTF-8, each raised by one, never reach it
 
 
-def _hashes(b: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes at each position."""
+def gram(length: int) -> int:
+    """Bytes of an anchor: a power of two, a third of the window at most.  Long anchors are seldom equal by chance."""
+    return 1 << ((length // 3).bit_length() - 1)
+
+
+def _hashes(b: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes at each position."""
     h, width, factor = b.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
-    while width < GRAM:
+    while width < size:
         h = h[:-width] * np.uint64(factor) + h[width:]
         width, factor = width * 2, factor * factor % (1 << 64)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -75,8 +76,8 @@ def regions(b: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(key, content, first, last, anchor) of all regions of a text, a stretch at a time; windows first to last, inclusive."""
     for start in range(0, len(b) - length + 1, STRETCH):
         part = b[start : start + STRETCH + length - 1]
-        h = _hashes(part)
-        at = _anchors(h, length - GRAM + 1)
+        h = _hashes(part, gram(length))
+        at = _anchors(h, length - gram(length) + 1)
         firsts = np.flatnonzero(np.diff(at, prepend=-1))
         lasts = np.append(firsts[1:], len(at)) - 1
         raw = memoryview(part)
@@ -117,29 +118,6 @@ def _described(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("t", "text").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
-def _concerned(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents whose text hash is in ``wanted`` and few others, and the rest."""
-    at = F.pmod("t", F.lit(FILTER_BITS))
-    bits = wanted.select(F.shiftright(at, 6).alias("i"), F.expr("shiftleft(1L, cast(pmod(t, 64) as int))").alias("b"))
-    rows = bits.groupBy("i").agg(F.bit_or("b").alias("b")).collect()  # FILTER_BITS / 64 rows at most
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in rows:
-        words[r.i] = r.b
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
-    def chosen(inside: bool) -> DataFrame:
-        def run(batches):
-            words = shared.value
-            for batch in batches:
-                bit = batch.column("t").to_numpy() % FILTER_BITS
-                hit = ((words[bit >> 6] >> (bit & 63)) & 1).astype(bool)
-                yield batch.filter(pa.array(hit == inside))
-
-        return docs.mapInArrow(run, docs.schema)
-
-    return chosen(True), chosen(False)
-
-
 def _with_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(text, items): the ``items`` (t, size and others) of each text, with the text.  A task sends a text once."""
     listed = items.groupBy("t", "size").agg(F.collect_list(F.struct(*[c for c in items.columns if c not in ("t", "size")])).alias("items"))
@@ -153,7 +131,7 @@ def _with_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
                 seen.add(t)
             yield batch.filter(pa.array(new, pa.bool_()))
 
-    texts = _concerned(docs.select("t", "size", "text"), items)[0]
+    texts = concerned(docs.select("t", "size", "text"), items, "t")[0]
     once = texts.mapInArrow(run, texts.schema)
     return once.join(listed, ["t", "size"]).select("text", "items")
 
@@ -263,44 +241,46 @@ def _pieces(width: int, length: int):
 
 
 def _from_crowds(docs: DataFrame, crowded: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with too many distinct regions for one shard, by cutting the regions twice."""
-    region = ["t", "size", "region", "region_content", "start", "first", "last", "anchor", "n"]
-    whole = crowded.select(
-        "t", "size", F.col("key").alias("region"), F.col("content").alias("region_content"), F.lit(0).cast("bigint").alias("start"),
-        "first", "last", "anchor", "n",
+    """The same for anchors with too many distinct regions for one shard, by cutting the regions again and again."""
+    region = crowded.select(
+        "t", "size", F.col("key").alias("region"), F.col("content").alias("region_content"),
+        F.col("first").alias("region_first"), "anchor", "n", (F.col("last") - F.col("first") + 1).alias("region_windows"),
     )
-    narrow = stage(_each(_with_texts(docs, whole), _pieces(NARROW, length), _PIECES), "pieces").frame
-    counted = narrow.groupBy("key", "content").agg(F.sum("n").alias("times"))
-    kinds = counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
-    judged = narrow.join(counted, ["key", "content"]).join(kinds, "key")
-    judged = stage(judged.where("times > 1 or kinds > 1"), "judged").frame
-
-    def spans(df: DataFrame) -> DataFrame:
-        return df.select(
-            F.col("region").alias("key"), F.col("region_content").alias("content"), "start",
-            (F.col("start") + F.col("windows") - 1).alias("end"),
+    open_ = region.select("region", "region_content", F.lit(0).cast("bigint").alias("start"), F.col("region_windows").alias("windows"))
+    found = []
+    for width in WIDTHS:
+        items = open_.join(region.drop("region_windows"), ["region", "region_content"]).select(
+            "t", "size", "region", "region_content", "start", "anchor", "n",
+            (F.col("region_first") + F.col("start")).alias("first"),
+            (F.col("region_first") + F.col("start") + F.col("windows") - 1).alias("last"),
         )
-
-    # A piece that differs from others under its key can share single windows with them.
-    open_ = judged.where("kinds > 1").select("region", "region_content", "start", "windows")
-    where = whole.drop("start").withColumnRenamed("first", "region_first")
-    again = (
-        open_.join(where, ["region", "region_content"])
-        .withColumn("first", F.col("region_first") + F.col("start"))
-        .withColumn("last", F.col("first") + F.col("windows") - 1)
-    )
-    single = stage(_each(_with_texts(docs, again.select(region)), _pieces(1, length), _PIECES), "windows").frame
-    times = single.groupBy("key", "content").agg(F.sum("n").alias("times")).where("times > 1")
-    return spans(judged.where("times > 1")).union(spans(single.join(times, ["key", "content"], "left_semi")))
+        pieces = stage(_each(_with_texts(docs, items), _pieces(width, length), _PIECES), "pieces").frame
+        counted = pieces.groupBy("key", "content").agg(F.sum("n").alias("times"))
+        kinds = counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+        judged = pieces.join(counted, ["key", "content"]).join(kinds, "key").where("times > 1 or kinds > 1")
+        judged = stage(judged, "judged").frame
+        found.append(
+            judged.where("times > 1").select(
+                F.col("region").alias("key"), F.col("region_content").alias("content"), "start",
+                (F.col("start") + F.col("windows") - 1).alias("end"),
+            )
+        )
+        # A piece that differs from others under its key can share narrower ones with them.
+        open_ = judged.where("kinds > 1").select("region", "region_content", "start", "windows")
+    result = found[0]
+    for more in found[1:]:
+        result = result.union(more)
+    return result
 
 
 def find(docs: DataFrame, length: int = 400) -> DataFrame:
-    """(t, size, windows): the repeated windows of each text that has some, as array<struct<start, end>> of first bytes, inclusive.
+    """(t, size, windows): the repeated windows of each text that has some, by region: array<struct<first, parts>>, parts an
+    array<struct<start, end>> of windows counted from the region's first one, inclusive.
 
     ``docs``: t (hash of the text), size (bytes) and text.
     """
-    if length < 2 * GRAM:
-        raise ValueError(f"length is at least {2 * GRAM}")
+    if length < 24:
+        raise ValueError("length is at least 24")
     described = stage(_described(docs.where(F.col("size") >= length), length), "regions").frame
     counted = described.groupBy("key", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "size", "first", "last", "anchor")).alias("at")
@@ -309,8 +289,10 @@ def find(docs: DataFrame, length: int = 400) -> DataFrame:
     known = stage(counted.join(kinds, "key").select("key", "content", "n", "kinds", "at.*"), "known").frame
 
     whole = known.where("n > 1").select(
-        "key", "content", F.lit(0).cast("bigint").alias("start"), (F.col("last") - F.col("first")).alias("end")
-    )
+        "key", "content", F.lit(0).cast("bigint").alias("start"), (F.col("last") - F.col("first")).alias("end"),
+        F.lit(True).alias("whole"),
+    )
+    part = F.lit(False).alias("whole")
     differing = known.where(F.col("kinds").between(2, CROWD))
     amount = differing.agg(F.sum(F.col("last") - F.col("first") + length)).first()[0] or 0
 
@@ -319,23 +301,31 @@ def find(docs: DataFrame, length: int = 400) -> DataFrame:
 
     items = differing.select("t", "size", "key", "content", "first", "last")
     slices = _each(_with_texts(docs, items), cut, "key bigint, content bigint, raw binary")
-    repeated = whole.union(_from_shards(slices, tasks(docs, amount // SHARD_BYTES + 1), length))
+    repeated = whole.union(_from_shards(slices, tasks(docs, amount // SHARD_BYTES + 1), length).select("*", part))
     crowded = known.where(F.col("kinds") > CROWD)
     if not crowded.isEmpty():
-        repeated = repeated.union(_from_crowds(docs, crowded, length))
-    repeated = stage(repeated, "repeated").frame
+        repeated = repeated.union(_from_crowds(docs, crowded, length).select("*", part))
+    # One row for each region, so the join gives no more rows than there are regions; a whole one needs no parts.
+    parts = F.collect_set(F.when(~F.col("whole"), F.struct("start", "end")))
+    by_region = repeated.groupBy("key", "content").agg(
+        F.max(F.when(F.col("whole"), F.col("end"))).alias("all_to"), parts.alias("parts")
+    )
+    zero = F.lit(0).cast("bigint")
+    all_of_it = F.array(F.struct(zero.alias("start"), F.col("all_to").alias("end")))
+    chosen = F.when(F.col("all_to").isNotNull(), all_of_it).otherwise(F.col("parts")).alias("parts")
+    by_region = stage(by_region.select("key", "content", chosen), "repeated").frame
     return (
-        described.join(repeated, ["key", "content"])
-        .select("t", "size", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("end")).alias("end"))
+        described.join(by_region, ["key", "content"])
         .groupBy("t", "size")
-        .agg(F.collect_set(F.struct("start", "end")).alias("windows"))
+        .agg(F.collect_set(F.struct("first", "parts")).alias("windows"))
     )
 
 
 def _spans(windows: list | None, length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes (end exclusive) that windows cover."""
     out: list[list[int]] = []
-    for start, end in sorted((w["start"], w["end"]) for w in windows or []):
+    found = [(w["first"] + p["start"], w["first"] + p["end"]) for w in windows or [] for p in w["parts"]]
+    for start, end in sorted(found):
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end + length)
         else:
@@ -354,7 +344,7 @@ def remove(df: DataFrame, length: int = 400, text: str = "text", keep: list[str]
         "row", F.xxhash64("text").alias("t"), F.octet_length("text").cast("bigint").alias("size"), "text"
     )
     windows = stage(find(docs.select("t", "size", "text"), length), "windows").frame
-    some, rest = _concerned(docs, windows)
+    some, rest = concerned(docs, windows, "t")
     kind = windows.schema["windows"].dataType
     both = some.join(windows, ["t", "size"], "left").select("row", "text", "windows")
     both = both.union(rest.select("row", "text", F.lit(None).cast(kind).alias("windows")))
