@@ -99,6 +99,14 @@ def test_fingerprints_agree_with_plain_python(spark):
         assert sorted(got[doc]) == sorted(want), doc
 
 
+def test_every_term_of_the_lexicon_enters_a_subset(spark):
+    """A text of any one term has an entry beside that of the whole lexicon, so one lost term leaves the others' entries."""
+    lone = [(1000 + i, f"term{i}") for i in range(40)]
+    df = spark.createDataFrame(corpus(40) + lone, "doc_id long, text string")
+    got = {r.doc_id: r.fingerprint.split(" ") for r in imatch.compare_edited(df).collect()}
+    assert [len(got[doc]) for doc, _ in lone] == [2] * len(lone)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_edited_documents_are_nearer_than_next_ones(spark):
     got = queries.op6_imatch(spark, SF).collect()

@@ -5,8 +5,8 @@ counted, by hash cells: the number of cells is fixed, so the lexicon is a bit ar
 is.  (A cell's terms count together.  With CELLS far above the terms of a text, what other terms add to a cell stays far
 below the band's lower end, at any number of documents.)
 
-Each term of the lexicon belongs to one of CLASSES random classes by its hash; SUBSETS of them are used.  A fingerprint lists, for each
-subset that has terms in the text, the hash of the sorted distinct ones, and the hash of all terms of the lexicon.  Texts
+Each term of the lexicon belongs to one of CLASSES random classes by its hash, and each class is a subset.  A fingerprint lists, for
+each subset that has terms in the text, the hash of the sorted distinct ones, and the hash of all terms of the lexicon.  Texts
 with equal entries agree on a whole subset; the likeness of two fingerprints is the share of equal entries among all.
 
 Only DataFrame functions are used.
@@ -30,8 +30,8 @@ from tidemark.session import stage
 CELLS = 1 << 22
 #: Shares of documents between which a term belongs to the lexicon.
 BAND = (0.0005, 0.1)
-#: Random classes of the lexicon's terms, and how many of them are used as subsets.
-CLASSES, SUBSETS = 512, 96
+#: Random classes of the lexicon's terms.  All are subsets, so every term of the lexicon enters one.
+CLASSES = SUBSETS = 512
 
 _TERM = r"[\p{L}\p{N}]+"
 
@@ -85,15 +85,11 @@ def fingerprint(text: Column, bits: Column) -> Column:
             ),
             "",
         )
-        pieces = F.transform(
-            F.split(joined, r"\|"), lambda p: F.substring(F.md5(p.cast("binary")), 1, 6)
-        )
-        return F.when(F.size(terms) > 0, pieces).otherwise(F.array().cast("array<string>"))
+        return F.transform(F.split(joined, r"\|"), lambda p: F.substring(F.md5(p.cast("binary")), 1, 6))
 
     def entries(terms: Column) -> Column:
         def from_lexicon(found: Column) -> Column:
-            sampled = F.filter(found, lambda t: subset(t) < SUBSETS)
-            return F.concat(F.array(F.concat(F.lit("l"), digest(found))), let(sampled, cut))
+            return F.concat(F.array(F.concat(F.lit("l"), digest(found))), cut(found))
 
         whole = F.array(
             F.when(F.size(terms) > 0, F.concat(F.lit("a"), digest(F.sort_array(terms)))).otherwise(
