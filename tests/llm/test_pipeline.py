@@ -90,6 +90,23 @@ def test_run_gives_the_rows_of_the_stages(spark, stages):
     assert got == sorted((r.doc_id, r.text, tuple(r.ids)) for r in rows(stages[5]))
 
 
+def test_run_keeps_the_mixture_over_several_files(spark, stages):
+    """The position orders the rows of run() as the mixture does, whatever order files are read in."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        got = sorted(pipeline.run(spark, SF).collect(), key=lambda r: r.position)
+    finally:
+        spark.conf.set(coalesce, before)
+    assert [r.position for r in got] == list(range(len(got)))
+    assert [r.doc_id for r in got] == [r.doc_id for r in rows(stages[4])]
+    n = {s: sum(r.source == s for r in got) for s in queries.MIXTURE}
+    blocks = {s: -(-n[s] // 16) for s in n}
+    order = [s for s, b in simulated(blocks, queries.MIXTURE) for _ in range(min(16, n[s] - 16 * b))]
+    assert [r.source for r in got] == order
+
+
 def test_repeated_and_null_rows_pass_every_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "src0", 0), (1, "", "en", "src0", 0)], docs.schema)
