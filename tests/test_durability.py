@@ -5,7 +5,7 @@ import os
 import threading
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import freshness, incremental as inc

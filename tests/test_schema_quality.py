@@ -2,7 +2,7 @@ import datetime as dt
 import decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F, types as T
 
 from tidemark.operators import compare, freshness, quality, schema, structs
