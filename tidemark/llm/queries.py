@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, imatch, langid, mixing, ngram_join, pii, quality_rules, repeats, toxicity, warc
+from tidemark.llm import (
+    bpe, imatch, impact_search, langid, mixing, ngram_join, pii, quality_rules, ranked_search, repeats, spelling, toxicity, warc,
+)
 from tidemark.llm.common import crc32_mod, table
 from tidemark.session import scratch_path
 
@@ -90,6 +92,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return impact_search.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.words(table(spark, sf_dir, "documents"), least_length=6, least=5, slips=199), times=5)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_bpe": op2_bpe,
@@ -101,8 +116,14 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_impact_search": op12_impact_search,
+    "op13_spelling": op13_spelling,
 }
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
 #: SQL that DuckDB can run for the same rows; the other queries are tested against brute force.
 ORACLES: dict[str, str] = {
     "op8_warc": """
@@ -120,4 +141,46 @@ ORACLES: dict[str, str] = {
                CASE WHEN original > page_id OR page_id IS NULL THEN original END AS refers_to
         FROM m
     """,
+    "op11_ranked_search": f"""
+        WITH words AS (
+            SELECT doc_id, unnest({_TERMS}) AS term
+            FROM documents
+        ), lengths AS (
+            SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+        ), total AS (
+            SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM lengths
+        ), asked AS (
+            SELECT item_id, term, count(*) AS q FROM (
+                SELECT item_id, unnest({_TERMS}) AS term
+                FROM benchmark
+            ) GROUP BY ALL
+        ), postings AS (
+            SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, total GROUP BY term
+        ), gains AS (
+            SELECT p.doc_id, p.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length))) AS gain
+            FROM postings p JOIN weights USING (term) JOIN lengths USING (doc_id), total
+        ), scores AS (
+            SELECT item_id, doc_id, CAST(sum(q * gain) AS BIGINT) AS score
+            FROM asked JOIN gains USING (term) GROUP BY ALL
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 20
+    """,
+    "op12_impact_search": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scores
+        QUALIFY rank <= 20
+    """,
 }
