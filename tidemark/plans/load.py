@@ -27,16 +27,15 @@ from tidemark.operators.schema import (
     normalise_policy,
     reconcile,
 )
+from tidemark.plans.partitions import recover, write_partitions
 from tidemark.plans.publish import (
-    Values,
-    clear_partitions,
-    has_null_partition,
     is_view,
     partition_columns,
+    properties_of,
     replace_table,
+    set_properties,
     shape,
     table_exists,
-    write_partitions,
 )
 from tidemark.session import cleaned_up, stage
 from tidemark.sources.files import load_files, read_seed
@@ -142,17 +141,41 @@ def is_incremental(spark: SparkSession, table: str, cfg: Load, full_refresh: boo
     return table_exists(spark, table) and not is_view(spark, table) and not rebuild
 
 
-def load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) -> None:
-    """Load one batch."""
+#: The property that names the last load that was given a name.
+RUN = "tidemark.run"
+
+
+def load(
+    batch: DataFrame,
+    table: str,
+    cfg: Load,
+    full_refresh: bool = False,
+    run_id: str | None = None,
+    marks: Mapping[str, str] | None = None,
+) -> None:
+    """Load one batch.
+
+    A load that was interrupted has changed nothing, or all if it was past its last step: what it left behind is settled when
+    the table is next loaded.  With a ``run_id`` a load is not taken again if it was the table's last one of that name, so one
+    whose end is not known can be repeated whatever its rules.  ``marks``: properties that are set along with the rows.
+    """
     validate(cfg)
-    with cleaned_up(batch.sparkSession):
-        _load(_checked(batch, cfg), table, cfg, full_refresh)
+    spark = batch.sparkSession
+    marks = dict(marks or {})
+    if table_exists(spark, table) and not is_view(spark, table):
+        recover(spark, table)
+        if run_id is not None and properties_of(spark, table).get(RUN) == run_id:
+            return
+    if run_id is not None:
+        marks[RUN] = run_id
+    with cleaned_up(spark):
+        _load(_checked(batch, cfg), table, cfg, full_refresh, marks)
 
 
-def _load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) -> None:
+def _load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool, marks: Mapping[str, str]) -> None:
     spark = batch.sparkSession
     if not is_incremental(spark, table, cfg, full_refresh):
-        _rebuild(batch, table, cfg)
+        _rebuild(batch, table, cfg, marks)
         return
     _check_partitions(spark, table, cfg)
     batch = _evolve(batch, table, cfg)
@@ -164,25 +187,28 @@ def _load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool = False) -
         if strategy == "merge" and cfg.insert_condition is not None:
             batch = merge(target.limit(0), batch, None, insert_condition=cfg.insert_condition)
         _insert(batch, table)
+        set_properties(spark, table, **marks)
     elif strategy == "insert_overwrite" and cfg.overwrite_values is not None:
         (column,) = cfg.partition_by
         values = list(cfg.overwrite_values)
         cleared = target.filter(F.col(column).isin(values)).select(column).distinct()
-        _rewrite(batch, table, lambda old, new: inc.overwrite_listed(old, new, column, values), cleared)
+        _rewrite(batch, table, lambda old, new: inc.overwrite_listed(old, new, column, values), cleared, marks=marks)
     elif strategy == "insert_overwrite":
         if partition_columns(spark, table):
-            _overwrite_partitions(batch, table)
+            # Rows without a partition value are added, not replacing.
+            write_partitions(batch, table, marks=marks, keep_null=True)
         else:
-            replace_table(inc.overwrite_all(target, batch), table)
+            replace_table(inc.overwrite_all(target, batch), table, properties=marks)
     elif strategy in ("merge", "delete+insert") and shape(spark, table).provider in ROW_LEVEL_FORMATS:
         native = dict(delete_first=True) if strategy == "delete+insert" else _merge_settings(cfg)
         merge_into_v2(batch, table, key, cfg.predicates, **native)
+        set_properties(spark, table, **marks)
     elif strategy == "delete+insert":
         _rewrite(
-            batch, table, lambda old, new: inc.delete_insert(old, new, key, cfg.predicates), key=key, cfg=cfg
+            batch, table, lambda old, new: inc.delete_insert(old, new, key, cfg.predicates), key=key, cfg=cfg, marks=marks
         )
     elif strategy == "merge":
-        _rewrite(batch, table, lambda old, new: _merged(old, new, key, cfg), key=key, cfg=cfg)
+        _rewrite(batch, table, lambda old, new: _merged(old, new, key, cfg), key=key, cfg=cfg, marks=marks)
     else:
         raise ValueError("microbatch loads go through load_microbatches")
 
@@ -311,6 +337,7 @@ def load_microbatches(
     windows = list(inc.batch_windows(begin, end, cfg.batch_size))
     rebuild = full_refresh
     if is_incremental(spark, table, cfg, rebuild):
+        recover(spark, table)
         _check_partitions(spark, table, cfg)
         partitioned = bool(partition_columns(spark, table))
     else:
@@ -368,9 +395,15 @@ def _load_window(batch: DataFrame, table: str, cfg: Load, start: dt.datetime, st
 # -- writing ----------------------------------------------------------------------------------------------------
 
 
-def _rebuild(df: DataFrame, table: str, cfg: Load) -> None:
+def _rebuild(df: DataFrame, table: str, cfg: Load, marks: Mapping[str, str] | None = None) -> None:
     replace_table(
-        df, table, file_format=cfg.file_format, partition_by=cfg.partition_by, bucket_by=(), location=cfg.location
+        df,
+        table,
+        file_format=cfg.file_format,
+        partition_by=cfg.partition_by,
+        bucket_by=(),
+        location=cfg.location,
+        properties=marks,
     )
 
 
@@ -399,18 +432,6 @@ def _insert(batch: DataFrame, table: str) -> None:
     (gathered(rows, parts) if parts else rows).write.insertInto(table)
 
 
-def _overwrite_partitions(batch: DataFrame, table: str) -> list[Values]:
-    """Replace the partitions the batch has rows for.  Rows with a null partition value are added, not replacing."""
-    spark = batch.sparkSession
-    if not has_null_partition(spark, table):
-        return write_partitions(batch, table)
-    # The table holds rows without a partition value, which must stay: two writes, so the batch is staged.
-    complete = all_of([F.col(f"`{c}`").isNotNull() for c in partition_columns(spark, table)])
-    rows = stage(batch, "batch").frame
-    written = write_partitions(rows.filter(complete), table)
-    return written + write_partitions(rows.filter(~complete), table, mode="append")
-
-
 def _in_partitions(rows: Sequence[Any], schema: T.StructType) -> Column:
     """Per column, one of the values that occur: literals, so the scan skips the other partitions."""
     conditions = []
@@ -430,6 +451,7 @@ def _rewrite(
     cleared: DataFrame | None = None,
     key: Sequence[str] = (),
     cfg: Load | None = None,
+    marks: Mapping[str, str] | None = None,
 ) -> None:
     """Replace a table's content by ``operator(old, batch)``, reading and writing only the partitions concerned.
 
@@ -441,7 +463,7 @@ def _rewrite(
     target = spark.table(table)
     batch = stage(batch, "batch").frame
     if not columns:
-        replace_table(operator(target, batch), table)
+        replace_table(operator(target, batch), table, properties=marks)
         return
 
     touched = batch.select(*columns)
@@ -457,13 +479,13 @@ def _rewrite(
     touched = stage(touched.distinct(), "touched").frame
     listed = touched.limit(inc.MAX_LISTED_PARTITIONS + 1).collect()  # partition values, at most the bound
     if not listed:
+        set_properties(spark, table, **(marks or {}))
         return
     scope = target
     if len(listed) <= inc.MAX_LISTED_PARTITIONS:
         scope = target.filter(_in_partitions(listed, touched.schema))
     scope = scope.alias("t").join(touched.alias("p"), key_match("t", "p", columns, null_safe=True), "left_semi")
 
-    written = set(write_partitions(operator(scope, batch), table))
     texts = touched.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
     concerned = (tuple(v or None for v in row) for row in texts.toLocalIterator())  # partition values
-    clear_partitions(spark, table, [values for values in concerned if values not in written])
+    write_partitions(operator(scope, batch), table, concerned, marks)

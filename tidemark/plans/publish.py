@@ -1,8 +1,8 @@
 """Publishing tables: readers see the old content or the new, never a half-written one.
 
 Every published version has a folder of its own.  Where old and new differ in their rows only, the table's location is
-repointed in one step; otherwise two renames touch the catalog, on file systems and object stores alike.  Overwrites of single
-partitions are writes by path that carry their own mode, so no setting of the session is read or changed.
+repointed in one step; otherwise two renames touch the catalog, on file systems and object stores alike.  Single partitions are
+published by ``partitions``.
 """
 
 from __future__ import annotations
@@ -10,23 +10,20 @@ from __future__ import annotations
 import logging
 import re
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import remove_folder
-from tidemark.sources.sinks import gathered, write_files, write_table
+from tidemark.sources.sinks import write_files, write_table
 
 log = logging.getLogger(__name__)
 
 #: Formats whose tables are folders of files that a write by path can replace.
 PATH_FORMATS = ("parquet", "orc", "json", "csv", "text")
 
-#: Partitions named by one catalog statement.
-PER_STATEMENT = 200
-
 
 def is_view(spark: SparkSession, table: str) -> bool:
     return spark.catalog.getTable(table).tableType in ("VIEW", "TEMPORARY")
@@ -175,7 +172,7 @@ def replace_table(
         )
         _set_properties(spark, staged, {**known.properties, **(properties or {})})
         if known.comment:
-            spark.sql(f"COMMENT ON TABLE {staged} IS {_quoted(known.comment)}")
+            spark.sql(f"COMMENT ON TABLE {staged} IS {quoted(known.comment)}")
         swap_in(spark, staged, table)
     if old is not None and is_below(old.location, root):
         remove_folder(spark, old.location)
@@ -185,17 +182,21 @@ def _types(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
 
 def _set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
     if properties:
-        listed = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+        listed = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
 
 
+def properties_of(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}  # a handful
+
+
 def set_properties(spark: SparkSession, table: str, **properties: str) -> None:
     _set_properties(spark, table, properties)
 
@@ -223,72 +224,6 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-# -- partitions -------------------------------------------------------------------------------------------------
-
-#: A partition's values as texts; None for null.
-Values = tuple[str | None, ...]
-
-
-def write_partitions(rows: DataFrame, table: str, mode: str = "overwrite") -> list[Values]:
-    """Write rows into a partitioned table by path, and tell which partitions they fell in.
-
-    'overwrite' replaces those partitions and no others, whatever the session's settings; 'append' adds files.  Files
-    are moved in when the job is done, so the rows may come from the table itself.
-    """
-    spark = rows.sparkSession
-    kind = shape(spark, table)
-    if kind.provider not in PATH_FORMATS or kind.buckets:
-        raise ValueError(f"partitions of {table} ({kind.provider}, {kind.buckets or 'no'} buckets) can't be written by path")
-    types = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    columns = [F.col(f"`{c}`").cast(t).alias(c) for c, t in types.items()]
-    texts = [F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(kind.partition_by)]
-    seen = Observation()
-    # The values are gathered while the rows are written: partitions, not rows, come to the driver.
-    watched = gathered(rows.select(*columns), kind.partition_by).observe(seen, F.collect_set(F.struct(*texts)).alias("seen"))
-    (
-        watched.write.format(kind.provider)
-        .options(**kind.options)
-        .mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*kind.partition_by)
-        .save(kind.location)
-    )
-    written = [tuple(v or None for v in row) for row in seen.get.get("seen", [])]  # an empty text is stored as null
-    if kind.tracked:
-        for first in range(0, len(written), PER_STATEMENT):
-            named = " ".join(f"PARTITION ({_spec(kind.partition_by, v)})" for v in written[first : first + PER_STATEMENT])
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {named}")
-    spark.catalog.refreshTable(table)
-    return written
-
-
-def _spec(columns: Sequence[str], values: Values) -> str:
-    return ", ".join(f"`{c}` = {'null' if v is None else _quoted(v)}" for c, v in zip(columns, values, strict=True))
-
-
-def has_null_partition(spark: SparkSession, table: str) -> bool:
-    """Whether any partition has a null value; only those are listed."""
-    columns = partition_columns(spark, table)
-    return any(not spark.sql(f"SHOW PARTITIONS {table} PARTITION (`{c}` = null)").isEmpty() for c in columns)
-
-
 def has_partition(spark: SparkSession, table: str, **values: str) -> bool:
-    spec = ", ".join(f"`{c}` = {_quoted(v)}" for c, v in values.items())
+    spec = ", ".join(f"`{c}` = {quoted(v)}" for c, v in values.items())
     return not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").isEmpty()
-
-
-def clear_partitions(spark: SparkSession, table: str, emptied: Iterable[Values]) -> None:
-    """Take partitions out of a table, files included."""
-    columns = partition_columns(spark, table)
-    emptied = list(emptied)
-    if not emptied:
-        return
-    # An overwrite that names all its partition values replaces that one partition under any setting.
-    schema = spark.table(table).drop(*columns).limit(0).schema
-    view = f"nothing_{uuid.uuid4().hex}"
-    spark.createDataFrame([], schema).createOrReplaceTempView(view)
-    for values in emptied:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({_spec(columns, values)}) SELECT * FROM {view}")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(columns, values)})")
-    spark.catalog.dropTempView(view)
-    spark.catalog.refreshTable(table)

@@ -2,18 +2,21 @@
 
 The table is partitioned by the run that closed a version (``closed_in``; open versions carry 'open').  A run rewrites
 the open partition and adds one partition with what it closed, so its cost follows the open versions, never the whole
-history.  A run with the clock of an earlier one keeps what that one closed.
+history.  A run with the clock of an earlier one keeps what that one closed.  Both partitions are published together: a run that
+was interrupted has changed neither, and may be repeated.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import clock
 from tidemark.operators import history as hist
-from tidemark.plans.publish import has_partition, is_view, replace_table, table_exists, write_partitions
+from tidemark.plans.partitions import recover, write_partitions
+from tidemark.plans.publish import has_partition, is_view, replace_table, table_exists
 from tidemark.session import cleaned_up, stage
 
 CLOSED_IN = "closed_in"
@@ -41,6 +44,7 @@ def take_snapshot(
         return
     if is_view(spark, table):
         raise ValueError(f"{table} is a view, not a history table")
+    recover(spark, table)
     with cleaned_up(spark):
         history = spark.table(table)
         moved = hist.advance(
@@ -53,7 +57,9 @@ def take_snapshot(
         _write(moved, table, cfg, label)
 
 
-def _write(moved: DataFrame, table: str, cfg: hist.Snapshot, label: str) -> None:
+def _write(
+    moved: DataFrame, table: str, cfg: hist.Snapshot, label: str, marks: Mapping[str, str] | None = None
+) -> None:
     """Replace the open partition, and put the versions closed now into the run's own partition."""
     spark = moved.sparkSession
     known = set(spark.table(table).columns)
@@ -68,13 +74,21 @@ def _write(moved: DataFrame, table: str, cfg: hist.Snapshot, label: str) -> None
         earlier = spark.table(table).filter(F.col(CLOSED_IN) == label)
         again = rows.filter(F.col(CLOSED_IN) == label).select(cfg.meta.scd_id)
         rows = rows.unionByName(earlier.join(again, cfg.meta.scd_id, "left_anti").select(rows.columns))
-    write_partitions(rows, table)
+    write_partitions(rows, table, marks=marks)
 
 
 def append_changes(
-    changes: DataFrame, table: str, cfg: hist.Snapshot, now: dt.datetime | None = None, location: str | None = None
+    changes: DataFrame,
+    table: str,
+    cfg: hist.Snapshot,
+    now: dt.datetime | None = None,
+    location: str | None = None,
+    marks: Mapping[str, str] | None = None,
 ) -> None:
-    """Add a set of changes, several to a key, to a history table (see ``history.advance_by_changes``)."""
+    """Add a set of changes, several to a key, to a history table (see ``history.advance_by_changes``).
+
+    ``marks``: properties that are set along with the rows.
+    """
     now = clock(now)
     label = now.strftime("%Y%m%dT%H%M%S%f")
     spark = changes.sparkSession
@@ -82,9 +96,10 @@ def append_changes(
         if not table_exists(spark, table):
             empty = hist.first_build(changes.limit(0), cfg, now)
             replace_table(_labelled(empty, cfg, label), table, partition_by=[CLOSED_IN], location=location)
+        recover(spark, table)
         history = spark.table(table)
         current = history.filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN)
-        _write(hist.advance_by_changes(current, changes, cfg, now), table, cfg, label)
+        _write(hist.advance_by_changes(current, changes, cfg, now), table, cfg, label, marks)
 
 
 def read_history(spark: SparkSession, table: str) -> DataFrame:

@@ -89,6 +89,40 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class Files:
+    """Small files and folders on whatever store a path names."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._path = spark, spark._jvm.org.apache.hadoop.fs.Path
+        self._store = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._store.exists(self._path(path))
+
+    def names(self, folder: str) -> list[str]:
+        """What a folder holds."""
+        return [f.getPath().getName() for f in self._store.listStatus(self._path(folder))]
+
+    def make(self, folder: str) -> None:
+        self._store.mkdirs(self._path(folder))
+
+    def write(self, path: str, text: str) -> None:
+        """A file that is there whole or not at all."""
+        draft = self._path(f"{path}.draft")
+        out = self._store.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        if not self._store.rename(draft, self._path(path)):
+            raise OSError(f"can't write {path}")
+
+    def read(self, path: str) -> str:
+        row = self._spark.read.text(path, wholetext=True).first()
+        return row[0] if row else ""
+
+    def delete(self, path: str) -> None:
+        self._store.delete(self._path(path), True)
+
+
 @dataclass(frozen=True)
 class Staged:
     """A result written once, so several statements can read it without computing it again."""

@@ -18,14 +18,9 @@ from tidemark.functions.dates import as_instant, as_time, as_utc, date_trunc, da
 from tidemark.operators.history import Snapshot
 from tidemark.operators.keys import as_condition
 from tidemark.operators.latest import latest_per_key
-from tidemark.plans.load import Load, load
-from tidemark.plans.publish import (
-    clear_partitions,
-    set_properties,
-    shape,
-    table_exists,
-    write_partitions,
-)
+from tidemark.plans.load import ROW_LEVEL_FORMATS, Load, load
+from tidemark.plans.partitions import recover, write_partitions
+from tidemark.plans.publish import properties_of, set_properties, shape, table_exists
 from tidemark.plans.snapshot import append_changes
 from tidemark.session import cleaned_up, stage
 
@@ -69,6 +64,19 @@ def append_stream(
     return writer.outputMode("append").start()
 
 
+def _mark(checkpoint: str) -> str:
+    """The table property under which a stream's progress is kept."""
+    return "tidemark.stream." + hashlib.md5(checkpoint.encode()).hexdigest()
+
+
+def _settled(spark: SparkSession, table: str) -> dict[str, str]:
+    """A table's properties, once what interrupted loads have left is settled; none if there is no table."""
+    if not table_exists(spark, table):
+        return {}
+    recover(spark, table)
+    return properties_of(spark, table)
+
+
 #: Rules whose result is the same when a micro-batch is merged twice.
 REPEATABLE = ("replace", "coalesce", "append_distinct")
 
@@ -84,8 +92,10 @@ def upsert_stream(
     """Merge each micro-batch into a table by key, the newest row of each key by the ``order_by`` columns.
 
     A row that is older than the table's by the same columns changes nothing, so deliveries may come out of order.  The table's
-    properties name the last micro-batch that was merged, and a repeated one is skipped.  One that was begun but not recorded is
-    merged again, unless its rules (sums, appends) would count it twice: that is an error, to be settled by hand.
+    properties name the last micro-batch that was merged, and a repeated one is skipped; the name is published with the rows, so
+    a micro-batch counts once wherever the stream was stopped.  Tables in a row-level format can't do both in one step: there
+    one that was begun but not recorded is merged again, unless its rules (sums, appends) would count it twice: that is an
+    error, to be settled by hand.
     A full refresh rebuilds the table with the first micro-batch.  Plain-file tables must be partitioned: every
     micro-batch would rewrite the whole table.
     """
@@ -110,21 +120,20 @@ def upsert_stream(
     if repeatable:
         wanted = not_older if wanted is None else wanted & not_older
     cfg = replace(cfg, update_condition=wanted)
-    mark = "tidemark.stream." + hashlib.md5(checkpoint.encode()).hexdigest()
+    mark = _mark(checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        found = shape(spark, table).properties if table_exists(spark, table) else {}
+        found = _settled(spark, table)
         if int(found.get(f"{mark}.done", -1)) >= batch_id:
             return
-        if int(found.get(f"{mark}.begun", -1)) >= batch_id and not repeatable:
-            raise RuntimeError(f"micro-batch {batch_id} may be in {table} already, and its rules would count it twice")
-        if found:
+        if found and shape(spark, table).provider in ROW_LEVEL_FORMATS:
+            if int(found.get(f"{mark}.begun", -1)) >= batch_id and not repeatable:
+                raise RuntimeError(f"micro-batch {batch_id} may be in {table} already, and its rules would count it twice")
             set_properties(spark, table, **{f"{mark}.begun": str(batch_id)})
         settings = cfg if batch_id == 0 else replace(cfg, full_refresh=False)
         rows = latest_per_key(batch, key, newest) if repeatable else batch
-        load(rows, table, settings)
-        set_properties(spark, table, **{f"{mark}.done": str(batch_id)})
+        load(rows, table, settings, marks={f"{mark}.done": str(batch_id)})
 
     return _start(stream, table, handle, checkpoint, every)
 
@@ -161,10 +170,10 @@ def windowed_stream(
         if not table_exists(spark, table):
             load(result, table, Load(strategy="insert_overwrite", partition_by=[column], location=location))
             return
+        recover(spark, table)
         with cleaned_up(spark):
             concerned = stage(touched.select(F.col(column).cast("string")), "touched").frame
-            written = set(write_partitions(result, table))
-            clear_partitions(spark, table, [tuple(v) for v in concerned.toLocalIterator() if tuple(v) not in written])
+            write_partitions(result, table, (tuple(v) for v in concerned.toLocalIterator()))  # touched windows
 
     return _start(stream, table, handle, checkpoint, every)
 
@@ -214,9 +223,13 @@ def history_stream(
         raise ValueError("a change stream cannot tell deletions; use hard_deletes='ignore'")
     key = [cfg.key] if isinstance(cfg.key, str) else list(cfg.key)
     times = [cfg.strategy.updated_at] if cfg.strategy.updated_at is not None else []
+    mark = _mark(checkpoint) + ".done"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if int(_settled(batch.sparkSession, table).get(mark, -1)) >= batch_id:
+            return
         moment = clock_of(batch_id) if clock_of is not None else None
-        append_changes(latest_per_key(batch, [*key, *times], order_by), table, cfg, moment, location)
+        newest = latest_per_key(batch, [*key, *times], order_by)
+        append_changes(newest, table, cfg, moment, location, marks={mark: str(batch_id)})
 
     return _start(stream, table, handle, checkpoint, every)
