@@ -1,17 +1,17 @@
 """Exact top-k search by inner product over an impact-ordered index, score at a time.
 
 Vectors become integers, floor(64 x) for each component.  The index holds them in blocks; within a block every component has
-its vectors in the order of their values, so that the vectors of one value are a segment, and what a segment adds to a
-query's score, its impact, is the same for all of them.  A block is searched from the highest quantised impact to the
-lowest: each class of impacts takes a stretch of every component's order, and adds it to the scores of the vectors in it.
-Impacts are counted from the least that the component can add, so scores only grow, and a vector's score is at least
-
-    what it has, and at most that plus, for each component not yet met, the least impact processed so far.
-
-After a class the vectors whose upper bound is below the kth best lower bound are proven out.  When few enough are left, the
-block is left, and those that may be members are scored anew from their whole vectors, exactly; otherwise the next class is
-processed, down to the last, so that no vector is lost to a limit.  A task keeps the best ``k`` of each query over its blocks,
-so that later blocks meet a higher kth score.
+its vectors in the order of their values, cut into segments of a few neighbouring values.  What a segment adds to a query's
+score, its impact, is the same for all its vectors but for the width of the segment.  Impacts are counted from the least that
+the component can add, so they are never negative, and are quantised into classes.
+
+A block is searched from the highest class of impacts to the lowest.  After some classes a vector's score is at least what its
+segments gave at least; and at most what they gave at most plus, for each component not yet met, the largest impact that is
+left there.  Vectors whose upper bound is below the kth best lower bound are proven out.  A query is done with a block when
+few enough are left, and those that may be members are scored anew from their whole vectors, exactly; otherwise the next
+classes are processed, down to the last, so that no vector is lost to a limit.  Segments are processed for many queries at
+once, as a product of what each query gives for a segment (nothing, if it isn't its turn) with the segments' vectors.  A task
+keeps the best ``k`` of each query over its blocks, so that later blocks meet a higher kth score.
 
 Queries are answered in sets of about ``QUERIES``, each against the whole index: what is sent to the tasks has a bound that
 does not grow with the data.  Only the best of each task are shuffled, at most ``k`` rows for each query.
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +44,18 @@ QUERIES = 16_384
 #: Components are multiplied by this and rounded down.
 SCALE = 64
 
-#: Classes of impacts.
-CLASSES = 8
+#: Segments of a component in a block, at most.
+SEGMENTS = 24
 
-#: A block is left when at most this share of it, or this many times k, may still be members.
+#: Classes of impacts, and the lowest class that each turn processes.
+CLASSES, TURNS = 8, (2, 0)
+
+#: A query is done with a block when at most this share of it, or this many times k, may still be members.
 SHARE, TIMES = 1 / 64, 4
 
+#: Queries whose segments are processed at once.
+TOGETHER = 256
+
 #: Components beyond this take no part.
 LIMIT = 2.0**21
 
@@ -75,7 +82,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     if not shape.n or not total.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = max(shape.width, total.width, 1)
-    blocks = -(-shape.n // BLOCK)
+    blocks = shape.n // (BLOCK - BLOCK // 16) + 1  # rows are dealt out almost evenly
     index = stage(build(rows, blocks, width), "index").frame
 
     sets = -(-total.n // QUERIES)
@@ -104,7 +111,7 @@ def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
 
 
 def build(rows: DataFrame, blocks: int, width: int) -> DataFrame:
-    """Blocks of the index: the vectors' ids and whole vectors, and for each component their order by value."""
+    """Blocks of the index: a number, the vectors' ids and whole vectors, and for each component their order by value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -116,7 +123,8 @@ def build(rows: DataFrame, blocks: int, width: int) -> DataFrame:
             order = np.argsort(matrix, axis=0, kind="stable").T.astype(np.int16)  # one line for each component
             lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
             packed = [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in (matrix, order)]
-            return pa.RecordBatch.from_arrays([lists, *packed], names=["ids", "vectors", "orders"])
+            number = pa.array([TaskContext.get().partitionId()], pa.int32())
+            return pa.RecordBatch.from_arrays([number, lists, *packed], names=["block", "ids", "vectors", "orders"])
 
         for batch in batches:
             start = 0
@@ -130,75 +138,86 @@ def build(rows: DataFrame, blocks: int, width: int) -> DataFrame:
         if held:
             yield block()
 
-    return rows.repartition(blocks).mapInArrow(run, "ids array<long>, vectors binary, orders binary")
+    return rows.repartition(blocks).mapInArrow(run, "block int, ids array<long>, vectors binary, orders binary")
 
 
 class Block:
-    """A block of the index, in arrays."""
+    """A block of the index, in arrays: the segments of all components, one after another."""
 
     def __init__(self, ids: pa.Array, vectors: bytes, orders: bytes, width: int):
         self.known = ids.is_valid().to_numpy(zero_copy_only=False)
         self.ids = ids.fill_null(0).to_numpy()
         self.vectors = np.frombuffer(vectors, np.int32).reshape(-1, width).astype(np.int64)
-        self.orders = np.frombuffer(orders, np.int16).reshape(width, -1).astype(np.int64)
-        self.values = np.take_along_axis(self.vectors.T, self.orders, axis=1)
-        self.low, self.high = self.values[:, 0], self.values[:, -1]
+        orders = np.frombuffer(orders, np.int16).reshape(width, -1).astype(np.int64)
+        values = np.take_along_axis(self.vectors.T, orders, axis=1)
+        self.low, self.high = values[:, 0], values[:, -1]
+        step = -(-(self.high - self.low + 1) // SEGMENTS)
+        first, least, most, component = [], [], [], []
+        for i in range(width):
+            starts = np.flatnonzero(np.diff((values[i] - self.low[i]) // step[i], prepend=-1))
+            first.append(starts)
+            least.append(values[i, starts])
+            most.append(values[i, np.append(starts[1:], len(self.ids)) - 1])
+            component.append(np.full(len(starts), i))
+        self.least, self.most, self.component = (np.concatenate(x) for x in (least, most, component))
+        # The vectors of each segment, as a line of ones.
+        self.held = np.zeros((len(self.component), len(self.ids)), np.float32)
+        line = 0
+        for i in range(width):
+            for a, b in zip(first[i], np.append(first[i][1:], len(self.ids)), strict=True):
+                self.held[line, orders[i, a:b]] = 1
+                line += 1
+
+    def product(self, gains: np.ndarray, whole: float) -> np.ndarray:
+        """What the vectors get from their segments; exact, as sums below ``whole`` are whole numbers in that many bits."""
+        if whole < 2**24:
+            return gains.astype(np.float32) @ self.held
+        if whole < 2**53:
+            return gains.astype(np.float64) @ self.held.astype(np.float64)
+        return gains @ self.held.astype(np.int64)
 
 
 # -- score at a time --------------------------------------------------------------------------------------------
 
 
-def members(block: Block, query: np.ndarray, k: int, floor: int | None) -> np.ndarray:
-    """Positions of vectors that may be among the best ``k``; all others are proven not to be.
+def members(block: Block, queries: np.ndarray, k: np.ndarray, floor: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query (its number) the positions of vectors that may be among its best ``k``; all others are proven not to be.
 
-    ``floor``: a score that ``k`` vectors seen before have at least.
+    ``floor``: a score that ``k`` vectors seen before have at least; the smallest number, if there are none.
     """
-    size, width, used = len(block.ids), len(query), np.flatnonzero(query)
-    reach = np.abs(query) * (block.high - block.low)
-    base = int(np.minimum(query * block.low, query * block.high).sum())
-    # A vector's score and the number of components it was met in are summed as one number.
-    unit = width + 1
-    whole = (int(reach.sum()) + 1) * unit < 2**53  # such sums are exact in doubles
-    few = max(TIMES * k, int(size * SHARE))
-    total = np.zeros(size, np.int64)
-    step = max(1, -(-int(reach.max(initial=0)) // CLASSES))
-    done = [0] * width  # of each component's order, how much is processed
-    possible = np.arange(size)
-    for least in range((CLASSES - 1) * step, -1, -step):
-        # Stretches of impacts of at least ``least``: the highest values where the query is positive, else the lowest.
-        places, impacts = [], []
-        for i in used[reach[used] >= least]:
-            q, values = int(query[i]), block.values[i]
-            if q > 0:
-                edge = size - int(np.searchsorted(values, block.low[i] - (-least // q)))
-                part = slice(size - edge, size - done[i])
-                impact = q * (values[part] - block.low[i])
+    size, parts = len(block.ids), block.component
+    few = np.maximum(TIMES * k, int(size * SHARE))
+    reach = np.abs(queries) * (block.high - block.low)
+    base = np.minimum(queries * block.low, queries * block.high).sum(axis=1)
+    # The least and the most that a segment adds, above the least of its component.
+    q = queries[:, parts]
+    ends = np.sort([q * block.least, q * block.most], axis=0) - np.minimum(q * block.low[parts], q * block.high[parts])
+    lower, upper = ends[0], ends[1]
+    whole = float(reach.sum(axis=1, dtype=np.float64).max(initial=0)) * 2 + 1
+    largest = np.maximum(reach.max(axis=1, initial=0), 1)
+    impact = upper * CLASSES // (largest[:, None] + 1)
+    # In a component the impacts rise or fall, so what is left of it is a prefix or a suffix.
+    starts = np.flatnonzero(np.diff(parts, prepend=-1))
+    open_ = np.arange(len(queries))
+    for turn in TURNS:
+        done = impact[open_] >= turn
+        left = np.maximum.reduceat(np.where(done, 0, upper[open_]), starts, axis=1)  # the largest that is left
+        at_least = block.product(np.where(done, lower[open_], 0), whole)
+        above = block.product(np.where(done, upper[open_] - left[:, parts], 0), whole)
+        at_most = above + left.sum(axis=1)[:, None].astype(above.dtype)
+        again = []
+        for row, i in enumerate(open_):
+            bound = floor[i] - base[i]
+            if size >= k[i]:
+                bound = max(bound, int(np.partition(at_least[row], size - k[i])[size - k[i]]))
+            possible = np.flatnonzero(at_most[row] >= bound)
+            if turn == TURNS[-1] or len(possible) <= few[i]:
+                yield i, possible
             else:
-                edge = int(np.searchsorted(values, block.high[i] + (-least // -q), side="right"))
-                part = slice(done[i], edge)
-                impact = -q * (block.high[i] - values[part])
-            if edge > done[i]:
-                places.append(block.orders[i, part])
-                impacts.append(impact)
-                done[i] = edge
-        if not places:
-            continue
-        at, gained = np.concatenate(places), np.concatenate(impacts) * unit + 1
-        if whole:
-            total += np.bincount(at, weights=gained, minlength=size).astype(np.int64)
-        else:
-            np.add.at(total, at, gained)
-        score, met = base + total // unit, total % unit
-        # A component that is not met adds less than ``least``, and no more than its reach.
-        unmet = np.minimum(reach[used], max(least - 1, 0)).sum() if least else 0
-        upper = score + np.minimum(unmet, (len(used) - met) * max(least - 1, 0))
-        kth = int(np.partition(score, size - k)[size - k]) if size >= k else None
-        bound = max((x for x in (kth, floor) if x is not None), default=None)
-        if bound is not None:
-            possible = np.flatnonzero(upper >= bound)
-            if len(possible) <= few:
-                break
-    return possible
+                again.append(i)
+        open_ = np.array(again, np.int64)
+        if not len(open_):
+            return
 
 
 class Best:
@@ -209,8 +228,8 @@ class Best:
         self.scores, self.ids, self.known = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     @property
-    def floor(self) -> int | None:
-        return int(self.scores[-1]) if len(self.scores) == self.k else None
+    def floor(self) -> int:
+        return int(self.scores[-1]) if len(self.scores) == self.k else -(2**62)
 
     def add(self, scores: np.ndarray, ids: np.ndarray, known: np.ndarray) -> None:
         scores, ids, known = (np.append(a, b) for a, b in ((self.scores, scores), (self.ids, ids), (self.known, known)))
@@ -230,13 +249,18 @@ def _search_set(spark: SparkSession, index: DataFrame, asked: DataFrame, first:
         own, queries = shared.value
         tops = [Best(k) for _ in own]
         for batch in batches:
-            for ids, vectors, orders in zip(*batch.columns, strict=True):
+            for _, ids, vectors, orders in zip(*batch.columns, strict=True):
                 block = Block(ids.values, vectors.as_py(), orders.as_py(), width)
-                for top, me, query in zip(tops, own, queries.astype(np.int64), strict=True):
+                for start in range(0, len(own), TOGETHER):
+                    part = slice(start, start + TOGETHER)
                     # The query's own rows take places, so as many more are asked for.
-                    mine = np.flatnonzero(block.known & (block.ids == me))
-                    at = np.setdiff1d(members(block, query, k + len(mine), top.floor), mine)
-                    top.add(block.vectors[at] @ query, block.ids[at], block.known[at])
+                    mine = [np.flatnonzero(block.known & (block.ids == me)) for me in own[part]]
+                    wanted = np.array([k + len(m) for m in mine])
+                    asked = queries[part].astype(np.int64)
+                    floor = np.array([t.floor for t in tops[part]])
+                    for i, at in members(block, asked, wanted, floor):
+                        at = np.setdiff1d(at, mine[i])
+                        tops[start + i].add(block.vectors[at] @ asked[i], block.ids[at], block.known[at])
         for i, (top, me) in enumerate(zip(tops, own, strict=True)):
             if len(top.ids):
                 same = [pa.array(np.full(len(top.ids), x, np.int64)) for x in (first + i, me)]
@@ -244,4 +268,4 @@ def _search_set(spark: SparkSession, index: DataFrame, asked: DataFrame, first:
                 yield pa.RecordBatch.from_arrays(columns, names=["query", "query_id", "vec_id", "score"])
 
     # A block to a task: a block is work for all queries of the set, and a task's batches hold a block or a few.
-    return index.repartition(blocks).mapInArrow(run, "query long, query_id long, vec_id long, score long")
+    return index.repartitionByRange(blocks, "block").mapInArrow(run, "query long, query_id long, vec_id long, score long")
