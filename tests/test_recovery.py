@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.history import Snapshot, check_strategy, timestamp_strategy
 from tidemark.plans import partitions
 from tidemark.plans.load import Load, load, load_microbatches
-from tidemark.plans.partitions import Publication, recover
+from tidemark.plans.partitions import Publication
 from tidemark.plans.publish import properties_of, table_location
+from tidemark.plans.recovery import recover
 from tidemark.plans.snapshot import read_history, take_snapshot
 from tidemark.streaming import streams
 
@@ -31,7 +32,7 @@ def killing(monkeypatch, step, when):
         if not state["left"]:
             return real(self, *args, **kwargs)
         state["left"] = 0
-        partitions._LIVE.clear()  # a new driver knows of none
+        partitions.LIVE.clear()  # a new driver knows of none
         if when == "before":
             raise Killed
         if when == "within":
@@ -174,7 +175,7 @@ def test_windows(spark, name, monkeypatch):
     assert [r[0] for r in sorted(rows(spark.table(name), "id"))] == want
 
 
-def test_an_error_is_undone_at_once(spark, name, monkeypatch):
+def test_an_error_is_undoneat_once(spark, name, monkeypatch):
     cfg = Load(unique_key="id", partition_by=["p"])
     df = spark.createDataFrame([(1, 1), (2, 2)], "id int, p int")
     load(df, name, cfg)

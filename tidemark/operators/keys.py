@@ -70,6 +70,43 @@ def key_list(df: DataFrame, key: Sequence[str], with_nulls: bool = False) -> Dat
     return keys.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(SPREAD))).distinct().drop("_slice")
 
 
+#: Bits of the filters that tell rows whose key may be among others: as many as 16 for each key, within these bounds.
+LEAST_BITS, MOST_BITS = 16, 26
+
+
+def probably_among(df: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is among the keys of ``wanted``, and a few others.
+
+    A Bloom filter of the wanted keys is made by one aggregation and joined to the rows: at most 2**26 bits, a million words,
+    so it is broadcast and ``df`` is not shuffled.  Keys with a null are among none.  Past four million keys the filter fills up
+    and lets more rows through.  Both sides' keys must have the same types.
+    """
+    names = [F.col(f"`{k}`") for k in key]
+    bits = max(LEAST_BITS, min(MOST_BITS, (16 * wanted.count()).bit_length()))
+    at, word, held = free_names(df.columns, "_at", "_word", "_bits")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        complete = rows.filter(no_null(key))
+        numbered = complete.withColumn(at, F.xxhash64(*names).bitwiseAND(F.lit((1 << bits) - 1)))
+        return numbered.withColumn(word, F.shiftright(at, 6))
+
+    bit = F.expr(f"shiftleft(1L, cast(`{at}` & 63 as int))")
+    words = placed(wanted.select(*names)).groupBy(word).agg(F.bit_or(bit).alias(held))
+    met = placed(df).join(F.broadcast(words), word)
+    return met.filter(F.col(held).bitwiseAND(bit) != 0).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def free_names(taken: Sequence[str], *wanted: str) -> list[str]:
+    """Column names like the wanted ones that are not taken (names compare without case)."""
+    lower = {t.lower() for t in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in lower:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys occurring more than once; only the key columns are read, and counted before the shuffle."""
     counted = df.groupBy(*[F.col(f"`{k}`") for k in key]).agg(F.count(F.lit(1)).alias("_copies"))

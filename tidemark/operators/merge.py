@@ -107,6 +107,8 @@ def merge(
     update_condition: Column | str | None = None,
     insert_condition: Column | str | None = None,
     null_safe: bool = False,
+    by_source: Mapping[str, Column | str] | str | None = None,
+    by_source_condition: Column | str | None = None,
 ) -> DataFrame:
     """The target's content after merging ``batch`` into it.
 
@@ -115,6 +117,8 @@ def merge(
       inserted beside it.
     * Matched rows meeting ``delete_condition`` go; of the rest, those meeting ``update_condition`` are updated.
     * Batch rows without a match are inserted if they meet ``insert_condition``; repeated ones are all inserted.
+    * Target rows without a match that meet ``by_source_condition`` (all, if there is none) are deleted with
+      ``by_source="delete"``, or updated with ``by_source={column: expression}``; by default they stay.
     * Without a key nothing matches and the batch is appended.
     * Two batch rows matching one target row are an error at run time (``latest_per_key`` removes such repeats).
     """
@@ -122,9 +126,11 @@ def merge(
     incoming = batch.select(*[F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in columns])
     wanted = as_condition(insert_condition)
     key = normalise_key(key, target, batch)
+    absent = _absent(by_source, by_source_condition, columns)
     if not key:
         new = incoming.alias("batch")
-        return target.unionByName(new.filter(is_true(wanted)) if wanted is not None else incoming)
+        kept = _without_match(target.alias("target"), by_source, absent)
+        return kept.unionByName(new.filter(is_true(wanted)) if wanted is not None else incoming)
 
     updated = updated_columns(columns, key, update_columns, exclude_columns)
     predicate = as_condition(predicates)
@@ -145,16 +151,23 @@ def merge(
 
     removing = as_condition(delete_condition)
     kept = F.lit(True) if removing is None else ~(matched & is_true(removing))
+    if by_source == "delete":
+        kept = kept & (matched | ~absent)
     changing = as_condition(update_condition)
     updating = matched if changing is None else matched & is_true(changing)
 
+    changes = by_source if isinstance(by_source, Mapping) else {}
+
     def result(name: str) -> Column:
         old = F.col(f"target.`{name}`")
-        if name not in updated:
-            return old.alias(name)
         data_type = target.schema[name].dataType
-        rule = (rules or {}).get(name, default_rule)
-        return F.when(updating, _combine(rule, name, data_type).cast(data_type)).otherwise(old).alias(name)
+        value = old
+        if name in changes:
+            value = F.when(~matched & absent, as_condition(changes[name]).cast(data_type)).otherwise(value)
+        if name in updated:
+            rule = (rules or {}).get(name, default_rule)
+            value = F.when(updating, _combine(rule, name, data_type).cast(data_type)).otherwise(value)
+        return value.alias(name)
 
     rewritten = joined.filter(kept).select(*[result(c) for c in columns])
 
@@ -186,7 +199,37 @@ def merge(
         by_row = old.join(copies.alias("batch"), on).groupBy("target._row")
         clash = by_row.agg(F.sum("batch._copies").alias("_n")).filter("_n > 1")
     checked = error_if_any(clash, f"several batch rows match one target row on key {key}", target.schema)
-    return rewritten.unionByName(outside).unionByName(new.select(*columns)).unionByName(checked)
+    passing = _without_match(outside, by_source, absent)
+    return rewritten.unionByName(passing).unionByName(new.select(*columns)).unionByName(checked)
+
+
+def _absent(
+    by_source: Mapping[str, Column | str] | str | None, condition: Column | str | None, columns: Sequence[str]
+) -> Column:
+    """Which target rows without a match are concerned."""
+    if isinstance(by_source, Mapping):
+        if unknown := [c for c in by_source if c not in columns]:
+            raise ValueError(f"by_source names columns {unknown} that the target lacks: {columns}")
+    elif by_source not in (None, "delete"):
+        raise ValueError(f"by_source must be 'delete' or new values by column, not {by_source!r}")
+    return F.lit(True) if condition is None else is_true(as_condition(condition))
+
+
+def _without_match(rows: DataFrame, by_source: Mapping[str, Column | str] | str | None, absent: Column) -> DataFrame:
+    """Rows of the target that have no match, after the clause for these."""
+    if by_source is None:
+        return rows
+    if by_source == "delete":
+        return rows.filter(~absent)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.select(
+        *[
+            F.when(absent, as_condition(by_source[c]).cast(kinds[c])).otherwise(F.col(f"target.`{c}`")).alias(c)
+            if c in by_source
+            else F.col(f"target.`{c}`")
+            for c in rows.columns
+        ]
+    )
 
 
 def _digest(df: DataFrame) -> Column:
@@ -213,12 +256,15 @@ def merge_into_v2(
     delete_condition: Column | str | None = None,
     update_condition: Column | str | None = None,
     insert_condition: Column | str | None = None,
+    by_source: Mapping[str, Column | str] | str | None = None,
+    by_source_condition: Column | str | None = None,
     delete_first: bool = False,
 ) -> None:
     """Native MERGE for tables whose format supports it (Delta, Iceberg, Hudi): only touched files are rewritten.
 
     Conditions and predicates as SQL texts name columns as ``target.x`` and ``batch.x``.  With ``delete_first`` matched rows are
-    deleted and the whole batch is inserted, as delete+insert does.
+    deleted and the whole batch is inserted, as delete+insert does.  That takes two statements: if the driver dies between
+    them, the load must be repeated to bring the rows back.
     """
     spark = batch.sparkSession
     columns = spark.table(table).columns
@@ -256,5 +302,13 @@ def merge_into_v2(
     statement = matched.update(changes)
     wanted = own(insert_condition)
     new = statement.whenNotMatched() if wanted is None else statement.whenNotMatched(wanted)
-    new.insertAll().merge()
-
+    statement = new.insertAll()
+    if by_source is not None:
+        _absent(by_source, None, columns)  # says what is wrong with it
+        lacking = own(by_source_condition)
+        clause = statement.whenNotMatchedBySource() if lacking is None else statement.whenNotMatchedBySource(lacking)
+        if by_source == "delete":
+            statement = clause.delete()
+        else:
+            statement = clause.update({c: own(v).cast(schema[c].dataType) for c, v in by_source.items()})
+    statement.merge()

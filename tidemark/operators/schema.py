@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.types import type_family
-from tidemark.operators.keys import is_true, key_list, no_null, normalise_key
+from tidemark.operators.keys import is_true, key_list, no_null, normalise_key, probably_among
 from tidemark.operators.structs import conform_frame
 
 log = logging.getLogger(__name__)
@@ -225,6 +225,25 @@ def constraint_violations(df: DataFrame, constraints: Sequence[Constraint]) -> D
     return result
 
 
+def enforce_keys(
+    batch: DataFrame, held: DataFrame, constraints: Sequence[Constraint], staying: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Raise if a key of the batch is that of a table's row, too, which stays beside the batch.
+
+    A Bloom filter of the batch's keys picks the few rows of ``held`` that may clash; ``staying`` tells which of them the load
+    leaves, and only these meet the batch.
+    """
+    broken = {}
+    for rule in (c for c in constraints if c.kind in ("unique", "primary_key")):
+        key = normalise_key(rule.columns, held, batch)
+        keys = batch.select(*[F.col(f"`{k}`").cast(held.schema[k].dataType).alias(k) for k in key])
+        rows = staying(probably_among(held, keys, key)).select(*[f"`{k}`" for k in key])
+        if clashes := rows.join(key_list(keys, key), key, "left_semi").count():
+            broken[rule.label] = clashes
+    if broken:
+        raise SchemaMismatch(f"keys of the batch are in the table already: {broken}")
+
+
 def enforce_constraints(df: DataFrame, constraints: Sequence[Constraint]) -> None:
     """Raise if any constraint is violated (run before publishing)."""
     broken = constraint_violations(df, constraints).filter("violations > 0").collect()  # one row per constraint

@@ -24,10 +24,12 @@ from tidemark.operators.schema import (
     diff,
     enforce_constraints,
     enforce_contract,
+    enforce_keys,
     normalise_policy,
     reconcile,
 )
-from tidemark.plans.partitions import recover, write_partitions
+from tidemark.plans.filewise import files_holding, rewrite_files
+from tidemark.plans.partitions import write_partitions
 from tidemark.plans.publish import (
     is_view,
     partition_columns,
@@ -37,6 +39,7 @@ from tidemark.plans.publish import (
     shape,
     table_exists,
 )
+from tidemark.plans.recovery import recover
 from tidemark.session import cleaned_up, stage
 from tidemark.sources.files import load_files, read_seed
 from tidemark.sources.sinks import gathered, validate_format
@@ -53,7 +56,11 @@ class Load:
     """Settings of one incrementally loaded table.
 
     ``partition_grain``: the stretch of event time that one partition holds, for microbatches by overwrite.
-    ``contract`` and ``constraints``: checked on every batch before anything is written; key constraints hold within the batch.
+    ``contract`` and ``constraints``: checked on every batch before anything is written; a key constraint also against the
+    table's rows that stay beside the batch.
+    ``by_source`` and ``by_source_condition``: what a merge does to the table's rows that the batch lacks.
+    ``rewrite``: 'table' replaces a table without partitions in one step; 'files' only those of its files that hold a changed
+    row, in several (see ``filewise``).
     """
 
     strategy: str | None = None
@@ -67,6 +74,8 @@ class Load:
     delete_condition: Column | str | None = None
     update_condition: Column | str | None = None
     insert_condition: Column | str | None = None
+    by_source: Mapping[str, Column | str] | str | None = None
+    by_source_condition: Column | str | None = None
     overwrite_values: Sequence[Any] | None = None
     on_schema_change: str | None = "ignore"
     full_refresh: bool | None = None
@@ -78,6 +87,7 @@ class Load:
     constraints: Sequence[Constraint] = ()
     file_format: str = "parquet"
     location: str | None = None
+    rewrite: str = "table"
 
     @property
     def effective_strategy(self) -> str:
@@ -103,6 +113,12 @@ def validate(cfg: Load) -> None:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     if cfg.update_columns and cfg.exclude_columns:
         raise ValueError("give update_columns or exclude_columns, not both")
+    if cfg.rewrite not in ("table", "files"):
+        raise ValueError(f"rewrite must be 'table' or 'files', not {cfg.rewrite!r}")
+    if cfg.by_source is not None and (strategy != "merge" or not normalise_key(cfg.unique_key)):
+        raise ValueError("by_source needs a merge by a unique key")
+    if cfg.by_source is None and cfg.by_source_condition is not None:
+        raise ValueError("by_source_condition says when, by_source must say what")
     if cfg.overwrite_values is not None and len(cfg.partition_by) != 1:
         raise ValueError("a static overwrite needs exactly one partition column")
     if strategy == "microbatch":
@@ -135,6 +151,34 @@ def _checked(batch: DataFrame, cfg: Load) -> DataFrame:
     return batch
 
 
+def _check_keys(batch: DataFrame, target: DataFrame, cfg: Load, window: Column | None = None) -> None:
+    """Raise if a key constraint would be broken between the batch and what the load leaves in the table."""
+    strategy = cfg.effective_strategy if window is None else cfg.effective_style
+    key = normalise_key(cfg.unique_key, target, batch)
+
+    def staying(rows: DataFrame) -> DataFrame:
+        if strategy in ("merge", "delete+insert") and window is None or strategy == "merge":
+            if not key:
+                return rows
+            extra = as_condition(cfg.predicates)
+            paired = extra is not None and names_batch(extra)
+            other = (batch if paired else key_list(batch, key)).alias("batch")
+            on = key_match("target", "batch", key)
+            return rows.alias("target").join(other, on if extra is None else on & extra, "left_anti")
+        if window is not None:
+            return rows.filter(~is_true(window))
+        if strategy == "insert_overwrite" and cfg.overwrite_values is not None:
+            return rows.filter(~is_true(F.col(f"`{cfg.partition_by[0]}`").isin(list(cfg.overwrite_values))))
+        if strategy == "insert_overwrite":
+            columns = list(cfg.partition_by)
+            if not columns:
+                return rows.limit(0)
+            return rows.join(batch.select(*[f"`{c}`" for c in columns]).distinct(), columns, "left_anti")
+        return rows
+
+    enforce_keys(batch, target, cfg.constraints, staying)
+
+
 def is_incremental(spark: SparkSession, table: str, cfg: Load, full_refresh: bool = False) -> bool:
     """Whether a load adds to the table: it exists and is not to be rebuilt (the setting outranks the flag)."""
     rebuild = cfg.full_refresh if cfg.full_refresh is not None else full_refresh
@@ -182,6 +226,7 @@ def _load(batch: DataFrame, table: str, cfg: Load, full_refresh: bool, marks: Ma
     target = spark.table(table)
     strategy = cfg.effective_strategy
     key = normalise_key(cfg.unique_key, target, batch)
+    _check_keys(batch, target, cfg)
 
     if strategy == "append" or (strategy in ("merge", "delete+insert") and not key):
         if strategy == "merge" and cfg.insert_condition is not None:
@@ -222,6 +267,8 @@ def _merge_settings(cfg: Load) -> dict[str, Any]:
         delete_condition=cfg.delete_condition,
         update_condition=cfg.update_condition,
         insert_condition=cfg.insert_condition,
+        by_source=cfg.by_source,
+        by_source_condition=cfg.by_source_condition,
     )
 
 
@@ -287,6 +334,8 @@ def load_in_parts(batch: DataFrame, table: str, cfg: Load, partitions_per_load:
         key = normalise_key(cfg.unique_key, staged)
         if cfg.effective_strategy in ("merge", "delete+insert") and key:
             _reject_spread_keys(staged, key, columns)
+        if is_incremental(spark, table, cfg):
+            _check_keys(staged, spark.table(table), cfg)
         parts = staged.select(*columns).schema
         found = staged.select(*columns).distinct().toLocalIterator()  # partition values only
         listed = sorted(found, key=lambda row: [str(v) for v in row])
@@ -363,6 +412,7 @@ def _load_window(batch: DataFrame, table: str, cfg: Load, start: dt.datetime, st
     spark = batch.sparkSession
     window = inc.in_window(cfg.event_time, start, stop)
     columns = partition_columns(spark, table)
+    _check_keys(batch, spark.table(table), cfg, window)
     if style == "overwrite":
         # Partitions of the window that the batch has no rows for any more are emptied; one that also holds rows of other
         # windows would lose them.
@@ -462,18 +512,29 @@ def _rewrite(
     columns = partition_columns(spark, table)
     target = spark.table(table)
     batch = stage(batch, "batch").frame
+    reachable = target
+    extra = as_condition(cfg.predicates) if cfg else None
+    if extra is not None and not names_batch(extra):
+        reachable = target.alias("target").filter(extra)
+    lacking = None  # rows that a clause for what the batch lacks may change
+    if cfg is not None and cfg.by_source is not None:
+        lacking = target.alias("target").filter(is_true(as_condition(cfg.by_source_condition or F.lit(True))))
     if not columns:
+        if cfg is not None and cfg.rewrite == "files" and key:
+            files = files_holding(reachable, batch, key)
+            if lacking is not None:
+                files = files.union(lacking.select(F.col("_metadata.file_path"))).distinct()
+            if rewrite_files(batch, table, operator, files, marks):
+                return
         replace_table(operator(target, batch), table, properties=marks)
         return
 
     touched = batch.select(*columns)
     if key:
-        reachable = target
-        extra = as_condition(cfg.predicates) if cfg else None
-        if extra is not None and not names_batch(extra):
-            reachable = target.alias("target").filter(extra)
         held = reachable.join(key_list(batch, key), list(key), "left_semi")
         touched = touched.unionByName(held.select(*columns))
+    if lacking is not None:
+        touched = touched.unionByName(lacking.select(*columns))
     if cleared is not None:
         touched = touched.unionByName(cleared)
     touched = stage(touched.distinct(), "touched").frame

@@ -45,7 +45,7 @@ PER_STATEMENT, AT_ONCE = 200, 8
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 #: Publications of this application that are under way; they are not to be recovered.
-_LIVE: set[str] = set()
+LIVE: set[str] = set()
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ class Publication:
         return f"{_root(self.kind)}/{self.version}"
 
     def mark(self, state: str) -> str:
-        return f"{_journal(self.kind)}/{self.version}.{state}"
+        return f"{journal_of(self.kind)}/{self.version}.{state}"
 
     # -- the steps, in their order ------------------------------------------------------------------------------
 
@@ -177,7 +177,7 @@ class Publication:
             start = next(i for i, r in enumerate(rows) if r.col_name == "# Detailed Partition Information")
             return values, next(r.data_type for r in rows[start:] if r.col_name == "Location")
 
-        return {values: place for values, place in _at_once(one, wanted) if place is not None}
+        return {values: place for values, place in at_once(one, wanted) if place is not None}
 
     def _add(self, moves: Sequence[Move]) -> None:
         for first in range(0, len(moves), PER_STATEMENT):
@@ -189,7 +189,7 @@ class Publication:
             values, folder = place
             self.spark.sql(f"ALTER TABLE {self.table} PARTITION ({self._spec(values)}) SET LOCATION {quoted(folder)}")
 
-        _at_once(one, places)
+        at_once(one, places)
 
     def _drop(self, listed: Sequence[Values]) -> None:
         for first in range(0, len(listed), PER_STATEMENT):
@@ -197,7 +197,7 @@ class Publication:
             self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {named}")
 
 
-def _at_once(work: Callable[[Any], Any], items: Iterable[Any]) -> list[Any]:
+def at_once(work: Callable[[Any], Any], items: Iterable[Any]) -> list[Any]:
     """Catalog statements, a few at a time, as each is a call to the metastore."""
     items = list(items)
     if len(items) < 2:
@@ -210,7 +210,7 @@ def _root(kind: Shape) -> str:
     return f"{kind.location.rstrip('/')}/{PUBLISHED}"
 
 
-def _journal(kind: Shape) -> str:
+def journal_of(kind: Shape) -> str:
     return f"{_root(kind)}/journal"
 
 
@@ -244,7 +244,7 @@ def write_partitions(
     if not kind.tracked:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     step = Publication(spark, table, kind, uuid.uuid4().hex)
-    _LIVE.add(step.version)
+    LIVE.add(step.version)
     try:
         try:
             step.begin()
@@ -261,25 +261,6 @@ def write_partitions(
             raise
         step.finish()
     finally:
-        _LIVE.discard(step.version)
+        LIVE.discard(step.version)
         spark.catalog.refreshTable(table)
     return list(written)
-
-
-def recover(spark: SparkSession, table: str) -> None:
-    """Settle what interrupted loads have left: undo those that were not committed, finish the others."""
-    kind = shape(spark, table)
-    if not kind.partition_by or not kind.location:
-        return
-    files = Files(spark, kind.location)
-    marks = files.names(_journal(kind)) if files.exists(_journal(kind)) else []
-    for version in sorted({m.partition(".")[0] for m in marks}):
-        step = Publication(spark, table, kind, version)
-        # One that ended meanwhile has left neither mark.
-        if version in _LIVE or not any(files.exists(step.mark(state)) for state in ("begun", "committed")):
-            continue
-        if files.exists(step.mark("committed")):
-            step.finish()
-        else:
-            step.undo()
-        spark.catalog.refreshTable(table)

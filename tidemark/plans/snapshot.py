@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import clock
 from tidemark.operators import history as hist
-from tidemark.plans.partitions import recover, write_partitions
+from tidemark.plans.partitions import write_partitions
 from tidemark.plans.publish import has_partition, is_view, replace_table, table_exists
+from tidemark.plans.recovery import recover
 from tidemark.session import cleaned_up, stage
 
 CLOSED_IN = "closed_in"

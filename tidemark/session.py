@@ -119,6 +119,10 @@ class Files:
         row = self._spark.read.text(path, wholetext=True).first()
         return row[0] if row else ""
 
+    def move(self, path: str, to: str) -> None:
+        if not self._store.rename(self._path(path), self._path(to)):
+            raise OSError(f"can't move {path} to {to}")
+
     def delete(self, path: str) -> None:
         self._store.delete(self._path(path), True)
 

@@ -19,8 +19,9 @@ from tidemark.operators.history import Snapshot
 from tidemark.operators.keys import as_condition
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans.load import ROW_LEVEL_FORMATS, Load, load
-from tidemark.plans.partitions import recover, write_partitions
+from tidemark.plans.partitions import write_partitions
 from tidemark.plans.publish import properties_of, set_properties, shape, table_exists
+from tidemark.plans.recovery import recover
 from tidemark.plans.snapshot import append_changes
 from tidemark.session import cleaned_up, stage
 
