@@ -92,7 +92,7 @@ def test_fingerprints_agree_with_plain_python(spark):
         else:
             want, groups = ["l" + md5(",".join(map(hexed, found)), 6)], {}
             for x in found:
-                if (s := (x % (1 << 64)) >> 55) < imatch.SUBSETS:
+                if (s := (x % (1 << 64)) >> (64 - imatch.CLASS_BITS)) < imatch.SUBSETS:
                     groups.setdefault(s, []).append(x)
             for xs in groups.values():
                 want.append(md5("".join("," + hexed(x) for x in xs), 6))

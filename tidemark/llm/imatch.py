@@ -30,8 +30,10 @@ from tidemark.session import stage
 CELLS = 1 << 22
 #: Shares of documents between which a term belongs to the lexicon.
 BAND = (0.0005, 0.1)
-#: Random classes of the lexicon's terms.  All are subsets, so every term of the lexicon enters one.
-CLASSES = SUBSETS = 512
+#: Random classes of the lexicon's terms, a power of two.  All are subsets, so every term of the lexicon enters one; a text of
+#: usual length has one term or a few in most, so an entry stands for several terms and an edit leaves many entries.
+CLASS_BITS = 7
+CLASSES = SUBSETS = 1 << CLASS_BITS
 
 _TERM = r"[\p{L}\p{N}]+"
 
@@ -72,7 +74,7 @@ def fingerprint(text: Column, bits: Column) -> Column:
         return F.substring(F.md5(F.array_join(F.transform(terms, lambda t: F.hex(t)), ",").cast("binary")), 1, 6)
 
     def subset(term: Column) -> Column:
-        return F.shiftrightunsigned(term, 55)  # the top nine bits: CLASSES values; equal ones stand together when sorted
+        return F.shiftrightunsigned(term, 64 - CLASS_BITS)  # the top bits; equal ones stand together when sorted
 
     def cut(terms: Column) -> Column:
         """Runs of one subset, as text between bars."""
