@@ -25,7 +25,7 @@ def test_suffix_arrays(monkeypatch, least):
         t = [*t, 0]
         sa = suffix.suffix_array(np.array(t, np.uint8))
         assert sa.tolist() == sorted(range(len(t)), key=lambda i: t[i:])
-        previous, common = suffix.permuted_common_prefixes(np.array(t, np.uint8), sa, np.zeros(0, int))
+        previous, common = suffix.permuted_common_prefixes(np.array(t, np.uint8), sa, np.zeros(0, int), 1200)
         for p, q in enumerate(previous.tolist()):
             if q >= 0:
                 same = next((i for i, (a, b) in enumerate(zip(t[p:], t[q:])) if a != b), min(len(t) - p, len(t) - q))
@@ -99,6 +99,22 @@ def test_many_shards(spark, monkeypatch):
     check(spark, corpus(10), 50)
 
 
+@pytest.mark.parametrize("length", [800, 1500])
+def test_long_strings(spark, length):
+    """Texts that share more than twice the length, in part; and a share just long enough and just too short."""
+    rng = random.Random(length)
+
+    def prose(k):
+        return "".join(rng.choices("abcdef ghi", k=k))
+
+    shared, exact, short = prose(2 * length + 700), prose(length), prose(length - 1)
+    texts = [
+        prose(300) + shared + prose(200), shared[100:] + prose(50), prose(10) + shared[: length + 300],
+        exact + prose(100), prose(90) + exact, short + "x" + prose(40), prose(30) + "y" + short,
+    ]
+    check(spark, texts, length)
+
+
 def test_nothing_repeated_and_empty_table(spark):
     check(spark, ["one text " * 3, None, "another"], 40)
     df = spark.createDataFrame([], "doc_id long, text string")

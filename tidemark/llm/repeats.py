@@ -7,7 +7,7 @@ anywhere else as well, in the same text or in another.
 2. *Equal regions* (equal hashes of anchor and content) are counted; all windows of one that occurs twice are repeated.
 3. *Suffix arrays.*  The distinct regions of each anchor hash that has several go to shards.  Induced sorting makes a shard's suffix
    array; permuted common prefixes of at least LENGTH bytes tell the windows that regions share in part.
-4. *Anchors with more than CROWD distinct regions* (a line that every text has) do not go to one shard.  Their regions are
+4. *Anchors with more than CROWD distinct regions, or SHARD_BYTES of them* (a line that every text has) do not go to one shard.  Their regions are
    cut into pieces of at most WIDTHS[0] windows, keyed by the bytes that all windows of a piece have in common; which leaves
    few.  Pieces that still differ under one key are cut into narrower ones, down to single windows, keyed by all their bytes.
 5. *Removal.*  Repeated windows of each text are united, and the text is joined to them.
@@ -39,8 +39,8 @@ STRETCH = 4_000_000
 CROWD = 2_048
 #: Windows of a piece, from cut to cut.
 WIDTHS = (24, 4, 1)
-#: Bytes of a shard, about.
-SHARD_BYTES = 700_000
+#: Bytes of a shard, about, and bytes of one anchor hash's distinct regions that may go to one shard.
+SHARD_BYTES = 500_000
 
 _SEPARATOR = 0xFE  # bytes of UTF-8, each raised by one, never reach it
 
@@ -171,12 +171,12 @@ def _shard_repeats(found: list[tuple[int, int, bytes]], length: int) -> list[tup
     t = np.concatenate([*parts, np.zeros(1, np.uint8)])
     first = np.array(starts)
     windows = np.array([len(raw) - length + 1 for _, _, raw in found])
-    edges = np.zeros(len(t) + 1, np.int64)
+    edges = np.zeros(len(t) + 1, np.int32)
     edges[first] += 1
     np.subtract.at(edges, first + windows, 1)
-    valid = np.cumsum(edges[:-1]) > 0
+    valid = np.cumsum(edges[:-1], dtype=np.int32) > 0
 
-    previous, common = suffix.permuted_common_prefixes(t, suffix.suffix_array(t), first)
+    previous, common = suffix.permuted_common_prefixes(t, suffix.suffix_array(t), first, 2 * length)  # a region is shorter
     again = valid & (common >= length)
     again[previous[again]] = True
     change = np.diff(again.astype(np.int8), prepend=0, append=0)
@@ -285,15 +285,18 @@ def find(docs: DataFrame, length: int = 400) -> DataFrame:
     counted = described.groupBy("key", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "size", "first", "last", "anchor")).alias("at")
     )
-    kinds = counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).where("total > 1")
-    known = stage(counted.join(kinds, "key").select("key", "content", "n", "kinds", "at.*"), "known").frame
+    size = F.sum(F.col("at.last") - F.col("at.first") + length)
+    kinds = counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total"), size.alias("bytes"))
+    crowd = ((F.col("kinds") > CROWD) | (F.col("bytes") > SHARD_BYTES)).alias("crowd")
+    several = kinds.where("total > 1").select("key", "kinds", crowd)
+    known = stage(counted.join(several, "key").select("key", "content", "n", "kinds", "crowd", "at.*"), "known").frame
 
     whole = known.where("n > 1").select(
         "key", "content", F.lit(0).cast("bigint").alias("start"), (F.col("last") - F.col("first")).alias("end"),
         F.lit(True).alias("whole"),
     )
     part = F.lit(False).alias("whole")
-    differing = known.where(F.col("kinds").between(2, CROWD))
+    differing = known.where("kinds > 1 and not crowd")
     amount = differing.agg(F.sum(F.col("last") - F.col("first") + length)).first()[0] or 0
 
     def cut(b: np.ndarray, item: dict):
@@ -302,7 +305,7 @@ def find(docs: DataFrame, length: int = 400) -> DataFrame:
     items = differing.select("t", "size", "key", "content", "first", "last")
     slices = _each(_with_texts(docs, items), cut, "key bigint, content bigint, raw binary")
     repeated = whole.union(_from_shards(slices, tasks(docs, amount // SHARD_BYTES + 1), length).select("*", part))
-    crowded = known.where(F.col("kinds") > CROWD)
+    crowded = known.where("kinds > 1 and crowd")
     if not crowded.isEmpty():
         repeated = repeated.union(_from_crowds(docs, crowded, length).select("*", part))
     # One row for each region, so the join gives no more rows than there are regions; a whole one needs no parts.

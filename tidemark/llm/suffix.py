@@ -10,15 +10,15 @@ import numpy as np
 
 #: Positions that are read at once, at least and at most.
 LEAST_BATCH, MOST_BATCH = 256, 1 << 16
-#: Common prefixes are followed up to this length.
-FOLLOWED = 1_200
+#: Positions and symbols of shards are far below two billion.
+INT = np.int32
 
 
 def _types(t: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than the next one.  The last symbol is the only smallest."""
     n = len(t)
-    rises = np.sign(t[1:].astype(np.int64) - t[:-1])
-    at = np.where(rises != 0, np.arange(n - 1), n)
+    rises = np.sign(t[1:].astype(INT) - t[:-1]).astype(np.int8)
+    at = np.where(rises != 0, np.arange(n - 1, dtype=INT), INT(n))
     following = np.minimum.accumulate(at[::-1])[::-1]
     return np.append(rises[following] > 0, True)
 
@@ -26,10 +26,10 @@ def _types(t: np.ndarray) -> np.ndarray:
 def _ranks(sorted_symbols: np.ndarray) -> np.ndarray:
     """Rank of each element among its equals, which stand together."""
     n = len(sorted_symbols)
-    at = np.arange(n)
+    at = np.arange(n, dtype=INT)
     first = np.ones(n, bool)
     first[1:] = sorted_symbols[1:] != sorted_symbols[:-1]
-    return at - np.maximum.accumulate(np.where(first, at, 0))
+    return at - np.maximum.accumulate(np.where(first, at, INT(0)))
 
 
 def _advance(bounds: np.ndarray, symbols: np.ndarray, to: np.ndarray, past: int) -> None:
@@ -42,7 +42,7 @@ def _advance(bounds: np.ndarray, symbols: np.ndarray, to: np.ndarray, past: int)
 def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The suffix array that follows from the order of the leftmost-smaller suffixes."""
     n = len(t)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, INT)
     by_symbol = np.argsort(t[lms], kind="stable")
     symbols = t[lms][by_symbol]
     size = np.bincount(symbols, minlength=len(ends))
@@ -105,7 +105,7 @@ def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndar
 
 def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Numbers of the sorted leftmost-smaller substrings; equal ones share a number."""
-    length = np.ones(len(t), np.int64)
+    length = np.ones(len(t), INT)
     length[lms[:-1]] = np.diff(lms) + 1
     a, b = ordered[:-1], ordered[1:]
     same = length[a] == length[b]
@@ -117,16 +117,16 @@ def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
         offset += 1
         live = live[equal]
         live = live[length[a[live]] > offset]
-    return np.concatenate([[0], np.cumsum(~same)])
+    return np.concatenate([[0], np.cumsum(~same)]).astype(INT)
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
     """Suffixes of ``t`` in order.  ``t``: whole numbers from 0; the last one is smaller than all others."""
     n = len(t)
     if n < 3:
-        return np.arange(n - 1, -1, -1, dtype=np.int64)
+        return np.arange(n - 1, -1, -1, dtype=INT)
     smaller = _types(t)
-    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]).astype(INT) + INT(1)
     size = np.bincount(t)
     ends = np.cumsum(size)
     starts = ends - size
@@ -137,38 +137,39 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         ordered = sa[is_lms[sa]]
         names = _names(t, ordered, lms)
         if names[-1] + 1 < len(lms):
-            number = np.empty(n, np.int64)
+            number = np.empty(n, INT)
             number[ordered] = names
             ordered = lms[suffix_array(number[lms])]
         sa = _induce(t, smaller, ordered, starts, ends)
     return sa
 
 
-def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, whole: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """For each position the suffix before it in order, and the length of their common prefix.
 
     Only positions whose common prefix is not that of the position before, less one symbol, are compared (and those in ``whole``);
-    lengths are followed up to FOLLOWED.  ``t``: bytes.
+    lengths are followed up to ``most``, which no common prefix that matters is beyond.  ``t``: bytes.
     """
     n = len(t)
-    previous = np.full(n, -1, np.int64)
+    previous = np.full(n, -1, INT)
     previous[sa[1:]] = sa[:-1]
     own = np.ones(n, bool)
     inner = np.flatnonzero(previous[1:] > 0) + 1
     own[inner] = t[inner - 1] != t[previous[inner] - 1]
     own[whole] = True
-    start = np.flatnonzero(own & (previous >= 0))
-    padded = np.concatenate([t, np.zeros(FOLLOWED + 16, np.uint8)])
-    words = np.ndarray((n + FOLLOWED,), "<u8", padded.tobytes(), strides=(1,))
-    length = np.zeros(n, np.int64)
+    start = np.flatnonzero(own & (previous >= 0)).astype(INT)
+    padded = np.concatenate([t, np.zeros(most + 16, np.uint8)])
+    words = np.ndarray((n + most,), "<u8", padded, strides=(1,))
+    length = np.zeros(n, INT)
     live, offset = start, 0
-    while len(live) and offset < FOLLOWED:
+    while len(live) and offset < most:
         differ = words[live + offset] ^ words[previous[live] + offset]
         done = differ != 0
         low = differ[done] & (~differ[done] + np.uint64(1))  # the lowest set bit: its byte is the first that differs
         length[live[done]] = offset + np.floor(np.log2(low.astype(np.float64))).astype(np.int64) // 8
         offset += 8
         live = live[~done]
-    length[live] = FOLLOWED
-    last = np.maximum.accumulate(np.where(own, np.arange(n), 0))
-    return previous, np.maximum(length[last] - (np.arange(n) - last), 0)
+    length[live] = most
+    at = np.arange(n, dtype=INT)
+    last = np.maximum.accumulate(np.where(own, at, INT(0)))
+    return previous, np.maximum(length[last] - (at - last), 0)
