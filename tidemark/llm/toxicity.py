@@ -2,16 +2,17 @@
 
 Two zstandard dictionaries are trained on labelled rows, one on toxic and one on ordinary text.  Both begin with the
 same background (zstandard's trainer over windows of ordinary rows) and end with their own class's segments: words
-and beginnings of words that stand in far more texts of this class than of the other, and words that begin like the
-other's segments.  A text is cut into windows; a window that the toxic dictionary makes shorter than the ordinary one does
-holds toxic segments.  A logistic curve over the windows' differences, calibrated on labelled rows that the dictionaries
-never saw, turns them into a score.
+and beginnings of words that stand, once or several times, in far more texts of this class than of the other.  (Most of a toxic
+text is ordinary, so dictionaries of whole windows would differ by chance more than by class.)  A text is cut into windows; a
+window that the toxic dictionary makes shorter than the ordinary one does holds toxic segments.  A logistic curve over the
+windows' differences, calibrated on labelled rows that the dictionaries never saw, turns them into a score.
 
 Each byte is compressed as a two-byte code of itself and the up to three bytes of its word before it.  So chance likenesses
 of a few letters are no matches, and a matching word saves more than the match costs.
 
-Fitting uses a bounded sample: the FIT_ROWS labelled rows with the smallest hash of their id, at most FIT_CHARS
-characters of each.  Scoring reads whole texts and is a narrow map; the model (a few kilobytes) travels with the tasks.
+Fitting uses a bounded sample: the whole texts of the FIT_ROWS labelled rows with the smallest hash of their id; of their ordinary
+windows the background is made of about BACKGROUND_WINDOWS, chosen by hash among all.  Scoring reads whole texts and is a
+narrow map; the model (a few kilobytes) travels with the tasks.
 
 Defined results: a null text counts as empty; a text without letters has one empty window, whose difference is 0; without
 labelled rows of both classes every score is the share of toxic rows (0 without any); of several labels of one id the highest
@@ -34,19 +35,20 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import free_name, with_text_columns
 
-#: Labelled rows that are fitted, at most, and characters of each.
+#: Labelled rows that are fitted, at most.
 FIT_ROWS = 6_000
-FIT_CHARS = 20_000
 #: Bytes of text in a window.
-WINDOW = 100
+WINDOW = 60
 #: Bytes of the background, and of text in each class's segments, at most.
 BACKGROUND, SEGMENTS = 16_384, 8_192
+#: Windows that the background is trained on, about, and bits that tell which word triples were seen.
+BACKGROUND_WINDOWS, SEEN_BITS = 30_000, 27
 #: Characters of the beginnings of words that make segments beside whole words, blank included; and how many times the
 #: other class's share of texts a segment must reach.
 HEADS = (5, 6, 7, 8, 9)
-LIFT = 15
-#: Characters with which a word looks like a segment.
-ALIKE = 6
+LIFT = 30
+#: How many times a text may have to hold a segment for it to tell something.
+TIMES = (1, 2, 3)
 #: Score from which a text is called toxic.
 TOXIC = 0.7
 
@@ -88,26 +90,38 @@ def _surprise(a: int, b: int, na: int, nb: int) -> float:
     return 2 * sum(x * math.log(x / (n * share)) for x, n in ((a, na), (b, nb)) if x)
 
 
+def _held(plain: str) -> list[tuple[str, int]]:
+    """The heads of a text's words, each with every number of times of TIMES that it reaches."""
+    counts = Counter(h for w in plain.split() for h in _heads(w))
+    return [(h, m) for h, n in counts.items() for m in TIMES if n >= m]
+
+
 def _telling(own: Counter, other: Counter, n_own: int, n_other: int) -> set[str]:
-    """Heads whose share of texts is far above the other class's, by more than chance over all heads allows."""
+    """Heads that far more of the class's texts hold so many times than of the other's, by more than chance over all allows."""
     least = 2 * math.log(max(2, len(own)))
     return {
-        g
+        g[0]
         for g, a in own.items()
         if a > 2 and a / n_own >= LIFT * (b := other[g] + 0.5) / n_other and _surprise(a, other[g], n_own, n_other) >= least
     }
 
 
 def _own_texts(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
-    """Rows without the copies of earlier ones, whose every word would look telling: a third of the word triples is known."""
-    seen: set[str] = set()
+    """Rows without the copies of earlier ones, whose every word would look telling: a third of the word triples is known.
+
+    Triples are known by a bit of their hash in an array of fixed size.
+    """
+    seen = np.zeros(1 << (SEEN_BITS - 3), np.uint8)
     out = []
     for plain, y in rows:
-        words = plain.split()
-        triples = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
-        if 3 * len(triples & seen) <= len(triples):
+        words = np.array([zlib.crc32(w.encode()) for w in plain.split()] or [0], np.uint64)
+        words = np.append(words, np.zeros(max(0, 3 - len(words)), np.uint64))
+        mixed = (words[:-2] * np.uint64(31) + words[1:-1]) * np.uint64(1_000_003) + words[2:]
+        at = np.unique((mixed * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+        bit = (1 << (at & 7)).astype(np.uint8)
+        if 3 * np.count_nonzero(seen[at >> 3] & bit) <= len(at):
             out.append((plain, y))
-        seen |= triples
+        np.bitwise_or.at(seen, at >> 3, bit)
     return out
 
 
@@ -118,7 +132,7 @@ def _segments(plain: str, telling: set[str]) -> set[str]:
 
 def _settings() -> zstandard.ZstdCompressionParameters:
     return zstandard.ZstdCompressionParameters(
-        min_match=6, strategy=zstandard.STRATEGY_BTOPT, window_log=17, hash_log=15, chain_log=15, search_log=4,
+        min_match=6, strategy=zstandard.STRATEGY_BTLAZY2, window_log=17, hash_log=15, chain_log=15, search_log=4,
         target_length=64, write_content_size=False, write_dict_id=False,
     )
 
@@ -159,10 +173,18 @@ def _measure(toxic: bytes, ordinary: bytes):
     return features
 
 
+#: Bytes by which a window is shorter with the toxic dictionary: where it counts as found, and what a window counts for at most.
+FOUND, MOST = (3, 6), 12
+
+
 def _features(differences: list[int]) -> list[float]:
+    """The five largest differences, their sum, the windows found as a share and as numbers, and the mean."""
     d = np.array(differences, float)
-    top = np.sort(d)[::-1]
-    return [top[0], top[:3].mean(), d.mean(), math.log1p(np.maximum(d, 0).sum()), float(np.sqrt(max(0.0, d.mean())))]
+    largest = np.append(np.sort(d)[::-1], np.zeros(5))[:5]
+    found = [np.count_nonzero(d >= least) for least in FOUND]
+    return [
+        *np.minimum(largest, MOST), math.log1p(np.maximum(d, 0).sum()), found[0] / len(d), *map(math.log1p, found), d.mean(),
+    ]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -191,21 +213,18 @@ def fit(rows: list[tuple[int, str | None, int]]) -> Model:
 
     counts, sizes = (Counter(), Counter()), Counter(y for _, y in fitting)
     for plain, y in fitting:
-        counts[y].update({h for w in set(plain.split()) for h in _heads(w)})
-    found = []
-    for y in (0, 1):
-        telling = _telling(counts[y], counts[1 - y], sizes[y], sizes[1 - y])
-        found.append(Counter(s for plain, label in fitting if label == y for s in _segments(plain, telling)))
-    # Words of each class that begin like the other's segments, so that a mere likeness helps neither.
+        counts[y].update(_held(plain))
     own = []
     for y in (0, 1):
-        begins = {s[:ALIKE] for s in found[1 - y]}
-        alike = Counter(
-            f" {w} " for plain, label in fitting if label == y for w in set(plain.split()) if f" {w} "[:ALIKE] in begins
-        )
-        ranked = [*sorted(alike, key=lambda s: (alike[s], s)), *sorted(found[y], key=lambda s: (found[y][s], s))]
+        telling = _telling(counts[y], counts[1 - y], sizes[y], sizes[1 - y])
+        found = Counter(s for plain, label in fitting if label == y for s in _segments(plain, telling))
+        ranked = sorted(found, key=lambda s: (found[s], s))
         own.append("".join(ranked).encode()[-SEGMENTS:])  # the most frequent stand last, where matches are cheapest
-    windows = [w for plain, y in fitting if y == 0 for w in _windows(plain)][:30_000]
+    del counts
+    share = BACKGROUND_WINDOWS / max(1, sum(len(plain) for plain, y in fitting if y == 0) / WINDOW)
+    windows = [
+        w for plain, y in fitting if y == 0 for w in _windows(plain) if zlib.crc32(w) < share * (1 << 32)
+    ]
     try:
         background = zstandard.train_dictionary(BACKGROUND, windows, d=8, k=96).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
@@ -228,7 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         .orderBy(F.xxhash64("id_"), "id_")
         .limit(FIT_ROWS)
     )
-    texts = docs.select(F.col(key).alias("id_"), F.substring(F.col(text), 1, FIT_CHARS).alias("text_"))
+    texts = docs.select(F.col(key).alias("id_"), F.col(text).cast("string").alias("text_"))
     rows = (
         texts.join(F.broadcast(chosen), "id_")  # FIT_ROWS rows at most
         .orderBy(F.xxhash64("id_"), "id_", F.xxhash64("text_"))
