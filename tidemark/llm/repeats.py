@@ -7,7 +7,7 @@ anywhere else as well, in the same text or in another.
 2. *Equal regions* (equal hashes of anchor and content) are counted; all windows of one that occurs twice are repeated.
 3. *Suffix arrays.*  The distinct regions of each anchor hash that has several go to shards.  Induced sorting makes a shard's suffix
    array; permuted common prefixes of at least LENGTH bytes tell the windows that regions share in part.
-4. *Anchors with more than CROWD distinct regions, or SHARD_BYTES of them* (a line that every text has) do not go to one shard.  Their regions are
+4. *Anchors with more than CROWD distinct regions, or KEY_BYTES of them* (a line that every text has) do not go to one shard.  Their regions are
    cut into pieces of at most WIDTHS[0] windows, keyed by the bytes that all windows of a piece have in common; which leaves
    few.  Pieces that still differ under one key are cut into narrower ones, down to single windows, keyed by all their bytes.
 5. *Removal.*  Repeated windows of each text are united, and the text is joined to them.
@@ -40,7 +40,7 @@ CROWD = 2_048
 #: Windows of a piece, from cut to cut.
 WIDTHS = (24, 4, 1)
 #: Bytes of a shard, about, and bytes of one anchor hash's distinct regions that may go to one shard.
-SHARD_BYTES = 500_000
+SHARD_BYTES, KEY_BYTES = 700_000, 350_000
 
 _SEPARATOR = 0xFE  # bytes of UTF-8, each raised by one, never reach it
 
@@ -287,7 +287,7 @@ def find(docs: DataFrame, length: int = 400) -> DataFrame:
     )
     size = F.sum(F.col("at.last") - F.col("at.first") + length)
     kinds = counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total"), size.alias("bytes"))
-    crowd = ((F.col("kinds") > CROWD) | (F.col("bytes") > SHARD_BYTES)).alias("crowd")
+    crowd = ((F.col("kinds") > CROWD) | (F.col("bytes") > KEY_BYTES)).alias("crowd")
     several = kinds.where("total > 1").select("key", "kinds", crowd)
     known = stage(counted.join(several, "key").select("key", "content", "n", "kinds", "crowd", "at.*"), "known").frame
 
