@@ -91,6 +91,8 @@ def merge_types(target: T.DataType, source: T.DataType) -> T.DataType:
         return T.StructType(fields)
     if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
         return T.ArrayType(merge_types(target.elementType, source.elementType), True)
+    if isinstance(target, T.MapType) and isinstance(source, T.MapType):
+        return T.MapType(target.keyType, merge_types(target.valueType, source.valueType), True)
     return target
 
 

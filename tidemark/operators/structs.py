@@ -17,7 +17,7 @@ def project(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def conform(value: Column, source: T.DataType, wanted: T.DataType) -> Column:
     """A value reshaped to a declared type: struct fields by name in declared order, missing ones null.
 
-    Works at any depth through structs and arrays; a null struct stays null.
+    Works at any depth through structs, arrays and the values of maps, whose keys are kept; a null struct stays null.
     """
     if isinstance(wanted, T.StructType) and isinstance(source, T.StructType):
         known = {f.name.lower(): f for f in source.fields}
@@ -30,8 +30,11 @@ def conform(value: Column, source: T.DataType, wanted: T.DataType) -> Column:
             parts.append(part.alias(want.name))
         return F.when(value.isNotNull(), F.struct(*parts))
     if isinstance(wanted, T.ArrayType) and isinstance(source, T.ArrayType):
-        if isinstance(wanted.elementType, (T.StructType, T.ArrayType)):
+        if isinstance(wanted.elementType, (T.StructType, T.ArrayType, T.MapType)):
             return F.transform(value, lambda e: conform(e, source.elementType, wanted.elementType))
+    if isinstance(wanted, T.MapType) and isinstance(source, T.MapType) and wanted.keyType == source.keyType:
+        if isinstance(wanted.valueType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.transform_values(value, lambda _, v: conform(v, source.valueType, wanted.valueType))
     return value if source == wanted else value.cast(wanted)
 
 

@@ -16,9 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.functions.types import literal
 from tidemark.operators import incremental as inc
-from tidemark.operators.keys import all_of, any_of, as_condition, is_true, key_list, key_match, normalise_key
+from tidemark.operators.keys import (
+    all_of,
+    any_of,
+    as_condition,
+    free_names,
+    is_true,
+    key_list,
+    key_match,
+    normalise_key,
+)
 from tidemark.operators.merge import Rule, merge, merge_into_v2, names_batch
-from tidemark.operators.partitions import copy_sources
+from tidemark.operators.partitions import copy_sources, hash_bucket
 from tidemark.operators.schema import (
     Constraint,
     diff,
@@ -315,45 +324,72 @@ def copy_tables(spark: SparkSession, sources: Sequence[str], table: str, mode: s
         replace_table(rows, table)
 
 
-def load_in_parts(batch: DataFrame, table: str, cfg: Load, partitions_per_load: int) -> int:
+def load_in_parts(
+    batch: DataFrame,
+    table: str,
+    cfg: Load,
+    partitions_per_load: int,
+    bucket_by: Sequence[str] = (),
+    buckets: int | None = None,
+) -> int:
     """Load a large batch a few partitions at a time; returns the number of loads.
 
     For loads whose output would not fit in one piece; the result is that of one load.  The batch is computed once and
-    written by partition; every part then reads only its own.  A full refresh, and the clearing of listed partitions, belong to
-    the first part.  Keys that occur in several partitions of the batch must be loaded in one piece.
+    written by partition; every part then reads only its own.  With ``bucket_by`` and ``buckets``, those of the table, a part opens no
+    more than ``partitions_per_load`` pairs of a partition and a bucket, so that even one partition may take several parts.  A
+    full refresh, and the clearing of partitions, belong to the first part that concerns them.  Keys that occur in several
+    partitions (pairs) of the batch must be loaded in one piece.
     """
     validate(cfg)
     if not cfg.partition_by or partitions_per_load < 1:
         raise ValueError("loading in parts needs partition_by and a positive number of partitions")
+    if bool(bucket_by) != bool(buckets):
+        raise ValueError("buckets need both columns and a number")
     spark = batch.sparkSession
     if is_incremental(spark, table, cfg):
+        recover(spark, table)
         _check_partitions(spark, table, cfg)
     columns = list(cfg.partition_by)
+    (bucket,) = free_names(batch.columns, "_bucket")
+    by = [*columns, bucket] if buckets else columns
     with cleaned_up(spark):
-        staged = stage(_checked(batch, cfg), "parts", partition_by=columns).frame.select(batch.columns)
+        rows = _checked(batch, cfg)
+        if buckets:
+            rows = rows.withColumn(bucket, hash_bucket(list(bucket_by), buckets))
+        kept = stage(rows, "parts", partition_by=by).frame
+        staged = kept.select(batch.columns)
         key = normalise_key(cfg.unique_key, staged)
         if cfg.effective_strategy in ("merge", "delete+insert") and key:
-            _reject_spread_keys(staged, key, columns)
+            _reject_spread_keys(kept, key, by)
         if is_incremental(spark, table, cfg):
             _check_keys(staged, spark.table(table), cfg)
-        parts = staged.select(*columns).schema
-        found = staged.select(*columns).distinct().toLocalIterator()  # partition values only
+        parts = kept.select(*by).schema
+        found = kept.select(*by).distinct().toLocalIterator()  # partition values (and buckets) only
         listed = sorted(found, key=lambda row: [str(v) for v in row])
         settings = replace(cfg, contract=None, constraints=())
+        overwrites = cfg.effective_strategy == "insert_overwrite" and cfg.overwrite_values is None
+        begun: set[tuple] = set()
         loads = 0
         for first in range(0, len(listed), partitions_per_load):
             chunk = listed[first : first + partitions_per_load]
-            exact = any_of(
-                [
-                    all_of([F.col(f"`{f.name}`").eqNullSafe(literal(row[f.name], f.dataType)) for f in parts.fields])
-                    for row in chunk
-                ]
-            )
-            load(staged.filter(exact), table, settings)
-            loads += 1
-            settings = replace(settings, full_refresh=False)
-            if cfg.overwrite_values is not None:
-                settings = replace(settings, strategy="append", overwrite_values=None)
+            # A partition that an earlier part has replaced is added to.
+            again = [row for row in chunk if overwrites and tuple(row[c] for c in columns) in begun]
+            new = [row for row in chunk if row not in again]
+            for some, how in ((new, settings), (again, replace(settings, strategy="append", full_refresh=False))):
+                if not some:
+                    continue
+                exact = any_of(
+                    [
+                        all_of([F.col(f"`{f.name}`").eqNullSafe(literal(row[f.name], f.dataType)) for f in parts.fields])
+                        for row in some
+                    ]
+                )
+                load(kept.filter(exact).select(batch.columns), table, how)
+                loads += 1
+                settings = replace(settings, full_refresh=False)
+                if cfg.overwrite_values is not None:
+                    settings = replace(settings, strategy="append", overwrite_values=None)
+            begun |= {tuple(row[c] for c in columns) for row in chunk}
     return loads
 
 

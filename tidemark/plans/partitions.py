@@ -17,6 +17,7 @@ A table is written by one application at a time; within it loads of different pa
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -25,10 +26,10 @@ from typing import Any
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.keys import all_of, any_of
-from tidemark.plans.publish import PATH_FORMATS, Shape, is_below, quoted, set_properties, shape
+from tidemark.plans.publish import PATH_FORMATS, Shape, is_below, partition_columns, quoted, set_properties, shape
 from tidemark.session import Files
 from tidemark.sources.sinks import gathered
 
@@ -264,3 +265,18 @@ def write_partitions(
         LIVE.discard(step.version)
         spark.catalog.refreshTable(table)
     return list(written)
+
+
+def largest_partition(spark: SparkSession, table: str, column: str, within: Column | None = None) -> Any:
+    """The greatest value of a partition column, compared by its type, from the catalog: no data file is opened.
+
+    ``within``: a condition on the column, as an upper bound.  Null partitions don't count; None if there is no other.
+    """
+    if column not in partition_columns(spark, table):
+        raise ValueError(f"{table} is not partitioned by {column!r}")
+    folder = F.regexp_extract("partition", rf"(?:^|/){re.escape(column)}=([^/]*)", 1)
+    text = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    kind = spark.table(table).schema[column].dataType
+    values = spark.sql(f"SHOW PARTITIONS {table}").filter(folder != NULL_VALUE).select(text.cast(kind).alias(column))
+    values = values if within is None else values.filter(within)
+    return values.agg(F.max(F.col(f"`{column}`")).alias("top")).first()["top"]
