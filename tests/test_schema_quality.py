@@ -12,7 +12,7 @@ from tidemark.plans.load import Load, load
 DDL = T.StructType.fromDDL
 
 
-def test_diff_and_policies():
+def test_diff_and_policies(spark):
     target = DDL("id int, field1 string, field2 string, field3 int")
     source = DDL("ID int, field1 varchar(20), field3 bigint, field4 string")
     change = schema.diff(source, target)
@@ -30,7 +30,7 @@ def test_diff_and_policies():
     assert schema.evolved_schema(target, DDL(""), "append_new_columns") == target
 
 
-def test_nested_types_merge():
+def test_nested_types_merge(spark):
     old = DDL("id int, s struct<a: int, n: struct<x: int>>, l array<struct<p: int>>")
     new = DDL("id int, s struct<n: struct<y: string, x: int>, b: string>, l array<struct<q: int, p: int>>")
     merged = schema.evolved_schema(old, new, "append_new_columns")
