@@ -149,3 +149,40 @@ def stream_scd(spark, sf):
 
     _deliver(spark, sf, run)
     return read_history(spark, name).drop("event_id")
+
+
+@demo(
+    """
+    WITH last AS (
+      SELECT user_id, event_type, ts, event_type = 'error' AS gone FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS place FROM events)
+      WHERE place = 1),
+    kept AS (
+      SELECT *, md5(CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) AS id
+      FROM (SELECT *, lag(gone, 1, TRUE) OVER (PARTITION BY user_id ORDER BY ts) AS absent FROM last)
+      WHERE NOT (gone AND absent)),
+    lined AS (
+      SELECT *, lag(event_type) OVER w AS old_type, lag(ts) OVER w AS old_ts, lag(id) OVER w AS old_id,
+             lead(ts) OVER w AS valid_to
+      FROM kept WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+    SELECT user_id, CASE WHEN gone THEN old_type ELSE event_type END AS event_type,
+           CASE WHEN gone THEN old_ts ELSE ts END AS ts, ts AS scd_updated_at, ts AS valid_from, valid_to,
+           CASE WHEN gone THEN md5(old_id || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) ELSE id END AS scd_id,
+           CASE WHEN gone THEN 'True' ELSE 'False' END AS is_deleted
+    FROM lined
+    """
+)
+def stream_scd_deletes(spark, sf):
+    # An error deletes its user, who comes back with the next event; the cuts of the deliveries don't show.
+    name = fresh_name("user_lives")
+    location = scratch_path(spark, name)
+    cfg = Snapshot("user_id", timestamp_strategy("ts"), hard_deletes="new_record")
+    newest = [F.desc("ts"), F.desc("event_id")]
+
+    def run(stream, checkpoint):
+        op = F.when(F.col("event_type") == "error", "delete").otherwise("upsert")
+        rows = stream.select("event_id", "user_id", "event_type", "ts", op.alias("op"))
+        return streams.history_stream(rows, name, cfg, newest, checkpoint, location=location, operation="op")
+
+    _deliver(spark, sf, run)
+    return read_history(spark, name).drop("event_id")

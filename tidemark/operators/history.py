@@ -289,7 +289,9 @@ def _marked(versions: DataFrame, others: DataFrame, cfg: Snapshot, now: dt.datet
     return versions.join(ids, scd_id == F.col("_id"), "left").withColumn("_known", F.col("_id").isNotNull()).drop("_id")
 
 
-def advance_by_changes(current: DataFrame, changes: DataFrame, cfg: Snapshot, now: dt.datetime) -> DataFrame:
+def advance_by_changes(
+    current: DataFrame, changes: DataFrame, cfg: Snapshot, now: dt.datetime, deleted: str | None = None
+) -> DataFrame:
     """What the open versions become after a set of changes, and the versions in between, open or closed.
 
     ``changes`` may hold several rows of a key; every one that differs from the row before it becomes a version, valid
@@ -297,52 +299,77 @@ def advance_by_changes(current: DataFrame, changes: DataFrame, cfg: Snapshot, no
     order; changes that are not later than the current version are left out.  Rows of one key and one change time are
     one change: that with the greatest row hash.  Without a change time every key has one change, at ``now``.  Rows with
     a null key have no neighbours: they are open versions, known by their surrogate.
+
+    ``deleted`` names a boolean column of ``changes``, true for rows that say that their key is gone; it does not become a
+    column of the history, and null counts as false.  Such a row closes the key's version at its change time.  With
+    'new_record' the version that says so starts there, with the values of the version before and a surrogate made from
+    that one's; with 'ignore' the row is left out.  It changes nothing where the key has no version or is deleted already,
+    where its key or change time is null.  A row after it is a new version even if its values are those from before.
     """
     meta = cfg.meta
+    fields = [f for f in changes.schema.fields if f.name != deleted]
     key = normalise_key(cfg.key, changes, current)
-    added = [f for f in changes.schema.fields if f.name not in current.columns]
+    added = [f for f in fields if f.name not in current.columns]
     full = current.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else current
     columns = [F.col(f"`{c}`") for c in full.columns]
-    versions = _with_meta(changes, cfg, now)
+    gone = F.lit(False) if deleted is None else is_true(F.col(f"`{deleted}`"))
+    versions = _with_meta(changes.select(*[F.col(f"`{f.name}`") for f in fields], gone.alias("_gone")), cfg, now)
+    if cfg.hard_deletes == "ignore":
+        versions = versions.filter(~F.col("_gone"))
     names, at = [F.col(f"`{k}`") for k in key], F.col(f"`{meta.valid_from}`")
     null_safe = cfg.null_safe_key and len(key) > 1
     complete = F.lit(True) if null_safe else is_true(no_null(key))
 
-    hashable = [F.col(f"`{f.name}`") for f in changes.schema.fields if not isinstance(f.dataType, T.MapType)]
-    last = Window.partitionBy(*names, at).orderBy(F.xxhash64(*hashable).desc())
+    hashable = [F.col(f"`{f.name}`") for f in fields if not isinstance(f.dataType, T.MapType)]
+    last = Window.partitionBy(*names, at).orderBy(F.xxhash64(*hashable, "_gone").desc())
     once = versions.filter(complete).withColumn("_place", F.row_number().over(last)).filter("_place = 1").drop("_place")
 
     # The open version of a key that changes goes in front of its changes; the others are not touched.
     touched = once.select(*names).distinct().alias("new")
     match = key_match("cur", "new", key, null_safe)
     opened, idle = (full.alias("cur").join(touched, match, how) for how in ("left_semi", "left_anti"))
-    line = opened.withColumn("_old", F.lit(True)).unionByName(
+    was_deleted = is_true(F.col(f"`{meta.is_deleted}`") == "True") if cfg.keeps_deleted else F.lit(False)
+    line = opened.withColumns({"_old": F.lit(True), "_gone": was_deleted}).unionByName(
         once.withColumn("_old", F.lit(False)), allowMissingColumns=True
     )
     whole = Window.partitionBy(*names)
     along = whole.orderBy(at, F.col("_old").desc())
-    line = line.withColumns(
-        {
-            "_start": F.max(F.when(F.col("_old"), at)).over(whole),
-            "_before": F.lag(F.struct(*columns)).over(along),
-        }
+    line = line.withColumn("_start", F.max(F.when(F.col("_old"), at)).over(whole))
+    line = line.filter(F.col("_old") | ~is_true(at <= F.col("_start"))).withColumns(
+        {"_before": F.lag(F.struct(*columns)).over(along), "_absent": F.lag("_gone", 1, True).over(along)}
     )
-    new = ~is_true(at <= F.col("_start")) & (F.col("_before").isNull() | _changed_from_before(changes, cfg))
-    kept = line.filter(F.col("_old") | new)
+    # Before its first row a key is as absent as after a deletion.
+    news = F.col("_absent") | _changed_from_before([f.name for f in fields], cfg)
+    kept = line.filter(F.col("_old") | F.when(F.col("_gone"), ~F.col("_absent")).otherwise(news))
     until = F.coalesce(F.lead(at).over(along), F.col(f"`{meta.valid_to}`"))
-    done = kept.withColumn(meta.valid_to, until).select(*columns)
-
-    alone = versions.filter(~complete).dropDuplicates([meta.scd_id])
+    if cfg.keeps_deleted:
+        # Values come from the last version, not from the last row, which may have been none.
+        kept = kept.withColumns({"_until": until, "_last": F.lag(F.struct(*columns)).over(along)})
+        told = F.col("_gone") & ~F.col("_old")
+        marker = surrogate([(F.col(f"_last.`{meta.scd_id}`"), T.StringType()), (at, T.TimestampNTZType())])
+        own = {meta.scd_id: marker, meta.updated_at: at, meta.valid_from: at, meta.is_deleted: F.lit("True")}
+        done = kept.select(
+            *[
+                F.col("_until").alias(c)
+                if c == meta.valid_to
+                else F.when(told, own.get(c, F.col(f"_last.`{c}`"))).otherwise(F.col(f"`{c}`")).alias(c)
+                for c in full.columns
+            ]
+        )
+    else:
+        done = kept.withColumn(meta.valid_to, until).filter(~F.col("_gone")).select(*columns)
+
+    alone = versions.filter(~complete & ~F.col("_gone")).drop("_gone").dropDuplicates([meta.scd_id])
     alone = alone.join(full.filter(~complete).select(meta.scd_id), meta.scd_id, "left_anti")
     result = idle.select(*columns).unionByName(done)
     return result.unionByName(alone, allowMissingColumns=True).select(*columns)
 
 
-def _changed_from_before(changes: DataFrame, cfg: Snapshot) -> Column:
+def _changed_from_before(columns: Sequence[str], cfg: Snapshot) -> Column:
     """Whether a row differs, by the strategy, from the one before it."""
     if cfg.strategy.checked is None:
         return F.lit(True)
-    names = changes.columns if cfg.strategy.checked == "all" else [resolve(changes, c) for c in cfg.strategy.checked]
+    names = columns if cfg.strategy.checked == "all" else cfg.strategy.checked
     return any_of([~F.col(f"_before.`{c}`").eqNullSafe(F.col(f"`{c}`")) for c in names])
 
 

@@ -85,22 +85,24 @@ def append_changes(
     now: dt.datetime | None = None,
     location: str | None = None,
     marks: Mapping[str, str] | None = None,
+    deleted: str | None = None,
 ) -> None:
     """Add a set of changes, several to a key, to a history table (see ``history.advance_by_changes``).
 
-    ``marks``: properties that are set along with the rows.
+    ``marks``: properties that are set along with the rows.  ``deleted``: the boolean column that marks deletions.
     """
     now = clock(now)
     label = now.strftime("%Y%m%dT%H%M%S%f")
     spark = changes.sparkSession
     with cleaned_up(spark):
         if not table_exists(spark, table):
-            empty = hist.first_build(changes.limit(0), cfg, now)
+            rows = changes if deleted is None else changes.drop(deleted)
+            empty = hist.first_build(rows.limit(0), cfg, now)
             replace_table(_labelled(empty, cfg, label), table, partition_by=[CLOSED_IN], location=location)
         recover(spark, table)
         history = spark.table(table)
         current = history.filter(F.col(CLOSED_IN) == OPEN).drop(CLOSED_IN)
-        _write(hist.advance_by_changes(current, changes, cfg, now), table, cfg, label, marks)
+        _write(hist.advance_by_changes(current, changes, cfg, now, deleted), table, cfg, label, marks)
 
 
 def read_history(spark: SparkSession, table: str) -> DataFrame:

@@ -212,16 +212,20 @@ def history_stream(
     clock_of: Callable[[int], dt.datetime] | None = None,
     location: str | None = None,
     every: str | None = None,
+    operation: str | None = None,
+    deletes: Sequence[str] = ("delete",),
 ) -> StreamingQuery:
     """Keep a type-2 history of a change stream.
 
     Every change in a micro-batch becomes a version, so the history does not depend on how the stream was cut; of rows
     with one key and one change time the newest by ``order_by`` counts.  Without a change time (checks by the clock) a
     micro-batch has one change of a key, also the newest.  A micro-batch holds changes, not the whole source, so keys
-    missing from it are never taken as deleted.
+    missing from it are never taken as deleted: rows whose ``operation`` column is one of ``deletes`` tell that.  They
+    close the key's version at their change time and, with 'new_record', start one that says so.  The operation is no
+    column of the history.
     """
-    if cfg.hard_deletes != "ignore":
-        raise ValueError("a change stream cannot tell deletions; use hard_deletes='ignore'")
+    if cfg.hard_deletes != "ignore" and operation is None:
+        raise ValueError("without an operation column a change stream cannot tell deletions; use hard_deletes='ignore'")
     key = [cfg.key] if isinstance(cfg.key, str) else list(cfg.key)
     times = [cfg.strategy.updated_at] if cfg.strategy.updated_at is not None else []
     mark = _mark(checkpoint) + ".done"
@@ -231,6 +235,10 @@ def history_stream(
             return
         moment = clock_of(batch_id) if clock_of is not None else None
         newest = latest_per_key(batch, [*key, *times], order_by)
-        append_changes(newest, table, cfg, moment, location, marks={mark: str(batch_id)})
+        flag = None
+        if operation is not None:
+            flag = "_deleted"
+            newest = newest.withColumn(flag, F.col(f"`{operation}`").isin(*deletes)).drop(operation)
+        append_changes(newest, table, cfg, moment, location, marks={mark: str(batch_id)}, deleted=flag)
 
     return _start(stream, table, handle, checkpoint, every)
