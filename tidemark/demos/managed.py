@@ -28,6 +28,7 @@ from tidemark.operators.history import first_build
 from tidemark.operators.incremental import max_partition
 from tidemark.operators.latest import latest_shards, shard_family, union_shards
 from tidemark.operators.merge import merge
+from tidemark.plans.aggregates import AggregateTable, Measure
 from tidemark.plans.load import Load, copy_tables, load, load_file_table, load_in_parts, load_microbatches, load_seed
 from tidemark.plans.materialized import FollowingTable
 from tidemark.plans.model import Context, run_model
@@ -375,3 +376,38 @@ def following_table(spark, sf):
     orders.withColumn("o_totalprice", F.col("o_totalprice") + 1).createOrReplaceTempView(view)
     follower.refresh_if_due(spark, SECOND)
     return spark.table(name)
+
+
+@demo(
+    LOOKS
+    + """
+    SELECT o_custkey, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18, 2)))::DOUBLE AS total,
+           min(o_orderdate) AS earliest, max(o_orderdate) AS newest, max(o_totalprice) AS dearest,
+           count(DISTINCT o_orderstatus) AS states
+    FROM s1 GROUP BY o_custkey
+    """
+)
+def mat_aggregates(spark, sf):
+    # Late orders, orders that are gone and orders that have changed reach the stored aggregates as changes.
+    name = fresh_name("by_customer")
+
+    def priced(df):
+        return df.withColumn("price", F.col("o_totalprice").cast("decimal(18,2)"))
+
+    before, after = priced(_first_look(spark, sf)), priced(_second_look(spark, sf))
+    measures = {
+        "orders": Measure("count"),
+        "total": Measure("sum", "price"),
+        "earliest": Measure("min", "o_orderdate"),
+        "newest": Measure("max", "o_orderdate"),
+        "dearest": Measure("max", "o_totalprice"),
+        "states": Measure("count_distinct", "o_orderstatus"),
+    }
+    place = dict(buckets=8, location=scratch_path(spark, name))
+    AggregateTable(name, lambda _: before, ["o_custkey"], measures, **place).create(spark)
+    gone = before.exceptAll(after).withColumn("op", F.lit("delete"))
+    changes = gone.unionByName(after.exceptAll(before).withColumn("op", F.lit("insert")))
+    kept = AggregateTable(name, lambda _: after, ["o_custkey"], measures, **place)
+    kept.apply(changes, "op", run_id="second")
+    kept.apply(changes, "op", run_id="second")
+    return kept.read(spark).withColumn("total", F.col("total").cast("double"))
