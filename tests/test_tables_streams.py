@@ -110,6 +110,12 @@ def test_layouts(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "z"))
     width = back.groupBy(F.input_file_name()).agg((F.max("b") - F.min("b")).alias("w")).agg(F.avg("w")).first()[0]
     assert back.count() == 4000 and width < 600
+    sinks.write_files(sinks.sorted_layout(df, ["a", "b"], 16), str(tmp_path / "c"))
+    ranges = [sinks.file_ranges(spark.read.parquet(str(tmp_path / d)), ["a", "b"]) for d in "zc"]
+    assert [r.agg(F.sum("n")).first()[0] for r in ranges] == [4000, 4000]
+    few, all_ = (sinks.files_read(r, "b", 0, 100) for r in ranges)
+    assert few <= 8 and all_ == ranges[1].count() == 16
+    assert sinks.files_read(ranges[1], "a", 0, 100) <= 4 and sinks.files_read(ranges[1], "a", 2000, 3000) == 0
     assert sinks.distributed(df, "even").count() == sinks.distributed(df, "key", ["a"]).count() == 4000
     with pytest.raises(ValueError):
         sinks.distributed(df, "all")

@@ -161,6 +161,37 @@ def scd_check(spark, sf):
     return hist.apply(hist.first_build(_first_look(spark, sf), cfg, FIRST), _second_look(spark, sf), cfg, SECOND)
 
 
+#: Two more looks at the orders: prices go up for one kind of orders, and down for another.
+PRICES = f"""
+    WITH s0 AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders),
+         s1 AS (SELECT o_orderkey, o_orderstatus, o_totalprice + CASE o_orderstatus WHEN 'P' THEN 100 WHEN 'F' THEN -100 ELSE 10 END
+                  AS o_totalprice FROM orders),
+         h0 AS ({_versions('s0', 'o_orderkey', _moment(FIRST))}), v1 AS ({_versions('s1', 'o_orderkey', _moment(SECOND))})
+"""
+
+
+@demo(
+    PRICES
+    + f"""
+    SELECT h0.* REPLACE (CASE WHEN v1.o_totalprice > h0.o_totalprice + 50 THEN {_moment(SECOND)} END AS valid_to)
+    FROM h0 JOIN v1 ON v1.o_orderkey = h0.o_orderkey
+    UNION ALL
+    SELECT v1.* FROM v1 JOIN h0 ON v1.o_orderkey = h0.o_orderkey WHERE v1.o_totalprice > h0.o_totalprice + 50
+    """
+)
+def scd_own_strategy(spark, sf):
+    # A strategy of the user's own: only a price that is up by more than 50 is a change.
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+    def dearer(source, history, cfg):
+        return F.col("src.o_totalprice") > F.col("cur.o_totalprice") + 50
+
+    rise = F.when(F.col("o_orderstatus") == "P", 100).when(F.col("o_orderstatus") == "F", -100).otherwise(10)
+    cfg = hist.Snapshot("o_orderkey", hist.Strategy(None, dearer))
+    second = orders.withColumn("o_totalprice", F.col("o_totalprice") + rise)
+    return hist.apply(hist.first_build(orders, cfg, FIRST), second, cfg, SECOND)
+
+
 @demo(
     f"""
     WITH s0 AS (SELECT * REPLACE (nullif(c_mktsegment, 'MACHINERY') AS c_mktsegment) FROM customer),

@@ -12,7 +12,7 @@ from tidemark.plans.materialized import MaterializedTable
 from tidemark.plans.publish import replace_table
 from tidemark.session import scratch_path
 from tidemark.sources.files import infer_types, load_files, read_seed
-from tidemark.sources.sinks import sorted_layout, write_files, write_table
+from tidemark.sources.sinks import file_ranges, files_read, interleaved_layout, sorted_layout, write_files, write_table
 
 
 @demo(
@@ -147,6 +147,33 @@ def layout_sorted(spark, sf):
     return lines.filter(month).withColumn("in_month", F.lit(True)).unionByName(others)
 
 
+@demo(
+    """
+    WITH found AS (SELECT o_orderkey FROM orders WHERE o_totalprice >= 100000 AND o_totalprice < 130000)
+    SELECT 'compound' AS layout, o_orderkey, FALSE AS skips_more FROM found
+    UNION ALL SELECT 'interleaved', o_orderkey, TRUE FROM found
+    """
+)
+def layout_second_key(spark, sf):
+    # A range on the second key: files sorted by both keys hold every price, interleaved ones a part of them.
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    keys, low, high = ["o_custkey", "o_totalprice"], 100_000.0, 130_000.0
+    written, read = {}, {}
+    for layout, rows in (("compound", sorted_layout(orders, keys, 16)), ("interleaved", interleaved_layout(orders, keys, 6, 16))):
+        path = scratch_path(spark, layout)
+        write_files(rows, path)
+        written[layout] = spark.read.parquet(path)
+        read[layout] = files_read(file_ranges(written[layout], keys), "o_totalprice", low, high)
+    least, most = min(read, key=read.get), max(read.values())
+    parts = [
+        df.filter((F.col("o_totalprice") >= low) & (F.col("o_totalprice") < high)).select(
+            F.lit(layout).alias("layout"), "o_orderkey", F.lit(layout == least and read[least] < most).alias("skips_more")
+        )
+        for layout, df in written.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @demo(
     """
     SELECT date_trunc('month', ts)::TIMESTAMP AS month, date_trunc('day', ts)::TIMESTAMP AS ingested,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F, types as T
 
@@ -103,6 +104,25 @@ def interleaved_layout(df: DataFrame, keys: Sequence[str], levels: int = 8, part
     return sorted_layout(df.withColumn("_order", bits), ["_order"], parts).drop("_order")
 
 
+def file_ranges(written: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(file, n, lo_<column>, hi_<column>): rows and value ranges of the files a frame reads.
+
+    ``written`` is a plain read of files.  Only the columns are read, and a file gives a row for each task that reads it.
+    """
+    bounds = [
+        bound(F.col(f"`{c}`")).alias(f"{side}_{c}") for c in columns for side, bound in (("lo", F.min), ("hi", F.max))
+    ]
+    named = written.select(F.col("_metadata.file_path").alias("file"), *[F.col(f"`{c}`") for c in columns])
+    return named.groupBy("file").agg(F.count(F.lit(1)).alias("n"), *bounds)
+
+
+def files_read(ranges: DataFrame, column: str, low: Any, high: Any) -> int:
+    """How many of the files (see ``file_ranges``) a scan with ``low <= column < high`` can't skip by their statistics."""
+    lowest, highest = F.col(f"`lo_{column}`"), F.col(f"`hi_{column}`")
+    kind = ranges.schema[f"lo_{column}"].dataType
+    return ranges.filter((highest >= literal(low, kind)) & (lowest < literal(high, kind))).count()
+
+
 def distributed(df: DataFrame, style: str, key: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """Rows spread by key, or evenly.
 
