@@ -83,3 +83,17 @@ def test_repeated_keys_nulls_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = mix(frame(spark, {"a": 5}), WEIGHTS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_weights_are_bounded(spark):
+    df = frame(spark, {"a": 5})
+    for wrong in {"a": 4096}, {f"s{i}": 1 for i in range(600)}:
+        with pytest.raises(ValueError, match="coarser"):
+            mix(df, wrong)
+
+
+def test_many_sources_give_every_position_once(spark):
+    sizes = {f"s{i}": 1 + i % 5 for i in range(70)}
+    weights = {s: 1 + i % 2 for i, s in enumerate(sizes)}
+    rows = mix(frame(spark, sizes), weights, block_rows=2).collect()
+    assert sorted(r.position for r in rows) == list(range(sum(sizes.values())))

@@ -29,6 +29,10 @@ from tidemark.llm.common import free_name
 
 #: Hash buckets of each source, between which ranks are counted.
 BUCKETS = 4096
+#: Slots of a round, and slots times sources, at most: a round's schedule is worked out in one row, and is broadcast.
+MOST_SLOTS, MOST_PLACES = 4_096, 1 << 18
+#: Sources up to which the ranks' offsets are broadcast; with more they are joined by the partitioning that the ranks have.
+FEW_SOURCES = 64
 
 
 def mix(
@@ -41,12 +45,15 @@ def mix(
 ) -> DataFrame:
     """``df`` with its place in the mixture: ``block`` (of its source), ``slot`` (of the block) and ``position`` (of the row).
 
-    ``weights``: slots in a round for each source, positive whole numbers; ``others``: for all remaining rows together.
+    ``weights``: slots in a round for each source, positive whole numbers; ``others``: for all remaining rows together.  They
+    add up to MOST_SLOTS at most, and their sum times the number of sources to MOST_PLACES: finer weights are an error.
     Order by ``position`` to write the mixture.
     """
     if min([others, block_rows, *weights.values()]) < 1 or any(int(w) != w for w in weights.values()):
         raise ValueError("weights and block_rows are positive whole numbers")
     quota = [*weights.values(), others]
+    if sum(quota) > MOST_SLOTS or sum(quota) * len(quota) > MOST_PLACES:
+        raise ValueError(f"the weights add up to {sum(quota)} slots for {len(quota)} sources; use coarser ones")
     inner = ["stream", "hash", "bucket", "rank", "ahead", "sizes", "round", "turn", "shape", "shapes", "at", "ends"]
     names: dict[str, str] = {}
     for n in ["block", "slot", "position", *inner]:
@@ -75,7 +82,10 @@ def mix(
     )
     ranked = (
         keyed.withColumn(names["rank"], F.row_number().over(inside))
-        .join(F.broadcast(offsets), [names["stream"], names["bucket"]])  # at most BUCKETS rows for each weight
+        .join(
+            F.broadcast(offsets) if len(quota) <= FEW_SOURCES else offsets,  # BUCKETS rows for each source
+            [names["stream"], names["bucket"]],
+        )
         .withColumn(names["rank"], col["rank"] + col["ahead"] - 1)
     )
 
