@@ -4,6 +4,7 @@ import os
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidemark.llm import ngram_join
@@ -102,6 +103,38 @@ def test_hot_columns_in_one_tile(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("two", [False, True])
+def test_tiles_by_ranges_and_blocks(monkeypatch, two):
+    monkeypatch.setattr(ngram_join, "RANGE_WEIGHT", 300)
+    monkeypatch.setattr(ngram_join, "BLOCK_CELLS", 200)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(11)
+    values = np.sort(rng.integers(-(1 << 63), 1 << 63, 60, dtype=np.int64, endpoint=False))
+    values[0], values[-1] = -(1 << 63), (1 << 63) - 1
+    sets = [np.sort(rng.choice(values, rng.integers(1, 60), replace=False)) for _ in range(50)]
+    x, y = (sets[:20], sets[20:]) if two else (sets, None)
+    other = sets[20:] if two else sets
+    overlaps = [[len(np.intersect1d(a, b)) for b in other] for a in x]
+    assert ngram_join._tile(x, y).tolist() == overlaps
+
+    names = np.arange(50)
+    found = ngram_join._edges(names[: len(x)], x, names[20:] if two else None, y, 60)
+    root = {int(n): int(n) for n in names}
+
+    def joined(edges):
+        group = dict(root)
+        for a, b in edges:
+            low, high = sorted((group[a], group[b]))
+            group = {n: low if g == high else g for n, g in group.items()}
+        return group
+
+    links = [
+        (i, j + 20 * two) for i, row in enumerate(overlaps) for j, s in enumerate(row)
+        if 100 * s >= 60 * (len(x[i]) + len(other[j]) - s)
+    ]
+    assert joined(zip(found.a, found.b)) == joined(links)
+
+
 def test_words_of_long_texts_are_hashed_alike(monkeypatch):
     rng = random.Random(8)
     text = "".join(rng.choice("ab Ã\n\tZ") for _ in range(4000)) + " " + "w" * 3000 + " b"

@@ -44,8 +44,10 @@ from tidemark.session import stage
 CELLS, PARTS = 1 << 20, 64
 #: Nodes of a column from which on it is hot.
 HOT = 128
-#: Weight of a block of a tile: its n-grams, and so much for each node; and columns that are multiplied at once.
-BLOCK_WEIGHT, NODE_WEIGHT, BLOCK_COLUMNS = 4_000_000, 1_000, 2_048
+#: Weight of a block of a tile: its n-grams, and so much for each node.
+BLOCK_WEIGHT, NODE_WEIGHT = 4_000_000, 1_000
+#: N-grams of a tile that are numbered at once, about; cells of a block of columns; rows whose links are looked at at once.
+RANGE_WEIGHT, BLOCK_CELLS, BLOCK_ROWS = 500_000, 1 << 22, 256
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -264,31 +266,43 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _tile(x: list[np.ndarray], y: list[np.ndarray] | None = None) -> np.ndarray:
-    """Overlaps of all rows of two blocks, or of one with itself, accumulated over blocks of columns."""
+    """Overlaps of all rows of two blocks, or of one with itself, accumulated over ranges and blocks of columns.
+
+    Rows are sorted and hashes spread evenly, so a range of hashes is a slice of every row: only a range is numbered at once.
+    """
     rows = x if y is None else [*x, *y]
-    sizes = [len(s) for s in rows]
-    columns, at = np.unique(np.concatenate(rows), return_inverse=True)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    if y is None:
-        shared = np.bincount(at) > 1
-    else:
-        first = row < len(x)
-        shared = (np.bincount(at[first], minlength=len(columns)) > 0) & (np.bincount(at[~first], minlength=len(columns)) > 0)
-    number = np.cumsum(shared) - 1
-    keep = shared[at]
-    at, row = number[at[keep]], row[keep]
-    order = np.argsort(at, kind="stable")
-    at, row = at[order], row[order]
-    width = int(shared.sum())
+    sizes = np.array([len(s) for s in rows])
+    ranges = int(sizes.sum()) // RANGE_WEIGHT + 1
+    step = (1 << 64) // ranges
+    bounds = np.array([k * step - (1 << 63) for k in range(1, ranges)], np.int64)
+    cuts = np.array([[0, *np.searchsorted(s, bounds), len(s)] for s in rows])
     total = np.zeros((len(x), len(x if y is None else y)), np.float32)
-    for start in range(0, width, BLOCK_COLUMNS):
-        s, e = np.searchsorted(at, [start, start + BLOCK_COLUMNS])
-        block = np.zeros((len(sizes), min(BLOCK_COLUMNS, width - start)), np.float32)
-        block[row[s:e], at[s:e] - start] = 1
-        total += block @ block.T if y is None else block[: len(x)] @ block[len(x) :].T
+    for k in range(ranges):
+        columns, at = np.unique(np.concatenate([s[c[k] : c[k + 1]] for s, c in zip(rows, cuts)]), return_inverse=True)
+        row = np.repeat(np.arange(len(rows)), cuts[:, k + 1] - cuts[:, k])
+        if y is None:
+            shared = np.bincount(at, minlength=len(columns)) > 1
+        else:
+            first = row < len(x)
+            shared = (np.bincount(at[first], minlength=len(columns)) > 0) & (np.bincount(at[~first], minlength=len(columns)) > 0)
+        number = np.cumsum(shared) - 1
+        keep = shared[at]
+        at, row = number[at[keep]], row[keep]
+        order = np.argsort(at, kind="stable")
+        at, row = at[order], row[order]
+        width, most = int(shared.sum()), BLOCK_CELLS // len(rows) + 1
+        for start in range(0, width, most):
+            s, e = np.searchsorted(at, [start, start + most])
+            block = np.zeros((len(rows), min(most, width - start)), np.float32)
+            block[row[s:e], at[s:e] - start] = 1
+            total += block @ block.T if y is None else block[: len(x)] @ block[len(x) :].T
     if y is None:
         np.fill_diagonal(total, sizes)
-    return total.astype(np.int64)
+    return total
+
+
+def _row_blocks(n: int) -> Iterator[slice]:
+    return (slice(start, start + BLOCK_ROWS) for start in range(0, n, BLOCK_ROWS))
 
 
 def _forest(x: np.ndarray, y: np.ndarray, link: np.ndarray) -> list[tuple[int, int]]:
@@ -296,8 +310,11 @@ def _forest(x: np.ndarray, y: np.ndarray, link: np.ndarray) -> list[tuple[int, i
     nx, ny = x.copy(), y.copy()
     top = np.iinfo(np.int64).max
     while True:
-        to_y = np.minimum(ny, np.where(link, nx[:, None], top).min(0, initial=top))
-        to_x = np.minimum(nx, np.where(link, to_y[None, :], top).min(1, initial=top))
+        to_x, to_y = nx.copy(), ny.copy()
+        for s in _row_blocks(len(x)):
+            to_y = np.minimum(to_y, np.where(link[s], nx[s, None], top).min(0, initial=top))
+        for s in _row_blocks(len(x)):
+            to_x[s] = np.minimum(nx[s], np.where(link[s], to_y[None, :], top).min(1, initial=top))
         if (to_x == nx).all() and (to_y == ny).all():
             break
         nx, ny = to_x, to_y
@@ -317,7 +334,11 @@ def _cluster_links(placed: DataFrame, percent: int) -> DataFrame:
 def _edges(x: np.ndarray, gx: list, y: np.ndarray | None, gy: list | None, percent: int) -> pd.DataFrame:
     """Spanning edges of the links between two blocks of nodes, or within one."""
     sizes = [np.array([len(g) for g in side]) for side in (gx, gx if gy is None else gy)]
-    enough = _tile(gx, gy) * (100 + percent) >= (sizes[0][:, None] + sizes[1][None, :]) * percent
+    overlaps = _tile(gx, gy)
+    enough = np.empty(overlaps.shape, bool)
+    for s in _row_blocks(len(gx)):
+        enough[s] = overlaps[s].astype(np.int64) * (100 + percent) >= (sizes[0][s, None] + sizes[1][None, :]) * percent
+    del overlaps
     return pd.DataFrame(_forest(x, x if y is None else y, enough), columns=["a", "b"], dtype="int64")
 
 
