@@ -23,52 +23,47 @@ def _types(t: np.ndarray) -> np.ndarray:
     return np.append(rises[following] > 0, True)
 
 
-def _ranks(sorted_symbols: np.ndarray) -> np.ndarray:
-    """Rank of each element among its equals, which stand together."""
-    n = len(sorted_symbols)
-    at = np.arange(n, dtype=INT)
-    first = np.ones(n, bool)
-    first[1:] = sorted_symbols[1:] != sorted_symbols[:-1]
-    return at - np.maximum.accumulate(np.where(first, at, INT(0)))
-
-
-def _advance(bounds: np.ndarray, symbols: np.ndarray, to: np.ndarray, past: int) -> None:
-    """Move the bounds of sorted ``symbols`` past the last places that were taken."""
-    last = np.ones(len(symbols), bool)
-    last[:-1] = symbols[1:] != symbols[:-1]
-    bounds[symbols[last]] = to[last] + past
+def _groups(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbol, first, count) of each run of equals.  Equal symbols stand together."""
+    last = (symbols[1:] != symbols[:-1]).nonzero()[0]
+    first = np.empty(len(last) + 2, INT)
+    first[0], first[-1] = 0, len(symbols)
+    np.add(last, 1, out=first[1:-1])
+    return symbols[first[:-1]], first[:-1], first[1:] - first[:-1]
 
 
 def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The suffix array that follows from the order of the leftmost-smaller suffixes."""
     n = len(t)
     sa = np.full(n, -1, INT)
+    larger, steps = ~smaller, np.arange(max(MOST_BATCH, len(lms)), dtype=INT)
     by_symbol = np.argsort(t[lms], kind="stable")
-    symbols = t[lms][by_symbol]
-    size = np.bincount(symbols, minlength=len(ends))
-    sa[(ends - size)[symbols] + _ranks(symbols)] = lms[by_symbol]
+    symbol, first, count = _groups(t[lms][by_symbol])
+    sa[np.repeat(ends[symbol] - count - first, count) + steps[: len(lms)]] = lms[by_symbol]
 
     heads, i, batch = starts.copy(), 0, LEAST_BATCH
     while i < n:
         end = min(n, i + batch)
         found = sa[i:end]
-        at = np.flatnonzero(found > 0)
+        at = (found > 0).nonzero()[0]
         before = found[at] - 1
-        larger = ~smaller[before]
-        at, before = at[larger] + i, before[larger]
+        chosen = larger[before]
+        at, before = at[chosen] + i, before[chosen]
         stop = end
         if len(at):
-            order = np.argsort(t[before], kind="stable")
-            at, before = at[order], before[order]
             symbols = t[before]
-            to = heads[symbols] + _ranks(symbols)
-            inside = to[to < end]
-            if len(inside):
-                stop = int(inside.min())
-                ready = at < stop
-                before, symbols, to = before[ready], symbols[ready], to[ready]
+            order = symbols.argsort(kind="stable")
+            before, symbols = before[order], symbols[order]
+            symbol, first, count = _groups(symbols)
+            head = heads[symbol]
+            to = (head - first).repeat(count) + steps[: len(before)]
+            if head.min() < end:  # something is written into the batch
+                stop = int(head.min())
+                ready = at[order] < stop
+                before, to = before[ready], to[ready]
+                symbol, _, count = _groups(symbols[ready])
             sa[to] = before
-            _advance(heads, symbols, to, 1)
+            heads[symbol] += count
         batch = min(MOST_BATCH, max(LEAST_BATCH, 2 * (stop - i)))
         i = stop
 
@@ -81,23 +76,25 @@ def _induce(t: np.ndarray, smaller: np.ndarray, lms: np.ndarray, starts: np.ndar
     while i >= 0:
         end = max(-1, i - batch)
         found = sa[i:end:-1] if end >= 0 else sa[i::-1]
-        at = np.flatnonzero(found > 0)
+        at = (found > 0).nonzero()[0]
         before = found[at] - 1
-        small = smaller[before]
-        at, before = i - at[small], before[small]
+        chosen = smaller[before]
+        at, before = i - at[chosen], before[chosen]
         stop = end
         if len(at):
-            order = np.argsort(t[before], kind="stable")
-            at, before = at[order], before[order]
             symbols = t[before]
-            to = tails[symbols] - 1 - _ranks(symbols)
-            inside = to[to > end]
-            if len(inside):
-                stop = int(inside.max())
-                ready = at > stop
-                before, symbols, to = before[ready], symbols[ready], to[ready]
+            order = symbols.argsort(kind="stable")
+            before, symbols = before[order], symbols[order]
+            symbol, first, count = _groups(symbols)
+            tail = tails[symbol] - 1
+            to = (tail + first).repeat(count) - steps[: len(before)]
+            if tail.max() > end:
+                stop = int(tail.max())
+                ready = at[order] > stop
+                before, to = before[ready], to[ready]
+                symbol, _, count = _groups(symbols[ready])
             sa[to] = before
-            _advance(tails, symbols, to, 0)
+            tails[symbol] -= count
         batch = min(MOST_BATCH, max(LEAST_BATCH, 2 * (i - stop)))
         i = stop
     return sa
