@@ -230,6 +230,36 @@ def test_python_aggregate_merges_partial_states(spark, monkeypatch):
     assert rows(squared) == [(1, 36.0)]
 
 
+class Calls(Spread):
+    """The calls of accumulate that made a group's state, and its rows."""
+
+    def init(self):
+        return 0, 0
+
+    def accumulate(self, state, values):
+        return state[0] + 1, state[1] + len(values)
+
+    def merge(self, left, right):
+        return left[0] + right[0], left[1] + right[1]
+
+    def finish(self, state):
+        return 1000.0 * state[0] + state[1]
+
+
+def test_python_aggregate_folds_sparse_groups_once(spark):
+    """Groups with a row or two in every task take a call or two, not one for each task; a hot group is folded before."""
+    from pyspark import cloudpickle
+    import sys
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    ids = spark.range(0, 12_000, 1, 6)
+    key = F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.col("id") % 1000)
+    got = udf.aggregate(ids.select(key.alias("k"), F.lit(1.0).alias("x")), ["k"], "x", Calls(), "double", "c").collect()
+    assert len(got) == 751 and {r.c % 1000 for r in got if r.k is not None} == {12.0}
+    assert all(r.c // 1000 <= 2 for r in got if r.k is not None)
+    assert [(r.c // 1000, r.c % 1000) for r in got if r.k is None] == [(6.0 + 3.0, 0.0)]
+
+
 def _double(price: pd.Series) -> pd.Series:
     return price * 2
 

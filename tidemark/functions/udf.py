@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -63,6 +64,9 @@ class MergeableAggregate(Protocol):
 #: memory and leave the result unchanged.
 FOLD_ROWS = 200_000
 PARTIAL_GROUPS = 50_000
+#: Rows of a group, among those gathered, from which on they are folded before the shuffle.  Fewer travel as they are, so that
+#: the Python calls for a group do not multiply with the tasks that hold some of its rows.
+FOLDED_FROM = 16
 
 
 def aggregate(
@@ -76,9 +80,11 @@ def aggregate(
 ) -> DataFrame:
     """Group with a Python aggregate, combining before every shuffle.
 
-    Each input partition folds its rows to one state per group.  States are merged per (group, slice) and then per
-    group, each time streaming over sorted partitions with one state in hand, so a group holding much of the data
-    never arrives at one task as rows, and its states arrive there already merged ``spread``-fold.
+    Each input partition folds the rows of a group to a state wherever it has gathered FOLDED_FROM of them; the others, less
+    than FOLDED_FROM of a group in FOLD_ROWS rows, are folded behind the shuffle, where the whole group has them together.
+    States are merged per (group, slice) and then per group, each time streaming over sorted partitions with one state in
+    hand, so a group holding much of the data never arrives at one task as rows, and its states arrive there already
+    merged ``spread``-fold.
     """
     keys = list(by)
     # pandas would turn nullable integers into floats, and nulls among floats into NaN: such keys travel as text.
@@ -87,15 +93,22 @@ def aggregate(
     rows = df.select(*carried, value)
     key_schema = T.StructType([rows.schema[k] for k in keys])
     state_schema = T.StructType([*key_schema.fields, T.StructField("_state", T.BinaryType())])
+    mixed_schema = T.StructType([*state_schema.fields, T.StructField(value, rows.schema[value].dataType)])
 
     def plain(key: tuple) -> tuple:
         return tuple(None if pd.isna(part) else part for part in key)
 
-    def fold(batches: list[pd.DataFrame], states: dict) -> None:
-        for key, values in pd.concat(batches).groupby(keys, dropna=False, sort=False)[value]:
-            key = plain(key)
-            state = states[key] if key in states else function.init()
-            states[key] = function.accumulate(state, values)
+    def fold(batches: list[pd.DataFrame], states: dict) -> pd.DataFrame:
+        """Folds the rows of groups that have many, and returns the others."""
+        gathered = pd.concat(batches, ignore_index=True)
+        group = gathered.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+        many = np.bincount(group)[group] >= FOLDED_FROM
+        if many.any():
+            for key, values in gathered[many].groupby(keys, dropna=False, sort=False)[value]:
+                key = plain(key)
+                state = states[key] if key in states else function.init()
+                states[key] = function.accumulate(state, values)
+        return gathered[~many].assign(_state=None)[[*keys, "_state", value]]
 
     def pack(states: Iterable[tuple[tuple, Any]]) -> pd.DataFrame:
         return pd.DataFrame([[*key, pickle.dumps(state)] for key, state in states], columns=[*keys, "_state"])
@@ -103,31 +116,51 @@ def aggregate(
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict = {}
         waiting: list[pd.DataFrame] = []
+        size = 0
         for batch in batches:
             waiting.append(batch)
-            if sum(map(len, waiting)) >= FOLD_ROWS:
-                fold(waiting, states)
-                waiting = []
+            size += len(batch)
+            if size >= FOLD_ROWS:
+                yield fold(waiting, states)
+                waiting, size = [], 0
                 if len(states) >= PARTIAL_GROUPS:
-                    yield pack(states.items())
+                    yield pack(states.items()).assign(**{value: None})
                     states = {}
         if waiting:
-            fold(waiting, states)
+            yield fold(waiting, states)
         if states:
-            yield pack(states.items())
+            yield pack(states.items()).assign(**{value: None})
+
+    def runs(batch: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
+        """(key, first, end) of the rows of one key and one kind, in a batch sorted by both."""
+        if batch.empty:
+            return
+        kind = batch["_state"].isna().to_numpy()
+        changed = np.append(True, kind[1:] != kind[:-1])
+        for k in keys:
+            own, empty = batch[k].to_numpy(), batch[k].isna().to_numpy()
+            changed[1:] |= (own[1:] != own[:-1]).astype(bool) & ~(empty[1:] & empty[:-1])
+        first = np.flatnonzero(changed)
+        heads = batch[keys].iloc[first].itertuples(index=False, name=None)
+        yield from zip(map(plain, heads), first.tolist(), [*first[1:].tolist(), len(batch)], strict=True)
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple[tuple, Any]]]:
-        """Merged states of partitions sorted by key, in chunks."""
-        head, state, done = None, None, []
+        """States of partitions sorted by key, in chunks: rows are folded, states merged."""
+        head, state, begun, done = None, None, False, []
         for batch in batches:
-            for *key, blob in batch[[*keys, "_state"]].itertuples(index=False, name=None):
-                key = plain(tuple(key))
-                if key == head:
-                    state = function.merge(state, pickle.loads(blob))
+            blobs = batch["_state"].tolist()
+            for key, first, end in runs(batch):
+                if key != head:
+                    if head is not None:
+                        done.append((head, state))
+                    head, begun = key, False
+                if blobs[first] is None:
+                    state = function.accumulate(state if begun else function.init(), batch[value].iloc[first:end])
+                    begun = True
                     continue
-                if head is not None:
-                    done.append((head, state))
-                head, state = key, pickle.loads(blob)
+                for blob in blobs[first:end]:
+                    state = function.merge(state, pickle.loads(blob)) if begun else pickle.loads(blob)
+                    begun = True
             if len(done) >= 10_000:
                 yield done
                 done = []
@@ -146,7 +179,9 @@ def aggregate(
 
     names = [F.col(f"`{k}`") for k in keys]
     result_schema = T.StructType([*key_schema.fields, T.StructField(alias, T._parse_datatype_string(returns))])
-    states = rows.mapInPandas(partial, state_schema).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    # Rows of a group stay together, whatever task they come from; there are few of each.
+    slice_ = F.when(F.col("_state").isNull(), -1).otherwise(F.pmod(F.spark_partition_id(), F.lit(spread)))
+    states = rows.mapInPandas(partial, mixed_schema).withColumn("_slice", slice_)
     sliced = states.repartition(*names, "_slice").sortWithinPartitions(*names, "_slice").drop("_slice")
     whole = sliced.mapInPandas(merge_slices, state_schema).repartition(*names).sortWithinPartitions(*names)
     finished = whole.mapInPandas(finish, result_schema)
