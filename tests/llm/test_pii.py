@@ -135,18 +135,15 @@ def whole_texts(texts):
     found = [base(t) for t in texts]
     words = [[(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", t or "")] for t in texts]
     free = [[w for w in ws if not any(s[0] < w[1] and w[0] < s[2] for s in spans)] for spans, ws in zip(found, words)]
-    n_t, n_c, n_ct, near = Counter(), Counter(), Counter(), set()
-    for spans, ws, own in zip(found, words, free):
+    n_t, n_c, n_ct = Counter(), Counter(), Counter()
+    for spans, ws in zip(found, words):
         terms, values = {w for _, _, w in ws}, {entity(s) for s in spans}
         n_t.update(terms)
         n_c.update(values)
         n_ct.update((c, w) for c in values for w in terms)
-        for s in spans:
-            beside = [w for a, b, w in own if (a >= s[0] - pii.REACH and b <= s[0]) or (a >= s[2] and b <= s[2] + pii.REACH)]
-            near.update((entity(s), w) for w in beside)
     told, n = set(), len(texts)
-    for c, w in near:
-        ic, both = math.log(n / n_c[c]), n_ct[c, w]
+    for (c, w), both in n_ct.items():
+        ic = math.log(n / n_c[c])
         if both >= pii.SUPPORT and ic > 0 and math.log(n * both / (n_c[c] * n_t[w])) >= pii.THRESHOLD * ic - 1e-9:
             told.add(w)
     return [sorted([s[:3] for s in spans] + [(a, 4, b) for a, b, w in own if w in told]) for spans, own in zip(found, free)]
@@ -164,6 +161,30 @@ def test_disclosing_terms_go_from_whole_texts(spark):
     assert clean[3] == "only [TERM] here" and not any("zora" in t for t in clean.values())
 
 
+def far_from_values():
+    """Texts whose disclosing terms stand more than REACH characters from the value, on both sides of it."""
+    far = " 12" * 40
+    return ["zora, kim" + far + " kim@site.net", f"kim@site.net{far} zora", "only zora and kim here", *["plain"] * 200]
+
+
+def test_terms_far_from_their_value_go(spark, tmp_path):
+    from tidemark.llm import queries
+
+    rows = list(enumerate(far_from_values()))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in queries.op9_pii(spark, str(tmp_path)).collect()}
+    # "site" and "net" stand in the value only, which is a span already.
+    assert [got[i] for i in range(4)] == ["term:0:4,term:6:9,email:130:142", "email:0:12,term:133:137", "term:5:9,term:14:17", ""]
+
+
+def test_a_hot_value_and_a_hot_term(spark):
+    texts = [f"zora{' 12' * 40} kim@site.net own{chr(97 + i % 26) * 3}" for i in range(40)] + ["zora knows"] * 2 + ["plain"] * 60
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitise(df, everywhere=True).collect()}
+    assert got[40] == "[TERM] knows" and got[0] == f"[TERM]{' 12' * 40} [EMAIL] ownaaa".replace("ownaaa", "[TERM]")
+    assert got[50] == "plain"
+
+
 @pytest.mark.parametrize("name", ["sf0.001", "sf0.01"])
 def test_query_marks_whole_texts(spark, name):
     import os

@@ -1,18 +1,20 @@
 """Personal data: spans by pattern, and terms that give a protected value away.
 
-Four kinds are found by pattern.  Then the corpus is asked how much the words beside such a value tell about it:
-for a value c and a term t that some text has within REACH characters of it, with N documents,
+Four kinds are found by pattern.  Then the corpus is asked how much the words of the texts that hold such a value tell
+about it: for a value c and a term t that some text holds both, however far from each other, with N documents,
 
     IC(c) = log(N / n_c)          PMI(c, t) = log(N * n_ct / (n_c * n_t))
 
 where n_c documents hold c, n_t hold t and n_ct hold both, anywhere in their texts.  PMI = IC means that whoever reads t
 knows c.  A term with n_ct >= SUPPORT and PMI >= THRESHOLD * IC discloses its value.  With ``everywhere`` its places in
-all texts become spans of kind ``term``, otherwise those beside the value; ``sanitise`` generalises them as it does the values.
+all texts become spans of kind ``term``, otherwise those within REACH characters of the value; ``sanitise`` generalises them
+as it does the values.
 
 Only DataFrame functions are used.  Positions come from marking the matches, cutting the text at the marks and summing
-the pieces' lengths.  Counts combine before their shuffle; the joins are on pairs that were counted before or can be
-split by adaptive execution, so a value or a term that a third of the rows hold is no bottleneck.  A bit array of fixed
-size picks the words that may be wanted before they are joined; as it fills, more words are joined, and results stay whole.
+the pieces' lengths.  Counts combine before their shuffle, and the joins can be split by adaptive execution, so a value
+or a term that a third of the rows hold is no bottleneck.  Pairs that no number of common texts can bring to the threshold go
+before they are counted.  A bit array of fixed size picks the words that may be wanted before their places are joined; as it
+fills, more words are joined, and results stay whole.
 
 Defined results: null text counts as empty and has no spans; repeated rows are found each on its own; other columns are
 kept, whatever their names; positions are code points, the end exclusive.
@@ -44,7 +46,7 @@ PATTERNS = {
 #: What a text must hold for a match of the kind.
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 
-#: Characters beside a value that are searched for terms.
+#: Characters beside a value within which a disclosing term's places are marked, unless they are everywhere.
 REACH = 64
 #: Documents that must hold a term and its value.
 SUPPORT = 2
@@ -239,8 +241,8 @@ def _among(wanted: DataFrame) -> Iterator[Callable[[Column], Column]]:
         spark.catalog.dropTempView(name)
 
 
-def _disclosing(located: DataFrame, places: DataFrame, clean: Column, base: str) -> DataFrame:
-    """(entity, term): the terms that disclose a value.  ``places`` has the terms beside each value."""
+def _disclosing(located: DataFrame, row: str, clean: Column, base: str) -> DataFrame:
+    """(entity, term): the terms that disclose a value, among all values and terms that some text holds, near or far."""
     entities = F.array_distinct(F.transform(base, _entity))
     n = located.agg(F.count(F.lit(1)).cast("double")).scalar()
     ic = F.log(n / F.col("n_c"))
@@ -249,19 +251,16 @@ def _disclosing(located: DataFrame, places: DataFrame, clean: Column, base: str)
         pmi = F.log(n * n_ct / (F.col("n_c") * F.col("n_t")))
         return (n_ct >= SUPPORT) & (ic > 0) & (pmi >= THRESHOLD * ic - 1e-9)
 
-    holders = located.select(F.explode(entities).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    frequency = document_frequency(clean, located)
-    pairs = places.select("entity", "term").distinct()
-    possible = pairs.join(holders.where(F.col("n_c") >= SUPPORT), "entity").join(frequency, "term")
-    possible = stage(possible.where(tells(F.least("n_c", "n_t"))), "possible").frame  # no pair can share more documents
-    by_term = stage(possible.groupBy("term").agg(F.collect_set("entity").alias("told")), "told").frame
-    with _among(by_term) as wanted:
-        terms = F.filter(_terms(clean), wanted)
-        held = located.where(F.size(base) > 0).select(entities.alias("entities"), F.explode(terms).alias("term"))
-        both = held.join(by_term, "term").select("term", F.explode(F.array_intersect("entities", "told")).alias("entity"))
-        counted = both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct"))
-        found = possible.join(counted, ["entity", "term"]).where(tells(F.col("n_ct"))).select("entity", "term")
-        return stage(found, "disclosing").frame
+    # The counts are written, so that the joins are of plain tables, which can be split on a hot value, term or text.
+    valued = located.where(F.size(base) > 0)
+    holders = valued.select(F.explode(entities).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+    holders = stage(holders.where(F.col("n_c") >= SUPPORT), "holders").frame
+    frequency = stage(document_frequency(clean, located).where(F.col("n_t") >= SUPPORT), "frequency").frame
+    values = stage(valued.select(row, F.explode(entities).alias("entity")).join(holders, "entity"), "values").frame
+    terms = valued.select(row, F.explode(_terms(clean)).alias("term")).join(frequency, "term")
+    both = terms.join(values, row).where(tells(F.least("n_c", "n_t")))  # no pair can share more documents
+    counted = both.groupBy("entity", "term", "n_c", "n_t").agg(F.count(F.lit(1)).alias("n_ct"))
+    return stage(counted.where(tells(F.col("n_ct"))).select("entity", "term"), "disclosing").frame
 
 
 def _everywhere(located: DataFrame, terms: DataFrame, row: str, clean: Column, base: str) -> DataFrame:
@@ -285,24 +284,25 @@ def find(
 ) -> DataFrame:
     """``keep``'s columns (all) with the spans of each text: array<struct<start, kind, end, value>>, kind into KINDS.
 
-    The texts, their base spans and the terms beside them are written once below the shared folder; all else follows from
-    that table.
+    The texts and their base spans (and the terms beside them, if only these are marked) are written once below the shared
+    folder; all else follows from that table.
     """
     columns = df.columns if keep is None else keep
     row, base, beside = (free_name(n, [*df.columns, "entity", "term", spans]) for n in ("row", "base", "beside"))
     clean = free_name("clean", [*df.columns, row, base, beside])
     source = df.select(*[F.col(f"`{c}`") for c in columns], unmarked(F.col(f"`{text}`").cast("string")).alias(clean))
     located = source.withColumn(row, F.monotonically_increasing_id()).withColumn(base, base_spans(F.col(clean)))
-    located = located.withColumn(beside, _terms_beside(F.col(clean), F.col(base)))
+    if not everywhere:
+        located = located.withColumn(beside, _terms_beside(F.col(clean), F.col(base)))
     again = text in columns
     located = stage(located.drop(clean) if again else located, "pii").frame
     cleaned = unmarked(F.col(f"`{text}`").cast("string")) if again else F.col(clean)
 
-    places = located.where(F.size(beside) > 0).select(row, F.inline(beside))
-    disclosing = _disclosing(located, places, cleaned, base)
+    disclosing = _disclosing(located, row, cleaned, base)
     if everywhere:
         marked = _everywhere(located, disclosing, row, cleaned, base)
     else:
+        places = located.where(F.size(beside) > 0).select(row, F.inline(beside))
         marked = places.join(disclosing, ["entity", "term"], "left_semi")
     terms = marked.groupBy(row).agg(
         F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end", F.lit("").alias("value"))).alias("terms")
