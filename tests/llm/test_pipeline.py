@@ -6,7 +6,7 @@ import corpus_pipeline as pipeline
 import pytest
 from test_mixing import simulated
 from test_ngram_join import grams
-from test_pii import with_terms
+from test_pii import far_from_values, with_terms
 
 from tidemark.llm import bpe, pii, queries, toxicity
 
@@ -113,3 +113,11 @@ def test_repeated_and_null_rows_pass_every_stage(spark):
     for name, step in pipeline.STAGES:
         out = step(spark, docs.union(odd), SF)
         assert out.where("text is null").count() == 1 and out.where("text = ''").count() == 2, name
+
+
+def test_terms_far_from_their_value_are_generalised(spark):
+    rows = [(i, t, "src0", "en") for i, t in enumerate(far_from_values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r.text for r in pipeline.sanitise(spark, docs, SF).collect()}
+    far = " 12" * 40
+    assert [got[i] for i in range(3)] == [f"[TERM], [TERM]{far} [EMAIL]", f"[EMAIL]{far} [TERM]", "only [TERM] and [TERM] here"]
