@@ -55,6 +55,24 @@ def test_a_full_cache_changes_nothing(monkeypatch, codec):
     assert [codec.encode([t])[0] for t in texts] == want
 
 
+def test_few_words_are_held_at_once(monkeypatch, codec):
+    """However many texts a batch has, the words of a few are cut at once, and the cache stays within its bound."""
+    texts = random_texts(300) + [f"{i} w{i}" for i in range(3000)]
+    want, cut, held = codec.encode(texts), [], []
+    learn = type(codec).learn
+    monkeypatch.setattr(codec, "learn", lambda words: cut.append(sum(map(len, words))) or learn(codec, words), raising=False)
+    monkeypatch.setattr(codec, "cache", {})
+    monkeypatch.setattr(codec, "older", {}, raising=False)
+    for name, most in (("CUT_CHARS", 2000), ("CACHED_WORDS", 400)):
+        monkeypatch.setattr(bpe, name, most, raising=False)
+    assert codec.encode(texts) == want
+    assert max(cut) <= 2000 + max(map(len, texts))
+    for i in range(0, len(texts), 10):
+        assert codec.encode(texts[i : i + 10]) == want[i : i + 10]
+        held.append(len(codec.cache) + len(codec.older))
+    assert max(held) <= 400 + 1000
+
+
 def test_decoding_broken_ids(codec, library):
     ids = [220, 447, 118, 50256]  # a cut character
     assert codec.decode(np.array(ids)) == library.decode(ids, skip_special_tokens=False)

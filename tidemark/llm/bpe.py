@@ -29,8 +29,12 @@ from tidemark.llm.common import free_name, with_text_columns
 # Fixed value: how byte-level tokenizers cut a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Words kept in a worker's cache; it is emptied when full.  Only speed depends on it.
-CACHED_WORDS = 400_000
+#: Words kept in a worker's cache, at most: when half of them are new, the others that were not met since go.  Only speed
+#: depends on it.
+CACHED_WORDS = 160_000
+
+#: Texts of about this many characters are cut into words at once, as their words take ten times the memory of the texts.
+CUT_CHARS = 500_000
 
 #: Words longer than this many bytes are not cached.
 CACHED_BYTES = 64
@@ -91,6 +95,7 @@ class Codec:
         }
         self.longest = max(map(len, self.proposed))
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # -- one word --
 
@@ -179,17 +184,31 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers one after the other."""
+        out: list[bytes] = []
+        first, size = 0, 0
+        for i, text in enumerate(texts):
+            size += len(text or "")
+            if size >= CUT_CHARS:
+                out += self._encode(texts[first : i + 1])
+                first, size = i + 1, 0
+        return out + self._encode(texts[first:])
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._cut(t or "") for t in texts]
         new = {w for words in cut for w in words if type(w) is str} - self.cache.keys()
+        known = new & self.older.keys()
+        if known:
+            self.cache |= {w: self.older[w] for w in known}
+            new -= known
         if new:
             self.cache |= self.learn(list(new))
         get = self.cache.__getitem__
         out = [b"".join([w if type(w) is bytes else get(w) for w in words]) for words in cut]
-        if len(self.cache) > CACHED_WORDS:
-            self.cache = {}
-        for w in new & self.cache.keys():
+        for w in new:
             if len(w) > CACHED_BYTES:
                 del self.cache[w]
+        if len(self.cache) > CACHED_WORDS // 2:
+            self.older, self.cache = self.cache, {}
         return out
 
     def _cut(self, text: str) -> list[str | bytes]:
