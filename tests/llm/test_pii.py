@@ -177,6 +177,17 @@ def test_terms_far_from_their_value_go(spark, tmp_path):
     assert [got[i] for i in range(4)] == ["term:0:4,term:6:9,email:130:142", "email:0:12,term:133:137", "term:5:9,term:14:17", ""]
 
 
+def test_terms_that_lower_case_would_cut_elsewhere(spark):
+    """Lower-casing makes two characters of İ, one of them no letter, and looks beyond the word to choose a sigma."""
+    far = " 12" * 40
+    texts = [f"İzmirli ΟΔΟΣ.Α kim@site.net{far}", f"kim@site.net{far} İzmirli ΟΔΟΣ", "İzmirli ΟΔΟΣ, only", "zmirli only", *["plain"] * 200]
+    want = whole_texts(texts)
+    assert [sum(s[1] == 4 for s in spans) for spans in want[:4]] == [2, 2, 2, 0]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.digest(df, ["doc_id"], everywhere=True).collect()}
+    assert [got[i] for i in range(len(texts))] == [listed(spans) for spans in want]
+
+
 def test_a_hot_value_and_a_hot_term(spark):
     texts = [f"zora{' 12' * 40} kim@site.net own{chr(97 + i % 26) * 3}" for i in range(40)] + ["zora knows"] * 2 + ["plain"] * 60
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -205,9 +205,9 @@ def _terms_beside(text: Column, spans: Column) -> Column:
 
 
 def _terms(text: Column) -> Column:
-    """Hashes of a text's distinct terms."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{SHORTEST},}}+"), F.lit(0))
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """Hashes of a text's distinct terms: its words in lower case.  (Lower-casing the text first would cut some elsewhere.)"""
+    words = F.regexp_extract_all(text, F.lit(rf"\p{{L}}{{{SHORTEST},}}+"), F.lit(0))
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))
 
 
 def document_frequency(texts: Column, df: DataFrame) -> DataFrame:
