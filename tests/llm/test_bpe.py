@@ -47,6 +47,17 @@ def test_pair_test_agrees_with_merging(codec):
         assert good == (codec.merged(codec.pieces[a] + codec.pieces[b]) == [a, b])
 
 
+def test_many_words_at_once_agree_with_one_at_a_time(codec):
+    rng = random.Random(8)
+    words = ["".join(rng.choices(PARTS, k=rng.randint(0, 12))).encode() for _ in range(6000)] + [b"a" * 300, b"", bytes(range(256))]
+    for word, ids in zip(words, codec.merge(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == codec.merged(word)
+    flat, lengths = codec.match(words)
+    assert np.split(flat, np.cumsum(lengths)[:-1])[0].tolist() == codec.longest_match(words[0])
+    assert flat.tolist() == [t for w in words for t in codec.longest_match(w)]
+    assert lengths.tolist() == [len(codec.longest_match(w)) for w in words]
+
+
 def test_a_full_cache_changes_nothing(monkeypatch, codec):
     texts = random_texts(200)
     want = codec.encode(texts)

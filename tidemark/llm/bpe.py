@@ -3,7 +3,8 @@
 A greedy longest match proposes tokens for each distinct word of a batch.  A sequence of tokens is what the merges
 would give exactly when every adjacent pair is: a pair fails if some merge across its border would have come before the
 merges that made its two tokens.  That test runs for all adjacent pairs of the batch at once in numpy, level by level
-down the merge trees.  Only words with a failing pair are merged exactly.
+down the merge trees.  Only words with a failing pair are merged exactly.  The matches walk a trie and the merges their
+pairs for all short words at once as well; long words are matched and merged one at a time.
 
 Rows never depend on each other: one narrow map, no shuffle.  A worker holds the vocabulary (a file of bounded size that
 the driver reads and broadcasts) and a cache of words of bounded size.
@@ -36,9 +37,12 @@ CACHED_WORDS = 160_000
 #: Texts of about this many characters are cut into words at once, as their words take ten times the memory of the texts.
 CUT_CHARS = 500_000
 
-#: Words longer than this many bytes are not cached.
+#: Words longer than this many bytes are not cached, and are matched and merged one at a time.
 CACHED_BYTES = 64
 
+#: Words that are merged at once; they are about equally long.
+MERGED_WORDS = 4_096
+
 _NEVER = np.int64(1 << 40)
 
 
@@ -83,17 +87,19 @@ class Codec:
         ranks = np.array([rank + 1 for rank, _ in self.merges.values()], np.int64)
         at = np.argsort(keys)
         self.pair_keys, self.pair_orders, self.size = keys[at], ranks[at], size
+        self.made = np.zeros(len(spec["model"]["merges"]), np.int64)
+        for rank, made in self.merges.values():
+            self.made[rank] = made
 
         self.of_byte = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         self.cut = regex.compile(PATTERN)
         self.at_special = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         # The match may only propose tokens that the merges do reach from their own bytes.
-        self.proposed = {
-            piece: i
-            for i, piece in self.by_id.items()
-            if i not in self.special.values() and (len(piece) == 1 or self.merged(piece) == [i])
-        }
+        plain = {i: piece for i, piece in self.by_id.items() if i not in self.special.values()}
+        made = dict(zip(plain, self.merge(list(plain.values())), strict=True))
+        self.proposed = {piece: i for i, piece in plain.items() if len(piece) == 1 or made[i] == np.array([i], "<u4").tobytes()}
         self.longest = max(map(len, self.proposed))
+        self.children, self.child, self.token = self._trie()
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -133,6 +139,94 @@ class Codec:
 
     # -- many words --
 
+    def _trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The proposed tokens' prefixes as nodes, the empty one first: sorted node * 256 + byte, the child, and each node's token."""
+        nodes: dict[bytes, int] = {b"": 0}
+        edges: list[int] = []
+        for piece in self.proposed:
+            for end in range(1, len(piece) + 1):
+                if piece[:end] not in nodes:
+                    nodes[piece[:end]] = len(nodes)
+                    edges.append(nodes[piece[: end - 1]] << 8 | piece[end - 1])
+        token = np.fromiter((self.proposed.get(prefix, -1) for prefix in nodes), np.int64, len(nodes))
+        keys = np.array(edges, np.int64)
+        at = np.argsort(keys)
+        return keys[at], at + 1, token
+
+    def match(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``longest_match`` of short words: all tokens, word by word, and the number of each word's."""
+        text = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        at = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        live = np.flatnonzero(at < ends)
+        owners, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(live):
+            token = np.full(len(live), -1)
+            after = at[live]
+            walking, node, position, end = np.arange(len(live)), np.zeros(len(live), np.int64), at[live], ends[live]
+            while len(walking):
+                key = node << 8 | text[position]
+                found = np.minimum(np.searchsorted(self.children, key), len(self.children) - 1)
+                on = self.children[found] == key
+                walking, node, position, end = walking[on], self.child[found[on]], position[on] + 1, end[on]
+                reached = self.token[node]
+                whole = reached >= 0
+                token[walking[whole]], after[walking[whole]] = reached[whole], position[whole]
+                inside = position < end
+                walking, node, position, end = walking[inside], node[inside], position[inside], end[inside]
+            owners.append(live)
+            tokens.append(token)
+            at[live] = after
+            live = live[after < ends[live]]
+        owner = np.concatenate(owners)
+        return np.concatenate(tokens)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """``merged`` of each word, as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(words)
+        short = [i for i, w in enumerate(words) if len(w) <= CACHED_BYTES]
+        short.sort(key=lambda i: len(words[i]))
+        for first in range(0, len(short), MERGED_WORDS):
+            some = short[first : first + MERGED_WORDS]
+            for i, ids in zip(some, self._merge_short([words[i] for i in some]), strict=True):
+                out[i] = ids
+        for i, w in enumerate(words):
+            if len(w) > CACHED_BYTES:
+                out[i] = np.array(self.merged(w), "<u4").tobytes()
+        return out
+
+    def _merge_short(self, words: list[bytes]) -> list[bytes]:
+        """The same for short words: in each round, every word that has a pair left merges its first, the leftmost of equals."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        width = max(1, int(lengths.max()))
+        place = np.arange(width)
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
+        ids = np.where(place < lengths[:, None], np.array(self.of_byte, np.int64)[raw], -1)
+        order = np.full(ids.shape, _NEVER)
+        pair = place + 1 < lengths[:, None]
+        order[pair] = self.merge_order(ids[pair], ids[:, 1:][pair[:, :-1]])
+        after, before = np.tile(place + 1, (len(words), 1)), np.tile(place - 1, (len(words), 1))
+        live = np.arange(len(words))
+        while len(live):
+            left = order[live].argmin(1)
+            rank = order[live, left]
+            live, left, rank = live[rank < _NEVER], left[rank < _NEVER], rank[rank < _NEVER]
+            made, right = self.made[rank - 1], after[live, left]
+            then, behind = after[live, right], before[live, left]
+            ids[live, left], ids[live, right] = made, -1
+            order[live, left] = order[live, right] = _NEVER
+            after[live, left] = then
+            more = then < lengths[live]
+            row, i, j = live[more], left[more], then[more]
+            before[row, j] = i
+            order[row, i] = self.merge_order(made[more], ids[row, j])
+            more = behind >= 0
+            row, i = live[more], behind[more]
+            order[row, i] = self.merge_order(ids[row, i], made[more])
+        kept = ids >= 0
+        flat, ends = ids[kept].astype("<u4").tobytes(), np.cumsum(kept.sum(1)) * 4
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
     def merge_order(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """When the pair (x, y) is merged, or never."""
         keys = x * self.size + y
@@ -166,9 +260,15 @@ class Codec:
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words, as little-endian unsigned 32-bit integers."""
-        proposals = [self.longest_match(w.encode()) for w in words]
-        lengths = np.fromiter(map(len, proposals), np.int64, len(proposals))
-        flat = np.fromiter((t for p in proposals for t in p), np.int64, int(lengths.sum()))
+        encoded = [w.encode() for w in words]
+        at = [i for i, w in enumerate(encoded) if len(w) <= CACHED_BYTES]
+        flat, lengths = self.match([encoded[i] for i in at])
+        if len(at) < len(words):
+            long = [i for i, w in enumerate(encoded) if len(w) > CACHED_BYTES]
+            proposals = [self.longest_match(encoded[i]) for i in long]
+            words, encoded = [words[i] for i in at + long], [encoded[i] for i in at + long]
+            flat = np.concatenate([flat, *(np.array(p, np.int64) for p in proposals)])
+            lengths = np.concatenate([lengths, np.array([len(p) for p in proposals], np.int64)])
         owner = np.repeat(np.arange(len(words)), lengths)
         inside = owner[1:] == owner[:-1]
         pairs, back = np.unique((flat[:-1] * self.size + flat[1:])[inside], return_inverse=True)
@@ -178,8 +278,9 @@ class Codec:
         raw, ends = flat.astype("<u4").tobytes(), np.cumsum(lengths) * 4
         starts = ends - lengths * 4
         found = {w: raw[s:e] for w, s, e in zip(words, starts.tolist(), ends.tolist(), strict=True)}
-        for i in np.flatnonzero(failing).tolist():
-            found[words[i]] = np.array(self.merged(words[i].encode()), "<u4").tobytes()
+        exact = np.flatnonzero(failing).tolist()
+        for i, ids in zip(exact, self.merge([encoded[i] for i in exact]), strict=True):
+            found[words[i]] = ids
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -195,15 +296,15 @@ class Codec:
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._cut(t or "") for t in texts]
-        new = {w for words in cut for w in words if type(w) is str} - self.cache.keys()
-        known = new & self.older.keys()
+        new = {w for w in set().union(*cut).difference(self.cache) if type(w) is str}
+        known = new.intersection(self.older)
         if known:
-            self.cache |= {w: self.older[w] for w in known}
+            self.cache.update((w, self.older[w]) for w in known)
             new -= known
         if new:
             self.cache |= self.learn(list(new))
-        get = self.cache.__getitem__
-        out = [b"".join([w if type(w) is bytes else get(w) for w in words]) for words in cut]
+        get = self.cache.get
+        out = [b"".join(map(get, words, words)) for words in cut]  # a special token is its id already
         for w in new:
             if len(w) > CACHED_BYTES:
                 del self.cache[w]
