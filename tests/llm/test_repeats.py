@@ -94,6 +94,41 @@ def test_crowded_anchors(spark, monkeypatch):
     check(spark, corpus(9, 60) + ODD, 40)
 
 
+def line_and_copies(n):
+    """Texts that share a line only, and near copies of one text, each edited at one place."""
+    rng = random.Random(n)
+
+    def prose(k):
+        return "".join(rng.choices("abcdef ghi", k=k))
+
+    line, whole = prose(200), prose(900)
+    texts = [prose(300) + line + prose(300) for _ in range(n)]
+    for _ in range(n):
+        at = rng.randrange(len(whole))
+        texts.append(whole[:at] + prose(rng.randint(0, 9)) + whole[at:])
+    return texts
+
+
+@pytest.mark.parametrize("n", [30, 60])
+def test_crowds_make_few_pieces(spark, monkeypatch, n):
+    """A crowd's regions are cut into a few pieces each, however large it is, and the results are whole."""
+    monkeypatch.setattr(repeats, "CROWD", 10)
+    made, crowded = [], []
+
+    def counting(df, name):
+        out = stage(df, name)
+        if name == "pieces":
+            made.append(out.frame.count())
+        if name == "known":
+            crowded.append(out.frame.where("kinds > 1 and crowd").count())
+        return out
+
+    stage = repeats.stage
+    monkeypatch.setattr(repeats, "stage", counting)
+    check(spark, line_and_copies(n), 400)
+    assert crowded[0] >= n and made[0] <= 2 * crowded[0] and sum(made) <= 6 * crowded[0]
+
+
 def test_many_shards(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD_BYTES", 500)
     check(spark, corpus(10), 50)
