@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm import queries, repeats, suffix
+from tidemark.llm import common, queries, repeats, suffix
 
 SF = "/root/testdata/sf0.001"
 
@@ -129,6 +129,52 @@ def test_crowds_make_few_pieces(spark, monkeypatch, n):
     assert crowded[0] >= n and made[0] <= 2 * crowded[0] and sum(made) <= 6 * crowded[0]
 
 
+def test_texts_are_read_once_for_all_widths(spark, monkeypatch):
+    """Texts travel for the shards and for the crowds, once each, however often the crowds' regions are cut."""
+    monkeypatch.setattr(repeats, "CROWD", 3)
+    monkeypatch.setattr(repeats, "WIDTHS", (12, 6, 3, 1))
+    made, with_texts = [], repeats._with_texts
+
+    def counting(*args):
+        made.append(args)
+        return with_texts(*args)
+
+    monkeypatch.setattr(repeats, "_with_texts", counting)
+    check(spark, corpus(11, 60) + ODD, 40)
+    assert len(made) == 2
+
+
+def test_handed_on_in_small_batches(spark, monkeypatch):
+    """Batches cut anywhere: within a text's regions, and within a region's pieces."""
+    monkeypatch.setattr(repeats, "CROWD", 3)
+    monkeypatch.setattr(repeats, "WIDTHS", (7, 3, 1))
+    monkeypatch.setattr(repeats, "OUT_BYTES", 150, raising=False)
+    monkeypatch.setattr(repeats, "OUT_ROWS", 5, raising=False)
+    check(spark, corpus(12, 40) + ODD * 2, 40)
+
+
+def test_full_filter(spark, monkeypatch):
+    """A filter that lets many other texts through: they lose nothing."""
+    monkeypatch.setattr(common, "FILTER_BITS", 128)
+    texts = corpus(13, 20) + ["".join(random.Random(i).choices("abcdef", k=90)) for i in range(200)] + ODD
+    check(spark, texts, 40)
+    check(spark, texts[:3], 400)
+
+
+def test_rows_by_a_filter_of_their_hashes(spark):
+    """Every row is on one side, and wanted ones on the first; keys at both ends of their range."""
+    keys = [*range(-70, 70), -(1 << 63), (1 << 63) - 1, 1 << 23, -(1 << 23) - 1]
+    df = spark.createDataFrame([(k, str(k)) for k in keys * 2], "words long, text string")
+    wanted = spark.createDataFrame([(k,) for k in keys[::3]], "words long")
+    chosen = common.marked_by(df, wanted, "words")
+    inside = sorted(r.words for r in chosen(True).collect())
+    rest = sorted(r.words for r in chosen(False).collect())
+    same = {k % common.FILTER_BITS for k in keys[::3]}
+    assert inside == sorted(k for k in keys * 2 if k % common.FILTER_BITS in same)
+    assert sorted(inside + rest) == sorted(keys * 2)
+    assert "Python" not in chosen(True)._jdf.queryExecution().toString() and "Arrow" not in chosen(True)._jdf.queryExecution().toString()
+
+
 def test_many_shards(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD_BYTES", 500)
     check(spark, corpus(10), 50)
