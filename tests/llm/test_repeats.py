@@ -196,6 +196,28 @@ def test_long_strings(spark, length):
     check(spark, texts, length)
 
 
+def test_passages_of_over_50_words(spark):
+    """Passages that two texts share go by n_removed if they have 400 bytes, however many words they have; n_bytes tells nothing."""
+    rng = random.Random(50)
+
+    def prose(words, low, high):
+        return " ".join("".join(rng.choices("abcdefghi", k=rng.randint(low, high))) for _ in range(words))
+
+    long = [prose(51 + i, 8, 9) for i in range(6)]
+    short = [prose(51 + i, 2, 7) for i in range(6)]
+    assert min(map(len, long)) >= 400 and max(map(len, short)) < 398
+    passages = [*long, *short, *[""] * 6]
+    texts = [f"{prose(30, 2, 9)}{mark} {p} {mark}{prose(30, 2, 9)}" for mark in "XY" for p in passages]
+    check(spark, texts, 400)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in repeats.remove(df, 400, keep=["doc_id"], digest=True).collect()}
+    for i, text in enumerate(texts):
+        p = passages[i % len(passages)]
+        assert got[i].n_bytes == len(text)
+        # The blanks beside a passage are shared as well.
+        assert got[i].n_removed == (len(p) + 2 if p in long else 0)
+
+
 def test_nothing_repeated_and_empty_table(spark):
     check(spark, ["one text " * 3, None, "another"], 40)
     df = spark.createDataFrame([], "doc_id long, text string")
